@@ -21,15 +21,16 @@ from sluice.operators.checks import (  # noqa: E402
     invalid_records,
     null_key_flags,
     null_key_records,
+    reject,
     with_row_id,
 )
 from sluice.operators.duplicates import (  # noqa: E402
     KEY_DUPLICATE,
     ROW_DUPLICATE,
+    flag_repeated,
+    flag_unrepeated,
     repeated_keys,
-    with_duplicate_flags_of_few,
 )
-from sluice.operators.checks import reject  # noqa: E402
 from sluice.operators.marts import daily_sales, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
 from sluice.plans.pipeline import load_daily_sales, run  # noqa: E402
@@ -196,7 +197,9 @@ def bad_all_keys_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bad_few_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows with a key of their own are not shuffled."""
     rows = _rows(spark, sf_dir)
-    return _records(reject(with_duplicate_flags_of_few(rows, LINES, repeated_keys(rows, LINES)), LINES))
+    repeated = repeated_keys(rows, LINES)
+    flagged = flag_unrepeated(rows, LINES, repeated).unionByName(flag_repeated(rows, LINES, repeated))
+    return _records(reject(flagged, LINES))
 
 
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,9 @@ more than a share of them. At most rows / `hot_rows` keys can be above it, which
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
@@ -38,32 +40,41 @@ def repeated_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def with_duplicate_flags(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add both flags. All rows pass one exchange; those of hot keys pass two."""
-    keys = list(spec.keys)
-    hot = F.broadcast(repeated_keys(rows, spec).filter(F.col("_rows") > hot_rows).select(*[named(k) for k in keys]))
-    return _flag_by_key(rows.join(hot, keys, "left_anti"), spec).unionByName(
-        _flag_spread(rows.join(hot, keys, "left_semi"), spec)
+    return _with_flags(rows, spec, _hot_keys(repeated_keys(rows, spec), hot_rows))
+
+
+def flag_unrepeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame) -> DataFrame:
+    """The rows whose key is not in `repeated`, which must be small: they have no duplicates and need no shuffle."""
+    return _join_keys(rows, repeated, spec, "left_anti").withColumns(
+        {ROW_DUPLICATE: F.lit(False), KEY_DUPLICATE: F.lit(False)}
     )
 
 
-def with_duplicate_flags_of_few(
-    rows: DataFrame, spec: TableSpec, repeated: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Add both flags, given `repeated_keys` of these rows and that they are few enough to broadcast.
+def flag_repeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The rows whose key is in `repeated`, which must be small, with both flags."""
+    return _with_flags(_join_keys(rows, repeated, spec, "left_semi"), spec, _hot_keys(repeated, hot_rows))
 
-    Rows whose key occurs once are never shuffled.
-    """
-    keys = list(spec.keys)
-    columns = [named(k) for k in keys]
-    once = rows.join(F.broadcast(repeated.select(*columns)), keys, "left_anti")
-    some = F.broadcast(repeated.filter(F.col("_rows") <= hot_rows).select(*columns))
-    hot = F.broadcast(repeated.filter(F.col("_rows") > hot_rows).select(*columns))
-    return (
-        once.withColumns({ROW_DUPLICATE: F.lit(False), KEY_DUPLICATE: F.lit(False)})
-        .unionByName(_flag_by_key(rows.join(some, keys, "left_semi"), spec))
-        .unionByName(_flag_spread(rows.join(hot, keys, "left_semi"), spec))
+
+def _hot_keys(repeated: DataFrame, hot_rows: int) -> DataFrame:
+    return repeated.filter(F.col("_rows") > hot_rows)
+
+
+def _with_flags(rows: DataFrame, spec: TableSpec, hot: DataFrame) -> DataFrame:
+    return _flag_by_key(_join_keys(rows, hot, spec, "left_anti"), spec).unionByName(
+        _flag_spread(_join_keys(rows, hot, spec, "left_semi"), spec)
     )
 
 
+def _join_keys(rows: DataFrame, keys: DataFrame, spec: TableSpec, how: str) -> DataFrame:
+    """Null-safe equality, so that no filter on `rows` is carried over to `keys`: then one broadcast serves all joins."""
+    listed = keys.select(*[named(k).alias(f"_key_{k}") for k in spec.keys])
+    return rows.join(F.broadcast(listed), _same_key(spec), how)
+
+
+def _same_key(spec: TableSpec) -> Column:
+    return reduce(Column.__and__, [named(k).eqNullSafe(named(f"_key_{k}")) for k in spec.keys])
+
+
 def _flag_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """For keys of bounded size. Both windows use the one exchange and the one sort.
 
@@ -98,22 +109,18 @@ def _flag_spread(rows: DataFrame, spec: TableSpec) -> DataFrame:
         .drop("_slot", "_later")
     )
     return (
-        flagged.join(F.broadcast(_conflicting_keys(rows, spec)), list(spec.keys), "left")
+        flagged.join(F.broadcast(_conflicting_keys(rows, spec)), _same_key(spec), "left")
         .withColumn(KEY_DUPLICATE, F.col("_conflict").isNotNull() & ~F.col(ROW_DUPLICATE))
-        .drop("_conflict")
         .select(*[named(c) for c in rows.columns], ROW_DUPLICATE, KEY_DUPLICATE)
     )
 
 
 def _conflicting_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """Keys with rows that differ: then the least and the greatest row differ. Two rows per key and task are kept."""
-    keys = [named(k) for k in spec.keys]
-    if not spec.non_keys:
-        return rows.select(*keys, F.lit(True).alias("_conflict")).filter(F.lit(False))
-    row = F.struct(*[named(c) for c in spec.non_keys])
+    """Keys with rows that differ: then the least and the greatest row differ. A task sends two rows per key."""
+    row = F.struct(*[named(c) for c in spec.non_keys], F.lit(0).alias("_end"))
     return (
-        rows.groupBy(*keys)
+        rows.groupBy(*[named(k).alias(f"_key_{k}") for k in spec.keys])
         .agg(F.min(row).alias("_least"), F.max(row).alias("_greatest"))
         .filter(~F.col("_least").eqNullSafe(F.col("_greatest")))
-        .select(*keys, F.lit(True).alias("_conflict"))
+        .select(*[named(f"_key_{k}") for k in spec.keys], F.lit(True).alias("_conflict"))
     )

@@ -18,18 +18,47 @@ def daily_sales(
 ) -> DataFrame:
     """Sales left-joined to shops, per day: floored sum and average, number of amounts, greatest amount.
 
-    A sale counts once for each shop row with its key, and once if there is none. Only that number is
-    needed of the shops, so they are counted by key first: no sale is ever multiplied into rows, whatever
-    the two sides hold for one key.
+    A sale counts once for each shop row with its key, and once if there is none.
     """
-    sales, shops = _same_key_type(sales, shops, key)
-    matches = shops.filter(named(key).isNotNull()).groupBy(named(key)).agg(F.count("*").alias("_matches"))
-    times = F.coalesce(F.col("_matches"), F.lit(1).cast("long"))
+    return sales_per_day(sales, repeated_shops(sales, shops, key), key, date, amount)
+
+
+def repeated_shops(sales: DataFrame, shops: DataFrame, key: str = "shop_id") -> DataFrame:
+    """The keys with several shops, and how many (`_shops`). Nothing else of the shops bears on the result."""
+    ours, theirs = sales.schema[key].dataType, shops.schema[key].dataType
+    shop = named(key)
+    if isinstance(theirs, StringType) and not isinstance(ours, StringType):
+        shop = shop.try_cast(ours)  # text that is no such value matches no sale
+    return (
+        shops.select(shop.alias(key))
+        .filter(named(key).isNotNull())
+        .groupBy(named(key))
+        .agg(F.count("*").alias("_shops"))
+        .filter("_shops > 1")
+    )
+
+
+def sales_per_day(
+    sales: DataFrame,
+    repeated: DataFrame,
+    key: str = "shop_id",
+    date: str = "sales_date",
+    amount: str = "sales_amt",
+) -> DataFrame:
+    """`daily_sales`, given `repeated_shops`.
+
+    A sale is weighted by its number of shops instead of being multiplied into rows, whatever the two sides
+    hold for one key.
+    """
+    theirs = repeated.schema[key].dataType
+    if isinstance(sales.schema[key].dataType, StringType) and not isinstance(theirs, StringType):
+        sales = sales.withColumn(key, named(key).try_cast(theirs))
+    times = F.coalesce(F.col("_shops"), F.lit(1).cast("long"))
     value = _summable(sales, amount)
     total = F.sum(value * times)
     return (
         sales.select(named(key), named(date), named(amount))
-        .join(matches, key, "left")
+        .join(repeated, key, "left")
         .groupBy(named(date))
         .agg(
             F.floor(total).cast("long").alias("sum_sales"),
@@ -44,16 +73,6 @@ def with_compute_date(df: DataFrame) -> DataFrame:
     return df.withColumn("compute_date", F.current_timestamp())
 
 
-def _same_key_type(sales: DataFrame, shops: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
-    """Where one side has the key as text, read it as the other side's type; text that is no such value matches nothing."""
-    ours, theirs = sales.schema[key].dataType, shops.schema[key].dataType
-    if isinstance(theirs, StringType) and not isinstance(ours, StringType):
-        shops = shops.select(named(key).try_cast(ours).alias(key))
-    elif isinstance(ours, StringType) and not isinstance(theirs, StringType):
-        sales = sales.withColumn(key, named(key).try_cast(theirs))
-    return sales, shops
-
-
 def _summable(df: DataFrame, column: str) -> Column:
     """Decimals and whole numbers sum exactly as they are; floats and text sum as doubles."""
     data_type = df.schema[column].dataType

@@ -5,15 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from sluice.operators.checks import accept, reject, with_load_time, with_row_id
 from sluice.operators.duplicates import (
     HOT_ROWS,
+    flag_repeated,
+    flag_unrepeated,
     repeated_keys,
     with_duplicate_flags,
-    with_duplicate_flags_of_few,
 )
-from sluice.operators.marts import daily_sales, with_compute_date
+from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
 from sluice.operators.merge import ambiguous_keys, merge
 from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.plans.spec import TableSpec
@@ -32,19 +34,20 @@ def load_checked(
 ) -> None:
     """Raw table to bad-record table (appended) and clean table (by the spec's mode).
 
-    The repeated keys are written to a scratch table first. If they are few, rows with a key of their own
-    need no shuffle, and reading the raw table once for each output costs less than storing the checked
-    rows. If they are many, the rows are checked once, stored, and both outputs are read from there.
+    The repeated keys are written to a scratch table first. If they are few, only their rows are checked for
+    duplicates, once, and kept for both outputs; all other rows go from the raw table to the outputs with no
+    shuffle. If they are many, all rows are, once, and both outputs are read from there.
     """
     rows = with_row_id(read_table(spark, spec.raw_table), spec)
     scratch = [write_scratch_table(repeated_keys(rows, spec))]
     try:
         repeated = spark.table(scratch[0])
-        if fits_broadcast(repeated, broadcast_bytes):
-            flagged = with_duplicate_flags_of_few(rows, spec, repeated, hot_rows)
-        else:
-            scratch.append(write_scratch_table(with_duplicate_flags(rows, spec, hot_rows)))
-            flagged = spark.table(scratch[1])
+        few = fits_broadcast(repeated, broadcast_bytes)
+        checked = flag_repeated(rows, spec, repeated, hot_rows) if few else with_duplicate_flags(rows, spec, hot_rows)
+        scratch.append(write_scratch_table(checked))
+        flagged = spark.table(scratch[1])
+        if few:
+            flagged = flag_unrepeated(rows, spec, repeated).unionByName(flagged)
         # Few rows from many tasks: gather them into files of a useful size.
         write_table(reject(flagged, spec).hint("rebalance"), spec.bad_table, "append")
         write_table(with_load_time(accept(flagged, spec)), spec.clean_table, spec.write_mode)
@@ -60,8 +63,25 @@ def run(spark: SparkSession, specs: Iterable[TableSpec]) -> None:
         load_checked(spark, spec)
 
 
-def load_daily_sales(sales: DataFrame, shops: DataFrame, table: str, **columns: str) -> None:
-    write_table(with_compute_date(daily_sales(sales, shops, **columns)), table, "overwrite")
+def load_daily_sales(
+    sales: DataFrame,
+    shops: DataFrame,
+    table: str,
+    key: str = "shop_id",
+    date: str = "sales_date",
+    amount: str = "sales_amt",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> None:
+    """Daily sales, stamped with the time, to the mart table, replacing it. Sales are shuffled only if many shops repeat."""
+    spark = sales.sparkSession
+    scratch = write_scratch_table(repeated_shops(sales, shops, key))
+    try:
+        repeated = spark.table(scratch)
+        if fits_broadcast(repeated, broadcast_bytes):
+            repeated = F.broadcast(repeated)
+        write_table(with_compute_date(sales_per_day(sales, repeated, key, date, amount)), table, "overwrite")
+    finally:
+        drop_table(spark, scratch)
 
 
 def upsert_table(
