@@ -31,9 +31,10 @@ from sluice.operators.duplicates import (  # noqa: E402
     flag_unrepeated,
     repeated_keys,
 )
-from sluice.operators.marts import daily_sales, with_compute_date  # noqa: E402
+from sluice.operators.marts import daily_sales, repeated_shops, sales_per_day, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
 from sluice.plans.pipeline import load_daily_sales, run  # noqa: E402
+from sluice.plans.sizes import fits_broadcast  # noqa: E402
 from sluice.plans.spec import TableSpec  # noqa: E402
 from sluice.sources.files import read_file, with_provenance  # noqa: E402
 from sluice.sources.tables import SCRATCH_DATABASE, read_table, scratch_path, shared_folder  # noqa: E402
@@ -217,13 +218,18 @@ def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _daily_sales(sales: DataFrame, shops: DataFrame) -> DataFrame:
+    """Broadcast the repeated shops if a look at their size allows it."""
+    return daily_sales(sales, shops, few_repeated=fits_broadcast(repeated_shops(sales, shops)))
+
+
 def _mart(df: DataFrame) -> DataFrame:
     return df.withColumns({"sales_date": F.col("sales_date").cast("string"), "max_sales": F.col("max_sales").cast("double")})
 
 
 def daily_sales_by_ship_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     shops = _table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "shop_id")
-    return _mart(daily_sales(_sales(spark, sf_dir), shops))
+    return _mart(_daily_sales(_sales(spark, sf_dir), shops))
 
 
 def daily_sales_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +240,7 @@ def daily_sales_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
         _money("o_totalprice").alias("sales_amt"),
     )
     lines = _table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "shop_id")
-    return _mart(daily_sales(orders, lines))
+    return _mart(_daily_sales(orders, lines))
 
 
 def daily_sales_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,7 +248,14 @@ def daily_sales_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     shops = _table(spark, sf_dir, "customer").select(
         F.when(F.col("c_mktsegment") == "MACHINERY", "x").otherwise(F.col("c_nationkey").cast("string")).alias("shop_id")
     )
-    return _mart(daily_sales(_sales(spark, sf_dir), shops))
+    return _mart(_daily_sales(_sales(spark, sf_dir), shops))
+
+
+def daily_sales_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repeated shops not broadcast, and every shop taken as hot above a thousand sales."""
+    sales = _sales(spark, sf_dir)
+    nations = _table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "shop_id")
+    return _mart(sales_per_day(sales, repeated_shops(sales, nations), hot_rows=1000))
 
 
 def daily_sales_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,6 +380,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "daily_sales": daily_sales_by_ship_date,
         "daily_sales_fanout": daily_sales_fanout,
         "daily_sales_text_key": daily_sales_text_key,
+        "daily_sales_shuffled": daily_sales_shuffled,
         "daily_sales_stamped": daily_sales_stamped,
         "upsert_orders": upsert_orders,
         "upsert_lines": upsert_lines,
@@ -443,6 +457,7 @@ def oracle_sql() -> dict[str, str]:
             "select try_cast(case when c_mktsegment = 'MACHINERY' then 'x' else cast(c_nationkey as varchar) end "
             "as bigint) as shop_id from customer",
         ),
+        "daily_sales_shuffled": _daily_sql(SALES_SQL, "select c_nationkey as shop_id from customer"),
         "daily_sales_stamped": _daily_sql(SALES_SQL, SUPPLIER_KEYS_SQL, ", true as stamped"),
         "upsert_orders": _upsert_sql(
             ORDER_AMOUNTS_SQL,

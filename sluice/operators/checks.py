@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from sluice.functions.flags import any_of, flagged_rows, none_null
 from sluice.functions.formats import breaks_format, typed
 from sluice.functions.names import named
-from sluice.operators.duplicates import HOT_ROWS, KEY_DUPLICATE, ROW_DUPLICATE, with_duplicate_flags
+from sluice.operators.duplicates import KEY_DUPLICATE, ROW_DUPLICATE, with_duplicate_flags
+from sluice.operators.skew import HOT_ROWS
 from sluice.plans.spec import TableSpec
 
 

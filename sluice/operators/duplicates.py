@@ -3,97 +3,76 @@
 Of the rows that are equal in every column, the first is kept and the later ones are row duplicates.
 Where a key then still has several rows, all of them are key duplicates. Rows with a null key are neither.
 
-One key may hold a large part of the table, and so may the copies of one row. Keys are therefore counted
-first, on the key columns alone and combined before the shuffle. Most rows go by key to one exchange and one
-sort; the rows of keys above `hot_rows` go by their whole content and a slot instead, so that no task gets
-more than a share of them. At most rows / `hot_rows` keys can be above it, which bounds what is broadcast.
+One key may hold a large part of the table, and so may the copies of one row. Most rows go by key to one
+exchange and one sort; the rows of hot keys go by their whole content and a slot instead, so that no task
+gets more than a share of them.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
 from sluice.functions.names import named
+from sluice.operators.skew import HOT_ROWS, key_counts, rows_with, rows_without, same_key
 from sluice.plans.spec import TableSpec
 
 # The reasons for duplicates.
 ROW_DUPLICATE = "_row_duplicate"
 KEY_DUPLICATE = "_key_duplicate"
 
-HOT_ROWS = 1_000_000
 SLOTS = 1 << 16
 
 
 def repeated_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """The keys with more than one row, and how many rows they have (`_rows`)."""
-    return (
-        rows.filter(none_null(spec.keys))
-        .groupBy(*[named(k) for k in spec.keys])
-        .agg(F.count("*").alias("_rows"))
-        .filter("_rows > 1")
-    )
+    return key_counts(rows, spec.keys, above=1)
 
 
 def with_duplicate_flags(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Add both flags. All rows pass one exchange; those of hot keys pass two."""
-    return _with_flags(rows, spec, _hot_keys(repeated_keys(rows, spec), hot_rows))
+    return _with_flags(rows, spec, key_counts(rows, spec.keys, above=hot_rows))
 
 
 def flag_unrepeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame) -> DataFrame:
     """The rows whose key is not in `repeated`, which must be small: they have no duplicates and need no shuffle."""
-    return _join_keys(rows, repeated, spec, "left_anti").withColumns(
+    return rows_without(rows, repeated, spec.keys).withColumns(
         {ROW_DUPLICATE: F.lit(False), KEY_DUPLICATE: F.lit(False)}
     )
 
 
 def flag_repeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows whose key is in `repeated`, which must be small, with both flags."""
-    return _with_flags(_join_keys(rows, repeated, spec, "left_semi"), spec, _hot_keys(repeated, hot_rows))
-
-
-def _hot_keys(repeated: DataFrame, hot_rows: int) -> DataFrame:
-    return repeated.filter(F.col("_rows") > hot_rows)
+    return _with_flags(rows_with(rows, repeated, spec.keys), spec, repeated.filter(F.col("_rows") > hot_rows))
 
 
 def _with_flags(rows: DataFrame, spec: TableSpec, hot: DataFrame) -> DataFrame:
-    return _flag_by_key(_join_keys(rows, hot, spec, "left_anti"), spec).unionByName(
-        _flag_spread(_join_keys(rows, hot, spec, "left_semi"), spec)
+    return _flag_by_key(rows_without(rows, hot, spec.keys), spec).unionByName(
+        _flag_spread(rows_with(rows, hot, spec.keys), spec)
     )
 
 
-def _join_keys(rows: DataFrame, keys: DataFrame, spec: TableSpec, how: str) -> DataFrame:
-    """Null-safe equality, so that no filter on `rows` is carried over to `keys`: then one broadcast serves all joins."""
-    listed = keys.select(*[named(k).alias(f"_key_{k}") for k in spec.keys])
-    return rows.join(F.broadcast(listed), _same_key(spec), how)
-
-
-def _same_key(spec: TableSpec) -> Column:
-    return reduce(Column.__and__, [named(k).eqNullSafe(named(f"_key_{k}")) for k in spec.keys])
-
-
 def _flag_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """For keys of bounded size. Both windows use the one exchange and the one sort.
 
     `_alone` gives each null-key row a group of its own, so that such rows neither meet nor gather in one task.
     """
-    group = [*[named(k) for k in spec.keys], F.col("_alone")]
+    group = [named(k) for k in spec.keys]
+    if any(rows.schema[k].nullable for k in spec.keys):
+        rows = rows.withColumn("_alone", F.when(~none_null(spec.keys), F.col("_sk")))
+        group.append(F.col("_alone"))
     copies = Window.partitionBy(*group, *[named(c) for c in spec.non_keys]).orderBy("_sk")
     return (
-        rows.withColumn("_alone", F.when(~none_null(spec.keys), F.col("_sk")))
-        .repartition(*group)
+        rows.repartition(*group)
         .withColumn("_copy", F.row_number().over(copies))
         .withColumn("_versions", F.count_if(F.col("_copy") == 1).over(Window.partitionBy(*group)))
-        .withColumns(
-            {
-                ROW_DUPLICATE: F.col("_copy") > 1,
-                KEY_DUPLICATE: (F.col("_copy") == 1) & (F.col("_versions") > 1),
-            }
+        .select(
+            *[named(c) for c in spec.column_names],
+            "_sk",
+            (F.col("_copy") > 1).alias(ROW_DUPLICATE),
+            ((F.col("_copy") == 1) & (F.col("_versions") > 1)).alias(KEY_DUPLICATE),
         )
-        .drop("_alone", "_copy", "_versions")
     )
 
 
@@ -106,12 +85,9 @@ def _flag_spread(rows: DataFrame, spec: TableSpec) -> DataFrame:
         rows.withColumn("_slot", F.pmod(F.xxhash64("_sk"), F.lit(SLOTS)))
         .withColumn("_later", F.when(F.row_number().over(in_slot) > 1, F.col("_sk")))
         .withColumn(ROW_DUPLICATE, F.col("_later").isNotNull() | (F.row_number().over(of_firsts) > 1))
-        .drop("_slot", "_later")
     )
-    return (
-        flagged.join(F.broadcast(_conflicting_keys(rows, spec)), _same_key(spec), "left")
-        .withColumn(KEY_DUPLICATE, F.col("_conflict").isNotNull() & ~F.col(ROW_DUPLICATE))
-        .select(*[named(c) for c in rows.columns], ROW_DUPLICATE, KEY_DUPLICATE)
+    return flagged.join(F.broadcast(_conflicting_keys(rows, spec)), same_key(spec.keys), "left").select(
+        *content, "_sk", ROW_DUPLICATE, (F.col("_conflict").isNotNull() & ~F.col(ROW_DUPLICATE)).alias(KEY_DUPLICATE)
     )
 
 

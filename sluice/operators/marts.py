@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, IntegralType, StringType
 
 from sluice.functions.names import named
+from sluice.operators.skew import HOT_ROWS, join_facts
 
 
 def daily_sales(
@@ -15,12 +16,14 @@ def daily_sales(
     key: str = "shop_id",
     date: str = "sales_date",
     amount: str = "sales_amt",
+    few_repeated: bool = False,
 ) -> DataFrame:
     """Sales left-joined to shops, per day: floored sum and average, number of amounts, greatest amount.
 
-    A sale counts once for each shop row with its key, and once if there is none.
+    A sale counts once for each shop row with its key, and once if there is none. `few_repeated` says that
+    `repeated_shops` has been found small enough to broadcast; then the sales are only shuffled by day, combined.
     """
-    return sales_per_day(sales, repeated_shops(sales, shops, key), key, date, amount)
+    return sales_per_day(sales, repeated_shops(sales, shops, key), key, date, amount, few_repeated)
 
 
 def repeated_shops(sales: DataFrame, shops: DataFrame, key: str = "shop_id") -> DataFrame:
@@ -44,6 +47,8 @@ def sales_per_day(
     key: str = "shop_id",
     date: str = "sales_date",
     amount: str = "sales_amt",
+    few_repeated: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """`daily_sales`, given `repeated_shops`.
 
@@ -56,10 +61,13 @@ def sales_per_day(
     times = F.coalesce(F.col("_shops"), F.lit(1).cast("long"))
     value = _summable(sales, amount)
     total = F.sum(value * times)
+    sales = sales.select(named(key), named(date), named(amount))
+    if few_repeated:
+        weighted = sales.join(F.broadcast(repeated), key, "left")
+    else:
+        weighted = join_facts(sales, repeated, [key], "left", hot_rows)
     return (
-        sales.select(named(key), named(date), named(amount))
-        .join(repeated, key, "left")
-        .groupBy(named(date))
+        weighted.groupBy(named(date))
         .agg(
             F.floor(total).cast("long").alias("sum_sales"),
             F.floor(total / F.sum(F.when(value.isNotNull(), times))).cast("long").alias("avg_sales"),

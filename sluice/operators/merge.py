@@ -8,14 +8,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.functions.flags import none_null
 from sluice.functions.names import named
+from sluice.operators.skew import HOT_ROWS, join_facts, key_counts, rows_with
 
 
-def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False) -> DataFrame:
+def merge(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Every target row, replaced by the source row of its key if there is one, and the source rows no key matched.
 
     A null key matches nothing. No target row may match several source rows; see `ambiguous_keys`.
     `small_source` says that the source has been found small enough to broadcast: then the target is not shuffled.
+    Otherwise both sides are, and the adaptive planner splits the target's hot keys.
     """
     keys = list(keys)
     _same_columns(target, source)
@@ -28,18 +33,24 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str], small_sourc
             for c in target.columns
         ]
     )
-    known = target.select(*[named(k) for k in keys])
+    return kept.unionByName(_unmatched(target, source, keys, small_source, hot_rows))
+
+
+def _unmatched(
+    target: DataFrame, source: DataFrame, keys: list[str], small_source: bool, hot_rows: int
+) -> DataFrame:
+    known = target.select(*[named(k) for k in keys]).filter(none_null(keys))
     if small_source:
-        known = known.join(F.broadcast(source.select(*[named(k) for k in keys])), keys, "left_semi")
-    inserted = source.join(known.distinct(), keys, "left_anti")
-    return kept.unionByName(inserted)
+        known = rows_with(known, source, keys).distinct()
+        return source.join(F.broadcast(known), keys, "left_anti")
+    return join_facts(source, known.distinct(), keys, "left_anti", hot_rows)
 
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the target with several source rows, for which an update is not defined."""
     columns = [named(k) for k in keys]
-    several = source.groupBy(*columns).agg(F.count("*").alias("_rows")).filter("_rows > 1").select(*columns)
-    return several.join(target.select(*columns).distinct(), list(keys), "left_semi")
+    known = target.select(*columns).distinct()
+    return key_counts(source, keys, above=1).select(*columns).join(known, list(keys), "left_semi")
 
 
 def _same_columns(target: DataFrame, source: DataFrame) -> None:

@@ -5,18 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.operators.checks import accept, reject, with_load_time, with_row_id
-from sluice.operators.duplicates import (
-    HOT_ROWS,
-    flag_repeated,
-    flag_unrepeated,
-    repeated_keys,
-    with_duplicate_flags,
-)
+from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys, with_duplicate_flags
 from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
 from sluice.operators.merge import ambiguous_keys, merge
+from sluice.operators.skew import HOT_ROWS, key_counts
 from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.plans.spec import TableSpec
 from sluice.sources.files import read_file, with_provenance
@@ -77,9 +71,8 @@ def load_daily_sales(
     scratch = write_scratch_table(repeated_shops(sales, shops, key))
     try:
         repeated = spark.table(scratch)
-        if fits_broadcast(repeated, broadcast_bytes):
-            repeated = F.broadcast(repeated)
-        write_table(with_compute_date(sales_per_day(sales, repeated, key, date, amount)), table, "overwrite")
+        few = fits_broadcast(repeated, broadcast_bytes)
+        write_table(with_compute_date(sales_per_day(sales, repeated, key, date, amount, few)), table, "overwrite")
     finally:
         drop_table(spark, scratch)
 
@@ -93,7 +86,7 @@ def upsert_table(
     scratch = write_scratch_table(source)
     try:
         stored = spark.table(scratch)
-        if not ambiguous_keys(target, stored, keys).isEmpty():
+        if not key_counts(stored, keys, above=1).isEmpty() and not ambiguous_keys(target, stored, keys).isEmpty():
             raise ValueError(f"several source rows have the key of one row of {table}")
         write_table(
             merge(target, stored, keys, fits_broadcast(stored, broadcast_bytes)), f"{table}__merged", "overwrite"

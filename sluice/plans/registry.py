@@ -21,23 +21,30 @@ def create_registry(spark: SparkSession, table: str) -> None:
 
 
 def register(spark: SparkSession, table: str, spec: TableSpec) -> None:
-    """Add the spec, or replace the one of its name."""
+    """Add the spec, or replace the one of its name. The map is built in column order, which it keeps."""
     header = None if spec.header is None else str(spec.header).lower()
-    row = (
-        spec.name,
-        spec.file_path,
-        header,
-        spec.delimiter,
-        spec.table_name,
-        dict(spec.columns),
-        list(spec.keys),
-        spec.write_mode,
+    types = [t for _, t in spec.columns]
+    row = (spec.name, spec.file_path, header, spec.delimiter, spec.table_name, spec.column_names, types)
+    upsert_table(
+        spark.createDataFrame(
+            [(*row, list(spec.keys), spec.write_mode)],
+            "pipeline_name string, file_path string, header string, delimiter string, table_name string, "
+            "names array<string>, types array<string>, keys array<string>, write_mode string",
+        )
+        .withColumn("schema_detail", F.map_from_arrays("names", "types"))
+        .drop("names", "types"),
+        table,
+        ["pipeline_name"],
     )
-    upsert_table(spark.createDataFrame([row], REGISTRY_SCHEMA), table, ["pipeline_name"])
 
 
 def lookup(spark: SparkSession, table: str, name: str) -> TableSpec:
-    row = spark.table(table).filter(F.col("pipeline_name") == name).first()
+    row = (
+        spark.table(table)
+        .filter(F.col("pipeline_name") == name)
+        .withColumn("schema_detail", F.map_entries("schema_detail"))
+        .first()
+    )
     if row is None:
         raise KeyError(f"{table} has no pipeline named {name!r}")
     return TableSpec(

@@ -1,0 +1,178 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+from shops import BAD, CLEAN_IDS, shop_spec, write_shops
+
+from sluice import TableSpec
+from sluice.functions.flags import flags_to_rows
+from sluice.functions.formats import breaks_format, typed
+from sluice.operators.checks import (
+    accept,
+    bad_records,
+    clean_records,
+    duplicate_records,
+    format_flags,
+    invalid_records,
+    null_key_flags,
+    null_key_records,
+    reject,
+    with_row_id,
+)
+from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys
+from sluice.sources.files import read_file, with_provenance
+
+
+@pytest.fixture
+def shops(spark, tmp_path):
+    spec = shop_spec(write_shops(tmp_path))
+    raw = with_provenance(read_file(spark, spec.file_path, spec.header, spec.delimiter))
+    return with_row_id(raw, spec), spec
+
+
+def as_dict(records):
+    rows = records.collect()
+    assert len({r._sk for r in rows}) == len(rows)
+    found = {(r.shop_id, r.shop_name): r.reason for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def with_reason(*reasons):
+    return {k: kept for k, v in BAD.items() if (kept := [r for r in v if r in reasons])}
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
+def test_bad_and_clean_shops(shops, hot_rows):
+    rows, spec = shops
+    bad = bad_records(rows, spec, hot_rows)
+    assert bad.columns == ["shop_id", "shop_name", "branch_name", "file_dt", "_sk", "reason"]
+    assert as_dict(bad) == BAD
+    clean = clean_records(rows, spec, hot_rows)
+    assert clean.dtypes == [("shop_id", "int"), ("shop_name", "string"), ("branch_name", "string"), ("file_dt", "date")]
+    assert [r.shop_id for r in clean.sort("shop_id").collect()] == CLEAN_IDS
+
+
+def test_single_checks(shops):
+    rows, spec = shops
+    assert as_dict(invalid_records(rows, spec)) == with_reason("_is_file_dt_invalid", "_is_shop_id_invalid")
+    assert as_dict(null_key_records(rows, spec)) == with_reason("_is_shop_id_null")
+    assert as_dict(duplicate_records(rows, spec)) == with_reason("_row_duplicate", "_key_duplicate")
+
+
+def test_the_first_copy_is_kept(shops):
+    rows, spec = shops
+    copies = rows.filter("shop_id = '5'").sort("_sk").collect()
+    assert [r._sk for r in duplicate_records(rows, spec).filter("shop_id = '5'").collect()] == [copies[1]._sk]
+
+
+def test_format_rules(spark):
+    cases = {
+        "int": {"1": False, "007": False, "99999999999": False, "-1": True, "+1": True, " 1": True, "1.0": True, "x": True, None: False},
+        "date": {"2025-11-21": False, "2025-99-99": False, "20251121": True, "2025-1-1": True, "x": True, None: False},
+        "decimal(18,2)": {"1.25": False, "-3": False, "x": True, None: False},
+    }
+    for data_type, expected in cases.items():
+        df = spark.createDataFrame([(v,) for v in expected], "v string")
+        assert {r.v: r.f for r in df.select("v", breaks_format("v", data_type).alias("f")).collect()} == expected
+    numbers = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
+    assert [r.f for r in numbers.select(breaks_format("v", "int").alias("f")).collect()] == [False, True, False]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_text_that_does_not_fit_its_type_becomes_null(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+        df = spark.createDataFrame([("99999999999", "2025-99-99"), ("7", "2025-01-31")], "n string, d string")
+        rows = df.select(typed("n", "int"), typed("d", "date").cast("string").alias("d")).collect()
+        assert rows == [(None, None), (7, "2025-01-31")]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_flags_to_rows(shops):
+    rows, spec = shops
+    flags = {**format_flags(spec), **null_key_flags(spec)}
+    long = flags_to_rows(rows.withColumns(flags), list(flags), ["shop_id", "shop_name", "_sk"])
+    assert long.columns == ["shop_id", "shop_name", "_sk", "reason", "status"]
+    assert Counter(r.reason for r in long.collect()) == {
+        "_is_file_dt_invalid": 1,
+        "_is_shop_id_invalid": 1,
+        "_is_shop_id_null": 2,
+    }
+    assert flags_to_rows(rows, [], ["shop_id"]).collect() == []
+
+
+def test_spec_of_text_columns_only(shops):
+    rows, spec = shops
+    text = shop_spec("x.csv", columns=[(c, "string") for c in spec.column_names])
+    assert invalid_records(rows, text).collect() == []
+    assert as_dict(bad_records(rows, text)) == with_reason("_is_shop_id_null", "_row_duplicate", "_key_duplicate")
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
+def test_all_columns_are_keys(spark, hot_rows):
+    spec = TableSpec("t", "t.csv", "t", {"a": "string", "b b": "string"}, ["a", "b b"])
+    df = spark.createDataFrame([("1", "x"), ("1", "x"), ("1", "y"), (None, "y")], "a string, `b b` string")
+    rows = with_row_id(df, spec)
+    assert sorted(clean_records(rows, spec, hot_rows).collect()) == [("1", "x"), ("1", "y")]
+    assert sorted(r.reason[0] for r in bad_records(rows, spec, hot_rows).collect()) == ["_is_a_null", "_row_duplicate"]
+
+
+# Many small random tables at once, told apart by a key column, against a plain statement of the rules.
+
+COLUMNS = {"t": "string", "k1": "int", "k2": "int", "v": "string", "d": "date"}
+KEYS = ["t", "k1", "k2"]
+
+
+def random_rows(tables=400):
+    pick = random.Random(7).choice
+    return [
+        (str(t), pick([None, "1", "2", "x"]), pick(["1", "1", "y", None]), pick(["a", "b", None]), pick(["2025-01-01", "20250101", None]))
+        for t in range(tables)
+        for _ in range(pick(range(1, 9)))
+    ]
+
+
+def expected_reasons(rows):
+    """Row by row; which of equal rows is the first does not matter."""
+    versions, seen, result = defaultdict(set), set(), []
+    for row in rows:
+        versions[row[:3]].add(row)
+    for row in rows:
+        reasons = []
+        if row[4] is not None and not re.fullmatch(r"\d{4}-\d{2}-\d{2}", row[4]):
+            reasons.append("_is_d_invalid")
+        for name, value in zip(KEYS, row[:3], strict=True):
+            if value is None:
+                reasons.append(f"_is_{name}_null")
+            elif name != "t" and not value.isdigit():
+                reasons.append(f"_is_{name}_invalid")
+        if None not in row[:3]:
+            if row in seen:
+                reasons.append("_row_duplicate")
+            elif len(versions[row[:3]]) > 1:
+                reasons.append("_key_duplicate")
+            seen.add(row)
+        result.append((row, tuple(sorted(reasons))))
+    return Counter(result)
+
+
+@pytest.mark.parametrize("way", ["by key", "hot above 1", "hot above 3", "few"])
+def test_random_tables(spark, way):
+    data = random_rows()
+    spec = TableSpec("t", "t.csv", "t", COLUMNS, KEYS)
+    rows = with_row_id(spark.createDataFrame(data, "t string, k1 string, k2 string, v string, d string").repartition(5), spec)
+    hot_rows = {"by key": 1_000_000, "hot above 1": 1, "hot above 3": 3, "few": 4}[way]
+    if way == "few":
+        repeated = repeated_keys(rows, spec)
+        flagged = flag_unrepeated(rows, spec, repeated).unionByName(flag_repeated(rows, spec, repeated, hot_rows))
+        bad, clean = reject(flagged, spec), accept(flagged, spec)
+    else:
+        bad, clean = bad_records(rows, spec, hot_rows), clean_records(rows, spec, hot_rows)
+    expected = expected_reasons(data)
+    assert Counter((tuple(r)[:5], tuple(r.reason)) for r in bad.collect()) == Counter({k: n for k, n in expected.items() if k[1]})
+    found = Counter((r.t, str(r.k1), str(r.k2), r.v, r.d and str(r.d)) for r in clean.collect())
+    assert found == Counter({k[0]: n for k, n in expected.items() if not k[1]})
