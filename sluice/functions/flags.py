@@ -8,15 +8,16 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.names import named
+from sluice.functions.names import named, quoted
 
 
 def any_of(flags: Iterable[Column]) -> Column:
-    return reduce(Column.__or__, flags, F.lit(False))
+    flags = list(flags)
+    return reduce(Column.__or__, flags) if flags else F.lit(False)
 
 
 def none_null(columns: Iterable[str]) -> Column:
-    return reduce(Column.__and__, [named(c).isNotNull() for c in columns], F.lit(True))
+    return reduce(Column.__and__, [named(c).isNotNull() for c in columns])
 
 
 def reasons(flags: Mapping[str, Column]) -> Column:
@@ -27,14 +28,13 @@ def reasons(flags: Mapping[str, Column]) -> Column:
 def flagged_rows(df: DataFrame, flags: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
     """The rows with a true flag, with an array of the reasons. No shuffle: a row is never taken apart."""
     return df.filter(any_of(flags.values())).select(
-        *[named(c) for c in keep], (reasons(flags) if flags else F.array().cast("array<string>")).alias("reason")
+        *quoted(keep), (reasons(flags) if flags else F.array().cast("array<string>")).alias("reason")
     )
 
 
 def flags_to_rows(df: DataFrame, flags: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """One row per row and true flag: the kept columns, `reason` and `status`."""
-    kept = [named(c) for c in keep]
+    kept = quoted(keep)
     if not flags:
         return df.filter(F.lit(False)).select(*kept, F.lit("").alias("reason"), F.lit(True).alias("status"))
-    columns = [named(c) for c in flags]
-    return df.filter(any_of(columns)).unpivot(kept, columns, "reason", "status").filter("status")
+    return df.filter(any_of(map(named, flags))).unpivot(kept, quoted(flags), "reason", "status").filter("status")

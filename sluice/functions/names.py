@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def quoted(columns: Iterable[str]) -> list[str]:
+    return ["`" + c.replace("`", "``") + "`" for c in columns]
+
+
 def named(column: str) -> Column:
-    return F.col("`" + column.replace("`", "``") + "`")
+    return F.col(quoted([column])[0])

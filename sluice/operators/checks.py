@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.flags import any_of, flagged_rows, none_null
 from sluice.functions.formats import breaks_format, typed
-from sluice.functions.names import named
+from sluice.functions.names import named, quoted
 from sluice.operators.duplicates import KEY_DUPLICATE, ROW_DUPLICATE, with_duplicate_flags
 from sluice.operators.skew import HOT_ROWS
 from sluice.plans.spec import TableSpec
@@ -18,7 +18,7 @@ from sluice.plans.spec import TableSpec
 
 def with_row_id(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The spec's columns in order and `_sk`, a number that tells the rows of one read apart."""
-    return df.select(*[named(c) for c in spec.column_names], F.monotonically_increasing_id().alias("_sk"))
+    return df.select(*quoted(spec.column_names), F.monotonically_increasing_id().alias("_sk"))
 
 
 def format_flags(spec: TableSpec) -> dict[str, Column]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
-from sluice.functions.names import named
+from sluice.functions.names import named, quoted
 from sluice.operators.skew import HOT_ROWS, key_counts, rows_with, rows_without, same_key
 from sluice.plans.spec import TableSpec
 
@@ -58,17 +58,17 @@ def _flag_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
     `_alone` gives each null-key row a group of its own, so that such rows neither meet nor gather in one task.
     """
-    group = [named(k) for k in spec.keys]
+    group = quoted(spec.keys)
     if any(rows.schema[k].nullable for k in spec.keys):
         rows = rows.withColumn("_alone", F.when(~none_null(spec.keys), F.col("_sk")))
-        group.append(F.col("_alone"))
-    copies = Window.partitionBy(*group, *[named(c) for c in spec.non_keys]).orderBy("_sk")
+        group.append("_alone")
+    copies = Window.partitionBy(*group, *quoted(spec.non_keys)).orderBy("_sk")
     return (
         rows.repartition(*group)
         .withColumn("_copy", F.row_number().over(copies))
         .withColumn("_versions", F.count_if(F.col("_copy") == 1).over(Window.partitionBy(*group)))
         .select(
-            *[named(c) for c in spec.column_names],
+            *quoted(spec.column_names),
             "_sk",
             (F.col("_copy") > 1).alias(ROW_DUPLICATE),
             ((F.col("_copy") == 1) & (F.col("_versions") > 1)).alias(KEY_DUPLICATE),
@@ -78,9 +78,9 @@ def _flag_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _flag_spread(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """For keys of any size, none null. Copies of one row are numbered within slots, then the slots' firsts are."""
-    content = [named(c) for c in spec.column_names]
-    in_slot = Window.partitionBy(*content, F.col("_slot")).orderBy("_sk")
-    of_firsts = Window.partitionBy(*content, F.col("_later")).orderBy("_sk")
+    content = quoted(spec.column_names)
+    in_slot = Window.partitionBy(*content, "_slot").orderBy("_sk")
+    of_firsts = Window.partitionBy(*content, "_later").orderBy("_sk")
     flagged = (
         rows.withColumn("_slot", F.pmod(F.xxhash64("_sk"), F.lit(SLOTS)))
         .withColumn("_later", F.when(F.row_number().over(in_slot) > 1, F.col("_sk")))
@@ -93,7 +93,7 @@ def _flag_spread(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 def _conflicting_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Keys with rows that differ: then the least and the greatest row differ. A task sends two rows per key."""
-    row = F.struct(*[named(c) for c in spec.non_keys], F.lit(0).alias("_end"))
+    row = F.struct(*quoted(spec.non_keys), F.lit(0).alias("_end"))
     return (
         rows.groupBy(*[named(k).alias(f"_key_{k}") for k in spec.keys])
         .agg(F.min(row).alias("_least"), F.max(row).alias("_greatest"))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
-from sluice.functions.names import named
+from sluice.functions.names import named, quoted
 from sluice.operators.skew import HOT_ROWS, join_facts, key_counts, rows_with
 
 
@@ -39,7 +39,7 @@ def merge(
 def _unmatched(
     target: DataFrame, source: DataFrame, keys: list[str], small_source: bool, hot_rows: int
 ) -> DataFrame:
-    known = target.select(*[named(k) for k in keys]).filter(none_null(keys))
+    known = target.select(*quoted(keys)).filter(none_null(keys))
     if small_source:
         known = rows_with(known, source, keys).distinct()
         return source.join(F.broadcast(known), keys, "left_anti")
@@ -48,7 +48,7 @@ def _unmatched(
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the target with several source rows, for which an update is not defined."""
-    columns = [named(k) for k in keys]
+    columns = quoted(keys)
     known = target.select(*columns).distinct()
     return key_counts(source, keys, above=1).select(*columns).join(known, list(keys), "left_semi")
 

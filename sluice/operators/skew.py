@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
-from sluice.functions.names import named
+from sluice.functions.names import named, quoted
 
 HOT_ROWS = 1_000_000
 
@@ -22,7 +22,7 @@ def key_counts(rows: DataFrame, keys: Sequence[str], above: int) -> DataFrame:
     """The keys with more than `above` rows, and how many (`_rows`). Keys with a null are left out."""
     return (
         rows.filter(none_null(keys))
-        .groupBy(*[named(k) for k in keys])
+        .groupBy(*quoted(keys))
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > above)
     )
