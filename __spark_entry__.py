@@ -33,11 +33,11 @@ from sluice.operators.duplicates import (  # noqa: E402
 )
 from sluice.operators.marts import daily_sales, repeated_shops, sales_per_day, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
-from sluice.plans.pipeline import load_daily_sales, run  # noqa: E402
+from sluice.plans.pipeline import load_daily_sales, run, upsert_table  # noqa: E402
 from sluice.plans.sizes import fits_broadcast  # noqa: E402
 from sluice.plans.spec import TableSpec  # noqa: E402
 from sluice.sources.files import read_file, with_provenance  # noqa: E402
-from sluice.sources.tables import SCRATCH_DATABASE, read_table, scratch_path, shared_folder  # noqa: E402
+from sluice.sources.tables import SCRATCH_DATABASE, read_table, scratch_path, write_table  # noqa: E402
 
 # ---------------------------------------------------------------- inputs
 
@@ -271,9 +271,8 @@ def _order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders updated with the status and the sum of their lines; orders without lines stay."""
-    lines = (
+def _line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (
         _table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("orderkey"))
         .agg(
@@ -281,7 +280,11 @@ def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.sum(_money("l_extendedprice")).cast("double").alias("amount"),
         )
     )
-    return merge(_order_amounts(spark, sf_dir), lines, ["orderkey"])
+
+
+def upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders updated with the status and the sum of their lines; orders without lines stay."""
+    return merge(_order_amounts(spark, sf_dir), _line_totals(spark, sf_dir), ["orderkey"])
 
 
 def upsert_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,14 +305,41 @@ def upsert_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge(suppliers, customers, ["key", "nation"])
 
 
-# ---------------------------------------------------------------- files to mart, through tables
+# ---------------------------------------------------------------- through tables
 
 
-def files_to_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files, raw tables, bad-record and clean tables, mart table; the result is read from the mart."""
+def _scratch_database(spark: SparkSession) -> tuple[str, str]:
+    """A new database in the shared folder, and a folder for files beside it."""
     folder = scratch_path(spark)
     database = f"{SCRATCH_DATABASE}_{folder.rsplit('/', 1)[-1]}"
     spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
+    return database, folder
+
+
+def upsert_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`upsert_orders` on a table."""
+    table = f"{_scratch_database(spark)[0]}.orders"
+    write_table(_order_amounts(spark, sf_dir), table, "overwrite")
+    upsert_table(_line_totals(spark, sf_dir), table, ["orderkey"])
+    return read_table(spark, table)
+
+
+def upsert_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by status, updated from lines by order and status; a status without lines is neither read nor written."""
+    table = f"{_scratch_database(spark)[0]}.orders"
+    _order_amounts(spark, sf_dir).write.partitionBy("status").saveAsTable(table)
+    lines = (
+        _table(spark, sf_dir, "lineitem")
+        .groupBy(F.col("l_orderkey").alias("orderkey"), F.col("l_linestatus").alias("status"))
+        .agg(F.sum(_money("l_extendedprice")).cast("double").alias("amount"))
+    )
+    upsert_table(lines, table, ["orderkey", "status"])
+    return read_table(spark, table)
+
+
+def files_to_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files, raw tables, bad-record and clean tables, mart table; the result is read from the mart."""
+    database, folder = _scratch_database(spark)
     sales, shops = f"{folder}/sales.csv", f"{folder}/shops.parquet"
     line = F.col
     _table(spark, sf_dir, "lineitem").select(
@@ -385,6 +415,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_orders": upsert_orders,
         "upsert_lines": upsert_lines,
         "upsert_suppliers": upsert_suppliers,
+        "upsert_orders_table": upsert_orders_table,
+        "upsert_partitioned_table": upsert_partitioned_table,
         "files_to_daily_sales": files_to_daily_sales,
     }
 
@@ -423,6 +455,15 @@ union all
 select {columns} from s where not exists (select 1 from t where {on})"""
 
 
+UPSERT_ORDERS_SQL = _upsert_sql(
+    ORDER_AMOUNTS_SQL,
+    "select l_orderkey as orderkey, max(l_linestatus) as status, "
+    "cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as amount from lineitem group by l_orderkey",
+    ["orderkey"],
+    ["status", "amount"],
+)
+
+
 def oracle_sql() -> dict[str, str]:
     lines = f"with {RAW_LINES_SQL}"
     return {
@@ -459,13 +500,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "daily_sales_shuffled": _daily_sql(SALES_SQL, "select c_nationkey as shop_id from customer"),
         "daily_sales_stamped": _daily_sql(SALES_SQL, SUPPLIER_KEYS_SQL, ", true as stamped"),
-        "upsert_orders": _upsert_sql(
-            ORDER_AMOUNTS_SQL,
-            "select l_orderkey as orderkey, max(l_linestatus) as status, "
-            "cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as amount from lineitem group by l_orderkey",
-            ["orderkey"],
-            ["status", "amount"],
-        ),
+        "upsert_orders": UPSERT_ORDERS_SQL,
         "upsert_lines": _upsert_sql(
             "select l_orderkey as orderkey, l_returnflag as status, l_extendedprice as amount from lineitem",
             ORDER_AMOUNTS_SQL,
@@ -478,6 +513,15 @@ def oracle_sql() -> dict[str, str]:
             ["key", "nation"],
             ["name", "balance"],
         ),
+        "upsert_orders_table": UPSERT_ORDERS_SQL,
+        "upsert_partitioned_table": _upsert_sql(
+            ORDER_AMOUNTS_SQL,
+            "select l_orderkey as orderkey, l_linestatus as status, "
+            "cast(sum(cast(l_extendedprice as decimal(18,2))) as double) as amount "
+            "from lineitem group by l_orderkey, l_linestatus",
+            ["orderkey", "status"],
+            ["amount"],
+        ),
         "files_to_daily_sales": "with "
         "raw as (select case when l_orderkey % 97 <> 0 then l_orderkey end as transaction_id, l_suppkey as shop_id, "
         "cast(l_quantity as int) as sales_qty, cast(l_extendedprice as decimal(18,2)) as sales_amt, "

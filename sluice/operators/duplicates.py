@@ -30,9 +30,17 @@ def repeated_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return key_counts(rows, spec.keys, above=1)
 
 
-def with_duplicate_flags(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Add both flags. All rows pass one exchange; those of hot keys pass two."""
-    return _with_flags(rows, spec, key_counts(rows, spec.keys, above=hot_rows))
+def with_duplicate_flags(
+    rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS, repeated: DataFrame | None = None
+) -> DataFrame:
+    """Add both flags. All rows pass one exchange; those of hot keys pass two. `repeated` saves counting the keys."""
+    if repeated is None:
+        hot = key_counts(rows, spec.keys, above=hot_rows)
+    else:
+        hot = repeated.filter(F.col("_rows") > hot_rows)
+    return _flag_by_key(rows_without(rows, hot, spec.keys), spec).unionByName(
+        _flag_spread(rows_with(rows, hot, spec.keys), spec)
+    )
 
 
 def flag_unrepeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame) -> DataFrame:
@@ -44,13 +52,7 @@ def flag_unrepeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame) -> Da
 
 def flag_repeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows whose key is in `repeated`, which must be small, with both flags."""
-    return _with_flags(rows_with(rows, repeated, spec.keys), spec, repeated.filter(F.col("_rows") > hot_rows))
-
-
-def _with_flags(rows: DataFrame, spec: TableSpec, hot: DataFrame) -> DataFrame:
-    return _flag_by_key(rows_without(rows, hot, spec.keys), spec).unionByName(
-        _flag_spread(rows_with(rows, hot, spec.keys), spec)
-    )
+    return with_duplicate_flags(rows_with(rows, repeated, spec.keys), spec, hot_rows, repeated)
 
 
 def _flag_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
@@ -20,14 +19,15 @@ def merge(
 
     A null key matches nothing. No target row may match several source rows; see `ambiguous_keys`.
     `small_source` says that the source has been found small enough to broadcast: then the target is not shuffled.
-    Otherwise both sides are, and the adaptive planner splits the target's hot keys.
     """
     keys = list(keys)
     _same_columns(target, source)
-    hint = F.broadcast if small_source else lambda df: df
-    replacement = source.select(*[named(k).alias(f"_key_{k}") for k in keys], F.struct("*").alias("_new"))
-    on = reduce(Column.__and__, [named(k) == named(f"_key_{k}") for k in keys])
-    kept = target.join(hint(replacement), on, "left").select(
+    new = source.filter(none_null(keys)).select(*quoted(keys), F.struct("*").alias("_new"))
+    if small_source:
+        paired = target.join(F.broadcast(new), keys, "left")
+    else:
+        paired = join_facts(target, new, keys, "left", hot_rows)
+    kept = paired.select(
         *[
             F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(named(c)).alias(c)
             for c in target.columns

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from sluice.functions.flags import any_of
+from sluice.functions.names import named, quoted
 from sluice.operators.checks import accept, reject, with_load_time, with_row_id
 from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys, with_duplicate_flags
 from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
@@ -14,7 +18,17 @@ from sluice.operators.skew import HOT_ROWS, key_counts
 from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.plans.spec import TableSpec
 from sluice.sources.files import read_file, with_provenance
-from sluice.sources.tables import drop_table, read_table, write_scratch_table, write_table
+from sluice.sources.tables import (
+    drop_table,
+    partition_columns,
+    read_table,
+    replace_partitions,
+    replace_table,
+    write_scratch_table,
+    write_table,
+)
+
+LISTED_PARTITIONS = 1000
 
 
 def load_raw(spark: SparkSession, spec: TableSpec) -> None:
@@ -37,8 +51,8 @@ def load_checked(
     try:
         repeated = spark.table(scratch[0])
         few = fits_broadcast(repeated, broadcast_bytes)
-        checked = flag_repeated(rows, spec, repeated, hot_rows) if few else with_duplicate_flags(rows, spec, hot_rows)
-        scratch.append(write_scratch_table(checked))
+        check = flag_repeated if few else with_duplicate_flags
+        scratch.append(write_scratch_table(check(rows, spec, hot_rows=hot_rows, repeated=repeated)))
         flagged = spark.table(scratch[1])
         if few:
             flagged = flag_unrepeated(rows, spec, repeated).unionByName(flagged)
@@ -77,23 +91,38 @@ def load_daily_sales(
         drop_table(spark, scratch)
 
 
-def upsert_table(
-    source: DataFrame, table: str, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
-) -> None:
-    """Merge `source` into `table`. The new rows are written in full beside the old ones before the names change."""
+def upsert_table(source: DataFrame, table: str, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> None:
+    """Merge `source` into `table`, whose partitioning stays.
+
+    If the keys include the columns the table is partitioned by, only the partitions the source has rows for are
+    read and replaced. The old rows are in place until the merged ones are written in full.
+    """
     spark = source.sparkSession
     target = read_table(spark, table)
+    partitions = partition_columns(spark, table)
     scratch = write_scratch_table(source)
     try:
         stored = spark.table(scratch)
         if not key_counts(stored, keys, above=1).isEmpty() and not ambiguous_keys(target, stored, keys).isEmpty():
             raise ValueError(f"several source rows have the key of one row of {table}")
-        write_table(
-            merge(target, stored, keys, fits_broadcast(stored, broadcast_bytes)), f"{table}__merged", "overwrite"
-        )
+        touched = _touched(stored, partitions) if partitions and set(partitions) <= set(keys) else None
+        small = fits_broadcast(stored, broadcast_bytes)
+        if not partitions:
+            replace_table(merge(target, stored, keys, small), table)
+        elif touched is None:
+            replace_partitions(merge(target, stored, keys, small), table, partitions, all_of_them=True)
+        else:
+            replace_partitions(merge(target.filter(touched), stored, keys, small), table, partitions, all_of_them=False)
     finally:
         drop_table(spark, scratch)
-    drop_table(spark, f"{table}__replaced")
-    spark.sql(f"ALTER TABLE {table} RENAME TO {table}__replaced")
-    spark.sql(f"ALTER TABLE {table}__merged RENAME TO {table}")
-    drop_table(spark, f"{table}__replaced")
+
+
+def _touched(source: DataFrame, partitions: Sequence[str]) -> Column | None:
+    """A filter for the partitions the source has rows for, if these are not too many to list."""
+    values = source.select(*quoted(partitions)).distinct().limit(LISTED_PARTITIONS + 1).collect()
+    if len(values) > LISTED_PARTITIONS:
+        return None
+    return any_of(
+        reduce(Column.__and__, [named(p).eqNullSafe(F.lit(v)) for p, v in zip(partitions, value, strict=True)])
+        for value in values
+    )

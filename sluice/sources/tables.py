@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.functions.names import quoted
+
 SCRATCH_DATABASE = "sluice_scratch"
 
 
@@ -25,6 +28,37 @@ def create_or_replace_table(spark: SparkSession, name: str, schema: str) -> None
     write_table(spark.createDataFrame([], schema), name, "overwrite")
 
 
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def replace_table(df: DataFrame, name: str) -> None:
+    """Put `df`, which may read the table, in its place. It is written beside the table; then the names change."""
+    spark = df.sparkSession
+    written, old = f"{name}__written", f"{name}__replaced"
+    write_table(df, written, "overwrite")
+    drop_table(spark, old)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {written} RENAME TO {name}")
+    drop_table(spark, old)
+
+
+def replace_partitions(df: DataFrame, name: str, partitions: Sequence[str], all_of_them: bool) -> None:
+    """Put `df`, which may read the table, in place of all its partitions or of those it has rows for.
+
+    Not every catalog can rename a partitioned table, so the rows are written to a scratch table first, and from
+    there. The scratch table is left if the second write fails.
+    """
+    spark = df.sparkSession
+    copy = write_scratch_table(df.select(*quoted(spark.table(name).columns)))
+    # The overwrite mode is a session setting; a session of its own leaves the caller's as it is.
+    session = spark.newSession()
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if all_of_them else "dynamic")
+    session.table(copy).hint("rebalance", *partitions).write.insertInto(name, overwrite=True)
+    spark.catalog.refreshTable(name)
+    drop_table(spark, copy)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder `spark.checkpoint.dir` names. Only a local session, on its one machine, may leave it unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -14,7 +14,7 @@ def bad_reasons(spark, spec):
 
 
 def scratch_tables(spark):
-    return spark.sql("SHOW TABLES IN sluice_scratch").collect()
+    return spark.sql("SHOW TABLES IN sluice_scratch").filter("not isTemporary").collect()
 
 
 def test_raw_table(spark, database, tmp_path):

@@ -5,6 +5,7 @@ from shops import shop_spec
 
 from sluice.operators.merge import ambiguous_keys, merge
 from sluice.plans.pipeline import upsert_table
+from sluice.sources.tables import partition_columns
 from sluice.plans.registry import create_registry, lookup, register
 
 TARGET = [(1, "a", "old"), (1, "a", "older"), (2, "b", "old"), (3, None, "old"), (4, "d", None)]
@@ -51,6 +52,36 @@ def test_upsert_table(spark, database, broadcast_bytes):
     assert [t.name for t in spark.catalog.listTables(database) if not t.isTemporary] == ["t"]
 
 
+def test_only_touched_partitions_are_replaced(spark, database):
+    name = f"{database}.t"
+    rows = [("a", 1, "old"), ("a", 2, "old"), ("b", 1, "old"), ("b", 2, "old"), (None, 1, "old"), ("c", 1, "old")]
+    spark.createDataFrame(rows, "p string, k int, v string").write.partitionBy("p").saveAsTable(name)
+    files = file_of_partition(spark, name)
+    source = [("a", 1, "new"), ("a", 3, "new"), (None, 1, "new"), ("d", 1, "new")]
+    upsert_table(spark.createDataFrame(source, "p string, k int, v string"), name, ["k", "p"])
+    after = Counter((r.p, r.k, r.v) for r in spark.table(name).collect())
+    assert after == Counter([*source, ("a", 2, "old"), ("b", 1, "old"), ("b", 2, "old"), (None, 1, "old"), ("c", 1, "old")])
+    now = file_of_partition(spark, name)
+    assert {p for p in files if files[p] == now[p]} == {"b", "c"}
+    assert scratch_tables(spark) == []
+
+
+def test_partitioning_stays_where_keys_do_not_include_it(spark, database):
+    name = f"{database}.t"
+    spark.createDataFrame([("a", 1), ("b", 2)], "p string, k int").write.partitionBy("p").saveAsTable(name)
+    upsert_table(spark.createDataFrame([("c", 1), ("c", 3)], "p string, k int"), name, ["k"])
+    assert sorted((r.p, r.k) for r in spark.table(name).collect()) == [("b", 2), ("c", 1), ("c", 3)]
+    assert partition_columns(spark, name) == ["p"]
+
+
+def file_of_partition(spark, name):
+    return {r.p: r.f for r in spark.table(name).selectExpr("p", "_metadata.file_path as f").distinct().collect()}
+
+
+def scratch_tables(spark):
+    return spark.sql("SHOW TABLES IN sluice_scratch").filter("not isTemporary").collect()
+
+
 def test_ambiguous_upsert_leaves_the_table(spark, database):
     name = f"{database}.t"
     spark.createDataFrame(TARGET, SCHEMA).write.saveAsTable(name)
