@@ -22,14 +22,13 @@ def none_null(columns: Iterable[str]) -> Column:
 
 def reasons(flags: Mapping[str, Column]) -> Column:
     """The names of the true flags as an array, in name order. The order is settled here, so no row needs a sort."""
-    return F.array_compact(F.array(*[F.when(flags[name], F.lit(name)) for name in sorted(flags)]))
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(flags[name], F.array(F.lit(name))).otherwise(none) for name in sorted(flags)])
 
 
 def flagged_rows(df: DataFrame, flags: Mapping[str, Column], keep: Sequence[str]) -> DataFrame:
     """The rows with a true flag, with an array of the reasons. No shuffle: a row is never taken apart."""
-    return df.filter(any_of(flags.values())).select(
-        *quoted(keep), (reasons(flags) if flags else F.array().cast("array<string>")).alias("reason")
-    )
+    return df.filter(any_of(flags.values())).select(*quoted(keep), reasons(flags).alias("reason"))
 
 
 def flags_to_rows(df: DataFrame, flags: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -21,6 +21,9 @@ def with_row_id(df: DataFrame, spec: TableSpec) -> DataFrame:
     return df.select(*quoted(spec.column_names), F.monotonically_increasing_id().alias("_sk"))
 
 
+# The names of the reasons, which the flags bear.
+
+
 def format_flags(spec: TableSpec) -> dict[str, Column]:
     return {f"_is_{c}_invalid": breaks_format(c, t) for c, t in spec.columns if t != "string"}
 
@@ -77,4 +80,5 @@ def clean_records(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) ->
 
 
 def with_load_time(df: DataFrame) -> DataFrame:
+    # The names of the clean table's control columns.
     return df.withColumns({"load_dt": F.current_date(), "load_dttm": F.current_timestamp()})

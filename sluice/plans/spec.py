@@ -9,6 +9,9 @@ from sluice.sources.files import file_format
 
 WRITE_MODES = ("append", "overwrite")
 
+# Names the checks give to columns of their own.
+RESERVED = {"_sk", "reason", "_row_duplicate", "_key_duplicate", "_alone", "_copy", "_versions", "_slot", "_later"}
+
 
 @dataclass(frozen=True)
 class TableSpec:
@@ -30,6 +33,8 @@ class TableSpec:
         file_format(self.file_path)
         if len(set(self.column_names)) != len(self.columns):
             raise ValueError(f"{self.name}: a column is declared twice")
+        if RESERVED & {c.lower() for c in self.column_names}:
+            raise ValueError(f"{self.name}: these column names are reserved: {sorted(RESERVED)}")
         unknown = [k for k in self.keys if k not in self.column_names]
         if unknown or not self.keys:
             raise ValueError(f"{self.name}: keys must be declared columns, got {list(self.keys)}")
@@ -44,6 +49,8 @@ class TableSpec:
     def non_keys(self) -> list[str]:
         return [c for c in self.column_names if c not in self.keys]
 
+    # The suffixes of the three tables.
+
     @property
     def raw_table(self) -> str:
         return f"{self.table_name}_bronze"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The accepted file extensions, each the name of its reader.
 FORMATS = ("csv", "parquet")
 
 
@@ -32,6 +33,7 @@ def with_provenance(df: DataFrame) -> DataFrame:
     """Add load time and source file; `df` must come straight from a file scan, which supplies `_metadata`."""
     return df.withColumns(
         {
+            # The names of the raw table's control columns.
             "_load_dt": F.current_date(),
             "_load_dttm": F.current_timestamp(),
             "_file_name": F.col("_metadata.file_name"),

@@ -137,6 +137,7 @@ def test_spec_is_checked():
         {"keys": ["nope"]},
         {"write_mode": "ignore"},
         {"path": "x.json"},
+        {"columns": {"shop_id": "int", "_sk": "int"}},
         {"columns": [("shop_id", "int"), ("shop_id", "int")]},
     ):
         with pytest.raises(ValueError):
