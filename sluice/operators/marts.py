@@ -60,7 +60,7 @@ def sales_per_day(
         sales = sales.withColumn(key, named(key).try_cast(theirs))
     times = F.coalesce(F.col("_shops"), F.lit(1).cast("long"))
     value = _summable(sales, amount)
-    total = F.sum(value * times)
+    total = F.sum(F.when(F.col("_shops").isNull(), value).otherwise(value * F.col("_shops")))
     sales = sales.select(named(key), named(date), named(amount))
     if few_repeated:
         weighted = sales.join(F.broadcast(repeated), key, "left")
