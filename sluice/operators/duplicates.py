@@ -52,7 +52,10 @@ def flag_unrepeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame) -> Da
 
 def flag_repeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows whose key is in `repeated`, which must be small, with both flags."""
-    return with_duplicate_flags(rows_with(rows, repeated, spec.keys), spec, hot_rows, repeated)
+    some, hot = repeated.filter(F.col("_rows") <= hot_rows), repeated.filter(F.col("_rows") > hot_rows)
+    return _flag_by_key(rows_with(rows, some, spec.keys), spec).unionByName(
+        _flag_spread(rows_with(rows, hot, spec.keys), spec)
+    )
 
 
 def _flag_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
