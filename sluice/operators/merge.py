@@ -17,11 +17,11 @@ def merge(
 ) -> DataFrame:
     """Every target row, replaced by the source row of its key if there is one, and the source rows no key matched.
 
-    A null key matches nothing. No target row may match several source rows; see `ambiguous_keys`.
+    The result has the target's columns and types. A null key matches nothing. No target row may match several source rows; see `ambiguous_keys`.
     `small_source` says that the source has been found small enough to broadcast: then the target is not shuffled.
     """
     keys = list(keys)
-    _same_columns(target, source)
+    source = _as_target(source, target)
     new = source.filter(none_null(keys)).select(*quoted(keys), F.struct("*").alias("_new"))
     if small_source:
         paired = target.join(F.broadcast(new), keys, "left")
@@ -53,6 +53,7 @@ def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return key_counts(source, keys, above=1).select(*columns).join(known, list(keys), "left_semi")
 
 
-def _same_columns(target: DataFrame, source: DataFrame) -> None:
+def _as_target(source: DataFrame, target: DataFrame) -> DataFrame:
     if set(target.columns) != set(source.columns):
         raise ValueError(f"the source has columns {source.columns}, the target {target.columns}")
+    return source.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema])

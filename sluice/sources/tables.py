@@ -54,7 +54,7 @@ def replace_partitions(df: DataFrame, name: str, partitions: Sequence[str], all_
     # The overwrite mode is a session setting; a session of its own leaves the caller's as it is.
     session = spark.newSession()
     session.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if all_of_them else "dynamic")
-    session.table(copy).hint("rebalance", *partitions).write.insertInto(name, overwrite=True)
+    session.table(copy).hint("rebalance", *quoted(partitions)).write.insertInto(name, overwrite=True)
     spark.catalog.refreshTable(name)
     drop_table(spark, copy)
 

@@ -114,13 +114,27 @@ def test_spec_of_text_columns_only(shops):
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 1])
 def test_all_columns_are_keys(spark, hot_rows):
-    spec = TableSpec("t", "t.csv", "t", {"a": "string", "b b": "string"}, ["a", "b b"])
-    df = spark.createDataFrame([("1", "x"), ("1", "x"), ("1", "y"), (None, "y")], "a string, `b b` string")
+    spec = TableSpec("t", "t.csv", "t", {"a": "string", "b.b c": "string"}, ["a", "b.b c"])
+    df = spark.createDataFrame([("1", "x"), ("1", "x"), ("1", "y"), (None, "y")], "a string, `b.b c` string")
     rows = with_row_id(df, spec)
     assert sorted(clean_records(rows, spec, hot_rows).collect()) == [("1", "x"), ("1", "y")]
     assert sorted(r.reason[0] for r in bad_records(rows, spec, hot_rows).collect()) == ["_is_a_null", "_row_duplicate"]
 
 
+@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
+def test_typed_input_with_zeros_and_nans(spark, hot_rows):
+    spec = TableSpec("t", "t.parquet", "t", {"k": "double", "v": "double"}, ["k"])
+    values = [(0.0, 1.0), (-0.0, 1.0), (float("nan"), 2.0), (float("nan"), 2.0), (1.0, 0.0), (1.0, -0.0), (2.0, 1.0), (2.0, 3.0)]
+    rows = with_row_id(spark.createDataFrame(values, "k double, v double"), spec)
+    found = Counter((str(abs(r.k)), r.reason[0]) for r in bad_records(rows, spec, hot_rows).collect())
+    assert found == {
+        ("0.0", "_row_duplicate"): 1,
+        ("nan", "_row_duplicate"): 1,
+        ("1.0", "_row_duplicate"): 1,
+        ("2.0", "_key_duplicate"): 2,
+    }
+
+
 # Many small random tables at once, told apart by a key column, against a plain statement of the rules.
 
 COLUMNS = {"t": "string", "k1": "int", "k2": "int", "v": "string", "d": "date"}

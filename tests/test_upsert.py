@@ -1,6 +1,7 @@
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 from shops import shop_spec
 
 from sluice.operators.merge import ambiguous_keys, merge
@@ -56,12 +57,12 @@ def test_only_touched_partitions_are_replaced(spark, database):
     name = f"{database}.t"
     rows = [("a", 1, "old"), ("a", 2, "old"), ("b", 1, "old"), ("b", 2, "old"), (None, 1, "old"), ("c", 1, "old")]
     spark.createDataFrame(rows, "p string, k int, v string").write.partitionBy("p").saveAsTable(name)
-    files = file_of_partition(spark, name)
+    files = files_of_partitions(spark, name)
     source = [("a", 1, "new"), ("a", 3, "new"), (None, 1, "new"), ("d", 1, "new")]
     upsert_table(spark.createDataFrame(source, "p string, k int, v string"), name, ["k", "p"])
     after = Counter((r.p, r.k, r.v) for r in spark.table(name).collect())
     assert after == Counter([*source, ("a", 2, "old"), ("b", 1, "old"), ("b", 2, "old"), (None, 1, "old"), ("c", 1, "old")])
-    now = file_of_partition(spark, name)
+    now = files_of_partitions(spark, name)
     assert {p for p in files if files[p] == now[p]} == {"b", "c"}
     assert scratch_tables(spark) == []
 
@@ -74,8 +75,9 @@ def test_partitioning_stays_where_keys_do_not_include_it(spark, database):
     assert partition_columns(spark, name) == ["p"]
 
 
-def file_of_partition(spark, name):
-    return {r.p: r.f for r in spark.table(name).selectExpr("p", "_metadata.file_path as f").distinct().collect()}
+def files_of_partitions(spark, name):
+    files = spark.table(name).selectExpr("p", "_metadata.file_path as f").distinct()
+    return {r.p: sorted(r.f) for r in files.groupBy("p").agg(F.collect_list("f").alias("f")).collect()}
 
 
 def scratch_tables(spark):
@@ -90,6 +92,16 @@ def test_ambiguous_upsert_leaves_the_table(spark, database):
     assert Counter(map(tuple, spark.table(name).collect())) == Counter(TARGET)
 
 
+def test_target_types_stay(spark):
+    target = spark.createDataFrame([(1, "a", None)], "k int, `a.b c` string, m map<string,int>")
+    source = spark.createDataFrame([("2", 5, {"x": 1}), ("1", 6, None)], "k string, `a.b c` bigint, m map<string,int>")
+    for small in (True, False):
+        merged = merge(target, source, ["k", "a.b c"], small)
+        assert merged.dtypes == target.dtypes
+        rows = sorted(map(tuple, merged.collect()), key=str)
+        assert rows == [(1, "6", None), (1, "a", None), (2, "5", {"x": 1})]
+
+
 def test_columns_must_agree(spark):
     with pytest.raises(ValueError):
         merge(spark.createDataFrame(TARGET, SCHEMA), spark.range(2), ["k1"])
