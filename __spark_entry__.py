@@ -33,8 +33,9 @@ from sluice.operators.duplicates import (  # noqa: E402
 )
 from sluice.operators.marts import daily_sales, repeated_shops, sales_per_day, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
+from sluice.operators.skew import key_counts  # noqa: E402
 from sluice.plans.pipeline import load_daily_sales, run, upsert_table  # noqa: E402
-from sluice.plans.sizes import fits_broadcast  # noqa: E402
+from sluice.plans.sizes import fits_broadcast, hot_bound  # noqa: E402
 from sluice.plans.spec import TableSpec  # noqa: E402
 from sluice.sources.files import read_file, with_provenance  # noqa: E402
 from sluice.sources.tables import SCRATCH_DATABASE, read_table, scratch_path, write_table  # noqa: E402
@@ -191,14 +192,17 @@ def bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad_all_keys_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated key takes the way of the hot ones."""
-    return _records(bad_records(_rows(spark, sf_dir), LINES, hot_rows=1))
+    """Every repeated key takes the way of the hot ones, or as many as may be broadcast."""
+    rows = _rows(spark, sf_dir)
+    return _records(bad_records(rows, LINES, hot_bound(repeated_keys(rows, LINES), 1)))
 
 
 def bad_few_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows with a key of their own are not shuffled."""
+    """Rows with a key of their own are not shuffled, if the other keys may be broadcast."""
     rows = _rows(spark, sf_dir)
     repeated = repeated_keys(rows, LINES)
+    if not fits_broadcast(repeated):
+        return _records(bad_records(rows, LINES))
     flagged = flag_unrepeated(rows, LINES, repeated).unionByName(flag_repeated(rows, LINES, repeated))
     return _records(reject(flagged, LINES))
 
@@ -224,7 +228,9 @@ def _daily_sales(sales: DataFrame, shops: DataFrame) -> DataFrame:
 
 
 def _mart(df: DataFrame) -> DataFrame:
-    return df.withColumns({"sales_date": F.col("sales_date").cast("string"), "max_sales": F.col("max_sales").cast("double")})
+    return df.withColumns(
+        {"sales_date": F.col("sales_date").cast("string"), "max_sales": F.col("max_sales").cast("double")}
+    )
 
 
 def daily_sales_by_ship_date(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,16 +252,19 @@ def daily_sales_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_sales_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw shops: keys as text, some of them no number, some repeated."""
     shops = _table(spark, sf_dir, "customer").select(
-        F.when(F.col("c_mktsegment") == "MACHINERY", "x").otherwise(F.col("c_nationkey").cast("string")).alias("shop_id")
+        F.when(F.col("c_mktsegment") == "MACHINERY", "x")
+        .otherwise(F.col("c_nationkey").cast("string"))
+        .alias("shop_id")
     )
     return _mart(_daily_sales(_sales(spark, sf_dir), shops))
 
 
 def daily_sales_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The repeated shops not broadcast, and every shop taken as hot above a thousand sales."""
+    """Only hot shops broadcast: those above a thousand sales, or as many as may be."""
     sales = _sales(spark, sf_dir)
     nations = _table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "shop_id")
-    return _mart(sales_per_day(sales, repeated_shops(sales, nations), hot_rows=1000))
+    hot_rows = hot_bound(key_counts(sales, ["shop_id"], above=1000), 1000)
+    return _mart(sales_per_day(sales, repeated_shops(sales, nations), hot_rows=hot_rows))
 
 
 def daily_sales_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,7 +54,7 @@ def null_key_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def duplicate_records(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Later copies of a row, and all first copies of a key that has different rows. Rows with a null key take no part."""
+    """Later copies of a row, and all first copies of a key that has different rows. Null keys take no part."""
     whole = rows.filter(none_null(spec.keys))
     return flagged_rows(with_duplicate_flags(whole, spec, hot_rows), duplicate_flags(), _kept(spec))
 

@@ -17,8 +17,9 @@ def merge(
 ) -> DataFrame:
     """Every target row, replaced by the source row of its key if there is one, and the source rows no key matched.
 
-    The result has the target's columns and types. A null key matches nothing. No target row may match several source rows; see `ambiguous_keys`.
-    `small_source` says that the source has been found small enough to broadcast: then the target is not shuffled.
+    The result has the target's columns and types. A null key matches nothing. No target row may match several
+    source rows; see `ambiguous_keys`. `small_source` says that the source has been found small enough to
+    broadcast: then the target is not shuffled.
     """
     keys = list(keys)
     source = _as_target(source, target)

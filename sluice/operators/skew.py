@@ -50,7 +50,7 @@ def _broadcast(listed: DataFrame, keys: Sequence[str]) -> DataFrame:
 def join_facts(
     rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """`left` or `left_anti` join with a table of any size that has one row per key, at least of those in `rows`, and no null key.
+    """`left` or `left_anti` join with a table of any size, with one row per key (of those in `rows`) and no null key.
 
     Rows of hot keys meet their facts by broadcast, rows with a null key meet none, all others by a shuffle.
     """

@@ -15,7 +15,7 @@ from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated
 from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
 from sluice.operators.merge import ambiguous_keys, merge
 from sluice.operators.skew import HOT_ROWS, key_counts
-from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
+from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast, hot_bound
 from sluice.plans.spec import TableSpec
 from sluice.sources.files import read_file, with_provenance
 from sluice.sources.tables import (
@@ -52,6 +52,7 @@ def load_checked(
         repeated = spark.table(scratch[0])
         few = fits_broadcast(repeated, broadcast_bytes)
         check = flag_repeated if few else with_duplicate_flags
+        hot_rows = hot_bound(repeated, hot_rows, broadcast_bytes)
         scratch.append(write_scratch_table(check(rows, spec, hot_rows=hot_rows, repeated=repeated)))
         flagged = spark.table(scratch[1])
         if few:
@@ -80,7 +81,10 @@ def load_daily_sales(
     amount: str = "sales_amt",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> None:
-    """Daily sales, stamped with the time, to the mart table, replacing it. Sales are shuffled only if many shops repeat."""
+    """Daily sales, stamped with the time, to the mart table, replacing it.
+
+    Before they are combined, sales are shuffled only if many shops repeat.
+    """
     spark = sales.sparkSession
     scratch = write_scratch_table(repeated_shops(sales, shops, key))
     try:

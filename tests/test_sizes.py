@@ -1,4 +1,4 @@
-from sluice.plans.sizes import fits_broadcast
+from sluice.plans.sizes import fits_broadcast, hot_bound
 
 
 def test_size_is_measured(spark):
@@ -6,3 +6,10 @@ def test_size_is_measured(spark):
     assert fits_broadcast(df, 1 << 20)
     assert not fits_broadcast(df, 100_000)
     assert fits_broadcast(df.filter("id < 0"), 0)
+
+
+def test_bound_of_hot_keys_rises_until_they_fit(spark):
+    counts = spark.range(1, 1001).selectExpr("id as k", "id as _rows")
+    assert hot_bound(counts, 5) == 5
+    assert hot_bound(counts, 5, 60 * 80) == 5000
+    assert hot_bound(counts, 99, 12 * 80) == 990
