@@ -69,7 +69,10 @@ def test_the_first_copy_is_kept(shops):
 
 def test_format_rules(spark):
     cases = {
-        "int": {"1": False, "007": False, "99999999999": False, "-1": True, "+1": True, " 1": True, "1.0": True, "x": True, None: False},
+        "int": {
+            **{"1": False, "007": False, "99999999999": False, None: False},
+            **{"-1": True, "+1": True, " 1": True, "1.0": True, "x": True},
+        },
         "date": {"2025-11-21": False, "2025-99-99": False, "20251121": True, "2025-1-1": True, "x": True, None: False},
         "decimal(18,2)": {"1.25": False, "-3": False, "x": True, None: False},
     }
@@ -124,7 +127,8 @@ def test_all_columns_are_keys(spark, hot_rows):
 @pytest.mark.parametrize("hot_rows", [1_000_000, 1])
 def test_typed_input_with_zeros_and_nans(spark, hot_rows):
     spec = TableSpec("t", "t.parquet", "t", {"k": "double", "v": "double"}, ["k"])
-    values = [(0.0, 1.0), (-0.0, 1.0), (float("nan"), 2.0), (float("nan"), 2.0), (1.0, 0.0), (1.0, -0.0), (2.0, 1.0), (2.0, 3.0)]
+    nan = float("nan")
+    values = [(0.0, 1.0), (-0.0, 1.0), (nan, 2.0), (nan, 2.0), (1.0, 0.0), (1.0, -0.0), (2.0, 1.0), (2.0, 3.0)]
     rows = with_row_id(spark.createDataFrame(values, "k double, v double"), spec)
     found = Counter((str(abs(r.k)), r.reason[0]) for r in bad_records(rows, spec, hot_rows).collect())
     assert found == {
@@ -144,7 +148,13 @@ KEYS = ["t", "k1", "k2"]
 def random_rows(tables=400):
     pick = random.Random(7).choice
     return [
-        (str(t), pick([None, "1", "2", "x"]), pick(["1", "1", "y", None]), pick(["a", "b", None]), pick(["2025-01-01", "20250101", None]))
+        (
+            str(t),
+            pick([None, "1", "2", "x"]),
+            pick(["1", "1", "y", None]),
+            pick(["a", "b", None]),
+            pick(["2025-01-01", "20250101", None]),
+        )
         for t in range(tables)
         for _ in range(pick(range(1, 9)))
     ]
@@ -178,7 +188,8 @@ def expected_reasons(rows):
 def test_random_tables(spark, way):
     data = random_rows()
     spec = TableSpec("t", "t.csv", "t", COLUMNS, KEYS)
-    rows = with_row_id(spark.createDataFrame(data, "t string, k1 string, k2 string, v string, d string").repartition(5), spec)
+    raw = spark.createDataFrame(data, "t string, k1 string, k2 string, v string, d string")
+    rows = with_row_id(raw.repartition(5), spec)
     hot_rows = {"by key": 1_000_000, "hot above 1": 1, "hot above 3": 3, "few": 4}[way]
     if way == "few":
         repeated = repeated_keys(rows, spec)
@@ -187,6 +198,7 @@ def test_random_tables(spark, way):
     else:
         bad, clean = bad_records(rows, spec, hot_rows), clean_records(rows, spec, hot_rows)
     expected = expected_reasons(data)
-    assert Counter((tuple(r)[:5], tuple(r.reason)) for r in bad.collect()) == Counter({k: n for k, n in expected.items() if k[1]})
+    rejected = Counter((tuple(r)[:5], tuple(r.reason)) for r in bad.collect())
+    assert rejected == Counter({k: n for k, n in expected.items() if k[1]})
     found = Counter((r.t, str(r.k1), str(r.k2), r.v, r.d and str(r.d)) for r in clean.collect())
     assert found == Counter({k[0]: n for k, n in expected.items() if not k[1]})

@@ -85,7 +85,8 @@ def test_files_to_mart(spark, database, tmp_path):
     ]
     schema = "transaction_id int, shop_id int, sales_qty int, sales_amt string, sales_date date"
     spark.createDataFrame(sales, schema).write.parquet(sales_path)
-    columns = {"transaction_id": "int", "shop_id": "int", "sales_qty": "int", "sales_amt": "decimal(18,2)", "sales_date": "date"}
+    numbers = {"transaction_id": "int", "shop_id": "int", "sales_qty": "int", "sales_amt": "decimal(18,2)"}
+    columns = {**numbers, "sales_date": "date"}
     fact = TableSpec("fact_sales", sales_path, f"{database}.fact_sales", columns, ["transaction_id", "shop_id"])
     shop = shop_spec(write_shops(tmp_path), f"{database}.shop_name")
     run(spark, [shop, fact])

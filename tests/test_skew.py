@@ -65,8 +65,8 @@ def test_hot_keys_and_hot_copies_are_spread(spark, monkeypatch):
     with sixteen_tasks(spark):
         rows = with_row_id(hot_rows(spark), SPEC)
         assert largest_task(with_duplicate_flags(rows, SPEC, hot_rows=1000)) < ROWS / 16 * 1.5
-        found = {r.reason[0]: r["count"] for r in bad_records(rows, SPEC, hot_rows=1000).groupBy("reason").count().collect()}
-        assert found == {"_key_duplicate": ROWS // 3, "_row_duplicate": ROWS // 3 - 1}
+        counts = bad_records(rows, SPEC, hot_rows=1000).groupBy("reason").count()
+        assert {r.reason[0]: r["count"] for r in counts.collect()} == {"_key_duplicate": ROWS // 3, "_row_duplicate": ROWS // 3 - 1}
 
 
 def test_without_hot_keys_one_exchange_carries_the_rows(spark):
@@ -79,7 +79,8 @@ def test_without_hot_keys_one_exchange_carries_the_rows(spark):
 
 def test_null_keys_are_spread(spark):
     with sixteen_tasks(spark):
-        rows = with_row_id(hot_rows(spark).withColumn("k", F.expr("nullif(k, '7')")).filter("k is null or v != 'same'"), SPEC)
+        nulls = hot_rows(spark).withColumn("k", F.expr("nullif(k, '7')"))
+        rows = with_row_id(nulls.filter("k is null or v != 'same'"), SPEC)
         assert largest_task(with_duplicate_flags(rows, SPEC)) < ROWS / 16
 
 

@@ -6,8 +6,8 @@ from shops import shop_spec
 
 from sluice.operators.merge import ambiguous_keys, merge
 from sluice.plans.pipeline import upsert_table
-from sluice.sources.tables import partition_columns
 from sluice.plans.registry import create_registry, lookup, register
+from sluice.sources.tables import partition_columns
 
 TARGET = [(1, "a", "old"), (1, "a", "older"), (2, "b", "old"), (3, None, "old"), (4, "d", None)]
 SOURCE = [(1, "a", "new"), (4, "d", "new"), (4, "x", "new"), (3, None, "new"), (9, "i", "new"), (9, "i", "twice")]
@@ -61,7 +61,8 @@ def test_only_touched_partitions_are_replaced(spark, database):
     source = [("a", 1, "new"), ("a", 3, "new"), (None, 1, "new"), ("d", 1, "new")]
     upsert_table(spark.createDataFrame(source, "p string, k int, v string"), name, ["k", "p"])
     after = Counter((r.p, r.k, r.v) for r in spark.table(name).collect())
-    assert after == Counter([*source, ("a", 2, "old"), ("b", 1, "old"), ("b", 2, "old"), (None, 1, "old"), ("c", 1, "old")])
+    old = [row for row in rows if row != ("a", 1, "old")]
+    assert after == Counter([*source, *old])
     now = files_of_partitions(spark, name)
     assert {p for p in files if files[p] == now[p]} == {"b", "c"}
     assert scratch_tables(spark) == []
