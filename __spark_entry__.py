@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import importlib
 import os
 import sys
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -399,7 +401,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return daily_sales_by_ship_date(spark, "/root/testdata/sf0.001")
 
 
+def _corpus() -> ModuleType | None:
+    """The training-data pipeline with its queries and SQL, if it is installed with the library."""
+    try:
+        return importlib.import_module("corpus_pipeline")
+    except ModuleNotFoundError as e:
+        if e.name not in ("corpus_pipeline", "sluice.llm"):
+            raise
+        return None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    corpus = _corpus()
+    return table_queries() | (corpus.queries() if corpus else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    corpus = _corpus()
+    return table_sql() | (corpus.oracle_sql() if corpus else {})
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_parquet_provenance": scan_parquet_provenance,
         "scan_csv_bronze": scan_csv_bronze,

@@ -20,13 +20,13 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.table_queries()) == set(entry.table_sql())
 
 
-@pytest.mark.parametrize("name", entry.queries())
+@pytest.mark.parametrize("name", entry.table_queries())
 def test_query(spark, sql, name):
-    df = entry.queries()[name](spark, SF_DIR)
-    expected = sql.sql(entry.oracle_sql()[name])
+    df = entry.table_queries()[name](spark, SF_DIR)
+    expected = sql.sql(entry.table_sql()[name])
     columns = sorted(df.columns)
     assert columns == sorted(expected.columns)
     assert sorted(map(repr, map(tuple, df.select(columns).collect()))) == sorted(
