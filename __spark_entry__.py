@@ -495,7 +495,7 @@ UPSERT_ORDERS_SQL = _upsert_sql(
 )
 
 
-def oracle_sql() -> dict[str, str]:
+def table_sql() -> dict[str, str]:
     lines = f"with {RAW_LINES_SQL}"
     return {
         "scan_parquet_provenance": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, "
