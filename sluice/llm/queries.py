@@ -4,22 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from sluice.llm import content_sort, simhash
+from sluice.llm import content_sort, mixing, pieces, simhash, toxicity
 from sluice.llm.common import table
 
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.groups(table(spark, sf_dir, "documents"))
 
 
+def encoded(docs: DataFrame) -> DataFrame:
+    """doc_id with counts and digests of a text's ids and of the text that these decode to."""
+    rows = docs.select("doc_id", pieces.encode(F.col("text"), PIECES).alias("ids"))
+    return rows.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(pieces.decode(F.col("ids"), PIECES), 256).alias("decoded_sha256"),
+    )
+
+
+def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded(table(spark, sf_dir, "documents"))
+
+
+#: Sources nearer to each other than they are, languages by fixed shares, fewer texts of signs; 85 % of all words.
+MIX = {"source": 0.7, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": {"signs": 0.02, "note": 0.08, "article": 0.4, "long": 0.5}}
+MIX_KEEP = 0.85
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    text = F.col("text")
+    by = {"source": F.col("source"), "lang": F.col("lang"), "topic": mixing.form_of(text)}
+    return mixing.sample(docs, by, mixing.word_count(text), MIX, MIX_KEEP)
+
+
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixed(table(spark, sf_dir, "documents")).select("row.doc_id", "source", "lang", "topic", "n_tokens", "p", "kept")
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:
+    """The chain low quality, then toxic, fitted on the labels."""
+    labels = table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
+    return toxicity.fit(docs, labels, ["low_quality", "toxic"])
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.scores(docs, toxicity_chain(spark, docs, sf_dir))
+    p = F.col("p.toxic")
+    return scored.select(
+        "row.doc_id", F.col("p.low_quality").alias("p_low_quality"), p.alias("p_toxic"), (p >= toxicity.THRESHOLD).alias("toxic")
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_exact_dedup": op2_exact_dedup, "op7_simhash": op7_simhash}
+    return {"op2_exact_dedup": op2_exact_dedup, "op4_pieces": op4_pieces, "op5_mixing": op5_mixing, "op7_simhash": op7_simhash, "op10_toxicity": op10_toxicity}
 
 
 OP2_SQL = """
