@@ -8,12 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import content_sort, mixing, pieces, simhash, toxicity
+from sluice.llm import content_sort, host_rules, languages, mixing, pieces, simhash, token_files, toxicity
 from sluice.llm.common import table
 
+BYTES, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return token_files.write(docs, BYTES, END_ID).checked(docs)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.groups(table(spark, sf_dir, "documents"))
 
@@ -52,6 +58,19 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = host_rules.judged(table(spark, sf_dir, "documents"), F.col("source"), carry=["doc_id"])
+    return rows.select("row.doc_id", *host_rules.MEASURES, "base_failed", "host_rejected", "kept")
+
+
+def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    profiles = languages.learn(docs.filter(~held_out))
+    found = docs.select("doc_id", held_out.alias("held_out"), languages.predicted(F.col("text"), profiles).alias("found"))
+    return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
+
+
 def toxicity_chain(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Chain:
     """The chain low quality, then toxic, fitted on the labels."""
     labels = table(spark, sf_dir, "labels").withColumn("low_quality", 1 - F.col("quality"))
@@ -68,7 +87,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_exact_dedup": op2_exact_dedup, "op4_pieces": op4_pieces, "op5_mixing": op5_mixing, "op7_simhash": op7_simhash, "op10_toxicity": op10_toxicity}
+    return {
+        "op1_token_files": op1_token_files,
+        "op2_exact_dedup": op2_exact_dedup,
+        "op4_pieces": op4_pieces,
+        "op5_mixing": op5_mixing,
+        "op7_simhash": op7_simhash,
+        "op8_host_rules": op8_host_rules,
+        "op9_languages": op9_languages,
+        "op10_toxicity": op10_toxicity,
+    }
 
 
 OP2_SQL = """
