@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import content_sort, host_rules, languages, mixing, pieces, simhash, token_files, toxicity
-from sluice.llm.common import table
+from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, simhash, token_files, toxicity
+from sluice.llm.common import bounded_batches, table
 
 BYTES, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -24,6 +24,13 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort.groups(table(spark, sf_dir, "documents"))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    bounded_batches(spark)
+    found = pages.select("page_id", "url", html_crf.train(pages).column(F.col("html")).alias("text"))
+    return found.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def encoded(docs: DataFrame) -> DataFrame:
     """doc_id with counts and digests of a text's ids and of the text that these decode to."""
     rows = docs.select("doc_id", pieces.encode(F.col("text"), PIECES).alias("ids"))
@@ -90,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
         "op2_exact_dedup": op2_exact_dedup,
+        "op3_main_text": op3_main_text,
         "op4_pieces": op4_pieces,
         "op5_mixing": op5_mixing,
         "op7_simhash": op7_simhash,

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import bounded_batches, stored, whole_row
+from sluice.llm.fitting import minimised
 
 SAMPLE_ROWS, FEATURES, LEAST_CHI, LEAST_DOCUMENTS, FOLDS = 20_000, 600, 30.0, 5, 3
 THRESHOLD = 0.5
@@ -186,8 +187,8 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fit_one(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 60, memory: int = 8) -> np.ndarray:
-    """Weights and bias of a logistic regression with an L2 penalty, by limited-memory BFGS."""
+def _fit_one(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 60) -> np.ndarray:
+    """Weights and bias of a logistic regression with an L2 penalty."""
     w = np.zeros(x.shape[1] + 1)
     if not len(y) or y.min() == y.max():
         w[-1] = 30.0 if len(y) and y[0] else -30.0
@@ -199,28 +200,4 @@ def _fit_one(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 60
         value = np.logaddexp(0, z).sum() - y @ z + penalty * (w[:-1] @ w[:-1]) / 2
         return value, np.append(off.astype(np.float32) @ x + penalty * w[:-1], off.sum())
 
-    value, slope = loss(w)
-    past: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(steps):
-        way, back = slope.copy(), []
-        for s, t in reversed(past):
-            a = s @ way / (s @ t)
-            way -= a * t
-            back.append(a)
-        way *= past[-1][0] @ past[-1][1] / (past[-1][1] @ past[-1][1]) if past else 1 / max(1.0, np.abs(slope).max())
-        for (s, t), a in zip(past, reversed(back)):
-            way += s * (a - t @ way / (s @ t))
-        size = 1.0
-        while True:
-            new_value, new_slope = loss(w - size * way)
-            if new_value <= value - 1e-4 * size * (slope @ way) or size < 1e-8:
-                break
-            size /= 2
-        step, change = -size * way, new_slope - slope
-        if step @ change > 1e-12:
-            past = [*past[1 - memory :], (step, change)]
-        w, done = w + step, value - new_value < 1e-6 * max(1.0, value)
-        value, slope = new_value, new_slope
-        if done:
-            break
-    return w
+    return minimised(loss, w, steps)
