@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, simhash, token_files, toxicity
+from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, repeats, simhash, token_files, toxicity
 from sluice.llm.common import bounded_batches, table
 
 BYTES, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
@@ -61,6 +61,14 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(table(spark, sf_dir, "documents")).select("row.doc_id", "source", "lang", "topic", "n_tokens", "p", "kept")
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.spans(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
+    )
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
@@ -100,6 +108,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_main_text": op3_main_text,
         "op4_pieces": op4_pieces,
         "op5_mixing": op5_mixing,
+        "op6_repeats": op6_repeats,
         "op7_simhash": op7_simhash,
         "op8_host_rules": op8_host_rules,
         "op9_languages": op9_languages,

@@ -32,6 +32,7 @@ from sluice.llm.fitting import minimised
 
 SAMPLE_ROWS, FEATURES, LEAST_CHI, LEAST_DOCUMENTS, FOLDS = 20_000, 600, 30.0, 5, 3
 THRESHOLD = 0.5
+CHUNK = 250  # texts whose words are held at once
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
 #: Kinds of bytes whose shares are features.
@@ -80,7 +81,7 @@ class Chain:
 
         @F.pandas_udf(", ".join(f"`{c}` double" for c in self.categories))
         def scored(texts: pd.Series) -> pd.DataFrame:
-            chunks = [self.probabilities(texts.iloc[i : i + 500].tolist()) for i in range(0, len(texts), 500)]
+            chunks = [self.probabilities(texts.iloc[i : i + CHUNK].tolist()) for i in range(0, len(texts), CHUNK)]
             return pd.DataFrame(np.concatenate([np.zeros((0, len(self.categories))), *chunks]), columns=list(self.categories))
 
         return scored(text)
@@ -131,7 +132,7 @@ def _vocabulary(sample: DataFrame, categories: int, most: int) -> dict[str, int]
     names = ["n", *(f"n{j}" for j in range(categories))]
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in (b.iloc[k : k + CHUNK] for b in batches for k in range(0, len(b), CHUNK)):
             counts = [Counter() for _ in names]
             ys = zip(*(batch[f"y{j}"] for j in range(categories)))
             for text, y in zip(batch["text"], ys):
