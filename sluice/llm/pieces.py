@@ -6,7 +6,7 @@ two; else the next shorter piece that is its prefix is tried, and if there is no
 bitfield and the last piece is taken back. A sequence all of whose neighbours are compatible is the one that merging gives.
 
 A text is cut where no piece can reach across: before white space, and at two characters that stand beside each other in no
-piece. What is between two cuts is encoded once for each worker and kept, up to `KEPT` of them.
+piece. What is between two cuts is encoded once for each worker and kept as long as it recurs: the last `KEPT` at least, twice as many at most.
 
 The model's normaliser must change nothing but spaces, add a space in front of a text and keep all other spaces; this is
 checked when a model is read. Null and empty texts have the end id alone. The model file must be at the same path
@@ -27,7 +27,7 @@ import sentencepiece
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KEPT = 400_000
+KEPT = 150_000
 SPACE = "▁"
 _LETTER = r"[^\W\d_]"
 _RUN = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}+|.", re.DOTALL)
@@ -55,10 +55,12 @@ class Model:
         self.tied = {p for a, b in zip(order, order[1:]) if self.score[a] == self.score[b] for p in (a, b) if len(p) > 1}
         if any(c not in self.ids for p in self.ids for c in p):
             raise ValueError(f"{path}: some pieces have characters that are no piece")
-        self.shown: list[str | bytes] = [
-            bytes([int(p[1:-1], 16)]) if model.is_byte(i) else "" if model.is_control(i) else " ⁇ " if model.is_unknown(i) else p.replace(SPACE, " ")
+        self.shown = [
+            bytes([int(p[1:-1], 16)]) if model.is_byte(i) else b"" if model.is_control(i) else
+            " ⁇ ".encode() if model.is_unknown(i) else p.replace(SPACE, " ").encode()
             for i, p in enumerate(self.pieces)
-        ]
+        ]
+        self.control = frozenset(i for i in range(size) if model.is_control(i))
         self.beside = {pair for p in self.ids for pair in zip(p, p[1:])}
         self.cut = self._cutter()
         self.automaton = ahocorasick.Automaton()
@@ -69,6 +71,7 @@ class Model:
         self._compatible: dict[tuple[str, str], bool] = {}
         self._last_merge: dict[str, tuple[str, str] | None] = {}
         self._kept: dict[str, bytes] = {}
+        self._kept_before: dict[str, bytes] = {}
 
     def _cutter(self) -> re.Pattern:
         """Cuts before spaces, at line ends and between a letter and a sign, where no piece has the two beside each other.
@@ -78,24 +81,24 @@ class Model:
         after_letter = {b for a, b in self.beside if a.isalpha()}
         signs = "".join(re.escape(c) for c in ".,;:!?)\n" if c not in after_letter)
         line = "" if any("\n" in pair for pair in self.beside) else "\n"
-        return re.compile(f"{SPACE}*{_LETTER}+(?=[{signs}{SPACE}]|$)|{SPACE}*[^{SPACE}{line}]+|{SPACE}+|{line or SPACE}")
+        return re.compile(f" *{_LETTER}+(?=[{signs} ]|$)| *[^ {line}]+| +|{line or ' '}")
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
         return self.encoded(text).tolist()
 
     def encoded(self, text: str | None) -> np.ndarray:
-        normal = SPACE + text.replace(" ", SPACE) if text else ""
-        segments, kept = self.cut.findall(normal), self._kept
+        segments = self.cut.findall(" " + text.replace(SPACE, " ")) if text else []
+        kept = self._kept
         try:
             found = [kept[s] for s in segments]
         except KeyError:
-            if len(kept) + len(segments) > KEPT:
-                kept.clear()
-            kept.update((s, self._segment(s)) for s in set(segments).difference(kept))
+            before = self._kept_before
+            for s in set(segments).difference(kept):
+                kept[s] = before.get(s) or self._segment(s.replace(" ", SPACE))
             found = [kept[s] for s in segments]
-            if len(kept) > KEPT:
-                kept.clear()
+            if len(kept) >= KEPT:
+                self._kept, self._kept_before = {}, kept
         found.append(np.int32(self.end_id).tobytes())
         return np.frombuffer(b"".join(found), np.int32)
 
@@ -159,7 +162,7 @@ class Model:
                 fits = self._merged(left + right, 1) == [left, right]
             else:
                 fits = self._no_merge_across(left, right)
-            if len(self._compatible) >= 4 * KEPT:
+            if len(self._compatible) >= KEPT:
                 self._compatible.clear()
             self._compatible[left, right] = fits
         return fits
@@ -200,26 +203,15 @@ class Model:
 
     def decode(self, ids: list[int] | np.ndarray) -> str:
         """The text of ids: bytes that are no UTF-8 become U+FFFD, the space in front of the text goes."""
-        shown = [self.shown[i] for i in ids]
-        if any(isinstance(s, bytes) for s in shown):
-            shown = self._with_bytes(shown)
-        text = "".join(shown)
-        first = next((i for i in ids if self.shown[i] != ""), None)
+        ids = ids.tolist() if isinstance(ids, np.ndarray) else ids
+        parts = [ids]
+        if not self.control.isdisjoint(ids):  # bytes do not join across a control id
+            cuts = [-1, *(k for k, i in enumerate(ids) if i in self.control), len(ids)]
+            parts = [ids[a + 1 : b] for a, b in zip(cuts, cuts[1:])]
+        text = "".join([b"".join(map(self.shown.__getitem__, p)).decode(errors="each byte") for p in parts])
+        first = next((i for i in ids if self.shown[i]), None)
         return text[1:] if first is not None and self.pieces[first].startswith(SPACE) else text
 
-    @staticmethod
-    def _with_bytes(shown: list[str | bytes]) -> list[str]:
-        out, held = [], b""
-        for s in [*shown, ""]:
-            if isinstance(s, bytes):
-                held += s
-                continue
-            if held:
-                out.append(held.decode(errors="each byte"))
-                held = b""
-            out.append(s)
-        return out
-
 
 codecs.register_error("each byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
