@@ -31,7 +31,8 @@ HOST_RULES = BASE_RULES | {
     "long_words": "word_chars > 12 * n_words",
     "dup_lines": "20 * n_dup_lines > n_words",
 }
-_FEW_PRIOR, _MOST_PRIOR = 1.0, 1e6
+#: Bounds of the prior's weight, in documents.
+LEAST_PRIOR, MOST_PRIOR = 1.0, 1e6
 
 
 def measured(text: str | None) -> tuple[int, ...]:
@@ -101,8 +102,8 @@ def host_verdicts(rows: DataFrame, rules: Mapping[str, str], limit: float) -> Da
         mean = F.col(f"s_{r}") / F.col("all")
         noise = mean * (1 - mean)
         beyond = F.col(f"v_{r}") - noise * F.col("hosts") / F.col("all")
-        weight = F.when(beyond > 0, noise / F.when(beyond > 0, beyond) - 1).otherwise(_MOST_PRIOR)
-        weight = F.greatest(F.lit(_FEW_PRIOR), F.least(F.lit(_MOST_PRIOR), weight))
+        weight = F.when(beyond > 0, noise / F.when(beyond > 0, beyond) - 1).otherwise(MOST_PRIOR)
+        weight = F.greatest(F.lit(LEAST_PRIOR), F.least(F.lit(MOST_PRIOR), weight))
         rates.append(((F.col(f"f_{r}") + weight * mean) / (F.col("n") + weight)).alias(f"rate_{r}"))
     rates = both.select("host", "n", *rates)
     return rates.withColumn("host_rejected", F.greatest(F.lit(0.0), *[F.col(f"rate_{r}") for r in rules]) > limit)

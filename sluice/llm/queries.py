@@ -126,5 +126,42 @@ g as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from g"""
 
 
+def _op8_sql() -> str:
+    rules, limit = host_rules.HOST_RULES, host_rules.HOST_LIMIT
+    few, most = host_rules.LEAST_PRIOR, host_rules.MOST_PRIOR
+    sums = ", ".join(f"sum(case when {rule} then 1 else 0 end) as f_{name}" for name, rule in rules.items())
+    totals = ", ".join(f"sum(f_{r}) / sum(n) as m_{r}" for r in rules)
+    spread = ", ".join(f"sum(n * (f_{r} / n - m_{r}) ** 2) / any_value(total) as v_{r}" for r in rules)
+    weight = {
+        r: f"greatest({few}, least({most}, case when v_{r} - m_{r} * (1 - m_{r}) * hosts / total > 0 then "
+        f"m_{r} * (1 - m_{r}) / (v_{r} - m_{r} * (1 - m_{r}) * hosts / total) - 1 else {most} end))"
+        for r in rules
+    }
+    worst = ", ".join(f"(f_{r} + {w} * m_{r}) / (n + {w})" for r, w in weight.items())
+    base = " or ".join(f"({rule})" for rule in host_rules.BASE_RULES.values())
+    return f"""
+with t as (
+  select doc_id, source, coalesce(text, '') as text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+  from documents),
+windows as (select doc_id, i, array_to_string(w[i:i + 4], ' ') as win from t, unnest(range(1, len(w) - 3)) as r(i)),
+twice as (select doc_id, i, count(*) over (partition by doc_id, win) as c from windows),
+repeats as (
+  select doc_id, count(distinct i + k) as n from twice, unnest([0, 1, 2, 3, 4]) as u(k) where c > 1 group by doc_id),
+m as (
+  select doc_id, source, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+         length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) as n_symbols,
+         len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n, 0) as n_repeat_words
+  from t left join repeats using (doc_id)),
+hosts as (select source, count(*) as n, {sums} from m where source is not null group by source),
+a as (select sum(n) as total, count(*) as hosts, {totals} from hosts),
+v as (select {spread} from hosts, a),
+verdicts as (select source, greatest({worst}) > {limit} as rejected from hosts, a, v)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, ({base}) as base_failed,
+       coalesce(rejected, false) as host_rejected, not ({base}) and not coalesce(rejected, false) as kept
+from m left join verdicts using (source)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL}
+    return {"op2_exact_dedup": OP2_SQL, "op8_host_rules": _op8_sql()}
