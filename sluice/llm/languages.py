@@ -101,7 +101,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", size: int = S
             vectors = space(size, seed).texts(batch["text"].tolist())
             for name, rows in batch.groupby("lang").indices.items():
                 sums[name] = sums.get(name, 0) + vectors[rows].sum(0, dtype=np.float64)
-        yield pd.DataFrame({"lang": list(sums), "sum": [s.tolist() for s in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "sum": [s.tolist() for s in sums.values()]})
 
     rows = docs.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
     sums = rows.mapInPandas(bundled, "lang string, sum array<double>")

@@ -78,7 +78,7 @@ class Model:
 
         Single cuts need not be found: a longer stretch only costs time.
         """
-        after_letter = {b for a, b in self.beside if a.isalpha()}
+        after_letter = {b for a, b in self.beside if re.match(_LETTER, a)}
         signs = "".join(re.escape(c) for c in ".,;:!?)\n" if c not in after_letter)
         line = "" if any("\n" in pair for pair in self.beside) else "\n"
         return re.compile(f" *{_LETTER}+(?=[{signs} ]|$)| *[^ {line}]+| +|{line or ' '}")

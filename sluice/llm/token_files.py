@@ -113,7 +113,10 @@ class TokenFiles:
         return read.select("doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", name)
 
 
-def write(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", folder: str | None = None) -> TokenFiles:
+def write(
+    docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: str = "doc_id", folder: str | None = None,
+    shard_bytes: int = SHARD_BYTES,
+) -> TokenFiles:
     """Encode all rows with the tokenizer file at `path` (the same on every executor) and write shards and index."""
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -124,7 +127,7 @@ def write(docs: DataFrame, path: str, end_id: int, text: str = "text", doc_id: s
     rows = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash")
     entries = stored(
         rows.select("doc_id", "text").mapInPandas(
-            lambda batches: _written(batches, folder, path, end_id), "doc_id long, shard long, at long, n_tokens long"
+            lambda batches: _written(batches, folder, path, end_id, shard_bytes), "doc_id long, shard long, at long, n_tokens long"
         )
     )
     shards = _starts(entries)
@@ -155,7 +158,7 @@ def _shard_name(shard: int) -> str:
     return f"{shard >> 32:06d}-{shard & 0xFFFFFFFF:06d}.ids"
 
 
-def _written(batches: Iterator[pd.DataFrame], folder: str, path: str, end_id: int) -> Iterator[pd.DataFrame]:
+def _written(batches: Iterator[pd.DataFrame], folder: str, path: str, end_id: int, shard_bytes: int) -> Iterator[pd.DataFrame]:
     of = encoder(path)
     part, end = TaskContext.get().partitionId(), np.array([end_id], of.kind).tobytes()
     shard, held, size = part << 32, [], 0
@@ -163,7 +166,7 @@ def _written(batches: Iterator[pd.DataFrame], folder: str, path: str, end_id: in
         rows: list[tuple] = []
         for k in range(0, len(batch), 256):
             for payload in of.encoded(batch["text"].iloc[k : k + 256].tolist()):
-                if size >= SHARD_BYTES:
+                if size >= shard_bytes:
                     write_file(folder, _shard_name(shard), held)
                     shard, held, size = shard + 1, [], 0
                 n = len(payload) // of.kind.itemsize + 1

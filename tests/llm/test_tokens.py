@@ -1,0 +1,139 @@
+"""Token files, perfect hashes and piece encoding against the libraries."""
+
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from sluice.llm import pieces, token_files
+from sluice.llm.perfect_hash import PerfectHash
+
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+PARTS = [
+    "a", "b", "th", "e", " ", "  ", "   ", "\n", "\n\n", "\t", "é", "ﬁ", "日本", "😀", ".", ",", "The", " the", "0", "12", "\x00", "́", "<|endoftext|>",
+    "</s>", "<0x0A>", "<unk>", "▁", "—", '"', "'s", "'ll", "'", "²", "½", "_", "　", "\x1c", "\x85", "!", "?", ";", " \n", "\n ", "ā", "Ж", "×", "\r\n",
+    " " * 17, "####", "http://",
+]
+
+
+def texts(count, seed):
+    r = random.Random(seed)
+    return ["".join(r.choice(PARTS) for _ in range(r.randint(0, 14))) for _ in range(count)]
+
+
+def ids_of(texts):
+    tokenizer = Tokenizer.from_file(BYTES)
+    tokenizer.encode_special_tokens = True
+    return [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_byte_encoder_equals_the_library(monkeypatch):
+    monkeypatch.setattr(token_files, "KEPT", 500)  # so that pieces are forgotten
+    of = token_files.Encoder(BYTES)
+    for seed in range(20):
+        some = texts(300, seed)
+        assert [np.frombuffer(x, of.kind).tolist() for x in of.encoded(some)] == ids_of(some)
+
+
+def test_pieces_equal_the_library(monkeypatch):
+    monkeypatch.setattr(pieces, "KEPT", 300)
+    of, library = pieces.Model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    for t in [*texts(8000, 1), "x" * 3000, " " * 5003 + "a", "".join(random.Random(2).choices("etaoinshrdlu", k=20_000))]:
+        ids = of.encode(t)
+        assert ids == library.encode(t) + [2]
+        assert of.decode(ids) == library.decode(ids)
+    assert of.encode(None) == of.encode("") == [2]
+
+
+def test_pieces_decode_any_ids():
+    of, library, r = pieces.Model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES), random.Random(4)
+    for _ in range(5000):
+        ids = [r.choice([r.randrange(32000), r.randrange(260), r.choice([0, 1, 2, 259, 29871])]) for _ in range(r.randint(0, 8))]
+        assert of.decode(ids) == library.decode(ids)
+
+
+def test_a_position_without_way_on_is_left_again():
+    """Taking back and the failed positions: as merging, on texts of few letters."""
+    of, r = pieces.Model(PIECES), random.Random(6)
+    for _ in range(3000):
+        text = "".join(r.choice("antiesr") for _ in range(r.randint(1, 16)))
+        assert of._backtrack(text) == of._merged(text, 1)
+
+
+def test_piece_columns(spark):
+    rows = [(None, "a b"), (1, None), (1, ""), (2, "ü" * 40_000), (2, "ü" * 40_000)]
+    df = spark.createDataFrame([(i, t, 5) for i, t in rows], "doc_id long, text string, ids int")
+    out = df.select("*", pieces.encode(df["text"], PIECES).alias("found"))
+    out = out.select("*", pieces.decode(out["found"], PIECES).alias("back")).collect()
+    assert sorted(str((r.doc_id, r.back)) for r in out) == sorted(str((i, t or "")) for i, t in rows)
+    assert all(r.found[-1] == 2 for r in out)
+
+
+@pytest.mark.parametrize("count", [0, 1, 2, 7, 5000])
+def test_perfect_hash(count):
+    keys = np.random.default_rng(count).integers(-(1 << 63), (1 << 63) - 1, count)
+    made = PerfectHash.of(keys)
+    again = PerfectHash.from_bytes(made.to_bytes())
+    assert sorted(made.numbers(keys).tolist()) == list(range(count)) == sorted(again.numbers(keys).tolist())
+    others = np.random.default_rng(99).integers(0, 1 << 60, 1000)
+    assert made.numbers(others).max(initial=-1) < max(count, 1)
+    assert len(made.to_bytes()) * 8 <= 4 * count + 512 * 24
+
+
+def docs(spark, rows):
+    return spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, shard int, `bucket` string")
+
+
+def test_token_files(spark, monkeypatch):
+    monkeypatch.setattr(token_files, "BUCKET_KEYS", 40)
+    r = random.Random(1)
+    rows = [(i * 7 - 300, t) for i, t in enumerate([*texts(150, 3), None, "", "y " * 60_000])]
+    r.shuffle(rows)
+    df = docs(spark, rows)
+    files = token_files.write(df, BYTES, 2)
+    got = {g.doc_id: g for g in files.look_up(df).collect()}
+    checked = {g.doc_id: g for g in files.checked(df).collect()}
+    start = 0
+    for (i, _), ids in sorted(zip(rows, ids_of([t for _, t in rows]))):
+        ids = [*ids, 2]
+        assert (got[i].start, got[i].n_tokens) == (start, len(ids)) == (checked[i].start, checked[i].n_tokens)
+        assert np.frombuffer(got[i].ids, files.kind).tolist() == ids
+        assert checked[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
+        start += len(ids)
+    unknown = files.look_up(spark.createDataFrame([(1 << 50,), (None,), (rows[0][0],)], "doc_id long")).collect()
+    assert sorted(str((u.doc_id, u.n_tokens is None)) for u in unknown) == sorted(
+        [str((1 << 50, True)), "(None, True)", str((rows[0][0], False))]
+    )
+
+
+def test_shards_are_raw_ids_in_order(spark, tmp_path):
+    rows = [(k, t) for k, t in enumerate(texts(100, 5))] + [(None, "null ids come first"), (4, "a repeated id")]
+    token_files.write(docs(spark, rows).coalesce(1), BYTES, 2, folder=str(tmp_path / "files"), shard_bytes=300)
+    stored = b"".join(p.read_bytes() for p in sorted((tmp_path / "files").glob("*.ids")))
+    found = np.frombuffer(stored, "<u2").tolist()
+    first, *others = ids_of(["null ids come first", *(t for _, t in rows[:-2])])
+    assert found[: len(first) + 1] == [*first, 2]
+    assert sum(x == 2 for x in found) >= len(rows)
+    assert len(list((tmp_path / "files").glob("*.ids"))) > 1
+    assert len(found) == sum(len(x) + 1 for x in [first, *others]) + len(ids_of(["a repeated id"])[0]) + 1
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(1, "one"), (1, "two"), (1, "two"), (None, "none"), (2, "three")]
+    df = docs(spark, rows)
+    got = token_files.write(df, BYTES, 2).checked(df).collect()
+    assert len(got) == 5
+    assert len({(g.start, g.n_tokens, g.ids_crc32) for g in got if g.doc_id == 1}) == 1
+    assert all(g.start is None and g.ids_crc32 is None for g in got if g.doc_id is None)
+
+
+def test_no_rows(spark):
+    df = docs(spark, [])
+    files = token_files.write(df, BYTES, 2)
+    assert files.checked(df).count() == 0
+    assert [g.n_tokens for g in files.checked(docs(spark, [(1, "a")])).collect()] in ([], [None])
