@@ -1,0 +1,148 @@
+"""The pipeline and the registered queries on the smallest tables, against brute force or SQL."""
+
+import hashlib
+import os
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from test_dedup import BLANK, best, brute_components, brute_print, brute_spans
+from test_tokens import PIECES, ids_of
+
+import corpus_pipeline
+from sluice.llm import mixing, queries, toxicity
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def rows(docs):
+    return [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+
+
+def pieces_of(rows):
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    out = []
+    for i, t in rows:
+        ids = [*library.encode(t or ""), 2]
+        text = library.decode(ids)
+        out.append((i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()))
+    return sorted(out)
+
+
+def test_stages_against_brute_force(spark, docs):
+    chain = queries.toxicity_chain(spark, docs, SF_DIR)
+    all_rows = docs.collect()
+    left = [r for r, p in zip(all_rows, chain.probabilities([r.text for r in all_rows])[:, 1]) if p < toxicity.THRESHOLD]
+    ids = {r.doc_id for r in left}
+    stage = corpus_pipeline.STAGES[0][1](spark, docs, SF_DIR)
+    assert stage.columns == docs.columns and {r.doc_id for r in stage.collect()} == ids
+    by_id = {r.doc_id: r for r in left}
+    ids = {i for i, _ in best([(r.doc_id, r.text) for r in left]).values()}
+    parts = brute_components([brute_print(by_id[i].text) for i in ids])
+    least = {}
+    for i in sorted(ids):
+        least.setdefault(min(parts[brute_print(by_id[i].text)]), i)
+    ids = set(least.values())
+    here = docs.filter(F.col("doc_id").isin(list(ids)))
+    cells = here.select(
+        "doc_id", "source", "lang", mixing.form_of(F.col("text")).alias("topic"), mixing.word_count(F.col("text")).alias("n"),
+        F.expr("shiftrightunsigned(xxhash64(7, doc_id, text), 11) / 9007199254740992D").alias("draw"),
+    ).collect()
+    keys = sorted({(c.source, c.lang, c.topic) for c in cells})
+    tokens = np.array([float(sum(c.n for c in cells if (c.source, c.lang, c.topic) == k)) for k in keys])
+    p = dict(zip(keys, mixing.rake(tokens, [list(v) for v in zip(*keys)], [queries.MIX[d] for d in ("source", "lang", "topic")], queries.MIX_KEEP)))
+    ids = {c.doc_id for c in cells if c.draw < p[c.source, c.lang, c.topic]}
+    got = sorted(tuple(r) for r in corpus_pipeline.run(spark, SF_DIR).collect())
+    assert got == pieces_of([(i, by_id[i].text) for i in ids])
+
+
+def test_stages_take_rows_of_any_kind(spark, docs):
+    """Nulls in every column, repeated rows, a long text, no rows."""
+    odd = [(None, None, None, None, None)] * 2 + [(5, "word " * 30_000, "en", None, 1), (6, "", None, "src0", 0), (6, "", None, "src0", 0)]
+    odd += [(7 + k, f"a clean text of some words, number {k} of many others", "en", "src1", 9) for k in range(30)]
+    for some in (spark.createDataFrame(odd, docs.schema), docs.filter("false")):
+        count = some.count()
+        for _, stage in corpus_pipeline.STAGES:
+            out = stage(spark, some, SF_DIR)
+            assert out.count() <= count
+
+
+def test_queries_with_sql(spark):
+    connection = duckdb.connect()
+    for file in os.listdir(SF_DIR):
+        connection.sql(f"create view {file.removesuffix('.parquet')} as select * from '{SF_DIR}/{file}'")
+    for name, sql in corpus_pipeline.oracle_sql().items():
+        got, expected = corpus_pipeline.queries()[name](spark, SF_DIR), connection.sql(sql)
+        columns = sorted(got.columns)
+        assert columns == sorted(expected.columns)
+        assert sorted(map(repr, map(tuple, got.select(columns).collect()))) == sorted(
+            map(repr, expected.select(*[f'"{c}"' for c in columns]).fetchall())
+        )
+
+
+def test_token_query(spark, rows):
+    start, expected = 0, []
+    for (i, _), ids in zip(sorted(rows), ids_of([t for _, t in sorted(rows)])):
+        data = np.array([*ids, 2], "<u4")
+        expected.append((i, start, len(data), zlib.crc32(data.tobytes())))
+        start += len(data)
+    assert sorted(tuple(r) for r in queries.op1_token_files(spark, SF_DIR).collect()) == expected
+
+
+def test_page_query(spark):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").count()
+    got = queries.op3_main_text(spark, SF_DIR).collect()
+    assert len(got) == pages and all(g.n_chars == len(g.text) > 0 for g in got)
+
+
+def test_piece_query(spark, rows):
+    assert sorted(tuple(r) for r in queries.op4_pieces(spark, SF_DIR).collect()) == pieces_of(rows)
+
+
+def test_mixing_query(spark, rows):
+    got = queries.op5_mixing(spark, SF_DIR).collect()
+    assert len(got) == len(rows) and all(0 <= g.p <= 1 for g in got)
+    spanish = sum(g.n_tokens * g.p for g in got if g.lang == "es") / sum(g.n_tokens * g.p for g in got)
+    held = sum(g.n_tokens for g in got if g.lang == "es") / (queries.MIX_KEEP * sum(g.n_tokens for g in got))
+    assert abs(spanish - min(0.15, held)) < 0.02
+
+
+def test_repeats_query(spark, rows):
+    assert sorted(tuple(r) for r in queries.op6_repeats(spark, SF_DIR).collect()) == brute_spans(rows, False)
+
+
+def test_near_query(spark, rows):
+    prints = {i: brute_print(t) for i, t in rows}
+    parts = brute_components(prints.values())
+    least = {}
+    for i in sorted(prints):
+        least.setdefault(min(parts[prints[i]]), i)
+    expected = sorted((i, f"{p:016x}", least[min(parts[p])]) for i, p in prints.items())
+    assert sorted(tuple(r) for r in queries.op7_simhash(spark, SF_DIR).collect()) == expected
+
+
+def test_language_query(spark, docs):
+    lang = {r.doc_id: r.lang for r in docs.collect()}
+    got = queries.op9_languages(spark, SF_DIR).collect()
+    assert len(got) == len(lang) and all(g.held_out == (zlib.crc32(str(g.doc_id).encode()) % 4 == 2) for g in got)
+    assert np.mean([g.lang_pred == lang[g.doc_id] for g in got if g.held_out]) > 0.95
+
+
+def test_toxicity_query(spark):
+    label = {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    got = {g.doc_id: g.toxic for g in queries.op10_toxicity(spark, SF_DIR).collect()}
+    assert np.mean([got[i] == bool(t) for i, t in label.items()]) > 0.9
+
+
+def test_blank_means_the_same_everywhere():
+    assert BLANK.sub("", "a\x1c b\x0b c") == "a\x1cb c"
