@@ -10,7 +10,7 @@ from sluice.sources.tables import scratch_path
 
 #: Bytes that split words and that exact comparison leaves out: `[\x20\x09-\x0D]`.
 BLANKS = " \t\n\x0b\x0c\r"
-BATCH_ROWS, BATCH_BYTES = 500, 4 << 20
+BATCH_ROWS, BATCH_BYTES = 1500, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ two; else the next shorter piece that is its prefix is tried, and if there is no
 bitfield and the last piece is taken back. A sequence all of whose neighbours are compatible is the one that merging gives.
 
 A text is cut where no piece can reach across: before white space, and at two characters that stand beside each other in no
-piece. What is between two cuts is encoded once for each worker and kept as long as it recurs: the last `KEPT` at least, twice as many at most.
+piece. What is between two cuts is encoded once for each batch, and kept by the worker as long as it recurs.
 
 The model's normaliser must change nothing but spaces, add a space in front of a text and keep all other spaces; this is
 checked when a model is read. Null and empty texts have the end id alone. The model file must be at the same path
@@ -23,14 +23,19 @@ from functools import cache
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-KEPT = 150_000
+from sluice.llm.stretches import MARK, Kept, cut, joined
+
+KEPT = 300_000
 SPACE = "▁"
 _LETTER = r"[^\W\d_]"
 _RUN = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}+|.", re.DOTALL)
+_KIND = np.dtype(np.int32)
 _PROBE = "  a  éﬁ Ａ\t\n b "
 
 
@@ -62,7 +67,11 @@ class Model:
         ]
         self.control = frozenset(i for i in range(size) if model.is_control(i))
         self.beside = {pair for p in self.ids for pair in zip(p, p[1:])}
-        self.cut = self._cutter()
+        # White space is cut off in front, where it begins, and line ends on both sides, if no piece has the like inside.
+        inner = any(b == SPACE != a for a, b in self.beside) or any("\n" in pair for pair in self.beside)
+        after_letter = {b for a, b in self.beside if a.isalpha()}
+        self.signs = "".join(c for c in ".,;:!?" if c not in after_letter)
+        self.not_cut = "" if inner else f"  |{SPACE}|{MARK}"
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             self.automaton.add_word(p, p)
@@ -70,41 +79,23 @@ class Model:
         self._shorter: dict[str, str | None] = {}
         self._compatible: dict[tuple[str, str], bool] = {}
         self._last_merge: dict[str, tuple[str, str] | None] = {}
-        self._kept: dict[str, bytes] = {}
-        self._kept_before: dict[str, bytes] = {}
-
-    def _cutter(self) -> re.Pattern:
-        """Cuts before spaces, at line ends and between a letter and a sign, where no piece has the two beside each other.
-
-        Single cuts need not be found: a longer stretch only costs time.
-        """
-        after_letter = {b for a, b in self.beside if re.match(_LETTER, a)}
-        signs = "".join(re.escape(c) for c in ".,;:!?)\n" if c not in after_letter)
-        line = "" if any("\n" in pair for pair in self.beside) else "\n"
-        return re.compile(f" *{_LETTER}+(?=[{signs} ]|$)| *[^ {line}]+| +|{line or ' '}")
+        self._kept = Kept(lambda stretches: [self._stretch(s) for s in stretches], KEPT)
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
-        return self.encoded(text).tolist()
-
-    def encoded(self, text: str | None) -> np.ndarray:
-        segments = self.cut.findall(" " + text.replace(SPACE, " ")) if text else []
-        kept = self._kept
-        try:
-            found = [kept[s] for s in segments]
-        except KeyError:
-            before = self._kept_before
-            for s in set(segments).difference(kept):
-                kept[s] = before.get(s) or self._segment(s.replace(" ", SPACE))
-            found = [kept[s] for s in segments]
-            if len(kept) >= KEPT:
-                self._kept, self._kept_before = {}, kept
-        found.append(np.int32(self.end_id).tobytes())
-        return np.frombuffer(b"".join(found), np.int32)
-
-    def _segment(self, segment: str) -> bytes:
-        """Ids of a text that no piece reaches into or out of."""
-        beside, known, parts = self.beside, self.ids, _RUN.findall(segment)
+        return self.encoded(pa.array([text], pa.string()))[0].tolist()
+
+    def encoded(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, each with the end id last, and where each one ends."""
+        texts = pc.fill_null(texts, "")
+        texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
+        stretches, whole, codes, ends = cut(texts, pc.match_substring_regex(texts, self.not_cut), self.signs)
+        ids = self._kept.of(stretches) + [self._stretch(t) for t in whole]
+        return joined(ids, _KIND, codes, ends, self.end_id)
+
+    def _stretch(self, text: str) -> bytes:
+        """Ids of a text that no piece reaches into or out of; spaces are still spaces."""
+        beside, parts = self.beside, _RUN.findall(text.replace(" ", SPACE))
         if len(parts) > 1:
             runs, parts = parts, []
             for run in runs:
@@ -112,11 +103,11 @@ class Model:
                     parts[-1] += run
                 else:
                     parts.append(run)
-        found = array("i")
+        found, ids = array("i"), self.ids
         for part in parts:
             for piece in self._backtrack(part):
-                if piece in known:
-                    found.append(known[piece])
+                if piece in ids:
+                    found.append(ids[piece])
                 else:
                     found.extend(self.byte_id[x] for x in piece.encode())
         return found.tobytes()
@@ -224,10 +215,10 @@ def model(path: str) -> Model:
 def encode(text: Column, path: str) -> Column:
     """The ids of a text as array<int>, the end id last."""
 
-    @F.pandas_udf("array<int>")
-    def encoded(texts: pd.Series) -> pd.Series:
-        of = model(path)
-        return pd.Series([of.encoded(t) for t in texts], dtype=object)
+    @F.arrow_udf("array<int>")
+    def encoded(texts: pa.Array) -> pa.Array:
+        ids, ends = model(path).encoded(texts)
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(ids))
 
     return encoded(text)
 

@@ -1,8 +1,8 @@
 """Token ids of a corpus as raw binary shards, with a minimal perfect hash index from document to payload.
 
 Shards. Documents are range-partitioned and sorted by (doc_id, hash of the text), null ids first. Each task writes its
-documents as files `<part>-<n>.ids` of at most about `SHARD_BYTES`: ids one after the other as little-endian unsigned integers
-of 2 bytes (4 if the vocabulary needs them), nothing between them. Files in the order of their names hold the corpus.
+documents as files `<part>-<n>.ids` of at most about `SHARD_BYTES`: ids one after the other as unsigned integers of 2 bytes (4 if
+the vocabulary needs them) in the machines' byte order, nothing between them. Files in the order of their names hold the corpus.
 
 Index. Distinct ids are dealt into buckets of about `BUCKET_KEYS` by hash, one file `<bucket>.mph` each: a minimal perfect hash
 of the bucket's ids, then one fixed-size entry under each number: a fingerprint of the id, the shard, the place of its
@@ -10,7 +10,7 @@ first token there and the number of tokens. Access by key reads one bucket and o
 one stretch of one shard. A fingerprint of 32 bits tells unknown ids, but for one in 2**32.
 
 Encoding: whole texts, null as empty, plus an end id. Special tokens' names in a text are ordinary text. A text is cut at places
-where the pre-tokeniser always cuts, and each worker keeps up to `KEPT` such pieces with their ids.
+where the pre-tokeniser always cuts, and each worker keeps the stretches it met last with their ids.
 
 Repeated ids: all rows are in the shards, the index knows the first of them, which answers for all. A null id has no key: a
 look-up gives null. No rows: no shards, an empty index. Extra columns are not read. Tasks that run again write the same files.
@@ -18,7 +18,6 @@ look-up gives null. No rows: no shards, an empty index. Extra columns are not re
 
 from __future__ import annotations
 
-import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -26,6 +25,8 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,15 +36,15 @@ from tokenizers import Tokenizer
 from sluice.llm.common import bounded_batches, stored
 from sluice.llm.perfect_hash import PerfectHash, mixed
 from sluice.llm.shared_files import Reader, write_file
+from sluice.llm.stretches import Kept, cut, joined
 from sluice.sources.tables import scratch_path
 
-SHARD_BYTES, BUCKET_KEYS, KEPT = 32 << 20, 100_000, 400_000
+SHARD_BYTES, BUCKET_KEYS, KEPT = 32 << 20, 100_000, 300_000
 _ENTRY = np.dtype([("print", "<u4"), ("n_tokens", "<u4"), ("shard", "<i8"), ("at", "<i8")])
 _FINGERPRINT_SEED = 1000
-#: Cuts: around a line end, before a space, between a Latin letter and these signs. For texts with no two blanks in a row.
-_CUT = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n.,;:!?]|$)|\n| ?[^ \n]+| ")
-_BLANKS_IN_A_ROW = re.compile(r"\s\s")
-_BEFORE_A_SPACE = re.compile(r"(?<=\S)(?= \S)")
+#: The pre-tokeniser cuts before each space and around each line end, if no two blanks stand together (other texts stay whole),
+#: and between a letter and a stop or comma.
+_NOT_CUT = r"[\s\x{85}\x{1c}-\x{1f}\pZ]{2}|\x01"
 
 
 class Encoder:
@@ -51,26 +52,35 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self._kept: dict[str, bytes] = {}
-
-    def encoded(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as bytes."""
-        cut = [self._cut(t) if t else [] for t in texts]
-        kept = self._kept
-        new = list({s for segments in cut for s in segments}.difference(kept))
-        if len(kept) + len(new) > KEPT:
-            kept.clear()
-            new = list({s for segments in cut for s in segments})
-        for segment, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else ()):
-            kept[segment] = np.array(found.ids, self.kind).tobytes()
-        out = [b"".join([kept[s] for s in segments]) for segments in cut]
-        if len(kept) > KEPT:
-            kept.clear()
+        (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self._kept = Kept(self._made, KEPT)
+
+    def encoded(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, each with the end id last, and where each one ends. Null is empty."""
+        texts = pc.fill_null(texts, "")
+        stretches, whole, codes, ends = cut(texts, pc.match_substring_regex(texts, _NOT_CUT), ".,")
+        return joined(self._kept.of(stretches) + self._encoded(whole), self.kind, codes, ends, end_id)
+
+    def _made(self, stretches: list[str]) -> list[bytes]:
+        """Many at a time as lines of one text: the pre-tokeniser cuts at line ends, if no other blank is beside them."""
+        out: list[bytes] = []
+        for k in range(0, len(stretches), 2000):
+            some = stretches[k : k + 2000]
+            if any(s[-1:].isspace() or s[:1].isspace() and s[0] != " " for s in some):
+                out += self._encoded(some)
+                continue
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, self.kind)
+            ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) * self.kind.itemsize
+            data, starts = ids.tobytes(), np.append(0, ends[:-1] + self.kind.itemsize)
+            out += [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
         return out
 
-    @staticmethod
-    def _cut(text: str) -> list[str]:
-        return _BEFORE_A_SPACE.split(text) if _BLANKS_IN_A_ROW.search(text) else _CUT.findall(text)
+    def _encoded(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        for k in range(0, len(texts), 5000):
+            some = self.tokenizer.encode_batch_fast(texts[k : k + 5000], add_special_tokens=False)
+            out += [np.array(e.ids, self.kind).tobytes() for e in some]
+        return out
 
 
 @cache
@@ -126,7 +136,7 @@ def write(
     rows = rows.withColumn("hash", F.xxhash64("text"))
     rows = rows.repartitionByRange("doc_id", "hash").sortWithinPartitions("doc_id", "hash")
     entries = stored(
-        rows.select("doc_id", "text").mapInPandas(
+        rows.select("doc_id", "text").mapInArrow(
             lambda batches: _written(batches, folder, path, end_id, shard_bytes), "doc_id long, shard long, at long, n_tokens long"
         )
     )
@@ -158,24 +168,27 @@ def _shard_name(shard: int) -> str:
     return f"{shard >> 32:06d}-{shard & 0xFFFFFFFF:06d}.ids"
 
 
-def _written(batches: Iterator[pd.DataFrame], folder: str, path: str, end_id: int, shard_bytes: int) -> Iterator[pd.DataFrame]:
+def _written(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int, shard_bytes: int) -> Iterator[pa.RecordBatch]:
     of = encoder(path)
-    part, end = TaskContext.get().partitionId(), np.array([end_id], of.kind).tobytes()
-    shard, held, size = part << 32, [], 0
+    shard, held, size = TaskContext.get().partitionId() << 32, [], 0  # size in ids
     for batch in batches:
-        rows: list[tuple] = []
-        for k in range(0, len(batch), 256):
-            for payload in of.encoded(batch["text"].iloc[k : k + 256].tolist()):
-                if size >= shard_bytes:
-                    write_file(folder, _shard_name(shard), held)
-                    shard, held, size = shard + 1, [], 0
-                n = len(payload) // of.kind.itemsize + 1
-                rows.append((shard, size // of.kind.itemsize, n))
-                held += (payload, end)
-                size += n * of.kind.itemsize
-        out = pd.DataFrame(rows, columns=["shard", "at", "n_tokens"])
-        out.insert(0, "doc_id", batch["doc_id"].astype("Int64").values)
-        yield out
+        ids, ends = of.encoded(batch.column("text"), end_id)
+        starts, shards, begin = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)], [], 0
+        at = starts + size
+        while begin < len(ends):
+            # As many texts as the shard has room for, one at least if it is empty.
+            end = int(np.searchsorted(starts, starts[begin] + shard_bytes // of.kind.itemsize - size))
+            if end > begin:
+                stretch = ids[starts[begin] : ends[end - 1]]
+                at[begin:end] = starts[begin:end] - starts[begin] + size
+                shards += [shard] * (end - begin)
+                held.append(stretch.tobytes())
+                size, begin = size + len(stretch), end
+            if begin < len(ends):
+                write_file(folder, _shard_name(shard), held)
+                shard, held, size = shard + 1, [], 0
+        columns = [batch.column("doc_id"), pa.array(shards, pa.int64()), pa.array(at), pa.array(ends - starts)]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "shard", "at", "n_tokens"])
     if held:
         write_file(folder, _shard_name(shard), held)
 
