@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm.stretches import MARK, Kept, cut, joined
 
-KEPT = 300_000
+KEPT = 150_000
 SPACE = "▁"
 _LETTER = r"[^\W\d_]"
 _RUN = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}+|.", re.DOTALL)
@@ -212,6 +212,21 @@ def model(path: str) -> Model:
     return Model(path)
 
 
+def round_trip(text: Column, path: str) -> Column:
+    """A struct of the ids of a text, the end id last, and the text that these decode to. One pass, in one worker."""
+
+    @F.arrow_udf("ids array<int>, decoded string")
+    def both(texts: pa.Array) -> pa.Array:
+        of = model(path)
+        ids, ends = of.encoded(texts)
+        bounds = np.concatenate([[0], ends]).tolist()
+        decoded = [of.decode(ids[a:b]) for a, b in zip(bounds, bounds[1:])]
+        lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+        return pa.StructArray.from_arrays([lists, pa.array(decoded, pa.string())], names=["ids", "decoded"])
+
+    return both(text)
+
+
 def encode(text: Column, path: str) -> Column:
     """The ids of a text as array<int>, the end id last."""
 
