@@ -128,14 +128,15 @@ def _starts(rows: DataFrame, marked: DataFrame, keep_first: bool) -> DataFrame:
     """(doc, hash, start, count): stretches of starts of strings that go."""
     blocks = marked.select("doc", "hash", F.explode(F.arrays_zip("anchor", "content", "count", "place", "starts")).alias("b"))
     blocks = blocks.select("doc", "hash", "b.*")
-    several = blocks.groupBy("anchor").agg(F.sum(F.size("starts")).alias("n")).filter("n > 1").select("anchor")
+    # Counts are stored before they are joined: then the planner can split a hot anchor's blocks in the join.
+    several = stored(blocks.groupBy("anchor").agg(F.sum(F.size("starts")).alias("n")).filter("n > 1").select("anchor"))
     blocks = stored(blocks.join(several, "anchor"))
     kinds = blocks.groupBy("anchor", "content").agg(
         F.sum(F.size("starts")).alias("copies"),
         F.min(F.struct("doc", "hash", F.col("starts")[0].alias("start"), "count", "place")).alias("first"),
     )
     kinds = stored(kinds)
-    contested = kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
+    contested = stored(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1"))
     # Copies as a whole.
     copied = kinds.filter("copies > 1").select("anchor", "content", "first")
     copied = blocks.join(copied, ["anchor", "content"]).select("doc", "hash", F.explode("starts").alias("start"), "count", "first")
@@ -151,7 +152,8 @@ def _starts(rows: DataFrame, marked: DataFrame, keep_first: bool) -> DataFrame:
     pieces = stored(_with_text(rows, wanted).mapInPandas(_sliced, _SLICED))
     matched = pieces.filter("not hot").repartition("anchor").sortWithinPartitions("anchor")
     matched = matched.mapInPandas(lambda batches: _matched(batches, keep_first), _STARTS)
-    return copied.union(matched).union(_counted(pieces.filter("hot").dropDuplicates(["doc", "hash", "start"]), keep_first))
+    found, hot = copied.union(matched), pieces.filter("hot")
+    return found if hot.isEmpty() else found.union(_counted(hot.dropDuplicates(["doc", "hash", "start"]), keep_first))
 
 
 def _with_text(rows: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -395,7 +397,7 @@ _CLASSES = "anchor long, class int, core long, around long, doc long, hash long,
 def _counted(blocks: DataFrame, keep_first: bool) -> DataFrame:
     """Starts that go of the blocks of hot anchors, by counts of content that is common to fewer and fewer starts."""
     classes = stored(blocks.mapInPandas(_classes, _CLASSES))
-    shared = classes.groupBy("anchor", "class", "core").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    shared = stored(classes.groupBy("anchor", "class", "core").agg(F.count("*").alias("n")).filter("n > 1").drop("n"))
     classes = classes.join(shared, ["anchor", "class", "core"])
     kinds = classes.groupBy("anchor", "class", "core", "around").agg(
         F.count("*").alias("n"), F.min(F.struct("doc", "hash", "start", "count", "data")).alias("first")
@@ -411,12 +413,12 @@ def _counted(blocks: DataFrame, keep_first: bool) -> DataFrame:
     if keep_first:
         copied = copied.filter(f"not ({is_first})")
     copied = copied.select("doc", "hash", "start", F.col("count").cast("long"))
-    several = kinds.groupBy("anchor", "class", "core").agg(F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds")
+    several = stored(kinds.groupBy("anchor", "class", "core").agg(F.count("*").alias("kinds")).filter("kinds > 1").drop("kinds"))
     singles = kinds.join(several, ["anchor", "class", "core"]).select("first.*")
     singles = stored(singles.mapInPandas(_one_by_one, "one long, two long, doc long, hash long, start long"))
     found = singles.groupBy("one", "two").agg(F.count("*").alias("n"), F.min(F.struct("doc", "hash", "start")).alias("first"))
-    found = found.filter("n > 1").select("one", "two", F.col("first.doc").alias("of_doc"), F.col("first.hash").alias("of_hash"), F.col("first.start").alias("of_start"))
-    singles = singles.join(found, ["one", "two"])
+    found = found.filter("n > 1").select("one", "two", "first.*").toDF("one", "two", "of_doc", "of_hash", "of_start")
+    singles = singles.join(stored(found), ["one", "two"])
     if keep_first:
         singles = singles.filter(f"not ({is_first})")
     return copied.union(singles.select("doc", "hash", "start", F.lit(1).cast("long")))
