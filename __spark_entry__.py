@@ -6,6 +6,7 @@ import importlib
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,15 +33,21 @@ from sluice.operators.duplicates import (  # noqa: E402
     flag_repeated,
     flag_unrepeated,
     repeated_keys,
+    with_duplicate_flags,
 )
 from sluice.operators.marts import daily_sales, repeated_shops, sales_per_day, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
-from sluice.operators.skew import key_counts  # noqa: E402
 from sluice.plans.pipeline import load_daily_sales, run, upsert_table  # noqa: E402
-from sluice.plans.sizes import fits_broadcast, hot_bound  # noqa: E402
+from sluice.plans.sizes import fits_broadcast  # noqa: E402
 from sluice.plans.spec import TableSpec  # noqa: E402
 from sluice.sources.files import read_file, with_provenance  # noqa: E402
-from sluice.sources.tables import SCRATCH_DATABASE, read_table, scratch_path, write_table  # noqa: E402
+from sluice.sources.tables import (  # noqa: E402
+    create_or_replace_table,
+    read_table,
+    scratch_database,
+    scratch_path,
+    write_table,
+)
 
 # ---------------------------------------------------------------- inputs
 
@@ -127,21 +134,33 @@ def _money(column: str) -> F.Column:
 
 
 def scan_parquet_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_provenance(_table(spark, sf_dir, "orders")).select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority", "_file_name"
-    )
+    """All columns, and the provenance columns in forms that can be checked."""
+    read = with_provenance(_table(spark, sf_dir, "orders"))
+    return read.select(*[c for c in read.columns if not c.startswith("_")], "_file_name", *_checked_provenance())
+
+
+def _checked_provenance() -> list[F.Column]:
+    return [
+        (F.col("_load_dt") == F.current_date()).alias("loaded_today"),
+        (F.to_date("_load_dttm") == F.col("_load_dt")).alias("same_day"),
+        F.endswith("_file_path", F.concat(F.lit("/"), F.col("_file_name"))).alias("path_ends_in_name"),
+        (F.col("_file_size") > 0).alias("has_bytes"),
+        (F.col("_file_mod") <= F.col("_load_dttm")).alias("written_before"),
+    ]
 
 
 def scan_csv_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, ".csv")
     _raw_lines(spark, sf_dir).write.option("header", True).option("delimiter", "|").csv(path)
     read = with_provenance(read_file(spark, path, header="true", delimiter="|"))
-    return read.select(*LINES.column_names, F.col("_file_name").endswith(".csv").alias("from_csv"))
+    in_folder = F.contains("_file_path", F.lit(path.rsplit("/", 1)[-1])) & F.endswith("_file_name", F.lit(".csv"))
+    return read.select(*LINES.column_names, in_folder.alias("from_csv"), *_checked_provenance())
 
 
 def scan_table_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _table(spark, sf_dir, "customer").createOrReplaceTempView("sluice_customer")
-    return read_table(spark, "sluice_customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    name = f"{scratch_database(spark)[0]}.customer"
+    write_table(_table(spark, sf_dir, "customer"), name, "overwrite")
+    return read_table(spark, name)
 
 
 # ---------------------------------------------------------------- checks
@@ -182,11 +201,11 @@ def duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def row_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates(spark, sf_dir).filter(F.col("reason") == ROW_DUPLICATE)
+    return _records(duplicate_records(_rows(spark, sf_dir), LINES, only=ROW_DUPLICATE))
 
 
 def key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return duplicates(spark, sf_dir).filter(F.col("reason") == KEY_DUPLICATE)
+    return _records(duplicate_records(_rows(spark, sf_dir), LINES, only=KEY_DUPLICATE))
 
 
 def bad(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -194,18 +213,16 @@ def bad(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bad_all_keys_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every repeated key takes the way of the hot ones, or as many as may be broadcast."""
+    """Every repeated key takes the way of the hot ones. They are counted once."""
     rows = _rows(spark, sf_dir)
-    return _records(bad_records(rows, LINES, hot_bound(repeated_keys(rows, LINES), 1)))
+    return _records(reject(with_duplicate_flags(rows, LINES, 1, repeated_keys(rows, LINES)), LINES))
 
 
 def bad_few_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows with a key of their own are not shuffled, if the other keys may be broadcast."""
+    """Rows with a key of their own are told from the others first, and not shuffled if the list of these is small."""
     rows = _rows(spark, sf_dir)
     repeated = repeated_keys(rows, LINES)
-    if not fits_broadcast(repeated):
-        return _records(bad_records(rows, LINES))
-    flagged = flag_unrepeated(rows, LINES, repeated).unionByName(flag_repeated(rows, LINES, repeated))
+    flagged = flag_unrepeated(rows, repeated).unionByName(flag_repeated(rows, LINES, repeated))
     return _records(reject(flagged, LINES))
 
 
@@ -262,16 +279,17 @@ def daily_sales_text_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def daily_sales_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only hot shops broadcast: those above a thousand sales, or as many as may be."""
+    """Joined by a shuffle; shops above a thousand sales are spread."""
     sales = _sales(spark, sf_dir)
     nations = _table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "shop_id")
-    hot_rows = hot_bound(key_counts(sales, ["shop_id"], above=1000), 1000)
-    return _mart(sales_per_day(sales, repeated_shops(sales, nations), hot_rows=hot_rows))
+    return _mart(sales_per_day(sales, repeated_shops(sales, nations), hot_rows=1000))
 
 
 def daily_sales_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     stamped = with_compute_date(daily_sales_by_ship_date(spark, sf_dir))
-    return stamped.withColumn("stamped", F.col("compute_date").isNotNull()).drop("compute_date")
+    is_time = stamped.schema["compute_date"].dataType.simpleString() == "timestamp"
+    today = F.lit(is_time) & (F.to_date("compute_date") == F.current_date())
+    return stamped.withColumn("stamped", today).drop("compute_date")
 
 
 def _order_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,17 +337,9 @@ def upsert_suppliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- through tables
 
 
-def _scratch_database(spark: SparkSession) -> tuple[str, str]:
-    """A new database in the shared folder, and a folder for files beside it."""
-    folder = scratch_path(spark)
-    database = f"{SCRATCH_DATABASE}_{folder.rsplit('/', 1)[-1]}"
-    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
-    return database, folder
-
-
 def upsert_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`upsert_orders` on a table."""
-    table = f"{_scratch_database(spark)[0]}.orders"
+    table = f"{scratch_database(spark)[0]}.orders"
     write_table(_order_amounts(spark, sf_dir), table, "overwrite")
     upsert_table(_line_totals(spark, sf_dir), table, ["orderkey"])
     return read_table(spark, table)
@@ -337,7 +347,7 @@ def upsert_orders_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by status, updated from lines by order and status; a status without lines is neither read nor written."""
-    table = f"{_scratch_database(spark)[0]}.orders"
+    table = f"{scratch_database(spark)[0]}.orders"
     _order_amounts(spark, sf_dir).write.partitionBy("status").saveAsTable(table)
     lines = (
         _table(spark, sf_dir, "lineitem")
@@ -348,9 +358,66 @@ def upsert_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table)
 
 
+def upsert_partitioned_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders by day, as dates; the source has the days as times of the day and the keys as text."""
+    table = f"{scratch_database(spark)[0]}.orders"
+    orders = _table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("orderkey"), F.col("o_totalprice").alias("amount"), F.to_date("o_orderdate").alias("day")
+    )
+    # Few days, so that there are few files.
+    orders = orders.withColumn("day", F.trunc("day", "year"))
+    orders.write.partitionBy("day").saveAsTable(table)
+    source = orders.filter("orderkey % 3 = 0 and year(day) < 1997").select(
+        F.col("orderkey").cast("string"), F.lit(0.5).alias("amount"), (F.col("day").cast("timestamp") + F.expr("interval 12 hours")).alias("day")
+    )
+    upsert_table(source, table, ["orderkey", "day"])
+    return read_table(spark, table).withColumn("day", F.col("day").cast("string"))
+
+
+def replace_with_new_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table is written, written anew with other columns, emptied with others again, and added to."""
+    name = f"{scratch_database(spark)[0]}.t"
+    write_table(_table(spark, sf_dir, "nation"), name, "overwrite")
+    write_table(_table(spark, sf_dir, "region"), name, "overwrite")
+    replaced = read_table(spark, name)
+    columns = ", ".join(replaced.columns)
+    kept = replaced.select(F.lit(columns).alias("columns"), F.col("r_name").alias("name")).collect()  # five regions
+    create_or_replace_table(spark, name, "columns string, name string, n int")
+    write_table(spark.createDataFrame(kept).withColumn("n", F.lit(1)), name, "append")
+    write_table(_table(spark, sf_dir, "nation").select(F.lit("nation").alias("columns"), F.col("n_name").alias("name"), F.lit(2).alias("n")), name, "append")
+    return read_table(spark, name)
+
+
+def _bad_lines(spark: SparkSession, sf_dir: str, mode: str) -> tuple[TableSpec, str]:
+    """The spec of a file of raw lines and tables of its own, and the file."""
+    database, folder = scratch_database(spark)
+    path = f"{folder}/lines.csv"
+    _raw_lines(spark, sf_dir).write.option("header", True).option("delimiter", "|").csv(path)
+    return replace(LINES, file_path=path, table_name=f"{database}.lines", write_mode=mode), path
+
+
+def files_to_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bad-record table of a run over a file of lines."""
+    spec, _ = _bad_lines(spark, sf_dir, "overwrite")
+    run(spark, [spec])
+    return _records(read_table(spark, spec.bad_table))
+
+
+def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs in append mode: rows of the clean and of the bad-record table, with how often each is there."""
+    spec, _ = _bad_lines(spark, sf_dir, "append")
+    run(spark, [spec])
+    run(spark, [spec])
+    clean = _dates_as_text(read_table(spark, spec.clean_table)).select(
+        *[F.col(c).cast("string") for c in LINES.column_names], F.lit("").alias("reason")
+    )
+    everything = clean.union(_records(read_table(spark, spec.bad_table)))
+    return everything.groupBy(*everything.columns).agg(F.count("*").alias("times"))
+
+
 def files_to_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files, raw tables, bad-record and clean tables, mart table; the result is read from the mart."""
-    database, folder = _scratch_database(spark)
+    database, folder = scratch_database(spark)
     sales, shops = f"{folder}/sales.csv", f"{folder}/shops.parquet"
     line = F.col
     _table(spark, sf_dir, "lineitem").select(
@@ -396,9 +463,12 @@ def files_to_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- contract
 
 
+SMALLEST = "/root/testdata/sf0.001"
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Daily sales of the smallest data set."""
-    return daily_sales_by_ship_date(spark, "/root/testdata/sf0.001")
+    return daily_sales_by_ship_date(spark, SMALLEST)
 
 
 def _corpus() -> ModuleType | None:
@@ -448,7 +518,11 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_suppliers": upsert_suppliers,
         "upsert_orders_table": upsert_orders_table,
         "upsert_partitioned_table": upsert_partitioned_table,
+        "upsert_partitioned_cast": upsert_partitioned_cast,
         "files_to_daily_sales": files_to_daily_sales,
+        "files_to_bad_records": files_to_bad_records,
+        "append_twice": append_twice,
+        "replace_with_new_schema": replace_with_new_schema,
     }
 
 
@@ -495,13 +569,17 @@ UPSERT_ORDERS_SQL = _upsert_sql(
 )
 
 
+PROVENANCE_SQL = ", ".join(
+    f"true as {c}" for c in ("loaded_today", "same_day", "path_ends_in_name", "has_bytes", "written_before")
+)
+
+
 def table_sql() -> dict[str, str]:
     lines = f"with {RAW_LINES_SQL}"
     return {
-        "scan_parquet_provenance": "select o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, "
-        "'orders.parquet' as _file_name from orders",
-        "scan_csv_bronze": f"{lines} select k1, k2, f, g, d, true as from_csv from b",
-        "scan_table_by_name": "select c_custkey, c_name, c_nationkey, c_mktsegment from customer",
+        "scan_parquet_provenance": f"select *, 'orders.parquet' as _file_name, {PROVENANCE_SQL} from orders",
+        "scan_csv_bronze": f"{lines} select k1, k2, f, g, d, true as from_csv, {PROVENANCE_SQL} from b",
+        "scan_table_by_name": "select * from customer",
         "project_cast_by_spec": f"{lines} select try_cast(k1 as int) as k1, try_cast(k2 as int) as k2, f, g, "
         "cast(try_cast(d as date) as varchar) as d from flags "
         "where k1 is not null and not _is_k1_invalid and not _is_k2_invalid and not _is_d_invalid",
@@ -553,6 +631,14 @@ def table_sql() -> dict[str, str]:
             ["orderkey", "status"],
             ["amount"],
         ),
+        "upsert_partitioned_cast": "select o_orderkey as orderkey, case when o_orderkey % 3 = 0 and year(o_orderdate) < 1997 "
+        "then 0.5 else o_totalprice end as amount, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') as day from orders",
+        "files_to_bad_records": BAD_SQL,
+        "append_twice": f"{lines}, reasons as (select k1, k2, f, g, d, concat_ws(',', "
+        + ", ".join(f"case when {f} then '{f}' end" for f in sorted(INVALID + NULL_KEY + DUPLICATE))
+        + ") as reason from flags) select k1, k2, f, g, d, reason, 2 * count(*) as times from reasons group by all",
+        "replace_with_new_schema": "select 'r_regionkey, r_name' as columns, r_name as name, 1 as n from region "
+        "union all select 'nation', n_name, 2 from nation",
         "files_to_daily_sales": "with "
         "raw as (select case when l_orderkey % 97 <> 0 then l_orderkey end as transaction_id, l_suppkey as shop_id, "
         "cast(l_quantity as int) as sales_qty, cast(l_extendedprice as decimal(18,2)) as sales_amt, "

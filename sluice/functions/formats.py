@@ -14,15 +14,25 @@ FORMAT_RULES = {
 }
 
 
+#: Other names of types that have rules.
+_SAME = {"integer": "int"}
+
+
+def simple_type(data_type: str) -> str:
+    """The type's name as rules know it, whatever its letter case and spaces."""
+    name = "".join(data_type.lower().split())
+    return _SAME.get(name, name)
+
+
 def breaks_format(column: str, data_type: str) -> Column:
     """True where the text does not have the form of its type; never NULL, and false for NULL text.
 
     The rule reads the form only, so `2025-99-99` passes. A type with no rule of its own is
     checked by whether the text can be cast to it.
     """
-    text = named(column).cast("string")
-    if data_type in FORMAT_RULES:
-        return F.coalesce(~text.rlike(FORMAT_RULES[data_type]), F.lit(False))
+    text, rule = named(column).cast("string"), FORMAT_RULES.get(simple_type(data_type))
+    if rule:
+        return F.coalesce(~text.rlike(rule), F.lit(False))
     return text.isNotNull() & text.try_cast(data_type).isNull()
 
 

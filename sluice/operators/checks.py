@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import any_of, flagged_rows, none_null
-from sluice.functions.formats import breaks_format, typed
+from sluice.functions.formats import breaks_format, simple_type, typed
 from sluice.functions.names import named, quoted
 from sluice.operators.duplicates import KEY_DUPLICATE, ROW_DUPLICATE, with_duplicate_flags
 from sluice.operators.skew import HOT_ROWS
@@ -25,7 +25,7 @@ def with_row_id(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def format_flags(spec: TableSpec) -> dict[str, Column]:
-    return {f"_is_{c}_invalid": breaks_format(c, t) for c, t in spec.columns if t != "string"}
+    return {f"_is_{c}_invalid": breaks_format(c, t) for c, t in spec.columns if simple_type(t) != "string"}
 
 
 def null_key_flags(spec: TableSpec) -> dict[str, Column]:
@@ -53,10 +53,17 @@ def null_key_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
     return flagged_rows(rows, null_key_flags(spec), _kept(spec))
 
 
-def duplicate_records(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Later copies of a row, and all first copies of a key that has different rows. Null keys take no part."""
+def duplicate_records(
+    rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS, only: str | None = None
+) -> DataFrame:
+    """Later copies of a row, and all first copies of a key that has different rows. Null keys take no part.
+
+    `only` is ROW_DUPLICATE or KEY_DUPLICATE for one of the two; copies alone need no look at the other rows of a key.
+    """
     whole = rows.filter(none_null(spec.keys))
-    return flagged_rows(with_duplicate_flags(whole, spec, hot_rows), duplicate_flags(), _kept(spec))
+    flagged = with_duplicate_flags(whole, spec, hot_rows, copies_only=only == ROW_DUPLICATE, whole_keys=True)
+    flags = {name: flag for name, flag in duplicate_flags().items() if only in (None, name)}
+    return flagged_rows(flagged, flags, _kept(spec))
 
 
 def reject(flagged: DataFrame, spec: TableSpec) -> DataFrame:
@@ -76,7 +83,7 @@ def bad_records(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> D
 def clean_records(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The rows `bad_records` leaves. Null-key rows go before the shuffle: they are never clean and never a twin."""
     whole = rows.filter(none_null(spec.keys))
-    return accept(with_duplicate_flags(whole, spec, hot_rows), spec)
+    return accept(with_duplicate_flags(whole, spec, hot_rows, whole_keys=True), spec)
 
 
 def with_load_time(df: DataFrame) -> DataFrame:

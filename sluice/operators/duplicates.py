@@ -14,94 +14,121 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
-from sluice.functions.names import named, quoted
-from sluice.operators.skew import HOT_ROWS, key_counts, rows_with, rows_without, same_key
+from sluice.functions.names import OWN, named, quoted
+from sluice.operators.skew import (
+    HOT_ROWS,
+    SLOT,
+    Listed,
+    dealt,
+    in_all_slots,
+    listed_keys,
+    rows_with,
+    rows_without,
+    same_key,
+)
+from sluice.plans.sizes import BROADCAST_BYTES
 from sluice.plans.spec import TableSpec
 
 # The reasons for duplicates.
 ROW_DUPLICATE = "_row_duplicate"
 KEY_DUPLICATE = "_key_duplicate"
 
-SLOTS = 1 << 16
+COPY_SLOTS = 1 << 16
+ALONE, COPY, VERSIONS, LATER, CONFLICT = (f"{OWN}{n}" for n in ("alone", "copy", "versions", "later", "conflict"))
 
 
-def repeated_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """The keys with more than one row, and how many rows they have (`_rows`)."""
-    return key_counts(rows, spec.keys, above=1)
+def repeated_keys(rows: DataFrame, spec: TableSpec, limit: int = BROADCAST_BYTES) -> Listed:
+    """The keys with more than one row, and how many rows they have. Counts them once."""
+    return listed_keys(rows, spec.keys, 1, limit)
 
 
 def with_duplicate_flags(
-    rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS, repeated: DataFrame | None = None
+    rows: DataFrame,
+    spec: TableSpec,
+    hot_rows: int = HOT_ROWS,
+    repeated: Listed | None = None,
+    limit: int = BROADCAST_BYTES,
+    copies_only: bool = False,
+    whole_keys: bool = False,
 ) -> DataFrame:
-    """Add both flags. All rows pass one exchange; those of hot keys pass two. `repeated` saves counting the keys."""
-    if repeated is None:
-        hot = key_counts(rows, spec.keys, above=hot_rows)
-    else:
-        hot = repeated.filter(F.col("_rows") > hot_rows)
-    return _flag_by_key(rows_without(rows, hot, spec.keys), spec).unionByName(
-        _flag_spread(rows_with(rows, hot, spec.keys), spec)
-    )
+    """Add both flags. All rows pass one exchange; those of hot keys pass two, those with a null key none.
 
+    `repeated` saves counting the keys. `copies_only` leaves the flag of key duplicates false. `whole_keys` says that
+    rows with a null key have been left out.
+    """
+    hot = listed_keys(rows, spec.keys, hot_rows, limit) if repeated is None else repeated.above(hot_rows, limit)
+    whole = rows.filter(none_null(spec.keys))
+    flagged = _flag_by_key(rows_without(whole, hot), spec, copies_only)
+    if hot.count:
+        flagged = flagged.unionByName(_flag_spread(rows_with(whole, hot), spec, hot, copies_only))
+    if not whole_keys and any(rows.schema[k].nullable for k in spec.keys):
+        flagged = flagged.unionByName(_unflagged(rows.filter(~none_null(spec.keys))))
+    return flagged
 
-def flag_unrepeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame) -> DataFrame:
-    """The rows whose key is not in `repeated`, which must be small: they have no duplicates and need no shuffle."""
-    return rows_without(rows, repeated, spec.keys).withColumns(
-        {ROW_DUPLICATE: F.lit(False), KEY_DUPLICATE: F.lit(False)}
-    )
 
+def flag_unrepeated(rows: DataFrame, repeated: Listed) -> DataFrame:
+    """The rows whose key is not in `repeated`: they have no duplicates and, if the list is small, need no shuffle."""
+    return _unflagged(rows_without(rows, repeated))
 
-def flag_repeated(rows: DataFrame, spec: TableSpec, repeated: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The rows whose key is in `repeated`, which must be small, with both flags."""
-    some, hot = repeated.filter(F.col("_rows") <= hot_rows), repeated.filter(F.col("_rows") > hot_rows)
-    return _flag_by_key(rows_with(rows, some, spec.keys), spec).unionByName(
-        _flag_spread(rows_with(rows, hot, spec.keys), spec)
-    )
 
+def flag_repeated(
+    rows: DataFrame, spec: TableSpec, repeated: Listed, hot_rows: int = HOT_ROWS, limit: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The rows whose key is in `repeated`, with both flags."""
+    hot = repeated.above(hot_rows, limit)
+    some = rows_with(rows, repeated)
+    flagged = _flag_by_key(rows_without(some, hot), spec, False)
+    return flagged.unionByName(_flag_spread(rows_with(some, hot), spec, hot, False)) if hot.count else flagged
 
-def _flag_by_key(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """For keys of bounded size. Both windows use the one exchange and the one sort.
 
-    `_alone` gives each null-key row a group of its own, so that such rows neither meet nor gather in one task.
-    """
+def _unflagged(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({ROW_DUPLICATE: F.lit(False), KEY_DUPLICATE: F.lit(False)})
+
+
+def _flag_by_key(rows: DataFrame, spec: TableSpec, copies_only: bool) -> DataFrame:
+    """For keys of bounded size, none null. Both windows use the one exchange and the one sort."""
     group = quoted(spec.keys)
-    if any(rows.schema[k].nullable for k in spec.keys):
-        rows = rows.withColumn("_alone", F.when(~none_null(spec.keys), F.col("_sk")))
-        group.append("_alone")
     copies = Window.partitionBy(*group, *quoted(spec.non_keys)).orderBy("_sk")
-    return (
-        rows.repartition(*group)
-        .withColumn("_copy", F.row_number().over(copies))
-        .withColumn("_versions", F.count_if(F.col("_copy") == 1).over(Window.partitionBy(*group)))
-        .select(
-            *quoted(spec.column_names),
-            "_sk",
-            (F.col("_copy") > 1).alias(ROW_DUPLICATE),
-            ((F.col("_copy") == 1) & (F.col("_versions") > 1)).alias(KEY_DUPLICATE),
-        )
+    flagged = rows.repartition(*group).withColumn(COPY, F.row_number().over(copies))
+    conflict = F.lit(False)
+    if not copies_only:
+        flagged = flagged.withColumn(VERSIONS, F.count_if(F.col(COPY) == 1).over(Window.partitionBy(*group)))
+        conflict = (F.col(COPY) == 1) & (F.col(VERSIONS) > 1)
+    return flagged.select(
+        *quoted(spec.column_names), "_sk", (F.col(COPY) > 1).alias(ROW_DUPLICATE), conflict.alias(KEY_DUPLICATE)
     )
 
 
-def _flag_spread(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    """For keys of any size, none null. Copies of one row are numbered within slots, then the slots' firsts are."""
+def _flag_spread(rows: DataFrame, spec: TableSpec, hot: Listed, copies_only: bool) -> DataFrame:
+    """For the rows of hot keys. Copies of one row are numbered within slots, then the slots' firsts are."""
     content = quoted(spec.column_names)
-    in_slot = Window.partitionBy(*content, "_slot").orderBy("_sk")
-    of_firsts = Window.partitionBy(*content, "_later").orderBy("_sk")
+    in_slot = Window.partitionBy(*content, ALONE).orderBy("_sk")
+    of_firsts = Window.partitionBy(*content, LATER).orderBy("_sk")
     flagged = (
-        rows.withColumn("_slot", F.pmod(F.xxhash64("_sk"), F.lit(SLOTS)))
-        .withColumn("_later", F.when(F.row_number().over(in_slot) > 1, F.col("_sk")))
-        .withColumn(ROW_DUPLICATE, F.col("_later").isNotNull() | (F.row_number().over(of_firsts) > 1))
+        rows.withColumn(ALONE, F.pmod(F.xxhash64("_sk"), F.lit(COPY_SLOTS)))
+        .withColumn(LATER, F.when(F.row_number().over(in_slot) > 1, F.col("_sk")))
+        .withColumn(ROW_DUPLICATE, F.col(LATER).isNotNull() | (F.row_number().over(of_firsts) > 1))
     )
-    return flagged.join(F.broadcast(_conflicting_keys(rows, spec)), same_key(spec.keys), "left").select(
-        *content, "_sk", ROW_DUPLICATE, (F.col("_conflict").isNotNull() & ~F.col(ROW_DUPLICATE)).alias(KEY_DUPLICATE)
+    if copies_only:
+        return flagged.select(*content, "_sk", ROW_DUPLICATE, F.lit(False).alias(KEY_DUPLICATE))
+    conflicts = _conflicting_keys(rows, spec)
+    if hot.few:  # these keys are some of the hot ones, whose list has been measured
+        flagged = flagged.join(F.broadcast(conflicts), same_key(spec.keys), "left")
+    else:
+        slots = in_all_slots(conflicts).withColumnRenamed(SLOT, f"{SLOT}s")
+        flagged = dealt(flagged).join(slots, same_key(spec.keys) & (F.col(SLOT) == F.col(f"{SLOT}s")), "left")
+    return flagged.select(
+        *content, "_sk", ROW_DUPLICATE, (F.col(CONFLICT).isNotNull() & ~F.col(ROW_DUPLICATE)).alias(KEY_DUPLICATE)
     )
 
 
 def _conflicting_keys(rows: DataFrame, spec: TableSpec) -> DataFrame:
     """Keys with rows that differ: then the least and the greatest row differ. A task sends two rows per key."""
-    row = F.struct(*quoted(spec.non_keys), F.lit(0).alias("_end"))
+    row = F.struct(*quoted(spec.non_keys), F.lit(0).alias(f"{OWN}end"))
+    own = [f"{OWN}key_{k}" for k in spec.keys]
     return (
-        rows.groupBy(*[named(k).alias(f"_key_{k}") for k in spec.keys])
-        .agg(F.min(row).alias("_least"), F.max(row).alias("_greatest"))
-        .filter(~F.col("_least").eqNullSafe(F.col("_greatest")))
-        .select(*[named(f"_key_{k}") for k in spec.keys], F.lit(True).alias("_conflict"))
+        rows.groupBy(*[named(k).alias(o) for k, o in zip(spec.keys, own, strict=True)])
+        .agg(F.min(row).alias(f"{OWN}least"), F.max(row).alias(f"{OWN}greatest"))
+        .filter(~F.col(f"{OWN}least").eqNullSafe(F.col(f"{OWN}greatest")))
+        .select(*map(named, own), F.lit(True).alias(CONFLICT))
     )

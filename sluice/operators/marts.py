@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, IntegralType, StringType
 
-from sluice.functions.names import named
+from sluice.functions.names import OWN, check_names, named
 from sluice.operators.skew import HOT_ROWS, join_facts
+from sluice.plans.sizes import BROADCAST_BYTES
+
+SHOPS = f"{OWN}shops"
 
 
 def daily_sales(
@@ -27,7 +30,8 @@ def daily_sales(
 
 
 def repeated_shops(sales: DataFrame, shops: DataFrame, key: str = "shop_id") -> DataFrame:
-    """The keys with several shops, and how many (`_shops`). Nothing else of the shops bears on the result."""
+    """The keys with several shops, and how many (`SHOPS`). Nothing else of the shops bears on the result."""
+    check_names(sales.columns, shops.columns)
     ours, theirs = sales.schema[key].dataType, shops.schema[key].dataType
     shop = named(key)
     if isinstance(theirs, StringType) and not isinstance(ours, StringType):
@@ -36,8 +40,8 @@ def repeated_shops(sales: DataFrame, shops: DataFrame, key: str = "shop_id") ->
         shops.select(shop.alias(key))
         .filter(named(key).isNotNull())
         .groupBy(named(key))
-        .agg(F.count("*").alias("_shops"))
-        .filter("_shops > 1")
+        .agg(F.count("*").alias(SHOPS))
+        .filter(F.col(SHOPS) > 1)
     )
 
 
@@ -49,6 +53,7 @@ def sales_per_day(
     amount: str = "sales_amt",
     few_repeated: bool = False,
     hot_rows: int = HOT_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """`daily_sales`, given `repeated_shops`.
 
@@ -58,17 +63,18 @@ def sales_per_day(
     theirs = repeated.schema[key].dataType
     if isinstance(sales.schema[key].dataType, StringType) and not isinstance(theirs, StringType):
         sales = sales.withColumn(key, named(key).try_cast(theirs))
-    times = F.coalesce(F.col("_shops"), F.lit(1).cast("long"))
+    times = F.coalesce(F.col(SHOPS), F.lit(1).cast("long"))
     value = _summable(sales, amount)
-    total = F.sum(F.when(F.col("_shops").isNull(), value).otherwise(value * F.col("_shops")))
+    total = F.sum(F.when(F.col(SHOPS).isNull(), value).otherwise(value * F.col(SHOPS)))
     sales = sales.select(named(key), named(date), named(amount))
     if few_repeated:
         weighted = sales.join(F.broadcast(repeated), key, "left")
     else:
-        weighted = join_facts(sales, repeated, [key], "left", hot_rows)
+        weighted = join_facts(sales, repeated, [key], "left", hot_rows, limit)
     return (
         weighted.groupBy(named(date))
         .agg(
+            # The names of the mart's columns.
             F.floor(total).cast("long").alias("sum_sales"),
             F.floor(total / F.sum(F.when(value.isNotNull(), times))).cast("long").alias("avg_sales"),
             F.coalesce(F.sum(F.when(named(amount).isNotNull(), times)), F.lit(0).cast("long")).alias("bucket_count"),
@@ -78,6 +84,7 @@ def sales_per_day(
 
 
 def with_compute_date(df: DataFrame) -> DataFrame:
+    # Fixed value: the name of the mart's control column.
     return df.withColumn("compute_date", F.current_timestamp())
 
 

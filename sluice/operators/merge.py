@@ -6,55 +6,85 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from sluice.functions.flags import none_null
-from sluice.functions.names import named, quoted
-from sluice.operators.skew import HOT_ROWS, join_facts, key_counts, rows_with
+from sluice.functions.names import OWN, check_names, named, quoted
+from sluice.operators.skew import HOT_ROWS, join_spread, listed_keys, rows_with, rows_without
+from sluice.plans.sizes import BROADCAST_BYTES
+
+OLD, NEW = f"{OWN}old", f"{OWN}new"
 
 
 def merge(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], small_source: bool = False, hot_rows: int = HOT_ROWS
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    small_source: bool = False,
+    hot_rows: int = HOT_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every target row, replaced by the source row of its key if there is one, and the source rows no key matched.
 
     The result has the target's columns and types. A null key matches nothing. No target row may match several
     source rows; see `ambiguous_keys`. `small_source` says that the source has been found small enough to
-    broadcast: then the target is not shuffled.
+    broadcast: then the target is not shuffled. Otherwise one full outer join by key gives updates and inserts. Around it go
+    rows with a null key; rows of keys that are hot in the target, which meet their one source row by key and slot;
+    and source rows of keys that are hot in the source, which no target row can have.
     """
-    keys = list(keys)
-    source = _as_target(source, target)
-    new = source.filter(none_null(keys)).select(*quoted(keys), F.struct("*").alias("_new"))
+    check_names(target.columns, source.columns)
+    keys, source = list(keys), as_target(source, target)
     if small_source:
-        paired = target.join(F.broadcast(new), keys, "left")
-    else:
-        paired = join_facts(target, new, keys, "left", hot_rows)
+        return _merge_small(target, source, keys)
+    hot, many = listed_keys(target, keys, hot_rows, limit), listed_keys(source, keys, hot_rows, limit)
+    old, new = target.filter(none_null(keys)), source.filter(none_null(keys))
+    inserts = rows_without(new, hot)
+    both = _packed(rows_without(old, hot), keys, OLD).join(_packed(rows_without(inserts, many), keys, NEW), keys, "full")
+    merged = both.select(F.coalesce(NEW, OLD).alias(NEW)).select(f"{NEW}.*")
+    if hot.count:
+        spread = join_spread(_packed(rows_with(old, hot), keys, OLD), _packed(rows_with(new, hot), keys, NEW), keys, "left")
+        merged = merged.unionByName(spread.select(F.coalesce(NEW, OLD).alias(NEW)).select(f"{NEW}.*"))
+    if many.count:
+        merged = merged.unionByName(rows_with(inserts, many))
+    for side in (target, source):
+        if any(side.schema[k].nullable for k in keys):
+            merged = merged.unionByName(side.filter(~none_null(keys)))
+    return merged
+
+
+def _packed(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    return rows.select(*quoted(keys), F.struct(*quoted(rows.columns)).alias(name))
+
+
+def _merge_small(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+    new = _packed(source.filter(none_null(keys)), keys, NEW)
+    paired = target.join(F.broadcast(new), keys, "left")
     kept = paired.select(
-        *[
-            F.when(F.col("_new").isNotNull(), F.col("_new").getField(c)).otherwise(named(c)).alias(c)
-            for c in target.columns
-        ]
+        *[F.when(F.col(NEW).isNotNull(), F.col(NEW).getField(c)).otherwise(named(c)).alias(c) for c in target.columns]
     )
-    return kept.unionByName(_unmatched(target, source, keys, small_source, hot_rows))
+    # The keys that the two share are no more than the source has: they can be broadcast as well.
+    listed = source.filter(none_null(keys)).select(*quoted(keys)).distinct()
+    known = target.select(*quoted(keys)).join(F.broadcast(listed), keys, "left_semi").distinct()
+    return kept.unionByName(source.join(F.broadcast(known), keys, "left_anti"))
 
 
-def _unmatched(
-    target: DataFrame, source: DataFrame, keys: list[str], small_source: bool, hot_rows: int
+def ambiguous_keys(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES
 ) -> DataFrame:
-    known = target.select(*quoted(keys)).filter(none_null(keys))
-    if small_source:
-        known = rows_with(known, source, keys).distinct()
-        return source.join(F.broadcast(known), keys, "left_anti")
-    return join_facts(source, known.distinct(), keys, "left_anti", hot_rows)
-
-
-def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys of the target with several source rows, for which an update is not defined."""
-    columns = quoted(keys)
-    known = target.select(*columns).distinct()
-    return key_counts(source, keys, above=1).select(*columns).join(known, list(keys), "left_semi")
+    """Keys of the target with several source rows, for which an update is not defined. The target's rows are not
+    shuffled if such keys are few in the source, and not read if there are none."""
+    repeated = listed_keys(as_target(source, target), keys, 1, limit)
+    return rows_with(target.select(*quoted(keys)), repeated).distinct()
 
 
-def _as_target(source: DataFrame, target: DataFrame) -> DataFrame:
+def as_target(source: DataFrame, target: DataFrame, partitions: Sequence[str] = ()) -> DataFrame:
+    """The source in the target's columns and types. Text that a partition's name can't hold, '', is null there."""
     if set(target.columns) != set(source.columns):
         raise ValueError(f"the source has columns {source.columns}, the target {target.columns}")
-    return source.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
+    columns = []
+    for f in target.schema:
+        value = named(f.name).cast(f.dataType)
+        if f.name in partitions and isinstance(f.dataType, StringType):
+            value = F.when(value != "", value)
+        columns.append(value.alias(f.name))
+    return source.select(*columns)

@@ -1,64 +1,124 @@
 """Joins and splits that hold when one key has a large part of the rows.
 
-Keys are counted on the key columns alone, combined before the shuffle. Rows of keys above `hot_rows` are never
-shuffled by that key. At most rows / `hot_rows` keys can be above it, which bounds what is broadcast.
+Keys are counted on the key columns alone, combined before the shuffle, and the list of those above a bound is stored once and
+measured. Rows of listed keys are told from the others by broadcasting the list if it is small; otherwise list and
+rows meet by key and slot: rows are dealt over `SLOTS` slots and the list is repeated in each. Rows of a hot key
+are never shuffled by that key alone.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
-from sluice.functions.names import named, quoted
+from sluice.functions.names import OWN, named, quoted
+from sluice.plans.sizes import BROADCAST_BYTES, measured
+from sluice.sources.tables import written_once
 
 HOT_ROWS = 1_000_000
+SLOTS = 64
+ROWS, SLOT = f"{OWN}rows", f"{OWN}slot"
+
+
+@dataclass(frozen=True)
+class Listed:
+    """Keys, each once and none null, with their number of rows (`ROWS`), stored and measured."""
+
+    keys: tuple[str, ...]
+    rows: DataFrame
+    count: int
+    few: bool  # small enough to broadcast
+
+    def above(self, rows: int, limit: int = BROADCAST_BYTES) -> Listed:
+        """The keys with more rows than this."""
+        return _measured(self.rows.filter(F.col(ROWS) > rows), self.keys, limit)
 
 
 def key_counts(rows: DataFrame, keys: Sequence[str], above: int) -> DataFrame:
-    """The keys with more than `above` rows, and how many (`_rows`). Keys with a null are left out."""
+    """The keys with more than `above` rows, and how many (`ROWS`). Keys with a null are left out."""
     return (
-        rows.filter(none_null(keys))
-        .groupBy(*quoted(keys))
-        .agg(F.count("*").alias("_rows"))
-        .filter(F.col("_rows") > above)
+        rows.filter(none_null(keys)).groupBy(*quoted(keys)).agg(F.count("*").alias(ROWS)).filter(F.col(ROWS) > above)
     )
 
 
+def listed_keys(rows: DataFrame, keys: Sequence[str], above: int, limit: int = BROADCAST_BYTES) -> Listed:
+    """The keys of `rows` with more than `above` rows. Counts them once."""
+    counts = key_counts(rows, keys, above)
+    return _measured(written_once(counts.select(*[named(k).alias(_own(k)) for k in keys], ROWS)), tuple(keys), limit)
+
+
+def _measured(rows: DataFrame, keys: Sequence[str], limit: int) -> Listed:
+    return Listed(tuple(keys), rows, *measured(rows, limit))
+
+
+def _own(key: str) -> str:
+    return f"{OWN}key_{key}"
+
+
 def same_key(keys: Sequence[str]) -> Column:
     """Null-safe, so that no filter on one side is carried over to the other: then one broadcast serves all joins."""
-    return reduce(Column.__and__, [named(k).eqNullSafe(named(f"_key_{k}")) for k in keys])
+    return reduce(Column.__and__, [named(k).eqNullSafe(named(_own(k))) for k in keys])
+
+
+def rows_with(rows: DataFrame, listed: Listed) -> DataFrame:
+    """The rows whose key is listed."""
+    return _split(rows, listed, "left_semi")
+
+
+def rows_without(rows: DataFrame, listed: Listed) -> DataFrame:
+    """The rows whose key is not listed, those with a null key included."""
+    return _split(rows, listed, "left_anti")
+
+
+def _split(rows: DataFrame, listed: Listed, how: str) -> DataFrame:
+    if not listed.count:
+        return rows if how == "left_anti" else rows.filter(F.lit(False))
+    keys = listed.rows.drop(ROWS)
+    if listed.few:
+        return rows.join(F.broadcast(keys), same_key(listed.keys), how)
+    in_slots = in_all_slots(keys).withColumnRenamed(SLOT, f"{SLOT}s")
+    return dealt(rows).join(in_slots, same_key(listed.keys) & (F.col(SLOT) == F.col(f"{SLOT}s")), how).drop(SLOT)
 
 
-def rows_with(rows: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key is in `listed`, which must be small."""
-    return rows.join(_broadcast(listed, keys), same_key(keys), "left_semi")
+def dealt(rows: DataFrame) -> DataFrame:
+    """With a slot for each row, whatever it holds."""
+    return rows.withColumn(SLOT, F.pmod(F.monotonically_increasing_id(), F.lit(SLOTS)).cast("int"))
 
 
-def rows_without(rows: DataFrame, listed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows whose key is not in `listed`, which must be small."""
-    return rows.join(_broadcast(listed, keys), same_key(keys), "left_anti")
+def in_all_slots(rows: DataFrame) -> DataFrame:
+    """Each row once for each slot."""
+    return rows.withColumn(SLOT, F.explode(F.array([F.lit(k) for k in range(SLOTS)])))
 
 
-def _broadcast(listed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return F.broadcast(listed.select(*[named(k).alias(f"_key_{k}") for k in keys]))
+def join_spread(rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join by key and slot: for rows of hot keys and facts with one row for each. The planner may broadcast the facts."""
+    return dealt(rows).join(in_all_slots(facts), [*keys, SLOT], how).drop(SLOT)
 
 
 def join_facts(
-    rows: DataFrame, facts: DataFrame, keys: Sequence[str], how: str, hot_rows: int = HOT_ROWS
+    rows: DataFrame,
+    facts: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    hot_rows: int = HOT_ROWS,
+    limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """`left` or `left_anti` join with a table of any size, with one row per key (of those in `rows`) and no null key.
 
-    Rows of hot keys meet their facts by broadcast, rows with a null key meet none, all others by a shuffle.
+    Rows of hot keys meet their facts by key and slot, rows with a null key meet none, all others by a shuffle.
     """
     keys = list(keys)
-    hot = key_counts(rows, keys, above=hot_rows)
+    hot = listed_keys(rows, keys, hot_rows, limit)
     whole = rows.filter(none_null(keys))
-    spread = rows_with(whole, hot, keys).join(F.broadcast(rows_with(facts, hot, keys)), keys, how)
     alone = rows.filter(~none_null(keys))
     if how == "left":
         alone = alone.withColumns({f.name: F.lit(None).cast(f.dataType) for f in facts.schema if f.name not in keys})
-    return rows_without(whole, hot, keys).join(facts, keys, how).unionByName(spread).unionByName(alone)
+    joined = rows_without(whole, hot).join(facts, keys, how).unionByName(alone)
+    if hot.count:
+        joined = joined.unionByName(join_spread(rows_with(whole, hot), rows_with(facts, hot), keys, how))
+    return joined

@@ -8,28 +8,27 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.flags import any_of
-from sluice.functions.names import named, quoted
+from sluice.functions.flags import none_null
+from sluice.functions.names import OWN, named
 from sluice.operators.checks import accept, reject, with_load_time, with_row_id
 from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys, with_duplicate_flags
 from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
-from sluice.operators.merge import ambiguous_keys, merge
-from sluice.operators.skew import HOT_ROWS, key_counts
-from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast, hot_bound
+from sluice.operators.merge import ambiguous_keys, as_target, merge
+from sluice.operators.skew import HOT_ROWS, ROWS
+from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.plans.spec import TableSpec
 from sluice.sources.files import read_file, with_provenance
 from sluice.sources.tables import (
     drop_table,
+    finish_replacement,
     partition_columns,
     read_table,
-    replace_partitions,
-    replace_table,
+    replace_rows,
+    scratch_bytes,
     write_scratch_table,
     write_table,
 )
 
-LISTED_PARTITIONS = 1000
-
 
 def load_raw(spark: SparkSession, spec: TableSpec) -> None:
     """File to raw table, replacing it. No shuffle."""
@@ -42,27 +41,27 @@ def load_checked(
 ) -> None:
     """Raw table to bad-record table (appended) and clean table (by the spec's mode).
 
-    The repeated keys are written to a scratch table first. If they are few, only their rows are checked for
+    The repeated keys are counted and stored first. If they are few, only their rows are checked for
     duplicates, once, and kept for both outputs; all other rows go from the raw table to the outputs with no
-    shuffle. If they are many, all rows are, once, and both outputs are read from there.
+    shuffle: the raw table is read once for the keys, once for these rows and once for each output. If they are many, all
+    rows are checked, once, and both outputs are read from there.
     """
     rows = with_row_id(read_table(spark, spec.raw_table), spec)
-    scratch = [write_scratch_table(repeated_keys(rows, spec))]
+    repeated = repeated_keys(rows, spec, broadcast_bytes)
+    if repeated.few:
+        checked = flag_repeated(rows, spec, repeated, hot_rows, broadcast_bytes)
+    else:
+        checked = with_duplicate_flags(rows, spec, hot_rows, repeated, broadcast_bytes)
+    scratch = write_scratch_table(checked)
     try:
-        repeated = spark.table(scratch[0])
-        few = fits_broadcast(repeated, broadcast_bytes)
-        check = flag_repeated if few else with_duplicate_flags
-        hot_rows = hot_bound(repeated, hot_rows, broadcast_bytes)
-        scratch.append(write_scratch_table(check(rows, spec, hot_rows=hot_rows, repeated=repeated)))
-        flagged = spark.table(scratch[1])
-        if few:
-            flagged = flag_unrepeated(rows, spec, repeated).unionByName(flagged)
+        flagged = spark.table(scratch)
+        if repeated.few:
+            flagged = flag_unrepeated(rows, repeated).unionByName(flagged)
         # Few rows from many tasks: gather them into files of a useful size.
         write_table(reject(flagged, spec).hint("rebalance"), spec.bad_table, "append")
         write_table(with_load_time(accept(flagged, spec)), spec.clean_table, spec.write_mode)
     finally:
-        for name in scratch:
-            drop_table(spark, name)
+        drop_table(spark, scratch)
 
 
 def run(spark: SparkSession, specs: Iterable[TableSpec]) -> None:
@@ -90,43 +89,45 @@ def load_daily_sales(
     try:
         repeated = spark.table(scratch)
         few = fits_broadcast(repeated, broadcast_bytes)
-        write_table(with_compute_date(sales_per_day(sales, repeated, key, date, amount, few)), table, "overwrite")
+        per_day = sales_per_day(sales, repeated, key, date, amount, few, limit=broadcast_bytes)
+        write_table(with_compute_date(per_day), table, "overwrite")
     finally:
         drop_table(spark, scratch)
 
 
 def upsert_table(source: DataFrame, table: str, keys: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES) -> None:
-    """Merge `source` into `table`, whose partitioning stays.
+    """Merge `source` into `table`, which keeps its format, partitioning, comment and properties.
 
-    If the keys include the columns the table is partitioned by, only the partitions the source has rows for are
-    read and replaced. The old rows are in place until the merged ones are written in full.
+    The source is first put in the table's types, so that keys and partitions are compared as they will be written. If the
+    keys include the columns the table is partitioned by, only the partitions the source has rows for are read and
+    replaced. See `replace_rows` for what an interruption leaves; the next upsert of the table finishes it first.
     """
     spark = source.sparkSession
-    target = read_table(spark, table)
-    partitions = partition_columns(spark, table)
-    scratch = write_scratch_table(source)
+    finish_replacement(spark, table)
+    target, partitions = read_table(spark, table), partition_columns(spark, table)
+    by_partition = bool(partitions) and set(partitions) <= set(keys)
+    scratch = write_scratch_table(as_target(source, target, partitions))
     try:
         stored = spark.table(scratch)
-        if not key_counts(stored, keys, above=1).isEmpty() and not ambiguous_keys(target, stored, keys).isEmpty():
+        if by_partition:
+            target = _touched(target, stored, partitions, broadcast_bytes)
+        if not ambiguous_keys(target, stored, keys, broadcast_bytes).isEmpty():
             raise ValueError(f"several source rows have the key of one row of {table}")
-        touched = _touched(stored, partitions) if partitions and set(partitions) <= set(keys) else None
-        small = fits_broadcast(stored, broadcast_bytes)
-        if not partitions:
-            replace_table(merge(target, stored, keys, small), table)
-        elif touched is None:
-            replace_partitions(merge(target, stored, keys, small), table, partitions, all_of_them=True)
-        else:
-            replace_partitions(merge(target.filter(touched), stored, keys, small), table, partitions, all_of_them=False)
+        small = fits_broadcast(stored, broadcast_bytes, scratch_bytes(spark, scratch))
+        replace_rows(merge(target, stored, keys, small, limit=broadcast_bytes), table, by_partition)
     finally:
         drop_table(spark, scratch)
 
 
-def _touched(source: DataFrame, partitions: Sequence[str]) -> Column | None:
-    """A filter for the partitions the source has rows for, if these are not too many to list."""
-    values = source.select(*quoted(partitions)).distinct().limit(LISTED_PARTITIONS + 1).collect()
-    if len(values) > LISTED_PARTITIONS:
-        return None
-    return any_of(
-        reduce(Column.__and__, [named(p).eqNullSafe(F.lit(v)) for p, v in zip(partitions, value, strict=True)])
-        for value in values
-    )
+def _touched(target: DataFrame, source: DataFrame, partitions: Sequence[str], limit: int) -> DataFrame:
+    """The rows of the partitions that the source has rows for. A list of them that is measured as small is broadcast,
+    and then tells the scan which partitions to read; those with a null value are few and looked up apart."""
+    own = [f"{OWN}of_{p}" for p in partitions]
+    values = source.groupBy(*[named(p).alias(o) for p, o in zip(partitions, own, strict=True)])
+    values = values.agg(F.count("*").alias(ROWS)).filter(F.col(ROWS) > 0)
+    if fits_broadcast(values, limit):
+        values = F.broadcast(values)
+    pairs = [(named(p), named(o)) for p, o in zip(partitions, own, strict=True)]
+    whole = target.filter(none_null(partitions)).join(values, [p == o for p, o in pairs], "left_semi")
+    null = reduce(Column.__and__, [p.eqNullSafe(o) for p, o in pairs])
+    return whole.unionByName(target.filter(~none_null(partitions)).join(values, null, "left_semi"))

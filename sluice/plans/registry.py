@@ -14,6 +14,8 @@ REGISTRY_SCHEMA = (
     "pipeline_name string, file_path string, header string, delimiter string, table_name string, "
     "schema_detail map<string,string>, keys array<string>, write_mode string"
 )
+# As it is built, before names and types make the map.
+_BUILT_SCHEMA = REGISTRY_SCHEMA.replace("schema_detail map<string,string>", "names array<string>, types array<string>")
 
 
 def create_registry(spark: SparkSession, table: str) -> None:
@@ -28,8 +30,7 @@ def register(spark: SparkSession, table: str, spec: TableSpec) -> None:
     upsert_table(
         spark.createDataFrame(
             [(*row, list(spec.keys), spec.write_mode)],
-            "pipeline_name string, file_path string, header string, delimiter string, table_name string, "
-            "names array<string>, types array<string>, keys array<string>, write_mode string",
+            _BUILT_SCHEMA,
         )
         .withColumn("schema_detail", F.map_from_arrays("names", "types"))
         .drop("names", "types"),

@@ -11,17 +11,15 @@ BROADCAST_BYTES = 64 << 20
 ROW_BYTES, CELL_BYTES = 48, 16
 
 
-def hot_bound(counts: DataFrame, hot_rows: int, limit: int = BROADCAST_BYTES) -> int:
-    """`hot_rows`, or ten times it and so on, so that the keys of `counts` above it are few enough to broadcast."""
-    while not fits_broadcast(counts.filter(F.col("_rows") > hot_rows), limit):
-        hot_rows *= 10
-    return hot_rows
-
-
-def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the rows, hashed in memory, stay within `limit`. Runs one aggregate; one row comes back."""
+def measured(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[int, bool]:
+    """The number of rows, and whether they, hashed in memory, stay within `limit`. One aggregate; one row comes back."""
     if limit < 0:
         raise ValueError(f"the limit must not be negative, got {limit}")
     text = sum((F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
     rows, bytes_of_text = df.agg(F.count("*"), F.coalesce(F.sum(text), F.lit(0))).first()
-    return rows * (ROW_BYTES + CELL_BYTES * len(df.columns)) + bytes_of_text <= limit
+    return rows, rows * (ROW_BYTES + CELL_BYTES * len(df.columns)) + bytes_of_text <= limit
+
+
+def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, file_bytes: int = 0) -> bool:
+    """Whether the rows stay within `limit`. If they are files of more bytes, nothing is read to tell."""
+    return file_bytes <= limit and measured(df, limit)[1]

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
+from sluice.functions.names import check_names
 from sluice.sources.files import file_format
 
 WRITE_MODES = ("append", "overwrite")
 
-# Names the checks give to columns of their own.
-RESERVED = {"_sk", "reason", "_row_duplicate", "_key_duplicate", "_alone", "_copy", "_versions", "_slot", "_later"}
+# Names the checks give to columns of the result.
+RESERVED = {"_sk", "reason", "_row_duplicate", "_key_duplicate"}
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,7 @@ class TableSpec:
             raise ValueError(f"{self.name}: a column is declared twice")
         if RESERVED & {c.lower() for c in self.column_names}:
             raise ValueError(f"{self.name}: these column names are reserved: {sorted(RESERVED)}")
+        check_names(self.column_names)
         unknown = [k for k in self.keys if k not in self.column_names]
         if unknown or not self.keys:
             raise ValueError(f"{self.name}: keys must be declared columns, got {list(self.keys)}")

@@ -1,17 +1,15 @@
-"""Catalog tables: reads, writes, and scratch tables in the folder the cluster shares."""
+"""Catalog tables: reads, writes, replacement of rows, and scratch data in the folder the cluster shares."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from collections.abc import Sequence
-from functools import cache
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sluice.functions.names import quoted
 
-SCRATCH_DATABASE = "sluice_scratch"
+SCRATCH_DATABASE, PENDING = "sluice_scratch", "sluice_pending"
 
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
@@ -32,46 +30,54 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
-def replace_table(df: DataFrame, name: str) -> None:
-    """Put `df`, which may read the table, in its place. It is written beside the table; then the names change."""
+def replace_rows(df: DataFrame, name: str, only_its_partitions: bool = False) -> None:
+    """Put `df`, which may read the table, in place of its rows, or of those in the partitions it has rows for.
+
+    The table itself stays, with its format, partitioning, comment and properties. The new rows are written in full
+    beside the tables first, and the table is overwritten from there. If this second write is cut off, readers see a part
+    of the rows, and the copy is left: `finish_replacement` then writes it again. One replacement of a table at a time.
+    """
     spark = df.sparkSession
-    written, old = f"{name}__written", f"{name}__replaced"
-    write_table(df, written, "overwrite")
-    drop_table(spark, old)
-    spark.sql(f"ALTER TABLE {name} RENAME TO {old}")
-    spark.sql(f"ALTER TABLE {written} RENAME TO {name}")
-    drop_table(spark, old)
+    copy = f"{_pending(spark, name)}/{'partitions' if only_its_partitions else 'all'}-{uuid.uuid4().hex}"
+    df.select(*quoted(spark.table(name).columns)).write.parquet(copy)
+    _overwrite(spark, name, copy)
 
 
-def replace_partitions(df: DataFrame, name: str, partitions: Sequence[str], all_of_them: bool) -> None:
-    """Put `df`, which may read the table, in place of all its partitions or of those it has rows for.
+def finish_replacement(spark: SparkSession, name: str) -> None:
+    """Finish replacements of the table's rows that were cut off, or drop what they left before it was complete."""
+    files, path = _files(spark, _pending(spark, name))
+    for copy in sorted(str(f.getPath()) for f in files.listStatus(path)) if files.exists(path) else ():
+        if files.exists(_path(spark, f"{copy}/_SUCCESS")):
+            _overwrite(spark, name, copy)
+        else:
+            _delete(spark, copy)
 
-    Not every catalog can rename a partitioned table, so the rows are written to a scratch table first, and from
-    there. The scratch table is left if the second write fails.
-    """
-    spark = df.sparkSession
-    copy = write_scratch_table(df.select(*quoted(spark.table(name).columns)))
+
+def _overwrite(spark: SparkSession, name: str, copy: str) -> None:
     # The overwrite mode is a session setting; a session of its own leaves the caller's as it is.
     session = spark.newSession()
-    session.conf.set("spark.sql.sources.partitionOverwriteMode", "static" if all_of_them else "dynamic")
-    session.table(copy).hint("rebalance", *quoted(partitions)).write.insertInto(name, overwrite=True)
+    dynamic = copy.rsplit("/", 1)[-1].startswith("partitions-")
+    session.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic" if dynamic else "static")
+    rows, partitions = session.read.schema(spark.table(name).schema).parquet(copy), partition_columns(spark, name)
+    if partitions:
+        rows = rows.hint("rebalance", *quoted(partitions))
+    rows.write.insertInto(_full_name(spark, name), overwrite=True)
     spark.catalog.refreshTable(name)
-    drop_table(spark, copy)
+    _delete(spark, copy)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder `spark.checkpoint.dir` names. Only a local session, on its one machine, may leave it unset."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.conf.get("spark.master").startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder()
+def _full_name(spark: SparkSession, name: str) -> str:
+    return name if "." in name else f"{spark.catalog.currentDatabase()}.{name}"
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="sluice-")
+def _pending(spark: SparkSession, name: str) -> str:
+    return f"{shared_folder(spark)}/{PENDING}/{quote(_full_name(spark, name).lower(), safe='')}"
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder `spark.checkpoint.dir` names, or else one in the warehouse: both are shared by all executors."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_sluice"
 
 
 def scratch_path(spark: SparkSession, suffix: str = "") -> str:
@@ -87,5 +93,51 @@ def write_scratch_table(df: DataFrame) -> str:
     return name
 
 
+def scratch_bytes(spark: SparkSession, name: str) -> int:
+    """The size of a scratch table's files."""
+    files, path = _files(spark, f"{shared_folder(spark)}/{name.replace('.', '/')}")
+    return files.getContentSummary(path).getLength()
+
+
+def written_once(df: DataFrame) -> DataFrame:
+    """`df` computed once, kept by a checkpoint in the shared folder. Spark removes it when nothing refers to it any
+    more, where `spark.cleaner.referenceTracking.cleanCheckpoints` is set."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def drop_table(spark: SparkSession, name: str) -> None:
     spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def scratch_database(spark: SparkSession) -> tuple[str, str]:
+    """A new database in the shared folder, and a folder for files beside it."""
+    folder = scratch_path(spark)
+    database = f"{SCRATCH_DATABASE}_{folder.rsplit('/', 1)[-1]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{folder}/tables'")
+    return database, folder
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove all scratch files and databases of `scratch_path` and `scratch_database`. For when no result that reads them
+    is in use: results of queries are lazy, so only their reader can tell."""
+    for row in spark.sql(f"SHOW DATABASES LIKE '{SCRATCH_DATABASE}_*'").collect():
+        spark.sql(f"DROP DATABASE IF EXISTS {row[0]} CASCADE")
+    _delete(spark, f"{shared_folder(spark)}/{SCRATCH_DATABASE}_files")
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it knows it."""
+    found = _path(spark, path)
+    return found.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), found
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, found = _files(spark, path)
+    files.delete(found, True)

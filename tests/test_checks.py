@@ -3,7 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from shops import BAD, CLEAN_IDS, shop_spec, write_shops
+from shops import BAD, CLEAN_IDS, bad_with, reasons_of, shop_spec, write_shops
 
 from sluice import TableSpec
 from sluice.functions.flags import flags_to_rows
@@ -20,7 +20,7 @@ from sluice.operators.checks import (
     reject,
     with_row_id,
 )
-from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys
+from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys, with_duplicate_flags
 from sluice.sources.files import read_file, with_provenance
 
 
@@ -31,40 +31,37 @@ def shops(spark, tmp_path):
     return with_row_id(raw, spec), spec
 
 
-def as_dict(records):
-    rows = records.collect()
-    assert len({r._sk for r in rows}) == len(rows)
-    found = {(r.shop_id, r.shop_name): r.reason for r in rows}
-    assert len(found) == len(rows)
-    return found
-
-
-def with_reason(*reasons):
-    return {k: kept for k, v in BAD.items() if (kept := [r for r in v if r in reasons])}
+def checked(records):
+    """The reasons; each row has a number of its own."""
+    assert records.select("_sk").distinct().count() == records.count()
+    return reasons_of(records)
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 1])
 def test_bad_and_clean_shops(shops, hot_rows):
     rows, spec = shops
     bad = bad_records(rows, spec, hot_rows)
-    assert bad.columns == ["shop_id", "shop_name", "branch_name", "file_dt", "_sk", "reason"]
-    assert as_dict(bad) == BAD
+    assert bad.columns == ["stall", "label", "zone", "since", "_sk", "reason"]
+    assert checked(bad) == sorted(BAD, key=str)
     clean = clean_records(rows, spec, hot_rows)
-    assert clean.dtypes == [("shop_id", "int"), ("shop_name", "string"), ("branch_name", "string"), ("file_dt", "date")]
-    assert [r.shop_id for r in clean.sort("shop_id").collect()] == CLEAN_IDS
+    assert clean.dtypes == [("stall", "int"), ("label", "string"), ("zone", "string"), ("since", "date")]
+    assert [r.stall for r in clean.sort("stall").collect()] == CLEAN_IDS
 
 
 def test_single_checks(shops):
     rows, spec = shops
-    assert as_dict(invalid_records(rows, spec)) == with_reason("_is_file_dt_invalid", "_is_shop_id_invalid")
-    assert as_dict(null_key_records(rows, spec)) == with_reason("_is_shop_id_null")
-    assert as_dict(duplicate_records(rows, spec)) == with_reason("_row_duplicate", "_key_duplicate")
+    assert checked(invalid_records(rows, spec)) == bad_with("_is_since_invalid", "_is_stall_invalid")
+    assert checked(null_key_records(rows, spec)) == bad_with("_is_stall_null", "_is_zone_null")
+    assert checked(duplicate_records(rows, spec)) == bad_with("_row_duplicate", "_key_duplicate")
+    for only in ("_row_duplicate", "_key_duplicate"):
+        for hot_rows in (1, 1_000_000):
+            assert checked(duplicate_records(rows, spec, hot_rows, only)) == bad_with(only)
 
 
 def test_the_first_copy_is_kept(shops):
     rows, spec = shops
-    copies = rows.filter("shop_id = '5'").sort("_sk").collect()
-    assert [r._sk for r in duplicate_records(rows, spec).filter("shop_id = '5'").collect()] == [copies[1]._sk]
+    copies = rows.filter("stall = '46'").sort("_sk").collect()
+    assert [r._sk for r in duplicate_records(rows, spec).filter("stall = '46'").collect()] == [copies[1]._sk]
 
 
 def test_format_rules(spark):
@@ -79,6 +76,9 @@ def test_format_rules(spark):
     for data_type, expected in cases.items():
         df = spark.createDataFrame([(v,) for v in expected], "v string")
         assert {r.v: r.f for r in df.select("v", breaks_format("v", data_type).alias("f")).collect()} == expected
+    for name in ("INT", "Integer", " int ", "DATE"):
+        wrong = spark.createDataFrame([("-5",)], "v string").select(breaks_format("v", name).alias("f")).first().f
+        assert wrong, name
     numbers = spark.createDataFrame([(1,), (-1,), (None,)], "v int")
     assert [r.f for r in numbers.select(breaks_format("v", "int").alias("f")).collect()] == [False, True, False]
 
@@ -98,21 +98,22 @@ def test_text_that_does_not_fit_its_type_becomes_null(spark, ansi):
 def test_flags_to_rows(shops):
     rows, spec = shops
     flags = {**format_flags(spec), **null_key_flags(spec)}
-    long = flags_to_rows(rows.withColumns(flags), list(flags), ["shop_id", "shop_name", "_sk"])
-    assert long.columns == ["shop_id", "shop_name", "_sk", "reason", "status"]
+    long = flags_to_rows(rows.withColumns(flags), list(flags), ["stall", "label", "_sk"])
+    assert long.columns == ["stall", "label", "_sk", "reason", "status"]
     assert Counter(r.reason for r in long.collect()) == {
-        "_is_file_dt_invalid": 1,
-        "_is_shop_id_invalid": 1,
-        "_is_shop_id_null": 2,
+        "_is_since_invalid": 3,
+        "_is_stall_invalid": 5,
+        "_is_stall_null": 2,
+        "_is_zone_null": 1,
     }
-    assert flags_to_rows(rows, [], ["shop_id"]).collect() == []
+    assert flags_to_rows(rows, [], ["stall"]).collect() == []
 
 
 def test_spec_of_text_columns_only(shops):
     rows, spec = shops
     text = shop_spec("x.csv", columns=[(c, "string") for c in spec.column_names])
     assert invalid_records(rows, text).collect() == []
-    assert as_dict(bad_records(rows, text)) == with_reason("_is_shop_id_null", "_row_duplicate", "_key_duplicate")
+    assert checked(bad_records(rows, text)) == bad_with("_is_stall_null", "_is_zone_null", "_row_duplicate", "_key_duplicate")
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 1])
@@ -184,19 +185,23 @@ def expected_reasons(rows):
     return Counter(result)
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26])
 @pytest.mark.parametrize("way", ["by key", "hot above 1", "hot above 3", "few"])
-def test_random_tables(spark, way):
+def test_random_tables(spark, way, limit):
+    """With a limit of 0 every list of keys meets the rows by key and slot."""
     data = random_rows()
     spec = TableSpec("t", "t.csv", "t", COLUMNS, KEYS)
     raw = spark.createDataFrame(data, "t string, k1 string, k2 string, v string, d string")
     rows = with_row_id(raw.repartition(5), spec)
     hot_rows = {"by key": 1_000_000, "hot above 1": 1, "hot above 3": 3, "few": 4}[way]
     if way == "few":
-        repeated = repeated_keys(rows, spec)
-        flagged = flag_unrepeated(rows, spec, repeated).unionByName(flag_repeated(rows, spec, repeated, hot_rows))
+        repeated = repeated_keys(rows, spec, limit)
+        flagged = flag_unrepeated(rows, repeated).unionByName(flag_repeated(rows, spec, repeated, hot_rows, limit))
         bad, clean = reject(flagged, spec), accept(flagged, spec)
     else:
-        bad, clean = bad_records(rows, spec, hot_rows), clean_records(rows, spec, hot_rows)
+        flagged = with_duplicate_flags(rows, spec, hot_rows, limit=limit)
+        bad, clean = reject(flagged, spec), accept(flagged, spec)
+        assert limit == 0 or clean.count() == clean_records(rows, spec, hot_rows).count()
     expected = expected_reasons(data)
     rejected = Counter((tuple(r)[:5], tuple(r.reason)) for r in bad.collect())
     assert rejected == Counter({k: n for k, n in expected.items() if k[1]})

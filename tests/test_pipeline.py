@@ -1,16 +1,21 @@
+import os
 from datetime import date
+from types import SimpleNamespace
 
 import pytest
-from shops import BAD, CLEAN_IDS, shop_spec, write_shops
+from shops import BAD, CLEAN_IDS, LINES, reasons_of, shop_spec, write_shops
 
 from sluice import TableSpec, load_checked, load_raw, run
 from sluice.plans.pipeline import load_daily_sales
 from sluice.sources.files import file_format, read_file, with_provenance
-from sluice.sources.tables import create_or_replace_table, read_table, shared_folder, write_table
-
-
-def bad_reasons(spark, spec):
-    return {(r.shop_id, r.shop_name): r.reason for r in spark.table(spec.bad_table).collect()}
+from sluice.sources.tables import (
+    create_or_replace_table,
+    drop_scratch,
+    read_table,
+    scratch_database,
+    shared_folder,
+    write_table,
+)
 
 
 def scratch_tables(spark):
@@ -19,15 +24,15 @@ def scratch_tables(spark):
 
 def test_raw_table(spark, database, tmp_path):
     path = write_shops(tmp_path)
-    spec = shop_spec(path, f"{database}.shop_name")
+    spec = shop_spec(path, f"{database}.stalls")
     load_raw(spark, spec)
     load_raw(spark, spec)
-    raw = spark.table(f"{database}.shop_name_bronze")
+    raw = spark.table(f"{database}.stalls_bronze")
     assert dict(raw.dtypes) == {
-        "shop_id": "string",
-        "shop_name": "string",
-        "branch_name": "string",
-        "file_dt": "string",
+        "stall": "string",
+        "label": "string",
+        "zone": "string",
+        "since": "string",
         "_load_dt": "date",
         "_load_dttm": "timestamp",
         "_file_name": "string",
@@ -36,7 +41,7 @@ def test_raw_table(spark, database, tmp_path):
         "_file_mod": "timestamp",
     }
     rows = raw.collect()
-    assert len(rows) == 11
+    assert len(rows) == len(LINES) - 1
     assert {(r._file_name, r._file_size) for r in rows} == {(path.name, path.stat().st_size)}
     assert rows[0]._file_path.endswith(f"/{path.name}")
 
@@ -44,27 +49,27 @@ def test_raw_table(spark, database, tmp_path):
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
 @pytest.mark.parametrize("hot_rows", [1, 1_000_000])
 def test_checked_tables(spark, database, tmp_path, broadcast_bytes, hot_rows):
-    spec = shop_spec(write_shops(tmp_path), f"{database}.shop_name")
+    spec = shop_spec(write_shops(tmp_path), f"{database}.stalls")
     load_raw(spark, spec)
     load_checked(spark, spec, hot_rows, broadcast_bytes)
-    clean = spark.table(f"{database}.shop_name_silver")
+    clean = spark.table(f"{database}.stalls_silver")
     assert clean.dtypes == [
-        ("shop_id", "int"),
-        ("shop_name", "string"),
-        ("branch_name", "string"),
-        ("file_dt", "date"),
+        ("stall", "int"),
+        ("label", "string"),
+        ("zone", "string"),
+        ("since", "date"),
         ("load_dt", "date"),
         ("load_dttm", "timestamp"),
     ]
-    assert [r.shop_id for r in clean.sort("shop_id").collect()] == CLEAN_IDS
-    assert {r.file_dt for r in clean.collect()} == {date(2025, 11, 21)}
-    assert bad_reasons(spark, spec) == BAD
+    assert [r.stall for r in clean.sort("stall").collect()] == CLEAN_IDS
+    assert {r.since for r in clean.collect()} == {date(2024, 3, 1), date(2024, 3, 2), date(2024, 3, 6), None}
+    assert reasons_of(spark.table(spec.bad_table)) == sorted(BAD, key=str)
     assert scratch_tables(spark) == []
 
 
 @pytest.mark.parametrize("mode, times", [("overwrite", 1), ("append", 2)])
 def test_write_modes(spark, database, tmp_path, mode, times):
-    spec = shop_spec(write_shops(tmp_path), f"{database}.shop_name", write_mode=mode)
+    spec = shop_spec(write_shops(tmp_path), f"{database}.stalls", write_mode=mode)
     run(spark, [spec])
     run(spark, [spec])
     assert spark.table(spec.clean_table).count() == times * len(CLEAN_IDS)
@@ -74,31 +79,32 @@ def test_write_modes(spark, database, tmp_path, mode, times):
 def test_files_to_mart(spark, database, tmp_path):
     sales_path = str(tmp_path / "sales.parquet")
     sales = [
-        (1, 5, 2, "10.50", date(2025, 1, 1)),
-        (2, 6, 1, "4.00", date(2025, 1, 1)),
-        (2, 6, 1, "4.00", date(2025, 1, 1)),
-        (3, 5, 1, "1.00", date(2025, 1, 1)),
-        (3, 5, 9, "1.00", date(2025, 1, 1)),
-        (4, 1, 1, "7.25", date(2025, 1, 2)),
-        (-4, 1, 1, "7.25", date(2025, 1, 2)),
-        (None, 1, 1, "7.25", date(2025, 1, 2)),
+        (1, 46, 2, "10.50", date(2024, 4, 1)),
+        (2, 47, 1, "4.00", date(2024, 4, 1)),
+        (2, 47, 1, "4.00", date(2024, 4, 1)),
+        (3, 46, 1, "1.00", date(2024, 4, 1)),
+        (3, 46, 9, "1.00", date(2024, 4, 1)),
+        (4, 41, 1, "7.25", date(2024, 4, 2)),
+        (-4, 40, 1, "7.25", date(2024, 4, 2)),
+        (None, 40, 1, "7.25", date(2024, 4, 2)),
     ]
-    schema = "transaction_id int, shop_id int, sales_qty int, sales_amt string, sales_date date"
+    schema = "ticket int, stall int, pieces int, paid string, day date"
     spark.createDataFrame(sales, schema).write.parquet(sales_path)
-    numbers = {"transaction_id": "int", "shop_id": "int", "sales_qty": "int", "sales_amt": "decimal(18,2)"}
-    columns = {**numbers, "sales_date": "date"}
-    fact = TableSpec("fact_sales", sales_path, f"{database}.fact_sales", columns, ["transaction_id", "shop_id"])
-    shop = shop_spec(write_shops(tmp_path), f"{database}.shop_name")
+    columns = {"ticket": "int", "stall": "int", "pieces": "int", "paid": "decimal(18,2)", "day": "date"}
+    fact = TableSpec("tickets", sales_path, f"{database}.tickets", columns, ["ticket", "stall"])
+    shop = shop_spec(write_shops(tmp_path), f"{database}.stalls")
     run(spark, [shop, fact])
-    load_daily_sales(spark.table(fact.clean_table), spark.table(shop.clean_table), f"{database}.mart")
+    clean = spark.table(fact.clean_table), spark.table(shop.clean_table)
+    load_daily_sales(*clean, f"{database}.mart", key="stall", date="day", amount="paid")
     mart = spark.table(f"{database}.mart").drop("compute_date").withColumnRenamed("max_sales", "m")
-    assert [(*r[:4], str(r.m)) for r in mart.sort("sales_date").collect()] == [
-        (date(2025, 1, 1), 14, 7, 2, "10.50"),
-        (date(2025, 1, 2), 7, 7, 1, "7.25"),
+    # Stall 41 stands in two zones: its ticket counts twice.
+    assert [(*r[:4], str(r.m)) for r in mart.sort("day").collect()] == [
+        (date(2024, 4, 1), 14, 7, 2, "10.50"),
+        (date(2024, 4, 2), 14, 7, 2, "7.25"),
     ]
-    assert sorted((r.transaction_id or 0, r.reason[0]) for r in spark.table(fact.bad_table).collect()) == [
-        (-4, "_is_transaction_id_invalid"),
-        (0, "_is_transaction_id_null"),
+    assert sorted((r.ticket or 0, r.reason[0]) for r in spark.table(fact.bad_table).collect()) == [
+        (-4, "_is_ticket_invalid"),
+        (0, "_is_ticket_null"),
         (2, "_row_duplicate"),
         (3, "_key_duplicate"),
         (3, "_key_duplicate"),
@@ -106,7 +112,7 @@ def test_files_to_mart(spark, database, tmp_path):
 
 
 def test_format_by_extension():
-    assert file_format("/a/b.c/shops_20251121.csv") == "csv"
+    assert file_format("/a/b.c/stalls_20240310.csv") == "csv"
     assert file_format("s3://bucket/sales.parquet/") == "parquet"
     for path in ("/a/b.json", "/a/csv/", "/a/b.CSV"):
         with pytest.raises(ValueError):
@@ -138,12 +144,23 @@ def test_spec_is_checked():
         {"keys": ["nope"]},
         {"write_mode": "ignore"},
         {"path": "x.json"},
-        {"columns": {"shop_id": "int", "_sk": "int"}},
-        {"columns": [("shop_id", "int"), ("shop_id", "int")]},
+        {"columns": {"stall": "int", "zone": "string", "_sk": "int"}},
+        {"columns": {"stall": "int", "zone": "string", "_sluice_rows": "int"}},
+        {"columns": [("stall", "int"), ("zone", "int"), ("stall", "int")]},
     ):
         with pytest.raises(ValueError):
             shop_spec(**{"path": "x.csv", **changes})
 
 
-def test_shared_folder_is_the_one_the_session_names(spark):
+def test_shared_folder_is_the_one_the_session_names_or_in_the_warehouse(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+    unset = SimpleNamespace(conf=SimpleNamespace(get=lambda name, *_: "/wh/" if "warehouse" in name else None))
+    assert shared_folder(unset) == "/wh/_sluice"
+
+
+def test_scratch_is_removed_when_asked(spark):
+    database, folder = scratch_database(spark)
+    spark.range(2).write.saveAsTable(f"{database}.t")
+    spark.range(2).write.parquet(f"{folder}/x")
+    drop_scratch(spark)
+    assert not spark.catalog.databaseExists(database) and not os.path.exists(folder)

@@ -5,10 +5,18 @@ import re
 import pytest
 from shops import shop_spec
 
-from sluice.operators.checks import bad_records, clean_records, invalid_records, null_key_records, with_row_id
+from sluice.operators.checks import (
+    bad_records,
+    clean_records,
+    duplicate_records,
+    invalid_records,
+    null_key_records,
+    with_row_id,
+)
 from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys
 from sluice.operators.marts import daily_sales
 from sluice.operators.merge import merge
+from sluice.operators.skew import key_counts
 
 
 @pytest.fixture(scope="module")
@@ -16,16 +24,16 @@ def shops(spark, tmp_path_factory):
     """A table with two keys that repeat and 98 that do not; `extra` is in no spec."""
     path = str(tmp_path_factory.mktemp("plans") / "shops.parquet")
     spark.range(100).selectExpr(
-        "cast(if(id < 4, id % 2, id) as string) as shop_id",
-        "concat('n', id) as shop_name",
-        "'b' as branch_name",
-        "'2025-11-21' as file_dt",
+        "cast(if(id < 4, id % 2, id) as string) as stall",
+        "concat('n', id) as label",
+        "'b' as zone",
+        "'2024-03-10' as since",
         "id as extra",
     ).write.parquet(path)
-    return with_row_id(spark.read.parquet(path), shop_spec("x.csv"))
+    return with_row_id(spark.read.parquet(path), SPEC)
 
 
-SPEC = shop_spec("x.csv")
+SPEC = shop_spec("x.csv", keys=["stall"])
 
 
 def initial(df):
@@ -51,44 +59,50 @@ def test_row_checks_do_not_shuffle(shops, records):
 
 
 def test_one_shuffle_and_one_sort_for_both_windows(shops):
+    """Rows with a null key go around both."""
     plan = final(bad_records(shops, SPEC))
     assert (shuffles(plan), plan.count("Window "), plan.count("Sort ")) == (1, 2, 1)
 
 
-@pytest.mark.parametrize("records", [bad_records, clean_records])
-def test_without_hot_keys_the_rows_are_read_once(shops, records):
-    plan = final(records(shops, SPEC))
-    assert read_columns(plan) == [["branch_name", "file_dt", "shop_id", "shop_name"]]
-    assert "Python" not in plan
+def test_without_hot_keys_the_rows_are_read_once_and_null_keys_once_more(shops):
+    columns = ["label", "since", "stall", "zone"]
+    assert read_columns(final(clean_records(shops, SPEC))) == [columns]
+    assert read_columns(final(bad_records(shops, SPEC))) == [columns, columns]
+    assert "Python" not in final(bad_records(shops, SPEC))
+
+
+def test_copies_alone_need_one_window(shops):
+    plan = final(duplicate_records(shops, SPEC, only="_row_duplicate"))
+    assert (shuffles(plan), plan.count("Window ")) == (1, 1)
 
 
 def test_keys_are_counted_on_key_columns_alone(shops):
-    plan = final(repeated_keys(shops, SPEC))
-    assert read_columns(plan) == [["shop_id"]]
-    assert "PushedFilters: [IsNotNull(shop_id)]" in plan
+    plan = final(key_counts(shops, SPEC.keys, above=1))
+    assert read_columns(plan) == [["stall"]]
+    assert "PushedFilters: [IsNotNull(stall)]" in plan
     assert "partial_count" in plan
 
 
 def test_rows_with_a_key_of_their_own_are_not_shuffled(spark, shops):
-    repeated = spark.createDataFrame(repeated_keys(shops, SPEC).collect(), "shop_id string, _rows bigint")
-    once = flag_unrepeated(shops, SPEC, repeated)
+    repeated = repeated_keys(shops, SPEC)
+    once = flag_unrepeated(shops, repeated)
     assert shuffles(initial(once)) == 0 and once.count() == 96
     assert flag_repeated(shops, SPEC, repeated).count() == 4
 
 
 def test_upsert_with_a_small_source_does_not_shuffle_the_target(spark, shops, tmp_path):
     target = shops.drop("_sk")
-    source = target.limit(3).withColumn("branch_name", target.file_dt)
-    plan = final(merge(target, source, ["shop_id", "shop_name"], small_source=True))
+    source = target.limit(3).withColumn("zone", target.since)
+    plan = final(merge(target, source, ["stall", "label"], small_source=True))
     assert "SortMergeJoin" not in plan
     carried = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
-    assert all("branch_name" not in columns for columns in carried)
+    assert all("zone" not in columns for columns in carried)
 
 
 def test_mart_needs_one_combined_shuffle(spark, shops):
     sales = spark.read.parquet(shops.inputFiles()[0].rsplit("/", 1)[0]).selectExpr(
-        "shop_id", "date(file_dt) as sales_date", "cast(extra as decimal(18,2)) as sales_amt"
+        "stall as shop_id", "date(since) as sales_date", "cast(extra as decimal(18,2)) as sales_amt"
     )
-    once = shops.select("shop_id").distinct()
+    once = shops.selectExpr("stall as shop_id").distinct()
     plan = final(daily_sales(sales, once, few_repeated=True))
     assert "Join" not in plan and shuffles(plan) == 1 and "partial_sum" in plan

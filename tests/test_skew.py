@@ -10,7 +10,7 @@ from sluice.operators import duplicates
 from sluice.operators.checks import bad_records, with_row_id
 from sluice.operators.duplicates import with_duplicate_flags
 from sluice.operators.merge import merge
-from sluice.operators.skew import join_facts, key_counts
+from sluice.operators.skew import join_facts, key_counts, listed_keys, rows_with, rows_without
 
 ROWS = 60_000
 NO_BROADCAST = {
@@ -61,7 +61,7 @@ def largest_task(df):
 
 
 def test_hot_keys_and_hot_copies_are_spread(spark, monkeypatch):
-    monkeypatch.setattr(duplicates, "SLOTS", 64)
+    monkeypatch.setattr(duplicates, "COPY_SLOTS", 64)
     with sixteen_tasks(spark):
         rows = with_row_id(hot_rows(spark), SPEC)
         assert largest_task(with_duplicate_flags(rows, SPEC, hot_rows=1000)) < ROWS / 16 * 1.5
@@ -70,18 +70,47 @@ def test_hot_keys_and_hot_copies_are_spread(spark, monkeypatch):
 
 
 def test_without_hot_keys_one_exchange_carries_the_rows(spark):
-    """The counts find none above the bound, and the adaptive planner drops the other way."""
+    """The counts find none above the bound, and there is no other way in the plan."""
     rows = with_row_id(spark.range(0, ROWS, 1, 8).selectExpr("cast(id as string) as k", "'x' as v"), SPEC)
     flagged = with_duplicate_flags(rows, SPEC)
     assert flagged.collect() and plan(flagged).count("Exchange hashpartitioning") == 1
     assert "Join" not in plan(flagged)
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_nothing_is_broadcast_that_is_not_measured_as_small(spark, monkeypatch, limit):
+    """With a limit of 0 nothing is broadcast, and no task gets more than its share."""
+    monkeypatch.setattr(duplicates, "COPY_SLOTS", 64)
+    with sixteen_tasks(spark, **NO_BROADCAST):
+        rows = with_row_id(hot_rows(spark), SPEC)
+        flagged = with_duplicate_flags(rows, SPEC, hot_rows=1000, limit=limit)
+        assert largest_task(flagged) < ROWS / 16 * 1.6
+        assert ("Broadcast" in plan(flagged)) == (limit > 0)
+        facts = spark.range(ROWS).selectExpr("cast(id as string) as k", "id as n")
+        joined = join_facts(rows.drop("_sk"), facts, ["k"], "left", hot_rows=1000, limit=limit)
+        assert largest_task(joined) < ROWS / 16 * 1.6
+        assert ("Broadcast" in plan(joined)) == (limit > 0)
+        target = rows.select("k", "v").filter("k != '8'")
+        source = facts.selectExpr("k", "'new' as v")
+        merged = merge(target, source, ["k"], hot_rows=1000, limit=limit)
+        assert largest_task(merged) < ROWS / 16 * 1.6
+        assert ("Broadcast" in plan(merged)) == (limit > 0)
+
+
+@pytest.mark.parametrize("limit", [0, 1 << 26])
+def test_a_list_of_keys_splits_rows(spark, limit):
+    rows = hot_rows(spark)
+    listed = listed_keys(rows, ["k"], 1000, limit)
+    assert listed.few == (limit > 0) and listed.count == 2
+    assert {r.k for r in rows_with(rows, listed).distinct().collect() if r.k in "78"} == {"7", "8"}
+    assert rows_with(rows, listed).count() == ROWS * 2 // 3 and rows_without(rows, listed).count() == ROWS // 3
+
+
 def test_null_keys_are_spread(spark):
     with sixteen_tasks(spark):
         nulls = hot_rows(spark).withColumn("k", F.expr("nullif(k, '7')"))
         rows = with_row_id(nulls.filter("k is null or v != 'same'"), SPEC)
-        assert largest_task(with_duplicate_flags(rows, SPEC)) < ROWS / 16
+        assert largest_task(with_duplicate_flags(rows, SPEC)) < ROWS / 8
 
 
 @pytest.mark.parametrize("how", ["left", "left_anti"])
@@ -109,3 +138,28 @@ def test_upsert_with_a_hot_key_in_the_target(spark):
         rows = merged.collect()
         assert len(rows) == ROWS + inserted
         assert sum(r.v == "new" for r in rows) == updated + inserted
+
+
+def test_upsert_with_half_of_the_source_in_a_key_that_the_target_lacks(spark):
+    source = spark.range(0, ROWS, 1, 8).selectExpr("cast(if(id % 2 = 0, -1, id) as string) as k", "'new' as v")
+    target = spark.range(0, ROWS, 1, 8).selectExpr("cast(id * 3 as string) as k", "'old' as v")
+    with sixteen_tasks(spark, **NO_BROADCAST):
+        merged = merge(target, source, ["k"], hot_rows=1000)
+        assert largest_task(merged) < ROWS / 8
+        counts = {r.v: r["count"] for r in merged.groupBy("v").count().collect()}
+        assert counts["new"] == ROWS and counts["old"] == ROWS - source.join(target, "k", "left_semi").count()
+
+
+def test_upsert_reads_and_shuffles_each_side_once(spark, tmp_path):
+    """Besides the key counts, with no hot keys: each side is scanned twice, for the join and for null keys."""
+    for name, first in (("target", 0), ("source", 500)):
+        spark.range(first, first + 1000).selectExpr("cast(id as string) as k", "id as v").write.parquet(str(tmp_path / name))
+    with settings(spark, **NO_BROADCAST):
+        target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+        merged = merge(target, source, ["k"])
+        assert merged.count() == 1500
+        merged.collect()
+        text = plan(merged)
+    for name in ("target", "source"):
+        assert text.count(f"{tmp_path}/{name}") <= 2
+    assert text.count("Exchange hashpartitioning") == 2 and text.count("SortMergeJoin") == 1
