@@ -98,18 +98,19 @@ def fit(
     marks, dense, y, fold = _matrix(sample, vocabulary, len(categories), sample_rows, folds)
     mean, spread = (dense.mean(0), dense.std(0)) if len(dense) else (np.zeros(len(_KINDS)), np.ones(len(_KINDS)))
     spread = np.where(spread > 0, spread, 1.0)
-    x = np.zeros((len(y), len(vocabulary) + len(mean)), np.float32)
+    # One matrix for all models: words and stems, shares, then a column for each earlier category.
+    own = len(vocabulary) + len(mean)
+    x = np.zeros((len(y), own + len(categories) - 1), np.float32)
     for row, ids in zip(x, marks):
         row[ids] = 1
-    x[:, len(vocabulary) :] = (dense - mean) / spread
+    x[:, len(vocabulary) : own] = (dense - mean) / spread
     weights = []
     for j in range(len(categories)):
-        weights.append(_fit_one(x, y[:, j]))
-        unseen = np.zeros(len(y), np.float32)
+        seen = x[:, : own + j]
+        weights.append(_fit_one(seen, y[:, j], np.ones(len(y), bool)))
         for f in range(folds) if j + 1 < len(categories) else ():
-            w = _fit_one(x[fold != f], y[fold != f, j])
-            unseen[fold == f] = _logistic(x[fold == f] @ w[:-1] + w[-1])
-        x = np.column_stack([x, unseen])
+            w = _fit_one(seen, y[:, j], fold != f)
+            x[fold == f, own + j] = _logistic(seen[fold == f] @ w[:-1] + w[-1])
     return Chain(tuple(categories), vocabulary, mean, spread, tuple(weights))
 
 
@@ -188,17 +189,17 @@ def _logistic(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _fit_one(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 60) -> np.ndarray:
-    """Weights and bias of a logistic regression with an L2 penalty."""
-    w = np.zeros(x.shape[1] + 1)
-    if not len(y) or y.min() == y.max():
-        w[-1] = 30.0 if len(y) and y[0] else -30.0
+def _fit_one(x: np.ndarray, y: np.ndarray, used: np.ndarray, penalty: float = 1.0, steps: int = 60) -> np.ndarray:
+    """Weights and bias of a logistic regression on the rows in `used`, with an L2 penalty."""
+    w, found = np.zeros(x.shape[1] + 1), y[used]
+    if not len(found) or found.min() == found.max():
+        w[-1] = 30.0 if len(found) and found[0] else -30.0
         return w
 
     def loss(w: np.ndarray) -> tuple[float, np.ndarray]:
         z = (x @ w[:-1].astype(np.float32) + w[-1]).astype(np.float64)
-        off = _logistic(z) - y
-        value = np.logaddexp(0, z).sum() - y @ z + penalty * (w[:-1] @ w[:-1]) / 2
+        off = np.where(used, _logistic(z) - y, 0.0)
+        value = (np.logaddexp(0, z) - y * z)[used].sum() + penalty * (w[:-1] @ w[:-1]) / 2
         return value, np.append(off.astype(np.float32) @ x + penalty * w[:-1], off.sum())
 
     return minimised(loss, w, steps)

@@ -48,7 +48,8 @@ def test_toxicity_chain(spark):
 def test_earlier_categories_are_predicted_out_of_fold(spark, monkeypatch):
     rows, labels = toxic_corpus(120, 2)
     seen = []
-    monkeypatch.setattr(toxicity, "_fit_one", lambda x, y, fit=toxicity._fit_one: seen.append(x.shape) or fit(x, y))
+    fit = toxicity._fit_one
+    monkeypatch.setattr(toxicity, "_fit_one", lambda x, y, used: seen.append((int(used.sum()), x.shape[1])) or fit(x, y, used))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     known = spark.createDataFrame(labels, "doc_id long, junk int, toxic int")
     toxicity.fit(docs, known, ["junk", "toxic"], folds=3)
