@@ -90,20 +90,17 @@ def host_verdicts(rows: DataFrame, rules: Mapping[str, str], limit: float) -> Da
         F.count("*").alias("n"), *[F.sum(F.expr(rule).cast("long")).alias(f"f_{name}") for name, rule in rules.items()]
     )
     counts = stored(counts)
-    priors = counts.select(F.sum("n").alias("all"), F.count("*").alias("hosts"), *[F.sum(f"f_{r}").alias(f"s_{r}") for r in rules])
-    both = counts.join(F.broadcast(priors), F.lit(True))
-    # The spread of the hosts' rates beyond what drawing n documents gives; one row, as are the sums above.
-    spread = both.select(*[
-        (F.sum(F.col("n") * (F.col(f"f_{r}") / F.col("n") - F.col(f"s_{r}") / F.col("all")) ** 2) / F.first("all")).alias(f"v_{r}") for r in rules
-    ])
-    both = both.join(F.broadcast(spread), F.lit(True))
+    sums = counts.agg(F.sum("n").alias("n"), F.count("*").alias("hosts"), *[F.sum(f"f_{r}").alias(r) for r in rules]).first()
+    total = sums["n"] or 1
+    mean = {r: (sums[r] or 0) / total for r in rules}
+    # The spread of the hosts' rates beyond what drawing n documents gives.
+    squares = [F.sum(F.col("n") * (F.col(f"f_{r}") / F.col("n") - F.lit(mean[r])) ** 2).alias(r) for r in rules]
+    spread = counts.agg(*squares).first()
     rates = []
     for r in rules:
-        mean = F.col(f"s_{r}") / F.col("all")
-        noise = mean * (1 - mean)
-        beyond = F.col(f"v_{r}") - noise * F.col("hosts") / F.col("all")
-        weight = F.when(beyond > 0, noise / F.when(beyond > 0, beyond) - 1).otherwise(MOST_PRIOR)
-        weight = F.greatest(F.lit(LEAST_PRIOR), F.least(F.lit(MOST_PRIOR), weight))
-        rates.append(((F.col(f"f_{r}") + weight * mean) / (F.col("n") + weight)).alias(f"rate_{r}"))
-    rates = both.select("host", "n", *rates)
+        noise = mean[r] * (1 - mean[r])
+        beyond = (spread[r] or 0.0) / total - noise * sums["hosts"] / total
+        weight = max(LEAST_PRIOR, min(MOST_PRIOR, noise / beyond - 1 if beyond > 0 else MOST_PRIOR))
+        rates.append(((F.col(f"f_{r}") + F.lit(weight * mean[r])) / (F.col("n") + F.lit(weight))).alias(f"rate_{r}"))
+    rates = counts.select("host", "n", *rates)
     return rates.withColumn("host_rejected", F.greatest(F.lit(0.0), *[F.col(f"rate_{r}") for r in rules]) > limit)
