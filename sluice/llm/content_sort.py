@@ -25,6 +25,10 @@ from pyspark.sql import types as T
 from sluice.llm.common import BLANKS, bounded_batches, stored, whole_row, without_blanks
 
 PREFIX_CHARS = 48
+_RUNS = (
+    "part int, run long, doc_id long, head_id long, run_rows long, head boolean, n_chars int, text_sha256 string, "
+    "edge_text string"
+)
 _DELETED = BLANKS.encode()
 
 
@@ -54,9 +58,9 @@ def _settled(docs: DataFrame, text: str, doc_id: str, carry: bool) -> tuple[Data
     The second is broadcast: it has about two short rows for each partition, however many rows there are.
     """
     runs = stored(_runs(docs, text, doc_id, carry))
-    edges = runs.filter("edge_text is not null").select(
-        "edge_text", "part", "run", "run_rows", F.struct(-F.col("n_chars"), F.col("head_id").isNull(), "head_id", "part", "run").alias("rank")
-    )
+    rank = F.struct(-F.col("n_chars"), F.col("head_id").isNull(), "head_id", "part", "run")
+    edges = runs.filter("edge_text is not null")
+    edges = edges.select("edge_text", "part", "run", "run_rows", rank.alias("rank"))
     best = edges.groupBy("edge_text").agg(F.min("rank").alias("best"), F.sum("run_rows").alias("total"))
     settled = edges.join(best, "edge_text").select(
         "part", "run", "total", F.col("best.head_id").alias("won_id"), (F.col("rank") == F.col("best")).alias("won")
@@ -82,12 +86,7 @@ def _runs(docs: DataFrame, text: str, doc_id: str, carry: bool) -> DataFrame:
     if carry:
         rows = rows.withColumn("text", F.coalesce(F.col("row").getField(text), F.lit("")))
     kind = rows.schema["row"].dataType
-    schema = T.StructType(
-        [T.StructField(n, t) for n, t in (
-            ("part", T.IntegerType()), ("run", T.LongType()), ("doc_id", T.LongType()), ("head_id", T.LongType()), ("run_rows", T.LongType()),
-            ("head", T.BooleanType()), ("n_chars", T.IntegerType()), ("text_sha256", T.StringType()), ("edge_text", T.StringType()), ("row", kind),
-        )]
-    )
+    schema = T.StructType.fromDDL(_RUNS).add("row", kind)
     return rows.select("doc_id", F.col("text").cast("binary").alias("text"), "prefix", "hash", "less", "row").mapInArrow(
         _marker(carry), schema
     )
@@ -131,12 +130,13 @@ def _marker(carry: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
 
 def _written(part: int, runs: list[tuple[_Run, bool]], carry: bool, kind: pa.DataType) -> pa.RecordBatch:
-    """Columns in the order of the schema in `_runs`; with `carry`, the first row of each run only."""
+    """Columns in the order of `_RUNS`; with `carry`, the first row of each run only."""
     out: list[list] = [[] for _ in range(8)]
     for run, edge in runs:
         sha = hashlib.sha256(run.text).hexdigest()
         for i, doc_id in enumerate(run.ids[:1] if carry else run.ids):
-            values = (run.number, doc_id, run.ids[0], len(run.ids), i == 0, run.n_chars, sha, run.text.decode() if edge and i == 0 else None)
+            edge_text = run.text.decode() if edge and i == 0 else None
+            values = (run.number, doc_id, run.ids[0], len(run.ids), i == 0, run.n_chars, sha, edge_text)
             for column, value in zip(out, values):
                 column.append(value)
     rows = pa.concat_arrays([r.row for r, _ in runs]) if carry else pa.nulls(len(out[0]), kind)

@@ -17,7 +17,8 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _SILENT = frozenset("head script style template noscript svg math iframe object select textarea canvas audio video".split())
 #: Elements that close an open one of the same kind: lists' items, paragraphs, rows.
 _CLOSES = {
-    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
+    "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
+    "th": {"td", "th"}, "option": {"option"},
 }
 _KEEPS_OPEN = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 _MARKUP = re.compile(

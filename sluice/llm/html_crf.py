@@ -28,7 +28,9 @@ from sluice.llm.fitting import minimised
 from sluice.llm.html_blocks import Block, blocks
 
 TRAIN_PAGES, COMPOSED, SEED = 300, 500, 11
-_NOT_CONTENT = {"nav", "aside", "footer", "form", "ad", "ads", "advert", "sponsor", "comment", "comments", "related", "share", "newsletter", "cookie"}
+_NOT_CONTENT = set(
+    "nav aside footer form ad ads advert sponsor comment comments related share newsletter cookie".split()
+)
 _STEPS = 80
 
 
@@ -247,7 +249,8 @@ def _composed(r: Random, prose: list[str], short: list[str]) -> tuple[list[Block
             for _ in range(r.randint(1, 6)):
                 add((*here, "ul", "li"), r.choice([words(), sentence()]), r.choice([1, 1, 0]), False)
         elif kind == "footer":
-            add((*here, *r.choice([(), ("p",), ("div",)])), f"© {words()} · {r.choice([sentence(), words()])}", r.choice([0, 0, 0.5]), False)
+            line = f"© {words()} · {r.choice([sentence(), words()])}"
+            add((*here, *r.choice([(), ("p",), ("div",)])), line, r.choice([0, 0, 0.5]), False)
         else:
             for _ in range(r.randint(1, 2)):
                 add((*here, *r.choice([(), ("p",), ("div",), ("h2",)])), r.choice([sentence(), words()]), r.choice([0, 0, 1]), False)

@@ -48,7 +48,11 @@ def op4_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 #: Sources nearer to each other than they are, languages by fixed shares, fewer texts of signs; 85 % of all words.
-MIX = {"source": 0.7, "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15}, "topic": {"signs": 0.02, "note": 0.08, "article": 0.4, "long": 0.5}}
+MIX = {
+    "source": 0.7,
+    "lang": {"en": 0.55, "de": 0.15, "fr": 0.15, "es": 0.15},
+    "topic": {"signs": 0.02, "note": 0.08, "article": 0.4, "long": 0.5},
+}
 MIX_KEEP = 0.85
 
 

@@ -188,9 +188,10 @@ def _marked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             order = np.lexsort((start, content, anchor))
             new = np.flatnonzero(np.concatenate([[True], np.diff(anchor[order]) | np.diff(content[order])]) != 0) if len(order) else order
             one = order[new]
+            starts = np.split(start[order].astype(np.int32), new[1:]) if len(one) else []
             out.append((
                 doc_id, doc, row_hash, len(text), hashlib.sha256(text).hexdigest(), anchor[one], content[one],
-                count[one].astype(np.int32), place[one].astype(np.int32), np.split(start[order].astype(np.int32), new[1:]) if len(one) else [],
+                count[one].astype(np.int32), place[one].astype(np.int32), starts,
             ))
         yield pd.DataFrame(out, columns=[c.split()[0] for c in _MARKED.split(", ")])
 
@@ -436,9 +437,11 @@ def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             first = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
             count = np.diff(np.append(first, b.count))
             # What every string of the class shares, whether or not this block has all of the class.
-            core = hashes.of(np.clip(b.place - kind[first] * CLASS, 0, None), np.minimum(b.place - kind[first] * CLASS - CLASS + 1 + LENGTH, len(b.data)))
-            around = hashes.of(first, first + count + LENGTH - 1) ^ _mix((distance[first].astype(np.uint64) << np.uint64(20)) | count.astype(np.uint64))
-            for k, f, n, c, a in zip(kind[first].tolist(), first.tolist(), count.tolist(), core.view(np.int64).tolist(), around.view(np.int64).tolist()):
+            nearest = b.place - kind[first] * CLASS
+            core = hashes.of(nearest, nearest - CLASS + 1 + LENGTH).view(np.int64)
+            shape = distance[first].astype(np.uint64) << np.uint64(20) | count.astype(np.uint64)
+            around = (hashes.of(first, first + count + LENGTH - 1) ^ _mix(shape)).view(np.int64)
+            for k, f, n, c, a in zip(*(x.tolist() for x in (kind[first], first, count, core, around))):
                 out.append((b.anchor, k, c, a, b.doc, b.hash, b.start + f, n, b.data[f : f + n + LENGTH - 1]))
         yield pd.DataFrame(out, columns=names)
 
