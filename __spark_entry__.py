@@ -359,16 +359,18 @@ def upsert_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_partitioned_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by day, as dates; the source has the days as times of the day and the keys as text."""
+    """Orders by the first day of their year, as dates; the source has these days as times of the day, and keys as text."""
     table = f"{scratch_database(spark)[0]}.orders"
     orders = _table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("orderkey"), F.col("o_totalprice").alias("amount"), F.to_date("o_orderdate").alias("day")
+        F.col("o_orderkey").alias("orderkey"),
+        F.col("o_totalprice").alias("amount"),
+        F.trunc(F.to_date("o_orderdate"), "year").alias("day"),
     )
-    # Few days, so that there are few files.
-    orders = orders.withColumn("day", F.trunc("day", "year"))
     orders.write.partitionBy("day").saveAsTable(table)
     source = orders.filter("orderkey % 3 = 0 and year(day) < 1997").select(
-        F.col("orderkey").cast("string"), F.lit(0.5).alias("amount"), (F.col("day").cast("timestamp") + F.expr("interval 12 hours")).alias("day")
+        F.col("orderkey").cast("string"),
+        F.lit(0.5).alias("amount"),
+        (F.col("day").cast("timestamp") + F.expr("interval 12 hours")).alias("day"),
     )
     upsert_table(source, table, ["orderkey", "day"])
     return read_table(spark, table).withColumn("day", F.col("day").cast("string"))
@@ -384,7 +386,8 @@ def replace_with_new_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = replaced.select(F.lit(columns).alias("columns"), F.col("r_name").alias("name")).collect()  # five regions
     create_or_replace_table(spark, name, "columns string, name string, n int")
     write_table(spark.createDataFrame(kept).withColumn("n", F.lit(1)), name, "append")
-    write_table(_table(spark, sf_dir, "nation").select(F.lit("nation").alias("columns"), F.col("n_name").alias("name"), F.lit(2).alias("n")), name, "append")
+    nations = _table(spark, sf_dir, "nation").select(F.lit("nation"), "n_name", F.lit(2)).toDF("columns", "name", "n")
+    write_table(nations, name, "append")
     return read_table(spark, name)
 
 
