@@ -113,7 +113,7 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_firs
     rows = rows.select("doc_id", *key, F.col("text").cast("binary").alias("text"))
     marked = stored(rows.mapInPandas(_marked, _MARKED))
     starts = stored(_starts(rows, marked, keep_first))
-    per_doc = starts.groupBy("doc", "hash").agg(F.collect_list(F.struct("start", "count")).alias("starts"))
+    per_doc = starts.groupBy("doc", "hash").agg(F.collect_set(F.struct("start", "count")).alias("starts"))
     found = _with_text(rows, per_doc).mapInPandas(_cut, _CUT)
     found = found.groupBy("doc", "hash").agg(*[F.first(c).alias(c) for c in ("spans", "kept", "sha256")])
     everything = marked.select("doc_id", "doc", "hash", "n_bytes", F.col("sha256").alias("whole_sha256"))
@@ -147,7 +147,7 @@ def _starts(rows: DataFrame, marked: DataFrame, keep_first: bool) -> DataFrame:
     # Blocks that share an anchor and differ, as bytes.
     open_kinds = kinds.join(contested, "anchor").select("anchor", "copies", "first.*", (F.col("kinds") > HOT_BLOCKS).alias("hot"))
     wanted = open_kinds.groupBy("doc", "hash").agg(
-        F.collect_list(F.struct("start", "count", "place", "anchor", "hot", (F.col("copies") > 1).alias("copied"))).alias("blocks")
+        F.collect_set(F.struct("start", "count", "place", "anchor", "hot", (F.col("copies") > 1).alias("copied"))).alias("blocks")
     )
     pieces = stored(_with_text(rows, wanted).mapInPandas(_sliced, _SLICED))
     matched = pieces.filter("not hot").repartition("anchor").sortWithinPartitions("anchor")
