@@ -43,3 +43,11 @@ def without_blanks(text: Column) -> Column:
     for c in BLANKS:
         text = F.replace(text, F.lit(c), F.lit(""))
     return text
+
+
+def smallest_hashes(ids: DataFrame, key: str, rows: int) -> DataFrame:
+    """At most `rows` rows, those with the smallest hash of `key`, whose values are distinct. About twice as many are
+    brought together to choose from, however many there are."""
+    draw = F.shiftrightunsigned(F.xxhash64(F.col(key)), 11) / F.lit(float(1 << 53))
+    share = 2 * rows / max(1, ids.count())
+    return ids.filter(draw < share).orderBy(draw, key).limit(rows)

@@ -4,7 +4,7 @@ Each block is content or not. Its features are the tags it is in, the words of t
 words, links, stops, place in the page. Neighbours are tied by transition weights. The field is trained by its exact
 conditional likelihood (forward and backward sums) and decoded by Viterbi.
 
-Labelled pages. Training takes at most `TRAIN_PAGES` pages, those with the smallest hash of their id, in two ways. Pages with just
+Labelled pages. Training takes at most `TRAIN_PAGES` pages, those with the smallest hash of their id (one for each id), in two ways. Pages with just
 one `<article>` are labelled by it: blocks in it are content, except in menus, asides, footers, forms, adverts and comments.
 And their blocks are set anew into `COMPOSED` pages of various layouts, most without telling tags, whose labels are known by
 construction. All pages are then read whole.
@@ -24,6 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.llm.common import smallest_hashes
 from sluice.llm.fitting import minimised
 from sluice.llm.html_blocks import Block, blocks
 
@@ -163,8 +164,10 @@ def fit(pages: list[tuple[list[Block], list[bool]]], penalty: float = 0.5) -> Fi
 
 def train(pages: DataFrame, html: str = "html", page_id: str = "page_id", most: int = TRAIN_PAGES) -> Field:
     """The field for a table of pages; at most `most` of them come to the driver."""
-    order = F.xxhash64(F.col(page_id).cast("string"))
-    chosen = pages.filter(F.col(html).isNotNull()).orderBy(order, page_id).limit(most).select(html)
+    whole = pages.filter(F.col(html).isNotNull()).select(F.col(page_id).alias("id"), F.col(html).alias("html"))
+    chosen = smallest_hashes(whole.select("id").distinct(), "id", most).select(F.col("id").alias("chosen"))
+    one_each = whole.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("chosen"))).groupBy("id")
+    chosen = one_each.agg(F.min("html").alias("html")).orderBy("id").select("html")
     found = [blocks(r[0]) for r in chosen.collect()]
     return fit([p for p in map(labelled, found) if p] + composed(found, COMPOSED, SEED))
 

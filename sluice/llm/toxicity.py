@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import bounded_batches, stored, whole_row
+from sluice.llm.common import bounded_batches, smallest_hashes, stored, whole_row
 from sluice.llm.fitting import minimised
 
 SAMPLE_ROWS, FEATURES, LEAST_CHI, LEAST_DOCUMENTS, FOLDS = 20_000, 600, 30.0, 5, 3
@@ -123,8 +123,8 @@ def scores(docs: DataFrame, chain: Chain, text: str = "text") -> DataFrame:
 def _sample(docs: DataFrame, labels: DataFrame, categories: Sequence[str], text: str, doc_id: str, rows: int) -> DataFrame:
     ys = [F.col(c).cast("int").alias(f"y{j}") for j, c in enumerate(categories)]
     known = labels.select(F.col("doc_id").cast("long").alias("id"), *ys)
-    known = known.dropna().groupBy("id").agg(*[F.max(f"y{j}").alias(f"y{j}") for j in range(len(categories))])
-    known = known.orderBy(F.xxhash64("id"), "id").limit(rows)  # at most `rows` short rows: they can be broadcast
+    known = stored(known.dropna().groupBy("id").agg(*[F.max(f"y{j}").alias(f"y{j}") for j in range(len(categories))]))
+    known = smallest_hashes(known, "id", rows)  # at most `rows` short rows: they can be broadcast
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     return stored(texts.join(F.broadcast(known), "id"))
 
