@@ -38,6 +38,7 @@ from sluice.operators.duplicates import (  # noqa: E402
 from sluice.operators.marts import daily_sales, repeated_shops, sales_per_day, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
 from sluice.plans.pipeline import load_daily_sales, run, upsert_table  # noqa: E402
+from sluice.plans.registry import create_registry, lookup, register  # noqa: E402
 from sluice.plans.sizes import fits_broadcast  # noqa: E402
 from sluice.plans.spec import TableSpec  # noqa: E402
 from sluice.sources.files import read_file, with_provenance  # noqa: E402
@@ -400,9 +401,13 @@ def _bad_lines(spark: SparkSession, sf_dir: str, mode: str) -> tuple[TableSpec,
 
 
 def files_to_bad_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bad-record table of a run over a file of lines."""
+    """The bad-record table of a run over a file of lines, its spec looked up by name in a registry."""
     spec, _ = _bad_lines(spark, sf_dir, "overwrite")
-    run(spark, [spec])
+    registry = f"{spec.table_name}_specs"
+    create_registry(spark, registry)
+    for one in (replace(spec, name="others", keys=["f"]), spec):
+        register(spark, registry, one)
+    run(spark, [lookup(spark, registry, spec.name)])
     return _records(read_table(spark, spec.bad_table))
 
 
