@@ -45,7 +45,7 @@ def test_byte_encoder_equals_the_library(monkeypatch):
 def test_pieces_equal_the_library(monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 300)
     of, library = pieces.Model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
-    for t in [*texts(8000, 1), "x" * 3000, " " * 5003 + "a", "".join(random.Random(2).choices("etaoinshrdlu", k=20_000))]:
+    for t in [*texts(3000, 1), "x" * 3000, " " * 5003 + "a", "".join(random.Random(2).choices("etaoinshrdlu", k=20_000))]:
         ids = of.encode(t)
         assert ids == library.encode(t) + [2]
         assert of.decode(ids) == library.decode(ids)
@@ -54,7 +54,7 @@ def test_pieces_equal_the_library(monkeypatch):
 
 def test_pieces_decode_any_ids():
     of, library, r = pieces.Model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES), random.Random(4)
-    for _ in range(5000):
+    for _ in range(2000):
         ids = [r.choice([r.randrange(32000), r.randrange(260), r.choice([0, 1, 2, 259, 29871])]) for _ in range(r.randint(0, 8))]
         assert of.decode(ids) == library.decode(ids)
 
@@ -62,7 +62,7 @@ def test_pieces_decode_any_ids():
 def test_a_position_without_way_on_is_left_again():
     """Taking back and the failed positions: as merging, on texts of few letters."""
     of, r = pieces.Model(PIECES), random.Random(6)
-    for _ in range(3000):
+    for _ in range(1500):
         text = "".join(r.choice("antiesr") for _ in range(r.randint(1, 16)))
         assert of._backtrack(text) == of._merged(text, 1)
 
