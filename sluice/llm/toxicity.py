@@ -31,7 +31,8 @@ from sluice.llm.common import bounded_batches, smallest_hashes, stored, whole_ro
 from sluice.llm.fitting import minimised
 
 SAMPLE_ROWS, FEATURES, LEAST_CHI, LEAST_DOCUMENTS, FOLDS = 20_000, 600, 30.0, 5, 3
-THRESHOLD = 0.5
+#: Of held-out rows, 0.3 finds a few more toxic ones than 0.5 and rejects no clean one.
+THRESHOLD = 0.3
 CHUNK = 250  # texts whose words are held at once
 STEMS = (4, 5, 6)
 _WORD = re.compile(r"[^\W\d_]+")
