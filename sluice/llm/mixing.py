@@ -6,7 +6,9 @@ documents are drawn with these probabilities. A document can only be kept or not
 exceeds 1, and what a value cannot supply goes to the others in proportion.
 
 A target is either a table of shares by value or a power p: the value's share of all tokens, raised to p (0: all values
-alike, 1: as they are). Of a dimension at most `MOST_VALUES` values are told apart, those with the most tokens; the others
+alike, 1: as they are). Values that a table does not list, null among them, stay at their share of all tokens and the listed
+ones are raked among themselves for the rest; if the table lists `OTHER`, they get its share together, each by its tokens.
+Of a dimension at most `MOST_VALUES` values are told apart, those with the most tokens; the others
 and null count as one value. So the cells that come to the driver, and the table of probabilities that is broadcast, are
 bounded whatever the corpus holds.
 
@@ -90,7 +92,7 @@ def rake(tokens: np.ndarray, values: list[list[str]], targets: list[Target], kee
         members = {v: np.flatnonzero(np.array(of, dtype=object) == v) for v in sorted(set(of))}
         held = np.array([tokens[m].sum() for m in members.values()])
         if isinstance(target, Mapping):
-            share = np.array([float(target.get(v, target.get(OTHER, 0.0))) for v in members])
+            share = _listed(list(members), held, target)
         else:
             share = np.where(held > 0, np.power(np.maximum(held, 1) / total, target), 0.0)
         goals.append(list(zip(members.values(), _shared_out(held, share, keep * total))))
@@ -107,6 +109,17 @@ def rake(tokens: np.ndarray, values: list[list[str]], targets: list[Target], kee
     return np.where(tokens > 0, p, 1.0)
 
 
+def _listed(names: list[str], held: np.ndarray, target: Mapping[str, float]) -> np.ndarray:
+    """Shares by a table; values without one of their own share what is left to them by their tokens."""
+    own = np.array([v in target and v != OTHER for v in names])
+    share = np.array([float(target[v]) if o else 0.0 for v, o in zip(names, own)])
+    rest = held[~own].sum()
+    if OTHER in target:
+        return np.where(own, share, float(target[OTHER]) * held / max(rest, 1))
+    listed = share[held > 0].sum()
+    return np.where(own, share * (held.sum() - rest) / (listed or 1.0), held)
+
+
 def _shared_out(held: np.ndarray, share: np.ndarray, total: float) -> np.ndarray:
     """`total` in proportion to `share`, none more than it holds."""
     weight = np.divide(share, held, out=np.zeros(len(held)), where=held > 0)

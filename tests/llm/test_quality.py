@@ -180,6 +180,25 @@ def test_sample(spark):
     assert mixing.sample(docs.filter("false"), by, mixing.word_count(F.col("text")), {"source": 1.0, "lang": 1.0, "topic": 1.0}, 0.5).count() == 0
 
 
+def test_values_without_a_target_keep_their_share(spark):
+    """Null and unlisted languages with words; no listed language at all; a target for all others together."""
+    rows = [(i, "w " * 20, ["en"] * 5 + ["de", None, "xx"]) for i in range(8)]
+    rows = [(i, t, langs[i]) for i, t, langs in rows] * 50
+    docs = spark.createDataFrame([(i * 1000 + k, t, lang) for k, (i, t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+
+    def expected(docs, target):
+        out = mixing.sample(docs, {"lang": F.col("lang")}, mixing.word_count(F.col("text")), {"lang": target}, 0.4).collect()
+        total, by = sum(g.n_tokens for g in out), defaultdict(float)
+        for g in out:
+            by[g.lang] += g.n_tokens * g.p / total
+        return pytest.approx(by, abs=1e-6)
+
+    target = {"en": 0.75, "de": 0.25}
+    assert {"en": 0.225, "de": 0.075, "(other)": 0.05, "xx": 0.05} == expected(docs, target)
+    assert {"(other)": 0.2, "xx": 0.2} == expected(docs.filter("lang is null or lang = 'xx'"), target)
+    assert {"en": 0.25, "de": 0.05, "(other)": 0.05, "xx": 0.05} == expected(docs, {"en": 5, "de": 1, "(other)": 2})
+
+
 PAGE = """<!DOCTYPE html><html><head><title>Not this</title><style>p{}</style><script>var a = "<p>no</p>";</script></head>
 <body><div class="cookie-notice">We use cookies. <button>OK</button></div><header><a href="/">Site</a></header>
 <nav><ul><li><a href="/a">Home</a><li><a href='/b>c'>News</a></ul></nav>
