@@ -8,9 +8,12 @@ exceeds 1, and what a value cannot supply goes to the others in proportion.
 A target is either a table of shares by value or a power p: the value's share of all tokens, raised to p (0: all values
 alike, 1: as they are). Values that a table does not list, null among them, stay at their share of all tokens and the listed
 ones are raked among themselves for the rest; if the table lists `OTHER`, they get its share together, each by its tokens.
-Of a dimension at most `MOST_VALUES` values are told apart, those with the most tokens; the others
-and null count as one value. So the cells that come to the driver, and the table of probabilities that is broadcast, are
-bounded whatever the corpus holds.
+Every value of a dimension has a marginal of its own; null counts as the value `OTHER`.
+
+Cells are stored and measured. If they are small enough to be broadcast, they are raked on the driver, else on Spark: in each round
+the tokens of each dimension's values are summed, combined before the shuffle, and the factors joined back to the cells. Both ways
+take the same steps, so p does not depend on the way but for the rounding of sums. Nothing of the size of the cells then passes the
+driver or a broadcast.
 
 A draw depends on seed, id and text alone: repeated rows share their fate, runs agree. Null and empty texts have
 no token; cells without tokens are kept whole. A table with no rows gives an empty result. Extra columns stay.
@@ -21,13 +24,16 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.llm.common import stored, whole_row
+from sluice.operators.skew import join_facts
+from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
+from sluice.sources.tables import drop_table, write_scratch_table
 
-MOST_VALUES, OTHER = 1000, "(other)"
+OTHER = "(other)"
 ROUNDS, CLOSE = 200, 1e-9
 Target = float | Mapping[str, float]
 
@@ -47,11 +53,11 @@ def form_of(text: Column) -> Column:
 
 def sample(
     docs: DataFrame, dimensions: Mapping[str, Column], tokens: Column, targets: Mapping[str, Target], keep: float,
-    text: str = "text", doc_id: str = "doc_id", seed: int = 7,
+    text: str = "text", doc_id: str = "doc_id", seed: int = 7, limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Every row of `docs` with its fate: row (a struct of its columns), one column for each dimension, n_tokens, p, kept.
 
-    `keep` is the share of all tokens that is to stay.
+    `keep` is the share of all tokens that is to stay. Cells of more than `limit` bytes are raked on Spark.
     """
     names = list(dimensions)
     rows = docs.select(
@@ -60,25 +66,16 @@ def sample(
         whole_row(docs).alias("row"),
     )
     cells = stored(rows.groupBy(*names).agg(F.sum("n_tokens").alias("n_tokens")))
-    values = {n: _values(cells, n) for n in names}
-    for n in names:
-        known = F.array_contains(F.array(*[F.lit(v) for v in values[n]]).cast("array<string>"), F.col(n))
-        cells, rows = (df.withColumn(n, F.when(known, F.col(n)).otherwise(OTHER)) for df in (cells, rows))
-    found = cells.groupBy(*names).agg(F.sum("n_tokens").alias("n_tokens")).orderBy(*names).collect()
-    p = rake(
-        np.array([r["n_tokens"] for r in found], float),
-        [[r[n] for r in found] for n in names],
-        [targets[n] for n in names],
-        keep,
-    )
-    schema = T.StructType([T.StructField(n, T.StringType()) for n in names] + [T.StructField("p", T.DoubleType())])
-    shares = docs.sparkSession.createDataFrame([(*(r[n] for n in names), float(x)) for r, x in zip(found, p)], schema)
-    return rows.join(F.broadcast(shares), names).select("row", *names, "n_tokens", "p", (F.col("draw") < F.col("p")).alias("kept"))
-
-
-def _values(cells: DataFrame, name: str) -> list[str]:
-    most = cells.groupBy(name).agg(F.sum("n_tokens").alias("n")).orderBy(F.desc("n"), name).limit(MOST_VALUES)
-    return [r[name] for r in most.collect()]
+    if fits_broadcast(cells, limit):
+        found = cells.orderBy(*names).toArrow()
+        p = rake(
+            found["n_tokens"].to_numpy().astype(float), [found[n].to_pylist() for n in names], [targets[n] for n in names], keep
+        )
+        shares = found.drop_columns("n_tokens").append_column("p", pa.array(p, pa.float64()))
+        rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame(shares)), names)
+    else:
+        rows = join_facts(rows, raked(cells, names, targets, keep, limit), names, "left", limit=limit)
+    return rows.select("row", *names, "n_tokens", "p", (F.col("draw") < F.col("p")).alias("kept"))
 
 
 def rake(tokens: np.ndarray, values: list[list[str]], targets: list[Target], keep: float) -> np.ndarray:
@@ -87,23 +84,22 @@ def rake(tokens: np.ndarray, values: list[list[str]], targets: list[Target], kee
     total = tokens.sum()
     if not total:
         return p
-    goals: list[list[tuple[np.ndarray, float]]] = []
+    goals: list[tuple[np.ndarray, np.ndarray]] = []
     for of, target in zip(values, targets):
-        members = {v: np.flatnonzero(np.array(of, dtype=object) == v) for v in sorted(set(of))}
-        held = np.array([tokens[m].sum() for m in members.values()])
+        number = {v: k for k, v in enumerate(sorted(set(of)))}
+        codes = np.fromiter(map(number.__getitem__, of), np.int64, len(of))
+        held = np.bincount(codes, tokens)
         if isinstance(target, Mapping):
-            share = _listed(list(members), held, target)
+            share = _listed(list(number), held, target)
         else:
             share = np.where(held > 0, np.power(np.maximum(held, 1) / total, target), 0.0)
-        goals.append(list(zip(members.values(), _shared_out(held, share, keep * total))))
+        goals.append((codes, _shared_out(held, share, keep * total)))
     p *= keep
     for _ in range(ROUNDS):
         worst = 0.0
-        for dimension in goals:
-            for m, goal in dimension:
-                before = tokens[m] @ p[m]
-                worst = max(worst, abs(before - goal))
-                p[m] = _scaled(tokens[m], p[m], goal)
+        for codes, goal in goals:
+            worst = max(worst, np.abs(np.bincount(codes, tokens * p) - goal).max())
+            p = _scaled(tokens, p, codes, goal)
         if worst <= CLOSE * total:
             break
     return np.where(tokens > 0, p, 1.0)
@@ -123,18 +119,122 @@ def _listed(names: list[str], held: np.ndarray, target: Mapping[str, float]) ->
 def _shared_out(held: np.ndarray, share: np.ndarray, total: float) -> np.ndarray:
     """`total` in proportion to `share`, none more than it holds."""
     weight = np.divide(share, held, out=np.zeros(len(held)), where=held > 0)
-    return held * _scaled(held, weight, total)
+    return held * _scaled(held, weight, np.zeros(len(held), np.int64), np.array([total]))
+
 
+def _scaled(tokens: np.ndarray, p: np.ndarray, codes: np.ndarray, goals: np.ndarray) -> np.ndarray:
+    """min(1, f * p) with the f of each code for which its tokens kept come to its goal; all that can be kept if that is less.
 
-def _scaled(tokens: np.ndarray, p: np.ndarray, goal: float) -> np.ndarray:
-    """min(1, f * p) with the f for which the tokens kept come to `goal`; all that can be kept if that is less."""
-    order = np.argsort(-p, kind="stable")
-    mass, full = tokens[order] * p[order], np.concatenate([[0.0], np.cumsum(tokens[order])[:-1]])
-    rest = np.cumsum(mass[::-1])[::-1]  # of this cell and those with smaller p
-    for k in range(len(order)):  # the k cells with the largest p are kept whole
-        if rest[k] <= 0:
+    A code's f grows from one that is too small, which keeps no cell whole, by the cells that it would keep whole.
+    """
+    f, whole = np.zeros(len(goals)), np.zeros(len(p), bool)
+    while True:
+        full = np.bincount(codes, np.where(whole, tokens, 0.0), len(goals))
+        rest = np.bincount(codes, np.where(whole, 0.0, tokens * p), len(goals))
+        f = np.maximum(f, np.divide(goals - full, rest, out=np.full(len(goals), np.inf), where=rest > 0))
+        some = p > 0
+        scaled = np.multiply(f[codes], p, out=np.zeros(len(p)), where=some)
+        more = (scaled > 1) & ~whole & (tokens > 0)
+        if not more.any():
+            return np.minimum(1.0, scaled)
+        whole |= more
+
+
+def raked(cells: DataFrame, names: list[str], targets: Mapping[str, Target], keep: float, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`rake` on Spark, for `cells` of any number: their values of `names`, and p.
+
+    Cells and factors are scratch tables, dropped when those of the next round are written.
+    """
+    spark = cells.sparkSession
+    held = cells.filter("n_tokens > 0")
+    total = float(held.agg(F.sum("n_tokens")).first()[0] or 0)
+    goals = [(n, stored(_goals(held, n, targets[n], keep * total, total))) for n in names] if total else []
+    few = {n: fits_broadcast(goal, limit) for n, goal in goals}
+    at, made = held.withColumn("p", F.lit(float(keep))), []
+    for _ in range(ROUNDS if goals else 0):
+        worst, before = 0.0, made
+        made = []
+        for n, goal in goals:
+            name, off = _factors(at, n, goal, few[n])
+            worst, made = max(worst, off), [*made, name]
+            at = _times(at, spark.table(name), n, few[n]).drop("f")
+        made = [*made, write_scratch_table(at)]
+        at = spark.table(made[-1])
+        for name in before:
+            drop_table(spark, name)
+        if worst <= CLOSE * total:
+            break
+    none = cells.filter("not coalesce(n_tokens > 0, false)").select(*names, F.lit(1.0).alias("p"))
+    out = stored(at.select(*names, "p").unionByName(none))
+    for name in made:
+        drop_table(spark, name)
+    return out
+
+
+def _goals(cells: DataFrame, n: str, target: Target, kept: float, total: float) -> DataFrame:
+    """The tokens that are to stay of each value: `_shared_out` with the shares of `rake`."""
+    held = stored(cells.groupBy(n).agg(F.sum("n_tokens").cast("double").alias("held")))
+    if isinstance(target, Mapping):
+        own = {v: float(t) for v, t in target.items() if v != OTHER}
+        table = cells.sparkSession.createDataFrame(list(own.items()), f"`{n}` string, own double")
+        held = held.join(table, n, "left")
+        listed, sums = F.col("own").isNotNull(), {"t": F.sum("own"), "rest": F.sum(F.when(F.col("own").isNull(), F.col("held")))}
+        listed_sum, rest = (float(x or 0) for x in held.agg(*[s.alias(k) for k, s in sums.items()]).first())
+        if OTHER in target:
+            share = F.when(listed, F.col("own")).otherwise(F.col("held") * float(target[OTHER]) / max(rest, 1.0))
+        else:
+            share = F.when(listed, F.col("own") * ((total - rest) / (listed_sum or 1.0))).otherwise(F.col("held"))
+    else:
+        share = F.pow(F.col("held") / total, F.lit(float(target)))
+    weights = stored(held.select(n, "held", (share / F.col("held")).alias("w")))
+    f, whole = 0.0, F.lit(False)
+    while True:
+        full, rest, top = weights.agg(
+            F.sum(F.when(whole, F.col("held"))), F.sum(F.when(~whole, F.col("held") * F.col("w"))), F.max(F.when(~whole, F.col("w")))
+        ).first()
+        f = max(f, (kept - (full or 0.0)) / rest if rest else float("inf"))
+        if not rest or f * top <= 1:
             break
-        f = (goal - full[k]) / rest[k]
-        if f * p[order[k]] <= 1:
-            return np.minimum(1.0, np.maximum(f, 0.0) * p)
-    return np.where(p > 0, 1.0, 0.0)
+        whole = F.col("w") * f > 1
+    scaled = F.when(F.col("w") > 0, F.least(F.lit(1.0), F.col("w") * f)).otherwise(0.0)
+    return weights.select(n, (F.col("held") * scaled).alias("goal"))
+
+
+def _factors(at: DataFrame, n: str, goal: DataFrame, few: bool) -> tuple[str, float]:
+    """A scratch table of the factor f of each value, as in `_scaled`, and how far the worst value was from its goal."""
+    spark, off, last = at.sparkSession, None, None
+    whole = F.lit(False)
+    cells = at
+    while True:
+        sums = cells.groupBy(n).agg(
+            F.coalesce(F.sum(F.when(whole, F.col("n_tokens"))), F.lit(0)).alias("full"),
+            F.coalesce(F.sum(F.when(~whole, F.col("n_tokens") * F.col("p"))), F.lit(0.0)).alias("rest"),
+            F.coalesce(F.max(F.when(~whole, F.col("p"))), F.lit(0.0)).alias("top"),
+            (F.max("f") if last else F.lit(0.0)).alias("was"),
+        )
+        wanted = F.when(F.col("rest") > 0, (F.col("goal") - F.col("full")) / F.col("rest")).otherwise(float("inf"))
+        sums = sums.join(F.broadcast(goal) if few else goal, n)
+        found = write_scratch_table(
+            sums.select(n, F.greatest("was", wanted).alias("f"), "top", F.abs(F.col("rest") - F.col("goal")).alias("off"))
+        )
+        more, worst = spark.table(found).agg(
+            F.max((F.col("top") > 0) & (F.col("f") * F.col("top") > 1)), F.max("off")
+        ).first()
+        off = worst if off is None else off
+        if last:
+            drop_table(spark, last)
+        if not more:
+            return found, off
+        last = found
+        cells = _joined(at, spark.table(found), n, few)
+        whole = (F.col("p") > 0) & (F.col("f") * F.col("p") > 1)
+
+
+def _joined(at: DataFrame, factors: DataFrame, n: str, few: bool) -> DataFrame:
+    factors = factors.select(n, "f")
+    return at.join(F.broadcast(factors) if few else factors, n)
+
+
+def _times(at: DataFrame, factors: DataFrame, n: str, few: bool) -> DataFrame:
+    p = F.when(F.col("p") > 0, F.least(F.lit(1.0), F.col("f") * F.col("p"))).otherwise(0.0)
+    return _joined(at, factors, n, few).withColumn("p", p)

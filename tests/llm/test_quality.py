@@ -199,6 +199,29 @@ def test_values_without_a_target_keep_their_share(spark):
     assert {"en": 0.25, "de": 0.05, "(other)": 0.05, "xx": 0.05} == expected(docs, {"en": 5, "de": 1, "(other)": 2})
 
 
+def test_every_value_has_its_own_marginal(spark):
+    """One source with half of the tokens and 1,500 equal ones: these are kept alike, whatever their names."""
+    docs = spark.range(1500).selectExpr("id as doc_id", "'w w' as text", "concat('s', id) as source")
+    docs = docs.union(spark.createDataFrame([(-1, "w " * 3000, "hot")], docs.schema))
+    out = mixing.sample(docs, {"source": F.col("source")}, mixing.word_count(F.col("text")), {"source": 0.7}, 0.85).collect()
+    p = {g.source: g.p for g in out}
+    assert len(p) == 1501 and all(p[f"s{k}"] == pytest.approx(1) for k in range(1500)) and p["hot"] == pytest.approx(0.7)
+
+
+def test_raking_on_spark_takes_the_same_steps(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "ROUNDS", 2)
+    r = random.Random(8)
+    rows = [(i, "w " * r.randint(0, 80), r.choice([f"s{k}" for k in range(6)] * 3 + ["rare", None]), r.choice("aaaaaabcx")) for i in range(300)]
+    docs = spark.createDataFrame([*rows, (None, None, "empty", None)], "doc_id long, text string, source string, lang string")
+    by = {"source": F.col("source"), "lang": F.col("lang")}
+    for targets in ({"source": 0.3, "lang": {"a": 0.3, "b": 0.4, "gone": 1.0}}, {"source": {"s1": 3.0, "(other)": 1.0}, "lang": 1.0}):
+        driver, on_spark = (
+            sorted(map(repr, mixing.sample(docs, by, mixing.word_count(F.col("text")), targets, 0.7, limit=limit).withColumn("p", F.round("p", 9)).collect()))
+            for limit in (1 << 20, 0)
+        )
+        assert driver == on_spark and len(driver) == 301
+
+
 PAGE = """<!DOCTYPE html><html><head><title>Not this</title><style>p{}</style><script>var a = "<p>no</p>";</script></head>
 <body><div class="cookie-notice">We use cookies. <button>OK</button></div><header><a href="/">Site</a></header>
 <nav><ul><li><a href="/a">Home</a><li><a href='/b>c'>News</a></ul></nav>
