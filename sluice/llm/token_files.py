@@ -63,6 +63,9 @@ class Encoder:
 
     def _made(self, stretches: list[str]) -> list[bytes]:
         """Many at a time as lines of one text: the pre-tokeniser cuts at line ends, if no other blank is beside them."""
+        if "" in stretches:  # no line of its own: beside a line end, it would join with the next one's
+            made = iter(self._made([s for s in stretches if s]))
+            return [next(made) if s else b"" for s in stretches]
         out: list[bytes] = []
         for k in range(0, len(stretches), 2000):
             some = stretches[k : k + 2000]
@@ -71,6 +74,9 @@ class Encoder:
                 continue
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, self.kind)
             ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) * self.kind.itemsize
+            if len(ends) != len(some):
+                out += self._encoded(some)
+                continue
             data, starts = ids.tobytes(), np.append(0, ends[:-1] + self.kind.itemsize)
             out += [data[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
         return out

@@ -42,6 +42,13 @@ def test_byte_encoder_equals_the_library(monkeypatch):
         assert [x.tolist() for x in np.split(ids, ends[:-1])] == [[*x, 2] for x in ids_of([*some, ""])]
 
 
+@pytest.mark.parametrize("some", [["foo bar", " hello world"], ["", "a b"], [" x"], ["a  b", " c d", "e"], ["", "", None]])
+def test_texts_of_one_line(some):
+    """No line end among the stretches: an empty one beside one that starts with a space."""
+    ids, ends = token_files.Encoder(BYTES).encoded(pa.array(some), 2)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [[*x, 2] for x in ids_of(some)]
+
+
 def test_pieces_equal_the_library(monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 300)
     of, library = pieces.Model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
