@@ -35,6 +35,7 @@ class Block:
     text: str  # white space as one space, trimmed
     path: tuple[str, ...]  # elements from the root, each with its class and id words: "div.side.box"
     link_chars: int
+    article: int = 0  # the number on the page of the innermost <article> it is in, from 1
 
 
 @lru_cache(maxsize=20_000)
@@ -46,16 +47,16 @@ def _element(tag: str, attributes: str) -> str:
 def blocks(html: str | None) -> list[Block]:
     """All blocks with text in the page's order."""
     found: list[Block] = []
-    stack: list[tuple[str, str]] = []  # tag, element; block elements only
+    stack: list[tuple[str, str, int]] = []  # tag, element, number of the article; block elements only
     parts: list[str] = []
-    links = silent = link_chars = at = 0
+    links = silent = link_chars = at = articles = 0
 
     def end_block() -> None:
         nonlocal parts, link_chars
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                found.append(Block(text, tuple(e for _, e in stack), min(link_chars, len(text))))
+                found.append(Block(text, tuple(e for _, e, _ in stack), min(link_chars, len(text)), stack[-1][2] if stack else 0))
         parts, link_chars = [], 0
 
     html = html or ""
@@ -78,9 +79,9 @@ def blocks(html: str | None) -> list[Block]:
         if tag in _VOID:
             continue
         if closing:
-            if any(t == tag for t, _ in stack):
+            if any(t == tag for t, _, _ in stack):
                 while True:
-                    t, _ = stack.pop()
+                    t = stack.pop()[0]
                     silent -= t in _SILENT
                     if t == tag:
                         break
@@ -95,11 +96,13 @@ def blocks(html: str | None) -> list[Block]:
             if stack[k][0] in _KEEPS_OPEN.get(tag, ()):
                 break
             if stack[k][0] in _CLOSES.get(tag, ()):
-                silent -= sum(t in _SILENT for t, _ in stack[k:])
+                silent -= sum(t in _SILENT for t, _, _ in stack[k:])
                 del stack[k:]
                 break
         if not m[4].endswith("/") or tag not in ("svg", "math"):
-            stack.append((tag, _element(tag, m[4]) if m[4] else tag))
+            articles += tag == "article"
+            article = articles if tag == "article" else stack[-1][2] if stack else 0
+            stack.append((tag, _element(tag, m[4]) if m[4] else tag, article))
             silent += tag in _SILENT
         links = 0
     if at < len(html) and not silent:

@@ -5,7 +5,8 @@ words, links, stops, place in the page. Neighbours are tied by transition weight
 conditional likelihood (forward and backward sums) and decoded by Viterbi.
 
 Labelled pages. Training takes at most `TRAIN_PAGES` pages, those with the smallest hash of their id (one for each id), in two ways. Pages with just
-one `<article>` are labelled by it: blocks in it are content, except in menus, asides, footers, forms, adverts and comments.
+one `<article>` with text, which is not itself one of these, are labelled by it: blocks in it are content, except in menus, asides,
+footers, forms, adverts and comments.
 And their blocks are set anew into `COMPOSED` pages of various layouts, most without telling tags, whose labels are known by
 construction. All pages are then read whole.
 
@@ -174,10 +175,11 @@ def train(pages: DataFrame, html: str = "html", page_id: str = "page_id", most:
 
 def labelled(page: list[Block]) -> tuple[list[Block], list[bool]] | None:
     """A page with its labels, if its tags tell them."""
-    inside = [next((k for k, e in enumerate(b.path) if e.split(".")[0] == "article"), None) for b in page]
-    if all(k is None for k in inside):
+    inside = [[k for k, e in enumerate(b.path) if e.split(".")[0] == "article"] for b in page]
+    if len({b.article for b in page if b.article}) != 1 or max(map(len, inside)) > 1:
         return None
-    return page, [k is not None and not any(_NOT_CONTENT.intersection(e.split(".")) for e in b.path[k + 1 :]) for b, k in zip(page, inside)]
+    labels = [bool(k) and not any(_NOT_CONTENT.intersection(e.split(".")) for e in b.path[k[0] :]) for b, k in zip(page, inside)]
+    return (page, labels) if any(labels) else None
 
 
 _PROSE = [

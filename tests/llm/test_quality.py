@@ -254,6 +254,15 @@ def test_field_on_other_pages_than_those_it_learnt():
     assert field.text(None) == field.text("") == ""
 
 
+def test_only_pages_of_one_article_are_labelled():
+    teasers = "<article class='comment'><p>A reader.</p></article>"
+    assert html_crf.labelled(blocks(PAGE))[1] == [TEXT.find(b.text) >= 0 for b in blocks(PAGE)]
+    assert html_crf.labelled(blocks(PAGE + teasers)) is None
+    assert html_crf.labelled(blocks("<p>Main text.</p>" + teasers)) is None
+    assert html_crf.labelled(blocks(f"<article>{teasers}</article>")) is None
+    assert html_crf.labelled([]) is None
+
+
 def test_viterbi_is_the_best_of_all_labellings():
     r = np.random.default_rng(3)
     page = html_crf.composed([], 1, 5)[0][0][:8]
