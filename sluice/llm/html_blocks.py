@@ -20,6 +20,8 @@ _CLOSES = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
     "th": {"td", "th"}, "option": {"option"},
 }
+#: What may stand in a head: the first other element or text ends it, as both of its tags can be left out.
+_IN_HEAD = frozenset("html head title meta link style script base template noscript".split())
 _KEEPS_OPEN = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -44,6 +46,11 @@ def _element(tag: str, attributes: str) -> str:
     return ".".join([tag, *dict.fromkeys(words)])
 
 
+def _ends_head(text: str, markup: re.Match) -> bool:
+    tag = markup[3]
+    return bool(text.strip()) or tag is not None and not markup[2] and tag.lower() not in _IN_HEAD
+
+
 def blocks(html: str | None) -> list[Block]:
     """All blocks with text in the page's order."""
     found: list[Block] = []
@@ -61,6 +68,9 @@ def blocks(html: str | None) -> list[Block]:
 
     html = html or ""
     for m in _MARKUP.finditer(html):
+        if stack and stack[-1][0] == "head" and _ends_head(html[at : m.start()], m):
+            stack.pop()
+            silent -= 1
         if m.start() > at and not silent:
             text = unescape(html[at : m.start()])
             parts.append(text)
@@ -105,6 +115,9 @@ def blocks(html: str | None) -> list[Block]:
             stack.append((tag, _element(tag, m[4]) if m[4] else tag, article))
             silent += tag in _SILENT
         links = 0
+    if stack and stack[-1][0] == "head" and html[at:].strip():
+        silent -= 1
+        stack.pop()
     if at < len(html) and not silent:
         parts.append(unescape(html[at:]))
     end_block()

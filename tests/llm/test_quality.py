@@ -246,6 +246,13 @@ def test_blocks():
     assert [b.text for b in blocks("1 < 2 <b>and</b> <unclosed 'x")][0].startswith("1 < 2 and")
 
 
+def test_a_head_without_end():
+    for page in ("<head><title>t</title><p>a<p>b", "<html><head><meta x><title>t</title>a<b></b><p>b", "<head><style>p</style><b>a</b><div>b</body>"):
+        assert [b.text for b in blocks(page)] == ["a", "b"]
+    assert [b.text for b in blocks("<head><title>t</title>a")] == ["a"]
+    assert blocks("<head>\n<template><p>no</template> <link y></head><body>") == []
+
+
 def test_field_on_other_pages_than_those_it_learnt():
     field = html_crf.fit(html_crf.composed([], 400, 1))
     right = [a == b for page, labels in html_crf.composed([], 150, 2) for a, b in zip(field.content(page), labels)]
