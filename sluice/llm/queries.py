@@ -17,7 +17,7 @@ PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return token_files.write(docs, BYTES, END_ID).checked(docs)
+    return token_files.write(docs, BYTES, END_ID).checked_rows()
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -13,7 +13,7 @@ Encoding: whole texts, null as empty, plus an end id. Special tokens' names in a
 where the pre-tokeniser always cuts, and each worker keeps the stretches it met last with their ids.
 
 Repeated ids: all rows are in the shards, the index knows the first of them, which answers for all. A null id has no key: a
-look-up gives null. No rows: no shards, an empty index. Extra columns are not read. Tasks that run again write the same files.
+look-up gives null. `checked_rows` reads the payload of each row, whatever its id. No rows: no shards, an empty index. Extra columns are not read. Tasks that run again write the same files.
 """
 
 from __future__ import annotations
@@ -97,8 +97,10 @@ def encoder(path: str) -> Encoder:
 class TokenFiles:
     """Shards and index in one folder. `shards`: a row for each shard with its first token's place in the corpus."""
 
-    def __init__(self, folder: str, kind: np.dtype, shards: DataFrame, buckets: int) -> None:
+    def __init__(self, folder: str, kind: np.dtype, shards: DataFrame, buckets: int, entries: DataFrame, known: DataFrame, n_others: int) -> None:
+        """`entries`: doc_id, shard, at, n_tokens of each row; `known`: those in the index; `n_others`: how many are not."""
         self.folder, self.kind, self.shards, self.buckets = folder, kind, shards, buckets
+        self.entries, self.known, self.n_others = entries, known, n_others
 
     def look_up(self, keys: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         """For each row of `keys`: doc_id, start, n_tokens, ids (bytes of the payload), null where the id is unknown."""
@@ -106,12 +108,24 @@ class TokenFiles:
 
     def checked(self, keys: DataFrame, doc_id: str = "doc_id") -> DataFrame:
         """As `look_up`, but with the crc32 of the ids as 4-byte integers instead of the ids."""
+        return self._read(keys, doc_id, "ids_crc32 long", self._crc32())
+
+    def checked_rows(self) -> DataFrame:
+        """As `checked`, a row for each row that was written with its own payload: by key where the index knows it, by shard and
+        place where its id is null or known for another row."""
+        if not self.n_others:
+            return self.checked(self.entries)
+        known = stored(self.known)
+        others = self.entries.join(known.select("shard", "at"), ["shard", "at"], "left_anti")
+        others = others.select("doc_id", "shard", "at", "n_tokens")
+        return self.checked(known).unionByName(self._payloads_of(others, "ids_crc32 long", self._crc32()))
+
+    def _crc32(self):
         kind = self.kind
-        return self._read(keys, doc_id, "ids_crc32 long", lambda data: zlib.crc32(np.frombuffer(data, kind).astype("<u4").tobytes()))
+        return lambda data: zlib.crc32(np.frombuffer(data, kind).astype("<u4").tobytes())
 
     def _read(self, keys: DataFrame, doc_id: str, result: str, made) -> DataFrame:
-        folder, kind, name = self.folder, self.kind, result.split()[0]
-        spark = keys.sparkSession
+        folder, spark = self.folder, keys.sparkSession
         bounded_batches(spark)
         # Keys meet their bucket, then their shard. Only short rows are dealt out.
         bucket = _bucket(F.col("doc_id"), self.buckets)
@@ -121,6 +135,11 @@ class TokenFiles:
         found = by_bucket.repartition(F.col("bucket"), F.pmod(F.xxhash64("doc_id"), F.lit(4))).sortWithinPartitions("bucket").mapInPandas(
             lambda batches: _located(batches, folder), "doc_id long, shard long, at long, n_tokens long"
         )
+        return self._payloads_of(found, result, made)
+
+    def _payloads_of(self, found: DataFrame, result: str, made) -> DataFrame:
+        folder, kind, name = self.folder, self.kind, result.split()[0]
+        bounded_batches(found.sparkSession)
         found = found.repartitionByRange("shard", "at").sortWithinPartitions("shard", "at")
         schema = T.StructType.fromDDL(f"doc_id long, shard long, at long, n_tokens long, {result}")
         read = found.mapInPandas(lambda batches: _payloads(batches, folder, kind, name, made), schema)
@@ -148,12 +167,13 @@ def write(
     )
     shards = _starts(entries)
     known = entries.filter("doc_id is not null").groupBy("doc_id").agg(F.min(F.struct("shard", "at", "n_tokens")).alias("first"))
-    buckets = -(-entries.count() // BUCKET_KEYS)
+    known, count, n_keys = known.select("doc_id", "first.*"), entries.count(), 0
+    buckets = -(-count // BUCKET_KEYS)
     if buckets:
-        known = known.select("doc_id", "first.*", _bucket(F.col("doc_id"), buckets).alias("bucket"))
-        built = known.groupBy("bucket").applyInPandas(lambda group: _indexed(group, folder), "bucket long, n_keys long")
-        built.agg(F.sum("n_keys")).first()
-    return TokenFiles(folder, kind, shards, buckets)
+        dealt = known.withColumn("bucket", _bucket(F.col("doc_id"), buckets))
+        built = dealt.groupBy("bucket").applyInPandas(lambda group: _indexed(group, folder), "bucket long, n_keys long")
+        n_keys = built.agg(F.sum("n_keys")).first()[0] or 0
+    return TokenFiles(folder, kind, shards, buckets, entries, known, count - n_keys)
 
 
 def _starts(entries: DataFrame) -> DataFrame:

@@ -141,6 +141,15 @@ def test_repeated_and_null_ids(spark):
     assert all(g.start is None and g.ids_crc32 is None for g in got if g.doc_id is None)
 
 
+def test_each_row_has_its_own_payload(spark):
+    rows = [(1, "one"), (1, "two and more"), (1, "two and more"), (None, "none"), (None, "null"), (2, "three")]
+    got = token_files.write(docs(spark, rows), BYTES, 2).checked_rows().collect()
+    crc = [zlib.crc32(np.array([*ids, 2], "<u4").tobytes()) for ids in ids_of([t for _, t in rows])]
+    assert sorted((str(g.doc_id), g.ids_crc32) for g in got) == sorted((str(i), c) for (i, _), c in zip(rows, crc))
+    at = sorted((g.start, g.n_tokens) for g in got)
+    assert at[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(at, at[1:]))
+
+
 def test_no_rows(spark):
     df = docs(spark, [])
     files = token_files.write(df, BYTES, 2)
