@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, repeats, simhash, token_files, toxicity
+from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, repeats, runs, simhash, token_files, toxicity
 from sluice.llm.common import bounded_batches, table
 
 BYTES, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
@@ -106,6 +106,37 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_periods(doc_id: Column, text: Column) -> Column:
+    """The text; of a tenth of the documents, by a hash of the id, all words from one on are the first few of these in turn.
+    A text with a null id stays."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    words = F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    n = F.size(words)
+    a = F.pmod(g, n).cast("int")
+    p = (F.lit(1) + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+    period = F.slice(words, a + 1, p)
+    all_words = F.concat(F.slice(words, F.lit(1), a), F.flatten(F.array_repeat(period, F.ceil((n - a) / p).cast("int"))))
+    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(F.slice(all_words, F.lit(1), n), " ")).otherwise(text)
+
+
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    bounded_batches(spark)
+    rows = docs.select("doc_id", runs.found(with_periods(F.col("doc_id"), F.col("text"))).alias("found"))
+    rows = rows.select("doc_id", "found.*")
+    # The exponents length / period are compared as products; runs come by start, then period, so that the first of equal ones stays.
+    larger = "r.length * greatest.period > greatest.length * r.period"
+    greatest = F.expr(f"aggregate(runs, get(runs, 0), (greatest, r) -> if({larger}, r, greatest))")
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return rows.withColumn("r", greatest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "r.start", "r.length", "r.period",
+        F.expr("1000 * r.length div r.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -118,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_host_rules": op8_host_rules,
         "op9_languages": op9_languages,
         "op10_toxicity": op10_toxicity,
+        "op11_runs": op11_runs,
     }
 
 

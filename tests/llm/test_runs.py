@@ -1,0 +1,124 @@
+"""Periodic runs against brute force."""
+
+import hashlib
+import os
+import random
+import zlib
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.llm import queries, runs
+
+SF_DIR = "/root/testdata/sf0.001"
+WORDS = "\t\n\x0b\x0c\r "
+
+
+def words_of(text):
+    for c in WORDS:
+        text = (text or "").replace(c, " ")
+    return [w for w in text.split(" ") if w]
+
+
+def brute_runs(words, least=24, exponent=3):
+    """By start, then period: every period is tried at every place."""
+    smallest = {}
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            if i > start and i + q - start >= max(least, exponent * q):
+                smallest.setdefault((start, i + q - start), q)
+            i += i == start or i + q < len(words)
+    return [(s, n, q) for s, q, n in sorted((s, q, n) for (s, n), q in smallest.items())]
+
+
+def collapsed(words, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(w for i, w in enumerate(words) if i not in gone)
+
+
+def random_text(rng):
+    letters = "abcdefgh"[: rng.choice([1, 2, 3, 8])]
+    words = []
+    for _ in range(rng.randint(0, 5)):
+        block = [rng.choice(letters) for _ in range(rng.randint(1, 9))]
+        words += block * rng.randint(1, 12) + block[: rng.randint(0, len(block))]
+        words += [rng.choice(letters) for _ in range(rng.randint(0, 4))]
+    blank = rng.choice([" ", "\n", " \t ", "\x0b", "\r\n"])
+    return rng.choice(["", blank]) + blank.join(words) + rng.choice(["", blank])
+
+
+@pytest.mark.parametrize(("least", "exponent"), [(24, 3), (6, 3), (10, 4)])
+def test_random_texts(least, exponent):
+    rng, seen = random.Random(least), 0
+    for _ in range(60):
+        texts = [rng.choice([None, "", " \n"]) if rng.random() < 0.1 else random_text(rng) for _ in range(rng.randint(0, 12))]
+        for text, got in zip(texts, runs._batch(pa.array(texts, pa.string()), least, exponent).to_pylist()):
+            words = words_of(text)
+            expected = brute_runs(words, least, exponent)
+            seen += len(expected)
+            assert [(r["start"], r["length"], r["period"]) for r in got["runs"]] == expected
+            assert got["collapsed"] == collapsed(words, expected)
+    assert seen > 100
+
+
+def test_blanks_are_ascii_only():
+    (got,) = runs._batch(pa.array(["a\x1cb c d e"]), 24, 3).to_pylist()
+    assert got == {"runs": [], "collapsed": "a\x1cb c d e"}
+
+
+def test_very_long_texts():
+    """One word, one long period, and a passage that recurs after many different words."""
+    passage = [f"p{j}" for j in range(19)]
+    texts = ["a " * 300_000, " ".join(f"w{k % 5000}" for k in range(300_000)), " ".join(w for k in range(15_000) for w in [f"x{k}", *passage])]
+    one, long, none = runs._batch(pa.array(texts), 24, 3).to_pylist()
+    assert one == {"runs": [{"start": 0, "length": 300_000, "period": 1}], "collapsed": "a"}
+    assert long["runs"] == [{"start": 0, "length": 300_000, "period": 5000}] and len(long["collapsed"].split()) == 5000
+    assert none["runs"] == []
+
+
+def test_exponents_below_three_are_refused(spark):
+    with pytest.raises(ValueError):
+        runs.found(F.col("text"), 24, 2)
+
+
+def test_rows_of_any_kind(spark):
+    text = "x y z " * 10
+    rows = [(None, None), (1, None), (1, text), (1, text), (2, ""), (3, " \n ")]
+    docs = spark.createDataFrame(rows, "id long, text string").withColumn("runs", F.lit(1))
+    got = sorted(docs.select("id", "runs", runs.found(F.col("text")).alias("r")).collect(), key=repr)
+    assert len(got) == len(rows)
+    assert sorted(len(g.r.runs) for g in got) == [0, 0, 0, 0, 1, 1]
+    assert {g.r.collapsed for g in got} == {"", "x y z"}
+    assert docs.filter("false").select(runs.found(F.col("text"))).collect() == []
+
+
+def periodic(doc_id, words):
+    h = zlib.crc32(str(doc_id).encode())
+    g, n = h // 10, len(words)
+    if h % 10 or not n:
+        return words
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+def test_query(spark):
+    expected = []
+    for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect():
+        words = periodic(r.doc_id, words_of(r.text))
+        found = brute_runs(words)
+        best = max(found, key=lambda x: (x[1] / x[2], -x[0], -x[2])) if found else None
+        expected.append((
+            r.doc_id, len(found), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+            hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in found).encode()).hexdigest(),
+            hashlib.sha256(collapsed(words, found).encode()).hexdigest(),
+        ))
+    got = queries.op11_runs(spark, SF_DIR)
+    assert got.columns == ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert sorted(map(tuple, got.collect())) == sorted(expected) and sum(e[1] for e in expected) > 10
