@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, repeats, runs, simhash, token_files, toxicity
+from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, quality, repeats, runs, simhash, token_files, toxicity
 from sluice.llm.common import bounded_batches, table
 
 BYTES, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
@@ -137,6 +137,21 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def held_out(doc_id: Column) -> Column:
+    """A quarter of the documents, by a hash of the id; none without an id."""
+    return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
+
+
+QUALITY_LIMIT = 0.7
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), quality.learn(docs, labels).column(F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= QUALITY_LIMIT).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -150,6 +165,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_languages": op9_languages,
         "op10_toxicity": op10_toxicity,
         "op11_runs": op11_runs,
+        "op12_quality": op12_quality,
     }
 
 

@@ -33,6 +33,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from sluice.llm.common import words_of
+
 LEAST, EXPONENT = 24, 3
 RESULT = "struct<runs:array<struct<start:long,length:long,period:long>>,collapsed:string>"
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
@@ -70,15 +72,6 @@ def _batch(texts: pa.Array, least: int, exponent: int) -> pa.Array:
     return pa.StructArray.from_arrays([lists, pc.binary_join(kept, " ")], names=["runs", "collapsed"])
 
 
-def words_of(texts: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """The words of all texts, one after the other, and where each text ends."""
-    lists = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
-    flat, offsets = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
-    is_word = pc.not_equal(flat, "")
-    upto = np.concatenate([[0], np.cumsum(is_word.to_numpy(zero_copy_only=False))])
-    return flat.filter(is_word).dictionary_encode(), upto[offsets[1:]].astype(np.int64)
-
-
 def runs(codes: np.ndarray, ends: np.ndarray, least: int = LEAST, exponent: int = EXPONENT) -> tuple[np.ndarray, ...]:
     """Start, length and period of the runs of texts that lie one after the other, each up to one of `ends`; in order."""
     shortest = -(-least * (exponent - 1) // exponent)  # no pair of a run is shorter
