@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import content_sort, host_rules, html_crf, languages, mixing, pieces, quality, repeats, runs, simhash, token_files, toxicity
+from sluice.llm import (
+    alignment,
+    content_sort,
+    host_rules,
+    html_crf,
+    languages,
+    mixing,
+    pieces,
+    quality,
+    repeats,
+    runs,
+    simhash,
+    token_files,
+    toxicity,
+)
 from sluice.llm.common import bounded_batches, table
 
 BYTES, END_ID = public_tokenizers.path("byte_bpe_50k.json"), 2
@@ -152,6 +166,10 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= QUALITY_LIMIT).cast("int"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), BYTES, PIECES).documents()
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_files": op1_token_files,
@@ -166,6 +184,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_toxicity": op10_toxicity,
         "op11_runs": op11_runs,
         "op12_quality": op12_quality,
+        "op13_alignment": op13_alignment,
     }
 
 

@@ -1,0 +1,165 @@
+"""Alignment of two tokenizers against brute force with the libraries, whole text by whole text."""
+
+import hashlib
+import os
+import random
+from bisect import bisect_left
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from sluice.llm import alignment, queries
+
+SF_DIR = "/root/testdata/sf0.001"
+A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+SIGNS = [
+    "a", "bc", "word", "Été", "ñ", "漢字", "ß", ".", " ", "  ", "\n", "\n\n", "\t", "\x0b", "\x0c", "\r\n", "\x85", "\xa0", " ",
+    "　", " ", "\x1c", "\x01", "\x00", ",", "...", "'s", "'", "123", "<s>", "<|endoftext|>", "<0x41>", "😀", "é", "﻿", " the", "-", "_",
+]
+
+
+def random_text(rng):
+    if rng.random() < 0.1:
+        return rng.choice([None, "", " ", "\n", "▁", "a▁b c"])
+    return "".join(rng.choice(SIGNS) + rng.choice(["", " ", ""]) for _ in range(rng.randint(1, 30)))
+
+
+class Brute:
+    def __init__(self):
+        self.a = Tokenizer.from_file(A)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=B)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [x for x in range(256) if x not in shown]
+        self.byte = {chr(x): x for x in shown} | {chr(256 + k): x for k, x in enumerate(hidden)}
+
+    def tokens(self, text):
+        """(id, end) of both; none where they don't give the bytes."""
+        if not text:
+            return [], []
+        whole, out = (" " + text).encode(), []
+        a = [(i, bytes(self.byte[c] for c in self.a.id_to_token(i))) for i in self.a.encode(" " + text, add_special_tokens=False).ids]
+        b = []
+        for i in self.b.encode(text):
+            p = self.b.id_to_piece(i)
+            b.append((i, bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()))
+        for side in (a, b):
+            if b"".join(x for _, x in side) != whole:
+                return [], []
+            out.append(list(zip([i for i, _ in side], np.cumsum([len(x) for _, x in side]).tolist())))
+        return out
+
+    def groups(self, text):
+        a, b = self.tokens(text)
+        ends = sorted({e for _, e in a} & {e for _, e in b})
+        parts = [([], []) for _ in ends]
+        for k, side in enumerate((a, b)):
+            for i, e in side:
+                parts[bisect_left(ends, e)][k].append(str(i))
+        return ";".join("|".join(map(",".join, p)) for p in parts)
+
+    def rows(self, docs):
+        linked = []
+        for _, text in docs:
+            a, b = self.tokens(text)
+            at = {e: i for i, e in b}
+            linked.append([(i, at[e]) for i, e in a if e in at])
+        count = Counter(p for links in linked for p in links)
+        best = {}
+        for (_, y), n in count.items():
+            best[y] = max(best.get(y, 0), n)
+        out = []
+        for (doc_id, text), links in zip(docs, linked):
+            a, b = self.tokens(text)
+            groups = self.groups(text)
+            digest = hashlib.sha256(groups.encode()).hexdigest() if a else ""
+            n_best, total = sum(count[p] == best[p[1]] for p in links), sum(count[p] for p in links)
+            out.append((doc_id, len(a), len(b), len(groups.split(";")) if a else 0, len(links), n_best, total, digest))
+        return sorted(out, key=repr)
+
+
+COLUMNS = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+@pytest.fixture(scope="module")
+def brute():
+    return Brute()
+
+
+def test_cuts_change_nothing(brute):
+    """Ids of stretches, one after the other, are the ids of the whole text."""
+    rng, of = random.Random(5), alignment.Tokenizers(A, B)
+    cut = 0
+    for _ in range(150):
+        texts = [random_text(rng) for _ in range(rng.randint(1, 15))]
+        places, ends = alignment.cut(pa.array(texts, pa.string()), of.signs, of.cuts)
+        stretches, codes, begin = places.dictionary.to_pylist(), places.indices.to_pylist(), 0
+        a, b = of.encode_a(stretches), of.encode_b(stretches)
+        cut += len(codes) - len(texts)
+        for text, end in zip(texts, ends.tolist()):
+            mine, begin = codes[begin:end], end
+            assert "".join(stretches[c] for c in mine) == (" " + text if text else "")
+            if text:
+                assert [i for c in mine for i in a[c]] == brute.a.encode(" " + text, add_special_tokens=False).ids
+                if "▁" not in text:
+                    assert [i for c in mine for i in b[c]] == brute.b.encode(text)
+    assert cut > 1000
+
+
+def test_coalescing_by_overlaps():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        size = rng.integers(1, 40)
+        a, b = (np.unique(np.append(rng.integers(1, size + 1, size), size)) for _ in range(2))
+        group, (one, other), n = alignment.coalesced(a, b)
+        ends = sorted(set(a.tolist()) & set(b.tolist()))
+        assert group.tolist() == [*np.searchsorted(ends, a).tolist(), *np.searchsorted(ends, b).tolist()]
+        assert list(zip(a[one].tolist(), b[other].tolist())) == [(e, e) for e in ends]
+        starts = np.concatenate([[0], a[:-1]]), np.concatenate([[0], b[:-1]])
+        assert n.tolist() == [sum(s < y and x < e for x, y in zip(starts[1], b)) for s, e in zip(starts[0], a)]
+
+
+def test_documents_against_brute_force(spark, brute, monkeypatch):
+    rng = random.Random(6)
+    docs = [(rng.choice([None, k, 7]), random_text(rng)) for k in range(400)] + [(1000, "word. " * 50_000), (1001, "x" * 20_000)]
+    rows = spark.createDataFrame(docs, "doc_id long, text string").withColumn("n_a", F.lit("clash")).repartition(5)
+    found = alignment.align(rows, A, B)
+    got = found.documents().collect()
+    assert sorted([tuple(g[c] for c in COLUMNS) for g in got], key=repr) == brute.rows(docs)
+    assert all(g.n_overlaps >= g.n_links for g in got)
+    pairs = found.pairs.collect()
+    assert sum(p.n for p in pairs) == sum(g.n_links for g in got) and len({(p.a, p.b) for p in pairs}) == len(pairs)
+    written = sorted((g.text or "", g.groups) for g in rows.select("text", alignment.groups(F.col("text"), A, B).alias("groups")).collect())
+    assert written == sorted((t or "", brute.groups(t)) for _, t in docs)
+
+
+def test_what_is_kept_changes_nothing(monkeypatch):
+    rng = random.Random(7)
+    few, many = alignment.Tokenizers(A, B), alignment.Tokenizers(A, B)
+    for _ in range(20):
+        places, _ = alignment.cut(pa.array([random_text(rng) for _ in range(20)], pa.string()), many.signs, many.cuts)
+        expected = many.records(places.dictionary.to_pylist())
+        monkeypatch.setattr(alignment, "KEPT_BYTES", 2000)
+        assert few.records(places.dictionary.to_pylist()) == expected
+        monkeypatch.undo()
+        assert len(few._now) + len(few._before) < 200
+
+
+def test_no_rows(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert alignment.align(docs.filter("false"), A, B).documents().collect() == []
+    (row,) = alignment.align(docs.withColumn("text", F.lit(None).cast("string")), A, B).documents().collect()
+    assert tuple(row[c] for c in COLUMNS) == (1, 0, 0, 0, 0, 0, 0, "")
+
+
+@pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
+def test_query(spark, brute):
+    docs = [tuple(r) for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    got = queries.op13_alignment(spark, SF_DIR).select(COLUMNS).collect()
+    assert sorted(map(tuple, got), key=repr) == brute.rows(docs)
