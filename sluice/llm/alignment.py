@@ -22,7 +22,6 @@ empty table gives an empty result. A very long text is a batch of its own: memor
 from __future__ import annotations
 
 import hashlib
-import json
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
@@ -36,16 +35,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from sluice.llm.byte_words import WordModel, is_byte_level, signs_of_bytes
 from sluice.llm.common import bounded_batches, stored
+from sluice.llm.stretches import SPACE, Kept, cut
 
-KEPT_BYTES, KEPT_STRETCH, RECORD_BYTES = 48 << 20, 1000, 400
-SPACE = "▁"
-_BLANK = np.zeros(256, bool)
-_BLANK[[*range(9, 14), *range(28, 33)]] = True
-_LETTER = np.zeros(256, bool)
-_LETTER[[*range(65, 91), *range(97, 123)]] = True
-#: Blanks of several bytes, and B's sign for a space, in UTF-8.
-_WIDE = ["\x85", "\xa0", "\u1680", *map(chr, range(0x2000, 0x200B)), "\u2028", "\u2029", "\u202f", "\u205f", "\u3000", SPACE]
+KEPT_BYTES, RECORD_BYTES = 60 << 20, 250
 
 _NUMBERS = ["n_a", "n_b", "n_groups", "n_links", "n_overlaps"]
 _STAGED = (
@@ -55,25 +49,16 @@ _STAGED = (
 _RESULT = "doc_id long, " + ", ".join(f"{n} long" for n in _NUMBERS) + ", n_best long, count_sum long, groups_sha256 string"
 
 
-def _bytes_of_signs() -> dict[str, int]:
-    """The byte that each sign of a byte-level vocabulary stands for: bytes that can be shown stand for themselves, the others
-    follow from 256 on."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(others)}
-
-
 class Tokenizers:
     """Both tokenizers, and what is known of stretches met before."""
 
     def __init__(self, a_path: str, b_path: str) -> None:
         self.a = Tokenizer.from_file(a_path)
         self.a.encode_special_tokens = True
-        description = json.loads(self.a.to_str())
-        before = description["pre_tokenizer"] or {}
-        if description["normalizer"] or before.get("type") != "ByteLevel" or before.get("add_prefix_space") or not before.get("use_regex", True):
+        if not is_byte_level(self.a):
             raise ValueError(f"{a_path}: a byte-level tokenizer that cuts words and changes nothing is needed")
-        sign = _bytes_of_signs()
+        self._words = WordModel(self.a)
+        sign = {c: b for b, c in enumerate(signs_of_bytes())}
         self.a_bytes = {i: bytes(sign[c] for c in t) for t, i in self.a.get_vocab().items()}
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         size = self.b.get_piece_size()
@@ -91,16 +76,14 @@ class Tokenizers:
         self.b_before = self.b.encode("\n")  # what stands before a stretch that has no space of its own
         beside = {pair for i, p in enumerate(pieces) if not self.b.is_byte(i) and not self.b.is_control(i) for pair in zip(p, p[1:])}
         self.cuts = not any(y == SPACE != x or "\n" in (x, y) for x, y in beside)
-        self.signs = [ord(c) for c in ".," if not any(y == c and x.isalpha() for x, y in beside)]
-        self._now: dict[str, tuple] = {}
-        self._before: dict[str, tuple] = {}
-        self._held = 0
+        self.signs = "".join(c for c in ".," if not any(y == c and x.isalpha() for x, y in beside))
+        self._kept = Kept(self._many, KEPT_BYTES, lambda record: RECORD_BYTES + len(record[5]) + len(record[6]))
 
     def encode_a(self, texts: list[str]) -> list[list[int]]:
-        out: list[list[int]] = []
-        for k in range(0, len(texts), 5000):
-            out += [e.ids for e in self.a.encode_batch_fast(texts[k : k + 5000], add_special_tokens=False)]
-        return out
+        ids = self._words.ids(texts)
+        others = [t for t, x in zip(texts, ids) if x is None]
+        made = iter(self.a.encode_batch_fast(others, add_special_tokens=False))
+        return [next(made).ids if x is None else x for x in ids]
 
     def encode_b(self, texts: list[str]) -> list[list[int]]:
         """Of stretches, each with the space in front that it has in the text."""
@@ -111,24 +94,10 @@ class Tokenizers:
 
     def records(self, stretches: list[str]) -> list[tuple]:
         """n_a, n_b, n_groups, n_links, n_overlaps, groups, codes of the linked pairs, and whether both tokenizers give the bytes."""
-        now, before = self._now, self._before
-        found = [now.get(s) for s in stretches]
-        missing = [k for k, r in enumerate(found) if r is None]
-        for k in missing:
-            found[k] = before.get(stretches[k])
-        new = [k for k in missing if found[k] is None]
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            for k, record in zip(some, self._made([stretches[k] for k in some])):
-                found[k] = record
-        for k in missing:
-            text, record = stretches[k], found[k]
-            if len(text) <= KEPT_STRETCH:
-                now[text] = record
-                self._held += RECORD_BYTES + 2 * len(text) + len(record[5]) + len(record[6])
-        if self._held > KEPT_BYTES:
-            self._before, self._now, self._held = now, {}, 0
-        return found
+        return self._kept.of(stretches)
+
+    def _many(self, stretches: list[str]) -> list[tuple]:
+        return [r for k in range(0, len(stretches), 20_000) for r in self._made(stretches[k : k + 20_000])]
 
     def _made(self, stretches: list[str]) -> list[tuple]:
         data = [s.encode() for s in stretches]
@@ -207,50 +176,10 @@ def tokenizers(a_path: str, b_path: str) -> Tokenizers:
     return Tokenizers(a_path, b_path)
 
 
-# ---------------------------------------------------------------- stretches
-
-
-def cut(texts: pa.Array, signs: list[int], cuts: bool = True) -> tuple[pa.DictionaryArray, np.ndarray]:
-    """The stretches of a space and each text (nothing of null and empty ones), and where each text's stretches end."""
+def spaced(texts: pa.Array) -> pa.Array:
+    """A space and the text; nothing for null and empty ones."""
     texts = pc.fill_null(texts, "")
-    texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
-    texts = pa.concat_arrays([texts])  # without an offset into a larger array
-    bounds = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1).astype(np.int64)
-    size = int(bounds[-1])
-    data = np.frombuffer(texts.buffers()[2], np.uint8, size) if size else np.zeros(0, np.uint8)
-    cut_at = np.zeros(size + 1, bool)
-    if cuts and size:
-        blank = _BLANK[data]
-        for sign in _WIDE:  # marked at their last byte
-            blank |= _ends_of(data, sign.encode())
-        line_end, plain = data == 10, ~blank
-        before = np.append(False, plain[:-1])  # after a sign that is no blank
-        cut_at[:-1] |= ((data == 32) | line_end) & before
-        # After a line end that stands alone: what follows is no blank, nor the first byte of one.
-        alone = line_end & before
-        first = plain & ~_begins_blank(data)
-        cut_at[1:-1] |= alone[:-1] & first[1:]
-        letter = np.append(False, _LETTER[data][:-1])
-        cut_at[:-1] |= np.isin(data, signs) & letter
-    cut_at[bounds] = True
-    at = np.flatnonzero(cut_at)
-    if not size:
-        at = at[:1]
-    stretches = pa.StringArray.from_buffers(len(at) - 1, pa.array(at, pa.int32()).buffers()[1], texts.buffers()[2] or pa.py_buffer(b""))
-    return stretches.dictionary_encode(), np.searchsorted(at, bounds[1:])
-
-
-def _ends_of(data: np.ndarray, sign: bytes) -> np.ndarray:
-    found = data == sign[-1]
-    for k in range(1, len(sign)):
-        found[k:] &= data[:-k] == sign[-1 - k]
-        found[:k] = False
-    return found
-
-
-def _begins_blank(data: np.ndarray) -> np.ndarray:
-    """Bytes that begin the same way as a blank of several bytes."""
-    return np.isin(data, sorted({s.encode()[0] for s in _WIDE}))
+    return pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
 
 
 # ---------------------------------------------------------------- documents
@@ -295,7 +224,7 @@ def groups(text: Column, a_path: str, b_path: str) -> Column:
     @F.arrow_udf("string")
     def written(texts: pa.Array) -> pa.Array:
         of = tokenizers(a_path, b_path)
-        places, ends = cut(texts, of.signs, of.cuts)
+        places, ends = cut(spaced(texts), of.signs, of.cuts)
         records, codes = of.records(places.dictionary.to_pylist()), places.indices.to_pylist()
         out, begin = [], 0
         for end in ends.tolist():
@@ -311,7 +240,7 @@ def _staged(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iter
     of, task = tokenizers(a_path, b_path), TaskContext.get().partitionId() << 32
     schema = _arrow(_STAGED)
     for number, batch in enumerate(batches):
-        places, ends = cut(batch.column("text"), of.signs, of.cuts)
+        places, ends = cut(spaced(batch.column("text")), of.signs, of.cuts)
         records = of.records(places.dictionary.to_pylist())
         codes = places.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         begin, n = np.concatenate([[0], ends[:-1]]).astype(np.int64)[: len(ends)], len(records)

@@ -6,11 +6,12 @@ two; else the next shorter piece that is its prefix is tried, and if there is no
 bitfield and the last piece is taken back. A sequence all of whose neighbours are compatible is the one that merging gives.
 
 A text is cut where no piece can reach across: before white space, and at two characters that stand beside each other in no
-piece. What is between two cuts is encoded once for each batch, and kept by the worker as long as it recurs.
+piece. What is between two cuts is encoded once for each batch, and kept by the worker as long as it recurs, up to `KEPT_BYTES`.
 
 The model's normaliser must change nothing but spaces, add a space in front of a text and keep all other spaces; this is
-checked when a model is read. Null and empty texts have the end id alone. The model file must be at the same path
-on every executor.
+checked when a model is read. Null and empty texts have the end id alone. Rows that repeat are encoded alike, an empty table gives an
+empty result, no column but the text is read. A very long text is held as a whole, with its ids, in one task. The model file must be
+at the same path on every executor.
 """
 
 from __future__ import annotations
@@ -29,10 +30,9 @@ import sentencepiece
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from sluice.llm.stretches import MARK, Kept, cut, joined
+from sluice.llm.stretches import SPACE, Kept, cut, joined
 
-KEPT = 150_000
-SPACE = "▁"
+KEPT, KEPT_BYTES = 150_000, 40 << 20
 _LETTER = r"[^\W\d_]"
 _RUN = re.compile(f"{SPACE}*{_LETTER}+|{SPACE}+|.", re.DOTALL)
 _KIND = np.dtype(np.int32)
@@ -71,7 +71,7 @@ class Model:
         inner = any(b == SPACE != a for a, b in self.beside) or any("\n" in pair for pair in self.beside)
         after_letter = {b for a, b in self.beside if a.isalpha()}
         self.signs = "".join(c for c in ".,;:!?" if c not in after_letter)
-        self.not_cut = "" if inner else f"  |{SPACE}|{MARK}"
+        self.cuts = not inner
         self.automaton = ahocorasick.Automaton()
         for p in self.ids:
             self.automaton.add_word(p, p)
@@ -79,7 +79,7 @@ class Model:
         self._shorter: dict[str, str | None] = {}
         self._compatible: dict[tuple[str, str], bool] = {}
         self._last_merge: dict[str, tuple[str, str] | None] = {}
-        self._kept = Kept(lambda stretches: [self._stretch(s) for s in stretches], KEPT)
+        self._kept = Kept(lambda stretches: [self._stretch(s) for s in stretches], KEPT_BYTES)
 
     def encode(self, text: str | None) -> list[int]:
         """All ids, the end id last."""
@@ -89,9 +89,9 @@ class Model:
         """The ids of all texts, one after the other, each with the end id last, and where each one ends."""
         texts = pc.fill_null(texts, "")
         texts = pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(" ", texts, ""))
-        stretches, whole, codes, ends = cut(texts, pc.match_substring_regex(texts, self.not_cut), self.signs)
-        ids = self._kept.of(stretches) + [self._stretch(t) for t in whole]
-        return joined(ids, _KIND, codes, ends, self.end_id)
+        places, ends = cut(texts, self.signs, self.cuts)
+        codes = places.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return joined(self._kept.of(places.dictionary.to_pylist()), _KIND, codes, ends, self.end_id)
 
     def _stretch(self, text: str) -> bytes:
         """Ids of a text that no piece reaches into or out of; spaces are still spaces."""

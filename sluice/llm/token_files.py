@@ -10,7 +10,8 @@ first token there and the number of tokens. Access by key reads one bucket and o
 one stretch of one shard. A fingerprint of 32 bits tells unknown ids, but for one in 2**32.
 
 Encoding: whole texts, null as empty, plus an end id. Special tokens' names in a text are ordinary text. A text is cut at places
-where the pre-tokeniser always cuts, and each worker keeps the stretches it met last with their ids.
+where the pre-tokeniser always cuts, and each worker keeps the stretches it met last with their ids, up to `KEPT_BYTES`. A very
+long text is held as a whole, with its ids, in one task.
 
 Repeated ids: all rows are in the shards, the index knows the first of them, which answers for all. A null id has no key: a
 look-up gives null. `checked_rows` reads the payload of each row, whatever its id. No rows: no shards, an empty index. Extra columns are not read. Tasks that run again write the same files.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -33,18 +35,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from sluice.llm.byte_words import WordModel
 from sluice.llm.common import bounded_batches, stored
 from sluice.llm.perfect_hash import PerfectHash, mixed
 from sluice.llm.shared_files import Reader, write_file
 from sluice.llm.stretches import Kept, cut, joined
 from sluice.sources.tables import scratch_path
 
-SHARD_BYTES, BUCKET_KEYS, KEPT = 32 << 20, 100_000, 300_000
+SHARD_BYTES, BUCKET_KEYS, KEPT_BYTES = 32 << 20, 100_000, 80 << 20
 _ENTRY = np.dtype([("print", "<u4"), ("n_tokens", "<u4"), ("shard", "<i8"), ("at", "<i8")])
 _FINGERPRINT_SEED = 1000
-#: The pre-tokeniser cuts before each space and around each line end, if no two blanks stand together (other texts stay whole),
-#: and between a letter and a stop or comma.
-_NOT_CUT = r"[\s\x{85}\x{1c}-\x{1f}\pZ]{2}|\x01"
 
 
 class Encoder:
@@ -52,26 +52,36 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self._words = WordModel(self.tokenizer)
         (self.line_end,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self._kept = Kept(self._made, KEPT)
+        self._kept = Kept(self._made, KEPT_BYTES)
 
     def encoded(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, each with the end id last, and where each one ends. Null is empty."""
-        texts = pc.fill_null(texts, "")
-        stretches, whole, codes, ends = cut(texts, pc.match_substring_regex(texts, _NOT_CUT), ".,")
-        return joined(self._kept.of(stretches) + self._encoded(whole), self.kind, codes, ends, end_id)
+        places, ends = cut(pc.fill_null(texts, ""), ".,")
+        codes = places.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        return joined(self._kept.of(places.dictionary.to_pylist()), self.kind, codes, ends, end_id)
 
     def _made(self, stretches: list[str]) -> list[bytes]:
-        """Many at a time as lines of one text: the pre-tokeniser cuts at line ends, if no other blank is beside them."""
-        if "" in stretches:  # no line of its own: beside a line end, it would join with the next one's
-            made = iter(self._made([s for s in stretches if s]))
-            return [next(made) if s else b"" for s in stretches]
+        code = {2: "H", 4: "I"}[self.kind.itemsize]
+        made = [ids and array(code, ids).tobytes() for ids in self._words.ids(stretches)]
+        others = iter(self._of_any_kind([s for s, ids in zip(stretches, made) if ids is None]))
+        return [next(others) if ids is None else ids for ids in made]
+
+    def _of_any_kind(self, stretches: list[str]) -> list[bytes]:
+        """Many at a time as lines of one text: the pre-tokeniser cuts at line ends, if no blank but one space is beside them."""
+        odd = [k for k, s in enumerate(stretches) if (t := s.removeprefix(" ")) != t.strip() or not t or "\n" in t]
+        if odd:
+            alone = set(odd)
+            lines = iter(self._lines([s for k, s in enumerate(stretches) if k not in alone]))
+            others = iter(self._encoded([stretches[k] for k in odd]))
+            return [next(others if k in alone else lines) for k in range(len(stretches))]
+        return self._lines(stretches)
+
+    def _lines(self, stretches: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for k in range(0, len(stretches), 2000):
             some = stretches[k : k + 2000]
-            if any(s[-1:].isspace() or s[:1].isspace() and s[0] != " " for s in some):
-                out += self._encoded(some)
-                continue
             ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, self.kind)
             ends = np.append(np.flatnonzero(ids == self.line_end), len(ids)) * self.kind.itemsize
             if len(ends) != len(some):

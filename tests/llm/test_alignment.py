@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sluice.llm import alignment, queries
+from sluice.llm.stretches import cut
 
 SF_DIR = "/root/testdata/sf0.001"
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SIGNS = [
-    "a", "bc", "word", "Été", "ñ", "漢字", "ß", ".", " ", "  ", "\n", "\n\n", "\t", "\x0b", "\x0c", "\r\n", "\x85", "\xa0", " ",
-    "　", " ", "\x1c", "\x01", "\x00", ",", "...", "'s", "'", "123", "<s>", "<|endoftext|>", "<0x41>", "😀", "é", "﻿", " the", "-", "_",
+    "a", "bc", "word", "Été", "ñ", "漢字", "ß", ".", " ", "  ", "\n", "\n\n", "\t", "\x0b", "\x0c", "\r\n", "\x85", "\xa0", "\u2028",
+    "\u3000", "\u2009", "\x1c", "\x01", "\x00", ",", "...", "'s", "'", "123", "<s>", "<|endoftext|>", "<0x41>", "😀", "e\u0301", "\ufeff",
+    " the", "-", "_",
 ]
 
 
@@ -95,13 +97,13 @@ def brute():
 def test_cuts_change_nothing(brute):
     """Ids of stretches, one after the other, are the ids of the whole text."""
     rng, of = random.Random(5), alignment.Tokenizers(A, B)
-    cut = 0
+    cuts = 0
     for _ in range(150):
         texts = [random_text(rng) for _ in range(rng.randint(1, 15))]
-        places, ends = alignment.cut(pa.array(texts, pa.string()), of.signs, of.cuts)
+        places, ends = cut(alignment.spaced(pa.array(texts, pa.string())), of.signs, of.cuts)
         stretches, codes, begin = places.dictionary.to_pylist(), places.indices.to_pylist(), 0
         a, b = of.encode_a(stretches), of.encode_b(stretches)
-        cut += len(codes) - len(texts)
+        cuts += len(codes) - len(texts)
         for text, end in zip(texts, ends.tolist()):
             mine, begin = codes[begin:end], end
             assert "".join(stretches[c] for c in mine) == (" " + text if text else "")
@@ -109,7 +111,7 @@ def test_cuts_change_nothing(brute):
                 assert [i for c in mine for i in a[c]] == brute.a.encode(" " + text, add_special_tokens=False).ids
                 if "▁" not in text:
                     assert [i for c in mine for i in b[c]] == brute.b.encode(text)
-    assert cut > 1000
+    assert cuts > 1000
 
 
 def test_coalescing_by_overlaps():
@@ -139,16 +141,15 @@ def test_documents_against_brute_force(spark, brute, monkeypatch):
     assert written == sorted((t or "", brute.groups(t)) for _, t in docs)
 
 
-def test_what_is_kept_changes_nothing(monkeypatch):
+def test_what_is_kept_changes_nothing():
     rng = random.Random(7)
     few, many = alignment.Tokenizers(A, B), alignment.Tokenizers(A, B)
+    few._kept._most = 5000
     for _ in range(20):
-        places, _ = alignment.cut(pa.array([random_text(rng) for _ in range(20)], pa.string()), many.signs, many.cuts)
+        places, _ = cut(alignment.spaced(pa.array([random_text(rng) for _ in range(20)], pa.string())), many.signs, many.cuts)
         expected = many.records(places.dictionary.to_pylist())
-        monkeypatch.setattr(alignment, "KEPT_BYTES", 2000)
         assert few.records(places.dictionary.to_pylist()) == expected
-        monkeypatch.undo()
-        assert len(few._now) + len(few._before) < 200
+    assert len(few._kept._now) + len(few._kept._before) < len(many._kept._now) / 2
 
 
 def test_no_rows(spark):

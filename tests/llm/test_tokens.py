@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from sluice.llm import pieces, token_files
 from sluice.llm.perfect_hash import PerfectHash
+from sluice.llm.stretches import cut
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -34,7 +35,7 @@ def ids_of(texts):
 
 
 def test_byte_encoder_equals_the_library(monkeypatch):
-    monkeypatch.setattr(token_files, "KEPT", 500)  # so that pieces are forgotten
+    monkeypatch.setattr(token_files, "KEPT_BYTES", 60_000)  # so that pieces are forgotten
     of = token_files.Encoder(BYTES)
     for seed in range(20):
         some = texts(300, seed)
@@ -51,6 +52,7 @@ def test_texts_of_one_line(some):
 
 def test_pieces_equal_the_library(monkeypatch):
     monkeypatch.setattr(pieces, "KEPT", 300)
+    monkeypatch.setattr(pieces, "KEPT_BYTES", 40_000)
     of, library = pieces.Model(PIECES), sentencepiece.SentencePieceProcessor(model_file=PIECES)
     for t in [*texts(3000, 1), "x" * 3000, " " * 5003 + "a", "".join(random.Random(2).choices("etaoinshrdlu", k=20_000))]:
         ids = of.encode(t)
@@ -155,3 +157,19 @@ def test_no_rows(spark):
     files = token_files.write(df, BYTES, 2)
     assert files.checked(df).count() == 0
     assert [g.n_tokens for g in files.checked(docs(spark, [(1, "a")])).collect()] in ([], [None])
+
+
+def test_words_of_latin_letters_equal_the_library():
+    r = random.Random(9)
+    letters = [chr(c) for c in range(0x250)]
+    some = [f"{space}{c}{end}" for c in letters for space in ("", " ") for end in ("", "a", "É")]
+    some += ["".join(r.choices("aeiouésthernßüñ", k=r.randint(1, 12))) for _ in range(3000)]
+    ids, ends = token_files.Encoder(BYTES).encoded(pa.array(some), 2)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [[*x, 2] for x in ids_of(some)]
+
+
+def test_cuts_at_one_line_end_and_before_blanks_alone():
+    places, ends = cut(pa.array(["a b\nc.  d\n\ne é, f\xa0g", "", "x\ty"]), ".,")
+    stretches = [places.dictionary[i].as_py() for i in places.indices.to_pylist()]
+    assert stretches == ["a", " b", "\n", "c", ".", "  d", "\n\ne", " é", ",", " f\xa0g", "x\ty"]
+    assert ends.tolist() == [10, 10, 11]
