@@ -7,6 +7,7 @@ import os
 import sys
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,13 +38,15 @@ from sluice.operators.duplicates import (  # noqa: E402
 )
 from sluice.operators.marts import daily_sales, repeated_shops, sales_per_day, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
-from sluice.plans.pipeline import load_daily_sales, run, upsert_table  # noqa: E402
+from sluice.plans.pipeline import load_daily_sales, run, run_each, upsert_table  # noqa: E402
 from sluice.plans.registry import create_registry, lookup, register  # noqa: E402
 from sluice.plans.sizes import fits_broadcast  # noqa: E402
 from sluice.plans.spec import TableSpec  # noqa: E402
 from sluice.sources.files import read_file, with_provenance  # noqa: E402
 from sluice.sources.tables import (  # noqa: E402
+    RUN,
     create_or_replace_table,
+    drop_table,
     read_table,
     scratch_database,
     scratch_path,
@@ -110,10 +113,45 @@ NULL_KEY = ["_is_k1_null", "_is_k2_null"]
 DUPLICATE = ["_key_duplicate", "_row_duplicate"]
 
 
+ALL = sorted(INVALID + NULL_KEY + DUPLICATE)
+MALFORMED = sorted([*ALL, "_is_row_malformed"])
+
+#: Rows of `_lines_of_any_length`: the malformed ones are no twins of others.
+MALFORMED_SQL = """
+b as (
+  select case when l_orderkey % 97 <> 0 then cast(l_orderkey as varchar) end as k1,
+         case when l_partkey % 89 = 0 then 'x' else cast(l_linenumber as varchar) end as k2,
+         case when l_quantity = 48 then l_returnflag || '|' else l_returnflag end as f, l_linestatus as g,
+         case when l_quantity <> 50 then strftime(l_shipdate, '%Y-%m-01') end as d,
+         l_quantity in (49, 50) as _is_row_malformed,
+         case l_quantity when 49 then concat_ws('|', coalesce(k1, ''), k2, f, g, d, 'more')
+                         when 50 then concat_ws('|', coalesce(k1, ''), k2, f, g) end as _malformed_row
+  from lineitem),
+w as (
+  select *, (k1 is null or k2 is null or _is_row_malformed) as kn,
+         row_number() over (partition by _is_row_malformed, k1, k2, f, g, d) as rn from b),
+x as (
+  select *, sum(case when rn = 1 then 1 else 0 end) over (partition by _is_row_malformed, k1, k2) as kc from w),
+flags as (
+  select k1, k2, f, g, d, _malformed_row, _is_row_malformed,
+         false as _is_d_invalid,
+         coalesce(not regexp_matches(k1, '^[0-9]+$'), false) as _is_k1_invalid,
+         k1 is null as _is_k1_null,
+         coalesce(not regexp_matches(k2, '^[0-9]+$'), false) as _is_k2_invalid,
+         k2 is null as _is_k2_null,
+         not kn and rn = 1 and kc > 1 as _key_duplicate,
+         not kn and rn > 1 as _row_duplicate
+  from x)
+"""
+
+
+def _reason_names(flags: list[str]) -> str:
+    return ", ".join(f"case when {f} then '{f}' end" for f in sorted(flags))
+
+
 def _records_sql(flags: list[str]) -> str:
-    names = ", ".join(f"case when {f} then '{f}' end" for f in sorted(flags))
     return (
-        f"with {RAW_LINES_SQL} select k1, k2, f, g, d, concat_ws(',', {names}) as reason "
+        f"with {RAW_LINES_SQL} select k1, k2, f, g, d, concat_ws(',', {_reason_names(flags)}) as reason "
         f"from flags where {' or '.join(flags)}"
     )
 
@@ -360,15 +398,17 @@ def upsert_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def upsert_partitioned_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders by the first day of their year, as dates; the source has these days as times of the day, and keys as text."""
+    """Orders by the first day of their year, as dates; the source, finished orders of the first years, has these days as times of the
+    day, and keys as text."""
     table = f"{scratch_database(spark)[0]}.orders"
     orders = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("orderkey"),
         F.col("o_totalprice").alias("amount"),
         F.trunc(F.to_date("o_orderdate"), "year").alias("day"),
+        F.col("o_orderstatus").alias("status"),
     )
-    orders.write.partitionBy("day").saveAsTable(table)
-    source = orders.filter("orderkey % 3 = 0 and year(day) < 1997").select(
+    orders.drop("status").write.partitionBy("day").saveAsTable(table)
+    source = orders.filter("status = 'F' and year(day) < 1997").select(
         F.col("orderkey").cast("string"),
         F.lit(0.5).alias("amount"),
         (F.col("day").cast("timestamp") + F.expr("interval 12 hours")).alias("day"),
@@ -379,16 +419,30 @@ def upsert_partitioned_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def replace_with_new_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table is written, written anew with other columns, emptied with others again, and added to."""
-    name = f"{scratch_database(spark)[0]}.t"
-    write_table(_table(spark, sf_dir, "nation"), name, "overwrite")
-    write_table(_table(spark, sf_dir, "region"), name, "overwrite")
+    database = scratch_database(spark)[0]
+    name, kept = f"{database}.t", f"{database}.kept"
+    write_table(_table(spark, sf_dir, "customer"), name, "overwrite")
+    write_table(_table(spark, sf_dir, "orders"), name, "overwrite")
     replaced = read_table(spark, name)
-    columns = ", ".join(replaced.columns)
-    kept = replaced.select(F.lit(columns).alias("columns"), F.col("r_name").alias("name")).collect()  # five regions
-    create_or_replace_table(spark, name, "columns string, name string, n int")
-    write_table(spark.createDataFrame(kept).withColumn("n", F.lit(1)), name, "append")
-    nations = _table(spark, sf_dir, "nation").select(F.lit("nation"), "n_name", F.lit(2)).toDF("columns", "name", "n")
-    write_table(nations, name, "append")
+    columns = F.lit(", ".join(replaced.columns)).alias("columns")
+    write_table(replaced.select(columns, F.col("o_orderkey").alias("key"), F.col("o_totalprice").alias("amount")), kept, "overwrite")
+    create_or_replace_table(spark, name, "columns string, key bigint, amount double")
+    write_table(read_table(spark, kept), name, "append")
+    customers = _table(spark, sf_dir, "customer").select(F.lit("customer"), "c_custkey", "c_acctbal")
+    write_table(customers.toDF("columns", "key", "amount"), name, "append")
+    return read_table(spark, name)
+
+
+def append_other_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers, then suppliers with a column less and one more, then nations with fewer: one table, by name."""
+    name = f"{scratch_database(spark)[0]}.parties"
+    customers = _table(spark, sf_dir, "customer").toDF("key", "name", "nation", "balance", "segment")
+    suppliers = _table(spark, sf_dir, "supplier").select(
+        F.lit("supplier").alias("kind"), F.col("s_acctbal").alias("balance"), F.col("s_name").alias("NAME"), F.col("s_suppkey").alias("key")
+    )
+    nations = _table(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_nationkey").alias("nation"))
+    for rows, mode in ((customers, "overwrite"), (suppliers, "append"), (nations, "append")):
+        write_table(rows, name, mode)
     return read_table(spark, name)
 
 
@@ -423,6 +477,70 @@ def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return everything.groupBy(*everything.columns).agg(F.count("*").alias("times"))
 
 
+def _lines_of_any_length(spark: SparkSession, sf_dir: str) -> tuple[TableSpec, str]:
+    """As `_bad_lines`, but of lines with other fields: those of 50 pieces lack the last one, those of 49 have one more, and those of
+    48 have a delimiter in quotes."""
+    database, folder = scratch_database(spark)
+    path, q = f"{folder}/lines.csv", F.col("l_quantity")
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.coalesce(F.when(F.col("l_orderkey") % 97 != 0, F.col("l_orderkey").cast("string")), F.lit("")),
+        F.when(F.col("l_partkey") % 89 == 0, "x").otherwise(F.col("l_linenumber").cast("string")),
+        F.when(q == 48, F.concat(F.lit('"'), "l_returnflag", F.lit('|"'))).otherwise(F.col("l_returnflag")),
+        F.col("l_linestatus"),
+        F.when(q != 50, F.date_format("l_shipdate", "yyyy-MM-01")),
+        F.when(q == 49, "more"),
+    )
+    text = lines.select(F.concat_ws("|", *lines.columns).alias("k1|k2|f|g|d"))
+    text.write.options(header=True, delimiter="\x01", quote="\x00").csv(path)
+    return replace(LINES, file_path=path, table_name=f"{database}.lines", reject_malformed=True), path
+
+
+def malformed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bad records of a file with rows that are too short, too long and quoted, each malformed one with its text."""
+    spec, _ = _lines_of_any_length(spark, sf_dir)
+    run(spark, [spec])
+    return _records(read_table(spark, spec.bad_table))
+
+
+def rerun_after_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs in append mode, the first one cut off between its two outputs and repeated, the second one done twice: rows of the
+    clean and of the bad-record table by run, with how often each is there."""
+    spec, _ = _bad_lines(spark, sf_dir, "append")
+    write_table(_raw_lines(spark, sf_dir).limit(0), spec.clean_table, "overwrite")  # in the way of the clean rows
+    try:
+        run(spark, [spec], "first")
+    except ValueError:
+        drop_table(spark, spec.clean_table)
+    for run_id in ("first", "second", "second"):
+        run(spark, [spec], run_id)
+    clean = _dates_as_text(read_table(spark, spec.clean_table)).select(
+        *[F.col(c).cast("string") for c in LINES.column_names], F.lit("").alias("reason"), F.col(RUN).alias("run")
+    )
+    bad = _records(read_table(spark, spec.bad_table).withColumnRenamed(RUN, "run"))
+    everything = clean.unionByName(bad)
+    return everything.groupBy(*everything.columns).agg(F.count("*").alias("times"))
+
+
+def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a run counted while it wrote: clean rows, bad rows, and bad rows by reason."""
+    spec, _ = _bad_lines(spark, sf_dir, "overwrite")
+    run(spark, [spec], "only")
+    return read_table(spark, spec.counts_table).withColumnRenamed(RUN, "run")
+
+
+def run_with_broken_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three tables at the same time, one of which has no file: what came of each, and the rows of the others."""
+    spec, path = _bad_lines(spark, sf_dir, "append")
+    names = ("good", "broken", "again")
+    files = (path, f"{path}.not_there.csv", path)
+    specs = [replace(spec, name=n, table_name=f"{spec.table_name}_{n}", file_path=f) for n, f in zip(names, files, strict=True)]
+    outcomes = [(o.name, o.error is not None, o.counts.get("clean"), o.counts.get("bad")) for o in run_each(spark, specs, "only")]
+    found = spark.createDataFrame(outcomes, "name string, failed boolean, clean long, bad long")
+    tables = [s for s in specs if spark.catalog.tableExists(s.bad_table)]
+    written = [read_table(spark, s.bad_table).groupBy(F.lit(s.name).alias("name")).agg(F.count("*").alias("in_table")) for s in tables]
+    return found.join(reduce(DataFrame.unionByName, written), "name", "left")
+
+
 def files_to_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files, raw tables, bad-record and clean tables, mart table; the result is read from the mart."""
     database, folder = scratch_database(spark)
@@ -483,9 +601,7 @@ def _corpus() -> ModuleType | None:
     """The training-data pipeline with its queries and SQL, if it is installed with the library."""
     try:
         return importlib.import_module("corpus_pipeline")
-    except ModuleNotFoundError as e:
-        if e.name not in ("corpus_pipeline", "sluice.llm"):
-            raise
+    except ImportError:  # also where a package that it needs is not installed
         return None
 
 
@@ -531,6 +647,11 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "files_to_bad_records": files_to_bad_records,
         "append_twice": append_twice,
         "replace_with_new_schema": replace_with_new_schema,
+        "append_other_columns": append_other_columns,
+        "malformed_rows": malformed_rows,
+        "rerun_after_cut": rerun_after_cut,
+        "run_counts": run_counts,
+        "run_with_broken_file": run_with_broken_file,
     }
 
 
@@ -639,14 +760,28 @@ def table_sql() -> dict[str, str]:
             ["orderkey", "status"],
             ["amount"],
         ),
-        "upsert_partitioned_cast": "select o_orderkey as orderkey, case when o_orderkey % 3 = 0 and year(o_orderdate) < 1997 "
+        "upsert_partitioned_cast": "select o_orderkey as orderkey, case when o_orderstatus = 'F' and year(o_orderdate) < 1997 "
         "then 0.5 else o_totalprice end as amount, strftime(date_trunc('year', o_orderdate), '%Y-%m-%d') as day from orders",
         "files_to_bad_records": BAD_SQL,
         "append_twice": f"{lines}, reasons as (select k1, k2, f, g, d, concat_ws(',', "
         + ", ".join(f"case when {f} then '{f}' end" for f in sorted(INVALID + NULL_KEY + DUPLICATE))
         + ") as reason from flags) select k1, k2, f, g, d, reason, 2 * count(*) as times from reasons group by all",
-        "replace_with_new_schema": "select 'r_regionkey, r_name' as columns, r_name as name, 1 as n from region "
-        "union all select 'nation', n_name, 2 from nation",
+        "replace_with_new_schema": "select 'o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority' as columns, "
+        "o_orderkey as key, o_totalprice as amount from orders union all select 'customer', c_custkey, c_acctbal from customer",
+        "append_other_columns": "select c_custkey as key, c_name as name, c_nationkey as nation, c_acctbal as balance, "
+        "c_mktsegment as segment, null as kind from customer union all select s_suppkey, s_name, null, s_acctbal, null, 'supplier' from supplier "
+        "union all select null, n_name, n_nationkey, null, null, null from nation",
+        "malformed_rows": f"with {MALFORMED_SQL} select k1, k2, f, g, d, _malformed_row, concat_ws(',', {_reason_names(MALFORMED)}) as reason "
+        f"from flags where {' or '.join(MALFORMED)}",
+        "rerun_after_cut": f"{lines}, reasons as (select k1, k2, f, g, d, concat_ws(',', {_reason_names(ALL)}) as reason from flags) "
+        "select k1, k2, f, g, d, reason, run, count(*) as times from reasons, (values ('first'), ('second')) as r(run) group by all",
+        "run_counts": f"{lines}, n as (select count(*) as rows, count_if({' or '.join(ALL)}) as bad, "
+        + ", ".join(f"count_if({f}) as n{f}" for f in ALL)
+        + " from flags) select 'clean' as counted, rows - bad as rows, 'only' as run from n union all select 'bad', bad, 'only' from n"
+        + "".join(f" union all select '{f}', n{f}, 'only' from n" for f in ALL),
+        "run_with_broken_file": f"{lines}, n as (select count(*) as rows, count_if({' or '.join(ALL)}) as bad from flags) "
+        "select name, failed, case when not failed then rows - bad end as clean, case when not failed then bad end as bad, "
+        "case when not failed then bad end as in_table from n, (values ('good', false), ('broken', true), ('again', false)) as t(name, failed)",
         "files_to_daily_sales": "with "
         "raw as (select case when l_orderkey % 97 <> 0 then l_orderkey end as transaction_id, l_suppkey as shop_id, "
         "cast(l_quantity as int) as sales_qty, cast(l_extendedprice as decimal(18,2)) as sales_amt, "

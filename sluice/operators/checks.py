@@ -1,6 +1,6 @@
 """Row checks against a spec: wrong format, null key, duplicates; rejected rows and clean rows.
 
-The operators take the rows of `with_row_id`: the spec's columns and `_sk`.
+The operators take the rows of `with_row_id`: the spec's columns, the text of malformed rows if the spec rejects them, and `_sk`.
 """
 
 from __future__ import annotations
@@ -8,17 +8,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.flags import any_of, flagged_rows, none_null
+from sluice.functions.flags import any_of, flagged_rows
 from sluice.functions.formats import breaks_format, simple_type, typed
 from sluice.functions.names import named, quoted
-from sluice.operators.duplicates import KEY_DUPLICATE, ROW_DUPLICATE, with_duplicate_flags
+from sluice.operators.duplicates import KEY_DUPLICATE, ROW_DUPLICATE, takes_part, with_duplicate_flags
 from sluice.operators.skew import HOT_ROWS
 from sluice.plans.spec import TableSpec
+from sluice.sources.files import MALFORMED
 
 
 def with_row_id(df: DataFrame, spec: TableSpec) -> DataFrame:
     """The spec's columns in order and `_sk`, a number that tells the rows of one read apart."""
-    return df.select(*quoted(spec.column_names), F.monotonically_increasing_id().alias("_sk"))
+    return df.select(*quoted(spec.row_columns[:-1]), F.monotonically_increasing_id().alias("_sk"))
 
 
 # The names of the reasons, which the flags bear.
@@ -32,25 +33,30 @@ def null_key_flags(spec: TableSpec) -> dict[str, Column]:
     return {f"_is_{c}_null": named(c).isNull() for c in spec.keys}
 
 
+def malformed_flags(spec: TableSpec) -> dict[str, Column]:
+    """For rows of a file that `read_file` has marked."""
+    return {"_is_row_malformed": F.col(MALFORMED).isNotNull()} if spec.reject_malformed else {}
+
+
 def duplicate_flags() -> dict[str, Column]:
     return {name: F.col(name) for name in (ROW_DUPLICATE, KEY_DUPLICATE)}
 
 
 def all_flags(spec: TableSpec) -> dict[str, Column]:
     """Every check, for rows that carry the duplicate flags."""
-    return {**format_flags(spec), **null_key_flags(spec), **duplicate_flags()}
+    return {**format_flags(spec), **null_key_flags(spec), **malformed_flags(spec), **duplicate_flags()}
 
 
-def _kept(spec: TableSpec) -> list[str]:
-    return [*spec.column_names, "_sk"]
+def invalid_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    return flagged_rows(rows, format_flags(spec), spec.row_columns)
 
 
-def invalid_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    return flagged_rows(rows, format_flags(spec), _kept(spec))
+def malformed_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
+    return flagged_rows(rows, malformed_flags(spec), spec.row_columns)
 
 
 def null_key_records(rows: DataFrame, spec: TableSpec) -> DataFrame:
-    return flagged_rows(rows, null_key_flags(spec), _kept(spec))
+    return flagged_rows(rows, null_key_flags(spec), spec.row_columns)
 
 
 def duplicate_records(
@@ -60,15 +66,15 @@ def duplicate_records(
 
     `only` is ROW_DUPLICATE or KEY_DUPLICATE for one of the two; copies alone need no look at the other rows of a key.
     """
-    whole = rows.filter(none_null(spec.keys))
+    whole = rows.filter(takes_part(spec))
     flagged = with_duplicate_flags(whole, spec, hot_rows, copies_only=only == ROW_DUPLICATE, whole_keys=True)
     flags = {name: flag for name, flag in duplicate_flags().items() if only in (None, name)}
-    return flagged_rows(flagged, flags, _kept(spec))
+    return flagged_rows(flagged, flags, spec.row_columns)
 
 
 def reject(flagged: DataFrame, spec: TableSpec) -> DataFrame:
     """Rows failing any check, as read, with all their reasons."""
-    return flagged_rows(flagged, all_flags(spec), _kept(spec))
+    return flagged_rows(flagged, all_flags(spec), spec.row_columns)
 
 
 def accept(flagged: DataFrame, spec: TableSpec) -> DataFrame:
@@ -81,8 +87,8 @@ def bad_records(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> D
 
 
 def clean_records(rows: DataFrame, spec: TableSpec, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The rows `bad_records` leaves. Null-key rows go before the shuffle: they are never clean and never a twin."""
-    whole = rows.filter(none_null(spec.keys))
+    """The rows `bad_records` leaves. Rows that no other row can be a twin of go before the shuffle: they are never clean."""
+    whole = rows.filter(takes_part(spec))
     return accept(with_duplicate_flags(whole, spec, hot_rows, whole_keys=True), spec)
 
 

@@ -1,7 +1,8 @@
 """Duplicate rows and conflicting keys.
 
 Of the rows that are equal in every column, the first is kept and the later ones are row duplicates.
-Where a key then still has several rows, all of them are key duplicates. Rows with a null key are neither.
+Where a key then still has several rows, all of them are key duplicates. Rows with a null key, and malformed ones where the
+spec rejects them, are neither.
 
 One key may hold a large part of the table, and so may the copies of one row. Most rows go by key to one
 exchange and one sort; the rows of hot keys go by their whole content and a slot instead, so that no task
@@ -10,7 +11,7 @@ gets more than a share of them.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
@@ -28,6 +29,7 @@ from sluice.operators.skew import (
 )
 from sluice.plans.sizes import BROADCAST_BYTES
 from sluice.plans.spec import TableSpec
+from sluice.sources.files import MALFORMED
 
 # The reasons for duplicates.
 ROW_DUPLICATE = "_row_duplicate"
@@ -37,9 +39,15 @@ COPY_SLOTS = 1 << 16
 ALONE, COPY, VERSIONS, LATER, CONFLICT = (f"{OWN}{n}" for n in ("alone", "copy", "versions", "later", "conflict"))
 
 
+def takes_part(spec: TableSpec) -> Column:
+    """Whether a row can have duplicates."""
+    part = none_null(spec.keys)
+    return part & F.col(MALFORMED).isNull() if spec.reject_malformed else part
+
+
 def repeated_keys(rows: DataFrame, spec: TableSpec, limit: int = BROADCAST_BYTES) -> Listed:
     """The keys with more than one row, and how many rows they have. Counts them once."""
-    return listed_keys(rows, spec.keys, 1, limit)
+    return listed_keys(rows.filter(takes_part(spec)), spec.keys, 1, limit)
 
 
 def with_duplicate_flags(
@@ -51,24 +59,26 @@ def with_duplicate_flags(
     copies_only: bool = False,
     whole_keys: bool = False,
 ) -> DataFrame:
-    """Add both flags. All rows pass one exchange; those of hot keys pass two, those with a null key none.
+    """Add both flags. All rows pass one exchange; those of hot keys pass two, those that take no part none.
 
     `repeated` saves counting the keys. `copies_only` leaves the flag of key duplicates false. `whole_keys` says that
-    rows with a null key have been left out.
+    rows that take no part have been left out.
     """
-    hot = listed_keys(rows, spec.keys, hot_rows, limit) if repeated is None else repeated.above(hot_rows, limit)
-    whole = rows.filter(none_null(spec.keys))
+    whole = rows.filter(takes_part(spec))
+    hot = listed_keys(whole, spec.keys, hot_rows, limit) if repeated is None else repeated.above(hot_rows, limit)
     flagged = _flag_by_key(rows_without(whole, hot), spec, copies_only)
     if hot.count:
         flagged = flagged.unionByName(_flag_spread(rows_with(whole, hot), spec, hot, copies_only))
-    if not whole_keys and any(rows.schema[k].nullable for k in spec.keys):
-        flagged = flagged.unionByName(_unflagged(rows.filter(~none_null(spec.keys))))
+    if not whole_keys and (spec.reject_malformed or any(rows.schema[k].nullable for k in spec.keys)):
+        flagged = flagged.unionByName(_unflagged(rows.filter(~takes_part(spec))))
     return flagged
 
 
-def flag_unrepeated(rows: DataFrame, repeated: Listed) -> DataFrame:
-    """The rows whose key is not in `repeated`: they have no duplicates and, if the list is small, need no shuffle."""
-    return _unflagged(rows_without(rows, repeated))
+def flag_unrepeated(rows: DataFrame, repeated: Listed, spec: TableSpec | None = None) -> DataFrame:
+    """The rows whose key is not in `repeated`, and those that take no part: they have no duplicates and, if the list is small,
+    need no shuffle. The spec is needed if it rejects malformed rows."""
+    part = takes_part(spec) if spec and spec.reject_malformed else None
+    return _unflagged(rows_without(rows, repeated, part))
 
 
 def flag_repeated(
@@ -76,7 +86,7 @@ def flag_repeated(
 ) -> DataFrame:
     """The rows whose key is in `repeated`, with both flags."""
     hot = repeated.above(hot_rows, limit)
-    some = rows_with(rows, repeated)
+    some = rows_with(rows, repeated, takes_part(spec) if spec.reject_malformed else None)
     flagged = _flag_by_key(rows_without(some, hot), spec, False)
     return flagged.unionByName(_flag_spread(rows_with(some, hot), spec, hot, False)) if hot.count else flagged
 
@@ -95,13 +105,13 @@ def _flag_by_key(rows: DataFrame, spec: TableSpec, copies_only: bool) -> DataFra
         flagged = flagged.withColumn(VERSIONS, F.count_if(F.col(COPY) == 1).over(Window.partitionBy(*group)))
         conflict = (F.col(COPY) == 1) & (F.col(VERSIONS) > 1)
     return flagged.select(
-        *quoted(spec.column_names), "_sk", (F.col(COPY) > 1).alias(ROW_DUPLICATE), conflict.alias(KEY_DUPLICATE)
+        *quoted(spec.row_columns), (F.col(COPY) > 1).alias(ROW_DUPLICATE), conflict.alias(KEY_DUPLICATE)
     )
 
 
 def _flag_spread(rows: DataFrame, spec: TableSpec, hot: Listed, copies_only: bool) -> DataFrame:
     """For the rows of hot keys. Copies of one row are numbered within slots, then the slots' firsts are."""
-    content = quoted(spec.column_names)
+    content, columns = quoted(spec.column_names), quoted(spec.row_columns)
     in_slot = Window.partitionBy(*content, ALONE).orderBy("_sk")
     of_firsts = Window.partitionBy(*content, LATER).orderBy("_sk")
     flagged = (
@@ -110,7 +120,7 @@ def _flag_spread(rows: DataFrame, spec: TableSpec, hot: Listed, copies_only: boo
         .withColumn(ROW_DUPLICATE, F.col(LATER).isNotNull() | (F.row_number().over(of_firsts) > 1))
     )
     if copies_only:
-        return flagged.select(*content, "_sk", ROW_DUPLICATE, F.lit(False).alias(KEY_DUPLICATE))
+        return flagged.select(*columns, ROW_DUPLICATE, F.lit(False).alias(KEY_DUPLICATE))
     conflicts = _conflicting_keys(rows, spec)
     if hot.few:  # these keys are some of the hot ones, whose list has been measured
         flagged = flagged.join(F.broadcast(conflicts), same_key(spec.keys), "left")
@@ -118,7 +128,7 @@ def _flag_spread(rows: DataFrame, spec: TableSpec, hot: Listed, copies_only: boo
         slots = in_all_slots(conflicts).withColumnRenamed(SLOT, f"{SLOT}s")
         flagged = dealt(flagged).join(slots, same_key(spec.keys) & (F.col(SLOT) == F.col(f"{SLOT}s")), "left")
     return flagged.select(
-        *content, "_sk", ROW_DUPLICATE, (F.col(CONFLICT).isNotNull() & ~F.col(ROW_DUPLICATE)).alias(KEY_DUPLICATE)
+        *columns, ROW_DUPLICATE, (F.col(CONFLICT).isNotNull() & ~F.col(ROW_DUPLICATE)).alias(KEY_DUPLICATE)
     )
 
 

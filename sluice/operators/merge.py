@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql.types import StringType
 
 from sluice.functions.flags import none_null
 from sluice.functions.names import OWN, check_names, named, quoted
-from sluice.operators.skew import HOT_ROWS, join_spread, listed_keys, rows_with, rows_without
-from sluice.plans.sizes import BROADCAST_BYTES
+from sluice.operators.skew import HOT_ROWS, ROWS, Listed, join_spread, listed_keys, own_key, rows_with, rows_without
+from sluice.plans.sizes import BROADCAST_BYTES, row_bytes
+from sluice.sources.tables import written_once
 
 OLD, NEW = f"{OWN}old", f"{OWN}new"
 
@@ -23,20 +25,25 @@ def merge(
     small_source: bool = False,
     hot_rows: int = HOT_ROWS,
     limit: int = BROADCAST_BYTES,
+    shared: SharedKeys | None = None,
 ) -> DataFrame:
     """Every target row, replaced by the source row of its key if there is one, and the source rows no key matched.
 
-    The result has the target's columns and types. A null key matches nothing. No target row may match several
-    source rows; see `ambiguous_keys`. `small_source` says that the source has been found small enough to
+    The result has the target's columns and types. A null key matches nothing. A target row that matches several source rows
+    is an error: `shared_keys` finds it before the join; where the source is broadcast, see `ambiguous_keys`. `small_source` says that the source has been found small enough to
     broadcast: then the target is not shuffled. Otherwise one full outer join by key gives updates and inserts. Around it go
     rows with a null key; rows of keys that are hot in the target, which meet their one source row by key and slot;
-    and source rows of keys that are hot in the source, which no target row can have.
+    and source rows of keys that are hot in the source, which no target row can have. `shared` saves the look at the keys of
+    both sides.
     """
     check_names(target.columns, source.columns)
     keys, source = list(keys), as_target(source, target)
     if small_source:
         return _merge_small(target, source, keys)
-    hot, many = listed_keys(target, keys, hot_rows, limit), listed_keys(source, keys, hot_rows, limit)
+    shared = shared_keys(target, source, keys, hot_rows, limit) if shared is None else shared
+    if shared.ambiguous:
+        raise ValueError(f"{shared.ambiguous} keys of the target have several source rows")
+    hot, many = shared.hot, shared.many
     old, new = target.filter(none_null(keys)), source.filter(none_null(keys))
     inserts = rows_without(new, hot)
     both = _packed(rows_without(old, hot), keys, OLD).join(_packed(rows_without(inserts, many), keys, NEW), keys, "full")
@@ -68,6 +75,40 @@ def _merge_small(target: DataFrame, source: DataFrame, keys: list[str]) -> DataF
     return kept.unionByName(source.join(F.broadcast(known), keys, "left_anti"))
 
 
+@dataclass(frozen=True)
+class SharedKeys:
+    """What a merge must know of the keys of both sides."""
+
+    hot: Listed  # with many target rows
+    many: Listed  # with many source rows and no target row
+    ambiguous: int  # number of those with target rows and several source rows
+
+
+def shared_keys(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, limit: int = BROADCAST_BYTES
+) -> SharedKeys:
+    """One look at the keys of both sides: they are counted together, combined before one shuffle. Only keys that are hot on a
+    side or ambiguous are kept, stored once, and measured all at once."""
+    own, old, new = [own_key(k) for k in keys], f"{OWN}of_target", f"{OWN}of_source"
+    sides = []
+    for rows, n_old, n_new in ((target, 1, 0), (as_target(source, target), 0, 1)):
+        named_keys = [named(k).alias(o) for k, o in zip(keys, own, strict=True)]
+        sides.append(rows.filter(none_null(keys)).select(*named_keys, F.lit(n_old).alias(old), F.lit(n_new).alias(new)))
+    counts = sides[0].unionByName(sides[1]).groupBy(*quoted(own)).agg(F.sum(old).alias(old), F.sum(new).alias(new))
+    ambiguous = (F.col(old) > 0) & (F.col(new) > 1)
+    kept = written_once(counts.filter((F.col(old) > hot_rows) | (F.col(new) > hot_rows) | ambiguous))
+    size = row_bytes(own)
+    found = kept.agg(
+        *[x for where in (F.col(old) > hot_rows, F.col(new) > hot_rows) for x in (F.count_if(where), F.sum(F.when(where, size)))],
+        F.count_if(ambiguous),
+    ).first()
+    hot, many = (
+        Listed(tuple(keys), kept.filter(F.col(n) > hot_rows).select(*quoted(own), F.col(n).alias(ROWS)), rows, (total or 0) <= limit)
+        for n, rows, total in ((old, *found[:2]), (new, *found[2:4]))
+    )
+    return SharedKeys(hot, many, found[4])
+
+
 def ambiguous_keys(
     target: DataFrame, source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES
 ) -> DataFrame:

@@ -49,40 +49,42 @@ def key_counts(rows: DataFrame, keys: Sequence[str], above: int) -> DataFrame:
 def listed_keys(rows: DataFrame, keys: Sequence[str], above: int, limit: int = BROADCAST_BYTES) -> Listed:
     """The keys of `rows` with more than `above` rows. Counts them once."""
     counts = key_counts(rows, keys, above)
-    return _measured(written_once(counts.select(*[named(k).alias(_own(k)) for k in keys], ROWS)), tuple(keys), limit)
+    return _measured(written_once(counts.select(*[named(k).alias(own_key(k)) for k in keys], ROWS)), tuple(keys), limit)
 
 
 def _measured(rows: DataFrame, keys: Sequence[str], limit: int) -> Listed:
     return Listed(tuple(keys), rows, *measured(rows, limit))
 
 
-def _own(key: str) -> str:
+def own_key(key: str) -> str:
     return f"{OWN}key_{key}"
 
 
 def same_key(keys: Sequence[str]) -> Column:
     """Null-safe, so that no filter on one side is carried over to the other: then one broadcast serves all joins."""
-    return reduce(Column.__and__, [named(k).eqNullSafe(named(_own(k))) for k in keys])
+    return reduce(Column.__and__, [named(k).eqNullSafe(named(own_key(k))) for k in keys])
 
 
-def rows_with(rows: DataFrame, listed: Listed) -> DataFrame:
-    """The rows whose key is listed."""
-    return _split(rows, listed, "left_semi")
+def rows_with(rows: DataFrame, listed: Listed, where: Column | None = None) -> DataFrame:
+    """The rows whose key is listed and for which `where` holds."""
+    return _split(rows, listed, "left_semi", where)
 
 
-def rows_without(rows: DataFrame, listed: Listed) -> DataFrame:
-    """The rows whose key is not listed, those with a null key included."""
-    return _split(rows, listed, "left_anti")
+def rows_without(rows: DataFrame, listed: Listed, where: Column | None = None) -> DataFrame:
+    """The other rows, those with a null key included."""
+    return _split(rows, listed, "left_anti", where)
 
 
-def _split(rows: DataFrame, listed: Listed, how: str) -> DataFrame:
+def _split(rows: DataFrame, listed: Listed, how: str, where: Column | None) -> DataFrame:
     if not listed.count:
         return rows if how == "left_anti" else rows.filter(F.lit(False))
-    keys = listed.rows.drop(ROWS)
+    keys, match = listed.rows.select(*quoted(map(own_key, listed.keys))), same_key(listed.keys)
+    if where is not None:
+        match = match & where
     if listed.few:
-        return rows.join(F.broadcast(keys), same_key(listed.keys), how)
+        return rows.join(F.broadcast(keys), match, how)
     in_slots = in_all_slots(keys).withColumnRenamed(SLOT, f"{SLOT}s")
-    return dealt(rows).join(in_slots, same_key(listed.keys) & (F.col(SLOT) == F.col(f"{SLOT}s")), how).drop(SLOT)
+    return dealt(rows).join(in_slots, match & (F.col(SLOT) == F.col(f"{SLOT}s")), how).drop(SLOT)
 
 
 def dealt(rows: DataFrame) -> DataFrame:

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
 from sluice.functions.names import OWN, named
-from sluice.operators.checks import accept, reject, with_load_time, with_row_id
+from sluice.operators.checks import accept, all_flags, reject, with_load_time, with_row_id
 from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys, with_duplicate_flags
 from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
-from sluice.operators.merge import ambiguous_keys, as_target, merge
+from sluice.operators.merge import ambiguous_keys, as_target, merge, shared_keys
 from sluice.operators.skew import HOT_ROWS, ROWS
 from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.plans.spec import TableSpec
@@ -25,6 +28,7 @@ from sluice.sources.tables import (
     read_table,
     replace_rows,
     scratch_bytes,
+    write_run,
     write_scratch_table,
     write_table,
 )
@@ -32,15 +36,23 @@ from sluice.sources.tables import (
 
 def load_raw(spark: SparkSession, spec: TableSpec) -> None:
     """File to raw table, replacing it. No shuffle."""
-    raw = with_provenance(read_file(spark, spec.file_path, spec.header, spec.delimiter))
+    raw = with_provenance(read_file(spark, spec.file_path, spec.header, spec.delimiter, spec.reject_malformed))
     write_table(raw, spec.raw_table, "overwrite")
 
 
 def load_checked(
-    spark: SparkSession, spec: TableSpec, hot_rows: int = HOT_ROWS, broadcast_bytes: int = BROADCAST_BYTES
-) -> None:
+    spark: SparkSession,
+    spec: TableSpec,
+    hot_rows: int = HOT_ROWS,
+    broadcast_bytes: int = BROADCAST_BYTES,
+    run_id: str | None = None,
+) -> dict[str, int]:
     """Raw table to bad-record table (appended) and clean table (by the spec's mode).
 
+    With a `run_id`, what is appended goes to the run's partition of the table and replaces what this run wrote there before: a run
+    that was cut off anywhere can be repeated and adds its rows once. The numbers of clean rows, of bad rows and of bad rows for
+    each reason are taken while the rows are written, kept by run in the spec's table of counts, and returned.
+
     The repeated keys are counted and stored first. If they are few, only their rows are checked for
     duplicates, once, and kept for both outputs; all other rows go from the raw table to the outputs with no
     shuffle: the raw table is read once for the keys, once for these rows and once for each output. If they are many, all
@@ -56,19 +68,68 @@ def load_checked(
     try:
         flagged = spark.table(scratch)
         if repeated.few:
-            flagged = flag_unrepeated(rows, repeated).unionByName(flagged)
+            flagged = flag_unrepeated(rows, repeated, spec).unionByName(flagged)
         # Few rows from many tasks: gather them into files of a useful size.
-        write_table(reject(flagged, spec).hint("rebalance"), spec.bad_table, "append")
-        write_table(with_load_time(accept(flagged, spec)), spec.clean_table, spec.write_mode)
+        bad = reject(flagged, spec).hint("rebalance")
+        clean = with_load_time(accept(flagged, spec))
+        if run_id is None:
+            write_table(bad, spec.bad_table, "append")
+            write_table(clean, spec.clean_table, spec.write_mode)
+            return {}
+        return _write_counted(bad, clean, spec, run_id)
     finally:
         drop_table(spark, scratch)
 
 
-def run(spark: SparkSession, specs: Iterable[TableSpec]) -> None:
-    """Raw, then checked, for each table."""
+def _write_counted(bad: DataFrame, clean: DataFrame, spec: TableSpec, run_id: str) -> dict[str, int]:
+    """The counts come from the tasks that write, so no row is read for them."""
+    of_reasons = {r: F.count_if(F.array_contains("reason", r)).alias(r) for r in all_flags(spec)}
+    of_bad, of_clean = Observation(), Observation()
+    write_run(bad.observe(of_bad, F.count("*").alias("bad"), *of_reasons.values()), spec.bad_table, run_id)
+    clean = clean.observe(of_clean, F.count("*").alias("clean"))
+    if spec.write_mode == "append":
+        write_run(clean, spec.clean_table, run_id)
+    else:
+        write_table(clean, spec.clean_table, spec.write_mode)
+    counts = {**of_clean.get, **of_bad.get}
+    write_run(bad.sparkSession.createDataFrame(list(counts.items()), "counted string, rows long"), spec.counts_table, run_id)
+    return counts
+
+
+def run(spark: SparkSession, specs: Iterable[TableSpec], run_id: str | None = None) -> None:
+    """Raw, then checked, for each table. A run with an id can be repeated, see `load_checked`."""
     for spec in specs:
         load_raw(spark, spec)
-        load_checked(spark, spec)
+        load_checked(spark, spec, run_id=run_id)
+
+
+@dataclass(frozen=True)
+class Outcome:
+    """What came of one table in a run: its counts, or what went wrong."""
+
+    name: str
+    counts: dict[str, int]
+    error: str | None
+
+
+def run_each(spark: SparkSession, specs: Sequence[TableSpec], run_id: str, at_once: int = 4) -> list[Outcome]:
+    """`run` for several tables at the same time, each in a scheduler pool of its name. A table that fails leaves the others alone;
+    repeating the run, for all or for those that failed, adds no row twice."""
+    if len({s.table_name.lower() for s in specs}) < len(specs):
+        raise ValueError("two specs have the same table")
+
+    def one(spec: TableSpec) -> Outcome:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.name)
+        try:
+            load_raw(spark, spec)
+            return Outcome(spec.name, load_checked(spark, spec, run_id=run_id), None)
+        except Exception as e:  # whatever it is, it belongs to this table
+            return Outcome(spec.name, {}, f"{type(e).__name__}: {str(e).strip().splitlines()[0] if str(e).strip() else ''}")
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, at_once)) as threads:
+        return list(threads.map(inheritable_thread_target(spark)(one), specs))
 
 
 def load_daily_sales(
@@ -111,10 +172,11 @@ def upsert_table(source: DataFrame, table: str, keys: Sequence[str], broadcast_b
         stored = spark.table(scratch)
         if by_partition:
             target = _touched(target, stored, partitions, broadcast_bytes)
-        if not ambiguous_keys(target, stored, keys, broadcast_bytes).isEmpty():
-            raise ValueError(f"several source rows have the key of one row of {table}")
         small = fits_broadcast(stored, broadcast_bytes, scratch_bytes(spark, scratch))
-        replace_rows(merge(target, stored, keys, small, limit=broadcast_bytes), table, by_partition)
+        shared = None if small else shared_keys(target, stored, keys, limit=broadcast_bytes)
+        if shared.ambiguous if shared else not ambiguous_keys(target, stored, keys, broadcast_bytes).isEmpty():
+            raise ValueError(f"several source rows have the key of one row of {table}")
+        replace_rows(merge(target, stored, keys, small, limit=broadcast_bytes, shared=shared), table, by_partition)
     finally:
         drop_table(spark, scratch)
 

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from sluice.plans.pipeline import upsert_table
 from sluice.plans.spec import TableSpec
-from sluice.sources.tables import create_or_replace_table
+from sluice.sources.tables import add_columns, create_or_replace_table
 
-# The columns of the registry.
+# The columns of the registry but the last, which a registry may lack.
 REGISTRY_SCHEMA = (
     "pipeline_name string, file_path string, header string, delimiter string, table_name string, "
-    "schema_detail map<string,string>, keys array<string>, write_mode string"
+    "schema_detail map<string,string>, keys array<string>, write_mode string, reject_malformed string"
 )
 # As it is built, before names and types make the map.
 _BUILT_SCHEMA = REGISTRY_SCHEMA.replace("schema_detail map<string,string>", "names array<string>, types array<string>")
@@ -23,20 +23,21 @@ def create_registry(spark: SparkSession, table: str) -> None:
 
 
 def register(spark: SparkSession, table: str, spec: TableSpec) -> None:
-    """Add the spec, or replace the one of its name. The map is built in column order, which it keeps."""
+    """Add the spec, or replace the one of its name. The map is built in column order, which it keeps. A registry without the last
+    column gets it."""
     header = None if spec.header is None else str(spec.header).lower()
     types = [t for _, t in spec.columns]
     row = (spec.name, spec.file_path, header, spec.delimiter, spec.table_name, spec.column_names, types)
-    upsert_table(
+    built = (
         spark.createDataFrame(
-            [(*row, list(spec.keys), spec.write_mode)],
+            [(*row, list(spec.keys), spec.write_mode, str(spec.reject_malformed).lower())],
             _BUILT_SCHEMA,
         )
         .withColumn("schema_detail", F.map_from_arrays("names", "types"))
-        .drop("names", "types"),
-        table,
-        ["pipeline_name"],
+        .drop("names", "types")
     )
+    add_columns(built, table)
+    upsert_table(built, table, ["pipeline_name"])
 
 
 def lookup(spark: SparkSession, table: str, name: str) -> TableSpec:
@@ -57,4 +58,5 @@ def lookup(spark: SparkSession, table: str, name: str) -> TableSpec:
         header=row.header,
         delimiter=row.delimiter,
         write_mode=row.write_mode,
+        reject_malformed=row.asDict().get("reject_malformed") == "true",
     )

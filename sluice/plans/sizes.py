@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluice.functions.names import named
@@ -15,9 +17,14 @@ def measured(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[int, bool]:
     """The number of rows, and whether they, hashed in memory, stay within `limit`. One aggregate; one row comes back."""
     if limit < 0:
         raise ValueError(f"the limit must not be negative, got {limit}")
-    text = sum((F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
-    rows, bytes_of_text = df.agg(F.count("*"), F.coalesce(F.sum(text), F.lit(0))).first()
-    return rows, rows * (ROW_BYTES + CELL_BYTES * len(df.columns)) + bytes_of_text <= limit
+    rows, total = df.agg(F.count("*"), F.coalesce(F.sum(row_bytes(df.columns)), F.lit(0))).first()
+    return rows, total <= limit
+
+
+def row_bytes(columns: Sequence[str]) -> Column:
+    """About what a row of these columns takes, hashed in memory."""
+    text = sum((F.coalesce(F.octet_length(named(c).cast("string")), F.lit(0)) for c in columns), F.lit(0))
+    return text + F.lit(ROW_BYTES + CELL_BYTES * len(columns))
 
 
 def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES, file_bytes: int = 0) -> bool:

@@ -6,17 +6,20 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from sluice.functions.names import check_names
-from sluice.sources.files import file_format
+from sluice.sources.files import MALFORMED, file_format
 
 WRITE_MODES = ("append", "overwrite")
 
 # Names the checks give to columns of the result.
-RESERVED = {"_sk", "reason", "_row_duplicate", "_key_duplicate"}
+RESERVED = {"_sk", "reason", "_row_duplicate", "_key_duplicate", MALFORMED, "_run_id"}
 
 
 @dataclass(frozen=True)
 class TableSpec:
-    """Columns keep their order: it is the column order of the clean table."""
+    """Columns keep their order: it is the column order of the clean table.
+
+    `reject_malformed`: rows of a delimited file that have too few or too many fields are bad records, with their whole text.
+    """
 
     name: str
     file_path: str
@@ -26,12 +29,14 @@ class TableSpec:
     header: bool | str | None = None
     delimiter: str | None = None
     write_mode: str = "overwrite"
+    reject_malformed: bool = False
 
     def __post_init__(self) -> None:
         pairs = self.columns.items() if isinstance(self.columns, Mapping) else self.columns
         object.__setattr__(self, "columns", tuple((c, t) for c, t in pairs))
         object.__setattr__(self, "keys", tuple(self.keys))
-        file_format(self.file_path)
+        if file_format(self.file_path) != "csv" and self.reject_malformed:
+            raise ValueError(f"{self.name}: only delimited rows can be malformed")
         if len(set(self.column_names)) != len(self.columns):
             raise ValueError(f"{self.name}: a column is declared twice")
         if RESERVED & {c.lower() for c in self.column_names}:
@@ -47,11 +52,16 @@ class TableSpec:
     def column_names(self) -> list[str]:
         return [c for c, _ in self.columns]
 
+    @property
+    def row_columns(self) -> list[str]:
+        """The columns of the rows that are checked."""
+        return [*self.column_names, *([MALFORMED] if self.reject_malformed else []), "_sk"]
+
     @property
     def non_keys(self) -> list[str]:
         return [c for c in self.column_names if c not in self.keys]
 
-    # The suffixes of the three tables.
+    # The suffixes of the first three tables.
 
     @property
     def raw_table(self) -> str:
@@ -64,3 +74,7 @@ class TableSpec:
     @property
     def bad_table(self) -> str:
         return f"{self.table_name}_bad_record"
+
+    @property
+    def counts_table(self) -> str:
+        return f"{self.table_name}_run_counts"

@@ -3,22 +3,76 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from sluice.functions.names import quoted
+from sluice.functions.names import named, quoted
 
 SCRATCH_DATABASE, PENDING = "sluice_scratch", "sluice_pending"
 
+#: The column that tells the runs of a job apart.
+RUN = "_run_id"
+
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
 def write_table(df: DataFrame, name: str, mode: str) -> None:
-    """`overwrite` replaces the rows and, where it differs, the schema; `append` adds rows of the table's schema."""
-    df.write.mode(mode).saveAsTable(name)
+    """`overwrite` replaces the rows and, where it differs, the schema. `append` adds rows: columns that the table lacks are added to it
+    and NULL in the rows it has, columns that `df` lacks are NULL in the new rows."""
+    spark = df.sparkSession
+    if mode == "append" and spark.catalog.tableExists(name) and _lower(df.columns) != _lower(spark.table(name).columns):
+        _in_columns(df, add_columns(df, name)).write.insertInto(name)
+    else:
+        df.write.mode(mode).saveAsTable(name)
+
+
+def _lower(names: Iterable[str]) -> set[str]:
+    return {n.lower() for n in names}
+
+
+def add_columns(df: DataFrame, name: str) -> StructType:
+    """Add the columns of `df` that the table lacks to the table; its schema then. Files are not touched."""
+    spark = df.sparkSession
+    known = _lower(spark.table(name).columns)
+    new = [f for f in df.schema if f.name.lower() not in known]
+    if new:
+        columns = ", ".join(f"{quoted([f.name])[0]} {f.dataType.simpleString()}" for f in new)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    return spark.table(name).schema
+
+
+def _in_columns(df: DataFrame, schema: StructType) -> DataFrame:
+    """By name; what `df` lacks is NULL."""
+    own = {c.lower(): c for c in df.columns}
+    there = [named(own[f.name.lower()]) if f.name.lower() in own else F.lit(None).cast(f.dataType) for f in schema]
+    return df.select(*[c.alias(f.name) for c, f in zip(there, schema, strict=True)])
+
+
+def write_run(df: DataFrame, name: str, run_id: str) -> None:
+    """Put `df` in place of all rows that this run wrote to the table before; the rows of other runs stay.
+
+    The table is partitioned by the run, `RUN`. It is made if it is not there, and takes columns of `df` that it lacks. A run that was
+    cut off may leave a part of its rows, or none where it had some, until it is repeated. Repeating it, however often, gives
+    the rows of one run, also where the repetition has none.
+    """
+    spark = df.sparkSession
+    if not run_id:
+        raise ValueError("a run needs a name")
+    if not spark.catalog.tableExists(name):
+        empty = spark.createDataFrame([], df.schema).withColumn(RUN, F.lit(run_id))
+        empty.write.partitionBy(RUN).saveAsTable(name)
+    if partition_columns(spark, name) != [RUN]:
+        raise ValueError(f"{name} is not partitioned by {RUN}, so that the rows of a run can't be replaced")
+    columns = StructType([f for f in add_columns(df, name) if f.name != RUN])
+    of_run = run_id.replace("\\", "\\\\").replace("'", "\\'")
+    insert = f"INSERT OVERWRITE TABLE {name} PARTITION ({RUN} = '{of_run}') SELECT * FROM {{rows}}"
+    spark.sql(insert, rows=_in_columns(df, columns))
 
 
 def create_or_replace_table(spark: SparkSession, name: str, schema: str) -> None:

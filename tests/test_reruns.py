@@ -1,0 +1,114 @@
+"""Runs that can be repeated, their counts, several tables at once, and appends with other columns."""
+
+from collections import Counter
+
+import pytest
+from shops import BAD, CLEAN_IDS, shop_spec, write_shops
+
+from sluice import run
+from sluice.plans import pipeline
+from sluice.plans.pipeline import load_checked, load_raw, run_each
+from sluice.sources.tables import RUN, partition_columns, write_run, write_table
+
+
+def rows_of(spark, spec):
+    clean = Counter((r[RUN], r.stall) for r in spark.table(spec.clean_table).collect())
+    bad = Counter((r[RUN], r.stall, r.label, tuple(r.reason)) for r in spark.table(spec.bad_table).collect())
+    return clean, bad
+
+
+def rows_of_runs(*runs):
+    return Counter((r, i) for r in runs for i in CLEAN_IDS), Counter((r, *b) for r in runs for b in BAD)
+
+
+@pytest.mark.parametrize("cut_off", ["_raw", "_bad", "_clean", "_counts", None])
+def test_a_run_that_is_cut_off_adds_its_rows_once(spark, database, tmp_path, monkeypatch, cut_off):
+    spec = shop_spec(write_shops(tmp_path), f"{database}.stalls", write_mode="append")
+    run(spark, [spec], run_id="first")
+    if cut_off:
+        table = {"_raw": spec.raw_table, "_bad": spec.bad_table, "_clean": spec.clean_table, "_counts": spec.counts_table}[cut_off]
+
+        def stops(write):
+            def cut(df, name, *rest):
+                if name == table:
+                    raise RuntimeError("cut off")
+                write(df, name, *rest)
+
+            return cut
+
+        with monkeypatch.context() as cut, pytest.raises(RuntimeError):
+            cut.setattr(pipeline, "write_run", stops(write_run))
+            cut.setattr(pipeline, "write_table", stops(write_table))
+            run(spark, [spec], run_id="second's \\ run")
+    for _ in range(2):
+        run(spark, [spec], run_id="second's \\ run")
+    assert rows_of(spark, spec) == rows_of_runs("first", "second's \\ run")
+
+
+def test_a_repeated_run_takes_the_rows_away_that_are_gone(spark, database, tmp_path):
+    path = write_shops(tmp_path)
+    spec = shop_spec(path, f"{database}.stalls", write_mode="append")
+    run(spark, [spec], run_id="a")
+    run(spark, [spec], run_id="b")
+    path.write_text(path.read_text().split("\n")[0])
+    run(spark, [spec], run_id="b")
+    assert rows_of(spark, spec) == rows_of_runs("a")
+    assert {r.rows for r in spark.table(spec.counts_table).filter(f"{RUN} = 'b'").collect()} == {0}
+
+
+@pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
+def test_counts_by_reason(spark, database, tmp_path, broadcast_bytes):
+    spec = shop_spec(write_shops(tmp_path), f"{database}.stalls")
+    load_raw(spark, spec)
+    counts = load_checked(spark, spec, 1, broadcast_bytes, run_id="x")
+    reasons = Counter(r for b in BAD for r in b[2])
+    assert {k: n for k, n in counts.items() if n} == {"clean": len(CLEAN_IDS), "bad": len(BAD), **reasons}
+    assert {r.counted: r.rows for r in spark.table(spec.counts_table).collect()} == counts
+    assert RUN not in spark.table(spec.clean_table).columns  # replaced as a whole
+
+
+def test_a_table_without_runs_is_left_alone(spark, database, tmp_path):
+    spec = shop_spec(write_shops(tmp_path), f"{database}.stalls", write_mode="append")
+    run(spark, [spec])
+    with pytest.raises(ValueError, match=RUN):
+        run(spark, [spec], run_id="a")
+    assert spark.table(spec.bad_table).count() == len(BAD)
+    with pytest.raises(ValueError):
+        write_run(spark.range(1), f"{database}.t", "")
+
+
+def test_one_broken_file_stops_no_other_table(spark, database, tmp_path):
+    good = [shop_spec(write_shops(tmp_path), f"{database}.t{k}", name=f"t{k}", write_mode="append") for k in range(3)]
+    broken = shop_spec(tmp_path / "not_there.csv", f"{database}.broken", name="broken", write_mode="append")
+    for _ in range(2):
+        outcomes = run_each(spark, [good[0], broken, *good[1:]], "r", at_once=2)
+        assert [o.name for o in outcomes] == ["t0", "broken", "t1", "t2"]
+        assert [o.name for o in outcomes if o.error] == ["broken"] and "not_there" in outcomes[1].error
+        assert all(o.counts["clean"] == len(CLEAN_IDS) for o in outcomes if not o.error)
+    for spec in good:
+        assert rows_of(spark, spec) == rows_of_runs("r")
+    assert not spark.catalog.tableExists(broken.bad_table)
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+    with pytest.raises(ValueError):
+        run_each(spark, [good[0], good[0]], "r")
+
+
+@pytest.mark.parametrize("by", [None, "p"])
+def test_append_with_other_columns(spark, database, by):
+    name = f"{database}.t"
+    old = spark.createDataFrame([(1, "a", "x")], "k int, v string, p string").write
+    (old.partitionBy(by) if by else old).saveAsTable(name)
+    files = set(spark.table(name).inputFiles())
+    write_table(spark.createDataFrame([("y", 2, [1])], "P string, k int, `a b` array<int>"), name, "append")
+    write_table(spark.createDataFrame([(3,)], "k int"), name, "append")
+    now = spark.table(name)
+    assert set(now.columns) == {"k", "v", "p", "a b"} and files < set(now.inputFiles())
+    assert sorted((r.k, r.v, r.p, r["a b"]) for r in now.collect()) == [(1, "a", "x", None), (2, None, "y", [1]), (3, None, None, None)]
+    assert partition_columns(spark, name) == ([by] if by else [])
+
+
+def test_a_run_may_bring_new_columns(spark, database):
+    name = f"{database}.t"
+    write_run(spark.createDataFrame([(1, "a")], "k int, v string"), name, "1")
+    write_run(spark.createDataFrame([(2, 0.5)], "k int, w double"), name, "2")
+    assert sorted((r.k, r.v, r.w, r[RUN]) for r in spark.table(name).collect()) == [(1, "a", None, "1"), (2, None, 0.5, "2")]
