@@ -38,7 +38,14 @@ from sluice.operators.duplicates import (  # noqa: E402
 )
 from sluice.operators.marts import daily_sales, repeated_shops, sales_per_day, with_compute_date  # noqa: E402
 from sluice.operators.merge import merge  # noqa: E402
-from sluice.plans.pipeline import load_daily_sales, run, run_each, upsert_table  # noqa: E402
+from sluice.plans.pipeline import (  # noqa: E402
+    days_of_run,
+    load_daily_sales,
+    refresh_daily_sales,
+    run,
+    run_each,
+    upsert_table,
+)
 from sluice.plans.registry import create_registry, lookup, register  # noqa: E402
 from sluice.plans.sizes import fits_broadcast  # noqa: E402
 from sluice.plans.spec import TableSpec  # noqa: E402
@@ -586,6 +593,33 @@ def files_to_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _mart(spark.table(mart).drop("compute_date"))
 
 
+def mart_of_changed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs append sales; the mart is made after the first one, and after the second one only the months it has days of are."""
+    database, folder = scratch_database(spark)
+    sales = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("transaction_id"),
+        F.col("l_linenumber").alias("line"),
+        F.col("l_suppkey").alias("shop_id"),
+        _money("l_extendedprice").alias("sales_amt"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("sales_date"),
+    )
+    columns = {"transaction_id": "int", "line": "int", "shop_id": "int", "sales_amt": "decimal(18,2)", "sales_date": "date"}
+    keys = ["transaction_id", "line", "shop_id", "sales_amt", "sales_date"]
+    shops, mart = _table(spark, sf_dir, "supplier").withColumnRenamed("s_suppkey", "shop_id"), f"{database}.daily_sales"
+    parts = {"early": "sales_date < '1996-07'", "late": "sales_date >= '1996-07'"}
+    for run_id, part in parts.items():
+        path = f"{folder}/{run_id}.parquet"
+        sales.filter(part).write.parquet(path)
+        spec = TableSpec(run_id, path, f"{database}.sales", columns, keys, write_mode="append")
+        run(spark, [spec], run_id)
+        clean = read_table(spark, spec.clean_table)
+        if run_id == "early":
+            load_daily_sales(clean, shops, mart, by_month=True)
+        else:
+            refresh_daily_sales(clean, shops, mart, days_of_run(spark, spec, run_id))
+    return _mart(read_table(spark, mart).drop("compute_date"))
+
+
 # ---------------------------------------------------------------- contract
 
 
@@ -652,6 +686,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rerun_after_cut": rerun_after_cut,
         "run_counts": run_counts,
         "run_with_broken_file": run_with_broken_file,
+        "mart_of_changed_months": mart_of_changed_months,
     }
 
 
@@ -775,6 +810,13 @@ def table_sql() -> dict[str, str]:
         f"from flags where {' or '.join(MALFORMED)}",
         "rerun_after_cut": f"{lines}, reasons as (select k1, k2, f, g, d, concat_ws(',', {_reason_names(ALL)}) as reason from flags) "
         "select k1, k2, f, g, d, reason, run, count(*) as times from reasons, (values ('first'), ('second')) as r(run) group by all",
+        "mart_of_changed_months": _daily_sql(
+            # Rows that are equal in all columns are copies: one of them is clean.
+            "select distinct l_orderkey, l_linenumber, l_suppkey as shop_id, cast(l_extendedprice as decimal(18,2)) as sales_amt, "
+            "cast(l_shipdate as date) as sales_date from lineitem",
+            SUPPLIER_KEYS_SQL,
+            ", strftime(s.sales_date, '%Y-%m') as sales_month",
+        ),
         "run_counts": f"{lines}, n as (select count(*) as rows, count_if({' or '.join(ALL)}) as bad, "
         + ", ".join(f"count_if({f}) as n{f}" for f in ALL)
         + " from flags) select 'clean' as counted, rows - bad as rows, 'only' as run from n union all select 'bad', bad, 'only' from n"

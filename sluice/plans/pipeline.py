@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -22,17 +22,23 @@ from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.plans.spec import TableSpec
 from sluice.sources.files import read_file, with_provenance
 from sluice.sources.tables import (
+    RUN,
+    drop_partitions,
     drop_table,
     finish_replacement,
     partition_columns,
     read_table,
     replace_rows,
     scratch_bytes,
+    write_partitioned,
     write_run,
     write_scratch_table,
     write_table,
 )
 
+#: The column a mart is partitioned by: year and month of the day.
+MONTH = "sales_month"
+
 
 def load_raw(spark: SparkSession, spec: TableSpec) -> None:
     """File to raw table, replacing it. No shuffle."""
@@ -140,18 +146,80 @@ def load_daily_sales(
     date: str = "sales_date",
     amount: str = "sales_amt",
     broadcast_bytes: int = BROADCAST_BYTES,
+    by_month: bool = False,
 ) -> None:
     """Daily sales, stamped with the time, to the mart table, replacing it.
 
-    Before they are combined, sales are shuffled only if many shops repeat.
+    Before they are combined, sales are shuffled only if many shops repeat. `by_month` partitions the table by the month of the day,
+    `MONTH`, so that `refresh_daily_sales` can replace some of it; by day, each file would have one row.
+    """
+
+    def written(per_day: DataFrame) -> None:
+        if by_month:
+            write_partitioned(_in_months(per_day, date), table, MONTH)
+        else:
+            write_table(per_day, table, "overwrite")
+
+    _with_daily_sales(sales, shops, key, date, amount, broadcast_bytes, written)
+
+
+def refresh_daily_sales(
+    sales: DataFrame,
+    shops: DataFrame,
+    table: str,
+    days: DataFrame,
+    key: str = "shop_id",
+    date: str = "sales_date",
+    amount: str = "sales_amt",
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> None:
+    """The mart table of `load_daily_sales(by_month=True)` brought up to date where `days`, a column of that name, has changed.
+
+    The months of these days are computed anew from `sales`, of which only their rows go on after the scan, and put in place;
+    other months are neither read nor written. A month that has no sales any more goes. For the days of a run, see
+    `days_of_run`; where a run is repeated, take also those it had before. What an interruption leaves is finished by the next refresh.
     """
+    spark = sales.sparkSession
+    if partition_columns(spark, table) != [MONTH]:
+        raise ValueError(f"{table} is not partitioned by {MONTH}")
+    finish_replacement(spark, table)
+    months = write_scratch_table(days.select(_month(date).alias(MONTH)).distinct())
+    try:
+        changed = spark.table(months)
+        some = _touched(sales.withColumn(MONTH, _month(date)), changed, [MONTH], broadcast_bytes)
+
+        def written(per_day: DataFrame) -> None:
+            replace_rows(_in_months(per_day, date), table, only_its_partitions=True)
+
+        _with_daily_sales(some, shops, key, date, amount, broadcast_bytes, written)
+        left = some.select(MONTH).distinct()
+        drop_partitions(spark, table, MONTH, changed.join(left, changed[MONTH].eqNullSafe(left[MONTH]), "left_anti"))
+    finally:
+        drop_table(spark, months)
+
+
+def days_of_run(spark: SparkSession, spec: TableSpec, run_id: str, date: str = "sales_date") -> DataFrame:
+    """The days of the rows that a run added to the clean table. Only its partition is read."""
+    return spark.table(spec.clean_table).filter(F.col(RUN) == run_id).select(named(date)).distinct()
+
+
+def _month(date: str) -> Column:
+    return F.date_format(named(date), "yyyy-MM")
+
+
+def _in_months(per_day: DataFrame, date: str) -> DataFrame:
+    return per_day.withColumn(MONTH, _month(date))
+
+
+def _with_daily_sales(
+    sales: DataFrame, shops: DataFrame, key: str, date: str, amount: str, limit: int, written: Callable[[DataFrame], None]
+) -> None:
     spark = sales.sparkSession
     scratch = write_scratch_table(repeated_shops(sales, shops, key))
     try:
         repeated = spark.table(scratch)
-        few = fits_broadcast(repeated, broadcast_bytes)
-        per_day = sales_per_day(sales, repeated, key, date, amount, few, limit=broadcast_bytes)
-        write_table(with_compute_date(per_day), table, "overwrite")
+        few = fits_broadcast(repeated, limit)
+        written(with_compute_date(sales_per_day(sales, repeated, key, date, amount, few, limit=limit)))
     finally:
         drop_table(spark, scratch)
 

@@ -75,6 +75,21 @@ def write_run(df: DataFrame, name: str, run_id: str) -> None:
     spark.sql(insert, rows=_in_columns(df, columns))
 
 
+def write_partitioned(df: DataFrame, name: str, by: str) -> None:
+    """As `write_table` with `overwrite`, partitioned by a column of few values, each partition written by few tasks."""
+    df.hint("rebalance", *quoted([by])).write.mode("overwrite").partitionBy(by).saveAsTable(name)
+
+
+def drop_partitions(spark: SparkSession, name: str, by: str, values: DataFrame) -> None:
+    """Drop those partitions of the table whose value is in the one column of `values`; a value comes to the driver for each."""
+    parts = spark.sql(f"SHOW PARTITIONS {name}").select(F.substring_index("partition", "=", -1).alias("part"))
+    told = values.toDF("value").select(F.coalesce(F.col("value").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("part"))
+    for row in parts.join(told.distinct(), "part").collect():
+        of = "NULL" if row.part == "__HIVE_DEFAULT_PARTITION__" else f"'{row.part}'"
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({by} = {of})")
+    spark.catalog.refreshTable(name)
+
+
 def create_or_replace_table(spark: SparkSession, name: str, schema: str) -> None:
     """An empty table of the given schema, in place of whatever bore the name."""
     write_table(spark.createDataFrame([], schema), name, "overwrite")

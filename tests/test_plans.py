@@ -106,3 +106,22 @@ def test_mart_needs_one_combined_shuffle(spark, shops):
     once = shops.selectExpr("stall as shop_id").distinct()
     plan = final(daily_sales(sales, once, few_repeated=True))
     assert "Join" not in plan and shuffles(plan) == 1 and "partial_sum" in plan
+
+
+def test_a_merge_looks_at_the_keys_of_both_sides_once(spark, shops, monkeypatch):
+    """One shuffle of key columns, in which both sides are counted together; then the join, each side shuffled once."""
+    from sluice.operators import merge as module
+
+    looks = []
+
+    def noted(df):
+        looks.append(final(df))
+        return written(df)
+
+    written = module.written_once
+    monkeypatch.setattr(module, "written_once", noted)
+    target = shops.drop("_sk")
+    source = target.filter("stall <> '0' and stall <> '1'").withColumn("zone", target.since)
+    plan = final(merge(target, source, ["stall"]))
+    assert len(looks) == 1 and shuffles(looks[0]) == 1 and read_columns(looks[0]) == [["stall"], ["stall"]]
+    assert shuffles(plan) == 2
