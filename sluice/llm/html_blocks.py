@@ -1,8 +1,14 @@
-"""Leaf blocks of a page: stretches of text between the borders of block elements, with the elements they are in."""
+"""Leaf blocks of a page: stretches of text between the borders of block elements, with the elements they are in.
+
+Any text is a page: tags without an end are text, elements that are left open end with the page. Time and memory are in proportion to a page's length.
+"""
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
+from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from html import unescape
@@ -23,11 +29,13 @@ _CLOSES = {
 #: What may stand in a head: the first other element or text ends it, as both of its tags can be left out.
 _IN_HEAD = frozenset("html head title meta link style script base template noscript".split())
 _KEEPS_OPEN = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}}
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|textarea|title|iframe|noscript)\b[^>]*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>|<[!?][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
+#: Elements whose content is no markup, up to their end.
+_RAW = frozenset("script style textarea title iframe noscript".split())
+_NAME = re.compile(r"<(/?)([a-z][^\s/>]*)", re.IGNORECASE)
+#: The rest of a tag, as it usually is.
+_REST = re.compile(r"(?:[^<>\"']|\"[^<\"]*\"|'[^<']*')*+>")
+#: As browsers do, elements within so many open ones are taken as a part of the last.
+DEEPEST = 512
 _NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
@@ -46,9 +54,99 @@ def _element(tag: str, attributes: str) -> str:
     return ".".join([tag, *dict.fromkeys(words)])
 
 
-def _ends_head(text: str, markup: re.Match) -> bool:
-    tag = markup[3]
-    return bool(text.strip()) or tag is not None and not markup[2] and tag.lower() not in _IN_HEAD
+@dataclass(slots=True)
+class _Markup:
+    start: int
+    end: int
+    tag: str = ""  # "" for comments, declarations and elements whose content is no markup
+    closing: bool = False
+    attributes: str = ""
+
+
+class _Tags:
+    """Where tags end: at the first `>` that is in no quotes, or at the first one of all if a quote has no end.
+
+    Where a scan outside of quotes ends depends on its place alone, so places that were passed are kept, and a page takes time in
+    proportion to its length whatever is in it.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html, self._ends = html, {}
+        self._at: dict[str, list[int]] | None = None
+
+    def end(self, at: int) -> int:
+        """After the `>` of the tag whose name ends at `at`; -1 if no `>` follows."""
+        usual = _REST.match(self.html, at)
+        if usual:
+            return usual.end()
+        passed, place = [], at
+        while place not in self._ends:
+            passed.append(place)
+            found = self._next(">\"'", place)
+            if found < 0 or self.html[found] == ">":
+                self._ends[place] = found
+                break
+            close = self._next(self.html[found], found + 1)
+            if close < 0:
+                self._ends[place] = -1
+                break
+            place = close + 1
+        for p in passed:
+            self._ends[p] = self._ends[place]
+        end = self._ends[at] if self._ends[at] >= 0 else self._next(">", at)
+        return end + 1 if end >= 0 else -1
+
+    def _next(self, signs: str, at: int) -> int:
+        if self._at is None:
+            self._at = {s: [m.start() for m in re.finditer(f"[{s}]", self.html)] for s in (">", '"', "'", ">\"'")}
+        places = self._at[signs]
+        k = bisect_left(places, at)
+        return places[k] if k < len(places) else -1
+
+
+@lru_cache(maxsize=64)
+def _end_of(tag: str) -> re.Pattern:
+    return re.compile(rf"</{tag}\s*>", re.IGNORECASE)
+
+
+def _markups(html: str) -> Iterator[_Markup]:
+    """Tags, comments and the like in the page's order. What looks like a tag but has no end is text."""
+    tags, at, last = _Tags(html), 0, html.rfind(">")
+    while True:
+        at = html.find("<", at)
+        if at < 0:
+            return
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            end = len(html) if end < 0 else end + 3
+            yield _Markup(at, end)
+        elif at > last:  # only a comment needs no `>`
+            at = html.find("<!--", at)
+            if at < 0:
+                return
+            continue
+        elif html.startswith(("<!", "<?"), at):
+            end = html.find(">", at) + 1
+            yield _Markup(at, end)
+        elif name := _NAME.match(html, at):
+            tag, closing = name[2].lower(), bool(name[1])
+            if tag in _RAW and not closing:
+                begin = html.find(">", at) + 1
+                close = _end_of(tag).search(html, begin)
+                end = close.end() if close else len(html)
+                yield _Markup(at, end)
+            else:
+                end = tags.end(name.end())
+                if end < 0:
+                    return
+                yield _Markup(at, end, tag, closing, html[name.end() : end - 1])
+        else:
+            end = at + 1
+        at = end
+
+
+def _ends_head(text: str, markup: _Markup) -> bool:
+    return bool(text.strip()) or bool(markup.tag) and not markup.closing and markup.tag not in _IN_HEAD
 
 
 def blocks(html: str | None) -> list[Block]:
@@ -57,6 +155,7 @@ def blocks(html: str | None) -> list[Block]:
     stack: list[tuple[str, str, int]] = []  # tag, element, number of the article; block elements only
     parts: list[str] = []
     links = silent = link_chars = at = articles = 0
+    open_tags, deeper = Counter(), Counter()  # how many are in the stack, and within its last element
 
     def end_block() -> None:
         nonlocal parts, link_chars
@@ -66,21 +165,27 @@ def blocks(html: str | None) -> list[Block]:
                 found.append(Block(text, tuple(e for _, e, _ in stack), min(link_chars, len(text)), stack[-1][2] if stack else 0))
         parts, link_chars = [], 0
 
+    def close(k: int) -> None:
+        """The last open elements, from the k-th on."""
+        nonlocal silent
+        for tag, _, _ in stack[k:]:
+            open_tags[tag] -= 1
+            silent -= tag in _SILENT
+        del stack[k:]
+
     html = html or ""
-    for m in _MARKUP.finditer(html):
-        if stack and stack[-1][0] == "head" and _ends_head(html[at : m.start()], m):
-            stack.pop()
-            silent -= 1
-        if m.start() > at and not silent:
-            text = unescape(html[at : m.start()])
+    for m in _markups(html):
+        if stack and stack[-1][0] == "head" and _ends_head(html[at : m.start], m):
+            close(-1)
+        if m.start > at and not silent:
+            text = unescape(html[at : m.start])
             parts.append(text)
             if links:
                 link_chars += len(text)
-        at = m.end()
-        tag = m[3]
-        if tag is None:
+        at = m.end
+        tag, closing = m.tag, m.closing
+        if not tag:
             continue
-        tag, closing = tag.lower(), bool(m[2])
         if tag in _INLINE:
             if tag == "a":
                 links = 0 if closing else 1
@@ -89,35 +194,36 @@ def blocks(html: str | None) -> list[Block]:
         if tag in _VOID:
             continue
         if closing:
-            if any(t == tag for t, _, _ in stack):
-                while True:
-                    t = stack.pop()[0]
-                    silent -= t in _SILENT
-                    if t == tag:
-                        break
+            if deeper[tag]:
+                deeper[tag] -= 1
+            elif open_tags[tag]:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == tag))
+                deeper.clear()
             continue
         if tag == "body":
             while stack and stack[-1][0] == "head":
-                stack.pop()
-                silent -= 1
+                close(-1)
         if stack and stack[-1][0] == "p":  # a block element ends an open paragraph
-            stack.pop()
-        for k in range(len(stack) - 1, -1, -1):
+            close(-1)
+        for k in range(len(stack) - 1, -1, -1) if tag in _CLOSES else ():
             if stack[k][0] in _KEEPS_OPEN.get(tag, ()):
                 break
-            if stack[k][0] in _CLOSES.get(tag, ()):
-                silent -= sum(t in _SILENT for t, _, _ in stack[k:])
-                del stack[k:]
+            if stack[k][0] in _CLOSES[tag]:
+                close(k)
+                deeper.clear()
                 break
-        if not m[4].endswith("/") or tag not in ("svg", "math"):
+        if not m.attributes.endswith("/") or tag not in ("svg", "math"):
+            if len(stack) >= DEEPEST:
+                deeper[tag] += 1
+                continue
             articles += tag == "article"
             article = articles if tag == "article" else stack[-1][2] if stack else 0
-            stack.append((tag, _element(tag, m[4]) if m[4] else tag, article))
+            stack.append((tag, _element(tag, m.attributes) if m.attributes else tag, article))
+            open_tags[tag] += 1
             silent += tag in _SILENT
         links = 0
     if stack and stack[-1][0] == "head" and html[at:].strip():
-        silent -= 1
-        stack.pop()
+        close(-1)
     if at < len(html) and not silent:
         parts.append(unescape(html[at:]))
     end_block()

@@ -7,8 +7,9 @@ conditional likelihood (forward and backward sums) and decoded by Viterbi.
 Labelled pages. Training takes at most `TRAIN_PAGES` pages, those with the smallest hash of their id (one for each id), in two ways. Pages with just
 one `<article>` with text, which is not itself one of these, are labelled by it: blocks in it are content, except in menus, asides,
 footers, forms, adverts and comments.
-And their blocks are set anew into `COMPOSED` pages of various layouts, most without telling tags, whose labels are known by
-construction. All pages are then read whole.
+These pages are learnt a second time without their telling elements and without class and id words, so that the field knows content by
+its text and place too. And their blocks are set anew into `COMPOSED` pages of various layouts, most without telling tags, whose labels are known by
+construction. All pages are then read whole; broken markup is text, and a long page takes time in proportion to its length.
 
 Null and empty pages, and pages without content, have the empty text. Repeated rows and extra columns stay; an
 empty table gives an empty result, and a field is then trained on built-in words alone.
@@ -170,7 +171,18 @@ def train(pages: DataFrame, html: str = "html", page_id: str = "page_id", most:
     one_each = whole.join(F.broadcast(chosen), F.col("id").eqNullSafe(F.col("chosen"))).groupBy("id")
     chosen = one_each.agg(F.min("html").alias("html")).orderBy("id").select("html")
     found = [blocks(r[0]) for r in chosen.collect()]
-    return fit([p for p in map(labelled, found) if p] + composed(found, COMPOSED, SEED))
+    known = [p for p in map(labelled, found) if p]
+    return fit(known + [(plain(page), labels) for page, labels in known] + composed(found, COMPOSED, SEED))
+
+
+def plain(page: list[Block]) -> list[Block]:
+    """The page as if its elements had no telling tags and no names."""
+    return [Block(b.text, tuple(map(plain_element, b.path)), b.link_chars) for b in page]
+
+
+def plain_element(element: str) -> str:
+    tag = element.split(".")[0]
+    return "div" if tag in _TELLING else tag
 
 
 def labelled(page: list[Block]) -> tuple[list[Block], list[bool]] | None:
@@ -199,6 +211,7 @@ _KINDS = {
     "comments": ["comments", "comment list", "comment", "replies", "responses", "discussion", "reader comments", "disqus thread"],
 }
 _CONTENT = ["article", "content", "post", "entry content", "main", "story", "article body", "post body", "text", "page"]
+_TELLING = frozenset("article main section nav header footer aside form".split())
 _TAGS = {"nav": "nav", "header": "header", "footer": "footer", "aside": "aside", "form": "form"}
 
 

@@ -7,7 +7,8 @@ with whose profile its own has the largest cosine; the score is the cosine, 0 if
 
 Letters are taken in lower case; all else is one boundary sign. A text that is null or has no letter has no language: `und`,
 score 0. With nothing to learn from, every text is `und`. Ties go to the first language by name. Rows with a null language
-teach nothing; repeated rows teach each time. An empty table gives an empty result. Extra columns stay.
+teach nothing; repeated rows teach each time. An empty table gives an empty result. Extra columns stay. Memory does not depend on the
+script: of a very long text its signs and distinct trigrams are held, 16 bytes each, and vectors of `BLOCK` trigrams at a time.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import functions as F
 from sluice.llm.common import bounded_batches
 
 SIZE, SEED, UNKNOWN = 512, 20, "und"
-KEPT, CHUNK = 60_000, 64
+KEPT, CHUNK, BLOCK = 20_000, 64, 4096
 
 
 @cache
@@ -44,44 +45,46 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Space:
-    """Vectors of trigrams, kept up to `KEPT` of them."""
+    """Vectors of letters, kept up to `KEPT` of them, of trigrams and of texts."""
 
     def __init__(self, size: int, seed: int) -> None:
         self.size, self.seed = size, seed
         self._letters: dict[int, np.ndarray] = {}
-        self._at: dict[int, int] = {}
-        self._vectors = np.zeros((0, size), np.int8)
 
     def letter(self, point: int) -> np.ndarray:
-        if point not in self._letters:
-            self._letters[point] = np.random.default_rng([self.seed, point]).choice(np.array([-1, 1], np.int8), self.size)
-        return self._letters[point]
-
-    def _made(self, key: int) -> np.ndarray:
-        a, b, c = key >> 42, key >> 21 & 0x1FFFFF, key & 0x1FFFFF
-        return np.roll(self.letter(a), 2) * np.roll(self.letter(b), 1) * self.letter(c)
+        found = self._letters.get(point)
+        if found is None:
+            if len(self._letters) >= KEPT:
+                self._letters.clear()
+            found = np.random.default_rng([self.seed, point]).choice(np.array([-1, 1], np.int8), self.size)
+            self._letters[point] = found
+        return found
 
     def vectors(self, keys: np.ndarray) -> np.ndarray:
-        if len(self._at) > KEPT:
-            self._at, self._vectors = {}, self._vectors[:0]
-        wanted = keys.tolist()
-        new = [k for k in wanted if k not in self._at]
-        if new:
-            self._at.update((k, n) for n, k in enumerate(new, len(self._at)))
-            self._vectors = np.concatenate([self._vectors, np.array([self._made(k) for k in new], np.int8)])
-        return self._vectors[[self._at[k] for k in wanted]].astype(np.float32)
+        """Of trigrams: the product of their letters, the first one rotated twice, the second once."""
+        points, codes = np.unique(np.concatenate([keys >> 42, keys >> 21 & 0x1FFFFF, keys & 0x1FFFFF]), return_inverse=True)
+        table = np.array([self.letter(p) for p in points.tolist()])
+        a, b, c = codes.reshape(3, -1)
+        out = np.roll(table, 2, axis=1)[a]
+        out *= np.roll(table, 1, axis=1)[b]
+        out *= table[c]
+        return out
 
     def texts(self, texts: list[str | None]) -> np.ndarray:
-        """A vector of length one for each text, zero without a letter."""
+        """A vector of length one for each text, zero without a letter. `BLOCK` trigrams have vectors at a time, however many there are."""
         out = np.zeros((len(texts), self.size), np.float32)
         for start in range(0, len(texts), CHUNK):
             found = [trigrams(t) for t in texts[start : start + CHUNK]]
             keys, at = np.unique(np.concatenate([k for k, _ in found]), return_inverse=True)
-            if not len(keys):
-                continue
-            counts = np.zeros((len(found), len(keys)), np.float32)
-            counts[np.repeat(np.arange(len(found)), [len(k) for k, _ in found]), at] = np.concatenate([c for _, c in found])
-            out[start : start + len(found)] = counts @ self.vectors(keys)
+            text = np.repeat(np.arange(len(found)), [len(k) for k, _ in found])
+            counts, order = np.concatenate([c for _, c in found]), np.argsort(at, kind="stable")
+            text, at, counts = text[order], at[order], counts[order]
+            for first in range(0, len(keys), BLOCK):
+                some = keys[first : first + BLOCK]
+                here = slice(*np.searchsorted(at, [first, first + BLOCK]))
+                matrix = np.zeros((len(found), len(some)), np.float32)
+                matrix[text[here], at[here] - first] = counts[here]
+                out[start : start + len(found)] += matrix @ self.vectors(some).astype(np.float32)
         length = np.linalg.norm(out, axis=1, keepdims=True)
         return np.divide(out, length, out=out, where=length > 0)
 

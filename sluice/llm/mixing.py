@@ -15,13 +15,18 @@ the tokens of each dimension's values are summed, combined before the shuffle, a
 take the same steps, so p does not depend on the way but for the rounding of sums. Nothing of the size of the cells then passes the
 driver or a broadcast.
 
+Rounds go on until the worst value is within `CLOSE` of all tokens of its goal. Goals that contradict each other can't all be met:
+rounds end when `PATIENCE` of them have not brought the worst value nearer by a tenth; the goals of the last dimension are then met as
+far as its values can, and the others as that allows. `reached` shows what came of every goal.
+
 A draw depends on seed, id and text alone: repeated rows share their fate, runs agree. Null and empty texts have
 no token; cells without tokens are kept whole. A table with no rows gives an empty result. Extra columns stay.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +39,7 @@ from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.sources.tables import drop_table, write_scratch_table
 
 OTHER = "(other)"
-ROUNDS, CLOSE = 200, 1e-9
+ROUNDS, CLOSE, PATIENCE = 1_000_000, 1e-6, 50
 Target = float | Mapping[str, float]
 
 
@@ -95,16 +100,39 @@ def rake(tokens: np.ndarray, values: list[list[str]], targets: list[Target], kee
             share = np.where(held > 0, np.power(np.maximum(held, 1) / total, target), 0.0)
         goals.append((codes, _shared_out(held, share, keep * total)))
     p *= keep
+    progress = _Progress(total)
     for _ in range(ROUNDS):
         worst = 0.0
         for codes, goal in goals:
             worst = max(worst, np.abs(np.bincount(codes, tokens * p) - goal).max())
             p = _scaled(tokens, p, codes, goal)
-        if worst <= CLOSE * total:
+        if progress.ends(worst):
             break
     return np.where(tokens > 0, p, 1.0)
 
 
+class _Progress:
+    """When rounds end: the same for both ways."""
+
+    def __init__(self, total: float) -> None:
+        self._close, self._worst = CLOSE * total, []
+
+    def ends(self, worst: float) -> bool:
+        self._worst = [*self._worst[-PATIENCE:], worst]
+        return worst <= self._close or len(self._worst) > PATIENCE and worst > 0.9 * self._worst[0]
+
+
+def reached(rows: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Of `sample`'s rows: dimension, value, its tokens, and those expected to stay and kept, for every value of every dimension."""
+    sums = [
+        F.sum("n_tokens").alias("n_tokens"), F.sum(F.col("n_tokens") * F.col("p")).alias("expected"),
+        F.sum(F.when(F.col("kept"), F.col("n_tokens")).otherwise(0)).alias("kept"),
+    ]
+    cells = stored(rows.groupBy(*names).agg(*sums))
+    each = [cells.groupBy(F.lit(n).alias("dimension"), F.col(n).alias("value")).agg(*[F.sum(c).alias(c) for c in cells.columns[-3:]]) for n in names]
+    return reduce(DataFrame.unionByName, each)
+
+
 def _listed(names: list[str], held: np.ndarray, target: Mapping[str, float]) -> np.ndarray:
     """Shares by a table; values without one of their own share what is left to them by their tokens."""
     own = np.array([v in target and v != OTHER for v in names])
@@ -150,7 +178,7 @@ def raked(cells: DataFrame, names: list[str], targets: Mapping[str, Target], kee
     total = float(held.agg(F.sum("n_tokens")).first()[0] or 0)
     goals = [(n, stored(_goals(held, n, targets[n], keep * total, total))) for n in names] if total else []
     few = {n: fits_broadcast(goal, limit) for n, goal in goals}
-    at, made = held.withColumn("p", F.lit(float(keep))), []
+    at, made, progress = held.withColumn("p", F.lit(float(keep))), [], _Progress(total)
     for _ in range(ROUNDS if goals else 0):
         worst, before = 0.0, made
         made = []
@@ -162,7 +190,7 @@ def raked(cells: DataFrame, names: list[str], targets: Mapping[str, Target], kee
         at = spark.table(made[-1])
         for name in before:
             drop_table(spark, name)
-        if worst <= CLOSE * total:
+        if progress.ends(worst):
             break
     none = cells.filter("not coalesce(n_tokens > 0, false)").select(*names, F.lit(1.0).alias("p"))
     out = stored(at.select(*names, "p").unionByName(none))

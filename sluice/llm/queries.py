@@ -99,9 +99,9 @@ def op8_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
-    profiles = languages.learn(docs.filter(~held_out))
-    found = docs.select("doc_id", held_out.alias("held_out"), languages.predicted(F.col("text"), profiles).alias("found"))
+    held = held_out(F.col("doc_id"))
+    profiles = languages.learn(docs.filter(~held))
+    found = docs.select("doc_id", held.alias("held_out"), languages.predicted(F.col("text"), profiles).alias("found"))
     return found.select("doc_id", "held_out", F.col("found.lang").alias("lang_pred"), "found.score")
 
 

@@ -5,6 +5,15 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark takes it by: pyarrow takes one without a scheme as a folder of the machine."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    whole = files.makeQualified(path).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
 
 
 def write_file(folder: str, name: str, parts: list[bytes]) -> None:

@@ -38,7 +38,7 @@ from tokenizers import Tokenizer
 from sluice.llm.byte_words import WordModel
 from sluice.llm.common import bounded_batches, stored
 from sluice.llm.perfect_hash import PerfectHash, mixed
-from sluice.llm.shared_files import Reader, write_file
+from sluice.llm.shared_files import Reader, qualified, write_file
 from sluice.llm.stretches import Kept, cut, joined
 from sluice.sources.tables import scratch_path
 
@@ -165,7 +165,7 @@ def write(
     """Encode all rows with the tokenizer file at `path` (the same on every executor) and write shards and index."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    folder = folder or scratch_path(spark)
+    folder = qualified(spark, folder or scratch_path(spark))
     kind = encoder(path).kind
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("hash", F.xxhash64("text"))

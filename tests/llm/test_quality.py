@@ -1,6 +1,7 @@
 """Toxicity, host rules, languages, mixing and page extraction."""
 
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -309,3 +310,79 @@ def test_train_on_a_table(spark):
 
 def test_crc_split_of_the_language_query(spark):
     assert spark.sql("select crc32(cast('12' as binary))").first()[0] == zlib.crc32(b"12")
+
+
+def test_many_letters_take_bounded_memory():
+    """64 texts of 3,000 letters: no vector for each trigram is kept; the same vectors as by the definition."""
+    r, space = np.random.default_rng(1), languages.Space(64, 1)
+    texts = ["".join(map(chr, r.integers(0x4E00, 0x4E00 + 3000, 600))) for _ in range(64)]
+    got = space.texts([*texts, None, "12"])
+    for text, row in zip(texts[:3], got):
+        points = [0, *map(ord, text), 0]
+        whole = sum(
+            np.roll(space.letter(a), 2).astype(int) * np.roll(space.letter(b), 1) * space.letter(c) for a, b, c in zip(points, points[1:], points[2:])
+        )
+        assert np.allclose(row, whole / np.linalg.norm(whole), atol=1e-6)
+    assert not got[-2:].any() and len(space._letters) <= languages.KEPT
+
+
+def test_goals_that_contradict_have_an_answer():
+    """Source a is only English, b only German, and the goals want more of a, but less of English."""
+    p = mixing.rake(np.array([100.0, 100.0]), [["a", "b"], ["en", "de"]], [{"a": 0.8, "b": 0.2}, {"en": 0.3, "de": 0.7}], 0.5)
+    assert np.allclose(p, [0.3, 0.7])
+
+
+def independent_rake(tokens, values, goals, rounds=3000):
+    """Plain fitting to goals that no bound touches."""
+    p = np.ones(len(tokens))
+    for _ in range(rounds):
+        for of, goal in zip(values, goals):
+            for v, g in goal.items():
+                here = np.array([x == v for x in of])
+                p[here] *= g / (tokens * p)[here].sum()
+    return p
+
+
+def test_raking_to_its_end():
+    rng = np.random.default_rng(2)
+    tokens = rng.integers(50, 500, 24).astype(float)
+    values = [[f"s{k % 4}" for k in range(24)], [f"l{k // 8}" for k in range(24)]]
+    shares = [{"s0": 0.22, "s1": 0.28, "s2": 0.26, "s3": 0.24}, {"l0": 0.3, "l1": 0.36, "l2": 0.34}]
+    p = mixing.rake(tokens, values, shares, 0.3)
+    expected = independent_rake(tokens, values, [{v: s * 0.3 * tokens.sum() for v, s in d.items()} for d in shares])
+    assert p.max() < 1 and np.abs(tokens * (p - expected)).max() < 1e-5 * tokens.sum()
+
+
+def test_what_is_reached(spark):
+    rows = [(k, f"s{k % 3}", f"l{k % 2}", "word " * (1 + k % 7)) for k in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, text string")
+    by = {"source": F.col("source"), "lang": F.col("lang")}
+    found = mixing.sample(docs, by, mixing.word_count(F.col("text")), {"source": 0.5, "lang": {"l0": 0.4, "l1": 0.6}}, 0.5)
+    got = {(r.dimension, r.value): r for r in mixing.reached(found, ["source", "lang"]).collect()}
+    total = sum(r.n_tokens for (d, _), r in got.items() if d == "lang")
+    assert set(got) == {("source", f"s{k}") for k in range(3)} | {("lang", "l0"), ("lang", "l1")}
+    assert abs(got["lang", "l0"].expected - 0.4 * 0.5 * total) < 1e-4 * total
+    assert all(abs(r.kept - r.expected) < 0.15 * r.n_tokens for r in got.values())
+
+
+@pytest.mark.parametrize("unit", ["<a ", '<p "', '<p ">', "<p \"><b 'x\" ", "<div>", "<script ", "<", "<!-- ", "<a<a", '"><p "', "<!x ", "<li><ul>"])
+def test_any_page_takes_time_in_proportion(unit):
+    start = time.perf_counter()
+    blocks(unit * (1_000_000 // len(unit)))
+    assert time.perf_counter() - start < 15
+
+
+def test_deep_pages_lose_no_text():
+    found = blocks("<div>" * 2000 + "<p>deep</p>" + "</div>" * 2000 + "<p>after</p>")
+    assert [b.text for b in found] == ["deep", "after"] and len(found[0].path) == 512 and found[1].path == ("p",)
+
+
+def test_a_field_that_saw_names_also_knows_pages_without():
+    pages = html_crf.composed([], 300, 3)
+    field = html_crf.fit(pages + [(html_crf.plain(p), y) for p, y in pages])
+    right = total = 0
+    for page, labels in html_crf.composed([], 120, 4):
+        for block, got, label in zip(page, field.content(html_crf.plain(page)), labels):
+            words = block.text.count(" ") + 1
+            right, total = right + words * (got == label), total + words
+    assert right / total > 0.9
