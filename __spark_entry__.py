@@ -404,6 +404,14 @@ def upsert_partitioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table)
 
 
+def upsert_bucketed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`upsert_orders` on a table in buckets by order, which is not shuffled though the source is taken as a large one."""
+    table = f"{scratch_database(spark)[0]}.orders"
+    _order_amounts(spark, sf_dir).write.bucketBy(8, "orderkey").saveAsTable(table)
+    upsert_table(_line_totals(spark, sf_dir), table, ["orderkey"], broadcast_bytes=0)
+    return read_table(spark, table)
+
+
 def upsert_partitioned_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders by the first day of their year, as dates; the source, finished orders of the first years, has these days as times of the
     day, and keys as text."""
@@ -677,6 +685,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "upsert_orders_table": upsert_orders_table,
         "upsert_partitioned_table": upsert_partitioned_table,
         "upsert_partitioned_cast": upsert_partitioned_cast,
+        "upsert_bucketed_table": upsert_bucketed_table,
         "files_to_daily_sales": files_to_daily_sales,
         "files_to_bad_records": files_to_bad_records,
         "append_twice": append_twice,
@@ -787,6 +796,7 @@ def table_sql() -> dict[str, str]:
             ["name", "balance"],
         ),
         "upsert_orders_table": UPSERT_ORDERS_SQL,
+        "upsert_bucketed_table": UPSERT_ORDERS_SQL,
         "upsert_partitioned_table": _upsert_sql(
             ORDER_AMOUNTS_SQL,
             "select l_orderkey as orderkey, l_linestatus as status, "

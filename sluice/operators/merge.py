@@ -85,16 +85,25 @@ class SharedKeys:
 
 
 def shared_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, limit: int = BROADCAST_BYTES
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    hot_rows: int = HOT_ROWS,
+    limit: int = BROADCAST_BYTES,
+    in_buckets: bool = False,
 ) -> SharedKeys:
     """One look at the keys of both sides: they are counted together, combined before one shuffle. Only keys that are hot on a
-    side or ambiguous are kept, stored once, and measured all at once."""
+    side or ambiguous are kept, stored once, and measured all at once. `in_buckets` says that the target is a table in buckets by
+    these keys: then its keys are counted where they are, and only the source's are shuffled, to the buckets."""
     own, old, new = [own_key(k) for k in keys], f"{OWN}of_target", f"{OWN}of_source"
-    sides = []
+    key, sides = [named(k).alias(o) for k, o in zip(keys, own, strict=True)], []
     for rows, n_old, n_new in ((target, 1, 0), (as_target(source, target), 0, 1)):
-        named_keys = [named(k).alias(o) for k, o in zip(keys, own, strict=True)]
-        sides.append(rows.filter(none_null(keys)).select(*named_keys, F.lit(n_old).alias(old), F.lit(n_new).alias(new)))
-    counts = sides[0].unionByName(sides[1]).groupBy(*quoted(own)).agg(F.sum(old).alias(old), F.sum(new).alias(new))
+        sides.append(rows.filter(none_null(keys)).select(*key, F.lit(n_old).alias(old), F.lit(n_new).alias(new)))
+    if in_buckets:
+        of_target, of_source = (s.groupBy(*quoted(own)).agg(F.sum(n).alias(n)) for s, n in zip(sides, (old, new), strict=True))
+        counts = of_target.join(of_source, own, "full").na.fill(0, [old, new])
+    else:
+        counts = sides[0].unionByName(sides[1]).groupBy(*quoted(own)).agg(F.sum(old).alias(old), F.sum(new).alias(new))
     ambiguous = (F.col(old) > 0) & (F.col(new) > 1)
     kept = written_once(counts.filter((F.col(old) > hot_rows) | (F.col(new) > hot_rows) | ambiguous))
     size = row_bytes(own)

@@ -23,6 +23,7 @@ from sluice.plans.spec import TableSpec
 from sluice.sources.files import read_file, with_provenance
 from sluice.sources.tables import (
     RUN,
+    bucket_columns,
     drop_partitions,
     drop_table,
     finish_replacement,
@@ -229,7 +230,7 @@ def upsert_table(source: DataFrame, table: str, keys: Sequence[str], broadcast_b
 
     The source is first put in the table's types, so that keys and partitions are compared as they will be written. If the
     keys include the columns the table is partitioned by, only the partitions the source has rows for are read and
-    replaced. See `replace_rows` for what an interruption leaves; the next upsert of the table finishes it first.
+    replaced. A table in buckets by the keys is never shuffled: the source is, to its buckets, and the new files keep them. See `replace_rows` for what an interruption leaves; the next upsert of the table finishes it first.
     """
     spark = source.sparkSession
     finish_replacement(spark, table)
@@ -241,7 +242,8 @@ def upsert_table(source: DataFrame, table: str, keys: Sequence[str], broadcast_b
         if by_partition:
             target = _touched(target, stored, partitions, broadcast_bytes)
         small = fits_broadcast(stored, broadcast_bytes, scratch_bytes(spark, scratch))
-        shared = None if small else shared_keys(target, stored, keys, limit=broadcast_bytes)
+        in_buckets = set(bucket_columns(spark, table)) == set(keys)
+        shared = None if small else shared_keys(target, stored, keys, limit=broadcast_bytes, in_buckets=in_buckets)
         if shared.ambiguous if shared else not ambiguous_keys(target, stored, keys, broadcast_bytes).isEmpty():
             raise ValueError(f"several source rows have the key of one row of {table}")
         replace_rows(merge(target, stored, keys, small, limit=broadcast_bytes, shared=shared), table, by_partition)

@@ -99,6 +99,10 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def bucket_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isBucket]
+
+
 def replace_rows(df: DataFrame, name: str, only_its_partitions: bool = False) -> None:
     """Put `df`, which may read the table, in place of its rows, or of those in the partitions it has rows for.
 

@@ -5,11 +5,11 @@ import pytest
 from pyspark.sql import functions as F
 from shops import shop_spec
 
-from sluice.operators.merge import ambiguous_keys, merge
+from sluice.operators.merge import ambiguous_keys, merge, shared_keys
 from sluice.plans.pipeline import _touched, upsert_table
 from sluice.plans.registry import create_registry, lookup, register
 from sluice.sources import tables
-from sluice.sources.tables import finish_replacement, partition_columns, replace_rows
+from sluice.sources.tables import bucket_columns, finish_replacement, partition_columns, replace_rows
 
 TARGET = [(1, "a", "old"), (1, "a", "older"), (2, "b", "old"), (3, None, "old"), (4, "d", None)]
 SOURCE = [(1, "a", "new"), (4, "d", "new"), (4, "x", "new"), (3, None, "new"), (9, "i", "new"), (9, "i", "twice")]
@@ -225,3 +225,33 @@ def test_registry(spark, database):
     assert spark.table(table).count() == 2
     with pytest.raises(KeyError):
         lookup(spark, table, "nope")
+
+
+@pytest.mark.parametrize("hot_rows", [1, 1_000_000])
+def test_a_target_in_buckets_is_not_shuffled(spark, database, hot_rows):
+    """Only the source is, both where keys are counted and where the sides meet; hot keys apart."""
+    name = f"{database}.t"
+    rows = spark.range(400).selectExpr("if(id < 396, id, null) as k1", "cast(id % 3 as string) as k2", "'old' as v")
+    rows.write.bucketBy(5, "k1", "k2").saveAsTable(name)
+    target = spark.table(name)
+    source = spark.range(0, 800, 2).selectExpr("id as k1", "cast(id % 3 as string) as k2", "'new' as v")
+    shared = shared_keys(target, source, ["k1", "k2"], in_buckets=True)
+    plan = merge(target, source, ["k1", "k2"], shared=shared)
+    plan.collect()
+    shown = plan._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert shown.count("Exchange ") == 1 and "SelectedBucketsCount: 5 out of 5" in shown
+    expected = sorted(map(str, merge(target, source, ["k1", "k2"], hot_rows=hot_rows).collect()))
+    upsert_table(source, name, ["k1", "k2"], 0)
+    assert sorted(map(str, spark.table(name).collect())) == expected
+    assert bucket_columns(spark, name) == ["k1", "k2"]
+    again = spark.table(name).groupBy("k1", "k2").count()
+    assert "Exchange" not in again._jdf.queryExecution().executedPlan().toString() and again.count() == len(expected) - 1  # two null keys are alike
+
+
+def test_ambiguous_keys_of_a_target_in_buckets(spark, database):
+    name = f"{database}.t"
+    spark.createDataFrame(TARGET, SCHEMA).write.bucketBy(3, "k2", "k1").saveAsTable(name)
+    with pytest.raises(ValueError):
+        upsert_table(spark.createDataFrame([(1, "a", "x"), (1, "a", "y")], SCHEMA), name, ["k1", "k2"], 0)
+    upsert_table(spark.createDataFrame(SOURCE, SCHEMA), name, ["k1", "k2"], 0)
+    assert Counter(map(tuple, spark.table(name).collect())) == Counter(MERGED)
