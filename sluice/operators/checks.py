@@ -17,9 +17,10 @@ from sluice.plans.spec import TableSpec
 from sluice.sources.files import MALFORMED
 
 
-def with_row_id(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """The spec's columns in order and `_sk`, a number that tells the rows of one read apart."""
-    return df.select(*quoted(spec.row_columns[:-1]), F.monotonically_increasing_id().alias("_sk"))
+def with_row_id(df: DataFrame, spec: TableSpec, row_id: Column | None = None) -> DataFrame:
+    """The spec's columns in order and `_sk`, a number that tells the rows of one read apart, or `row_id`."""
+    row_id = F.monotonically_increasing_id() if row_id is None else row_id
+    return df.select(*quoted(spec.row_columns[:-1]), row_id.alias("_sk"))
 
 
 # The names of the reasons, which the flags bear.

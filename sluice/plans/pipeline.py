@@ -31,6 +31,7 @@ from sluice.sources.tables import (
     read_table,
     replace_rows,
     scratch_bytes,
+    stored_row_id,
     write_partitioned,
     write_run,
     write_scratch_table,
@@ -58,14 +59,16 @@ def load_checked(
 
     With a `run_id`, what is appended goes to the run's partition of the table and replaces what this run wrote there before: a run
     that was cut off anywhere can be repeated and adds its rows once. The numbers of clean rows, of bad rows and of bad rows for
-    each reason are taken while the rows are written, kept by run in the spec's table of counts, and returned.
+    each reason are taken while the rows are written, kept by run in the spec's table of counts, and returned. `_sk` is a row's place in the
+    raw table's files, and so the same however often and by how many tasks they are read.
 
     The repeated keys are counted and stored first. If they are few, only their rows are checked for
     duplicates, once, and kept for both outputs; all other rows go from the raw table to the outputs with no
     shuffle: the raw table is read once for the keys, once for these rows and once for each output. If they are many, all
     rows are checked, once, and both outputs are read from there.
     """
-    rows = with_row_id(read_table(spark, spec.raw_table), spec)
+    raw = read_table(spark, spec.raw_table)
+    rows = with_row_id(raw, spec, stored_row_id(raw))
     repeated = repeated_keys(rows, spec, broadcast_bytes)
     if repeated.few:
         checked = flag_repeated(rows, spec, repeated, hot_rows, broadcast_bytes)

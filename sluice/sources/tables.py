@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterable
-from urllib.parse import quote
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -14,6 +15,9 @@ from sluice.functions.names import named, quoted
 
 SCRATCH_DATABASE, PENDING = "sluice_scratch", "sluice_pending"
 
+#: Names of the files that Spark's Parquet writer makes: the task, and the number of its file, of which a task has few.
+_PART, _FILES_OF_TASK = r"part-(\d+)-[0-9a-f-]+-?c(\d{1,3})\..*parquet", 1000
+
 #: The column that tells the runs of a job apart.
 RUN = "_run_id"
 
@@ -22,6 +26,19 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def stored_row_id(table: DataFrame) -> Column | None:
+    """A number for each row of a table, by its file and its place there: the same in every read, however the files are split.
+
+    For Parquet tables that one job has written, as raw tables are: there the names of files count the job's tasks and their files. None
+    for others.
+    """
+    numbers = [re.fullmatch(_PART, unquote(f.rsplit("/", 1)[-1])) for f in table.inputFiles()]
+    if not numbers or not all(numbers) or len({m.groups() for m in numbers}) < len(numbers):
+        return None
+    task, file = (F.regexp_extract("_metadata.file_name", _PART, k).cast("long") for k in (1, 2))
+    return F.shiftleft(task * _FILES_OF_TASK + file, 36) + F.col("_metadata.row_index")
+
+
 def write_table(df: DataFrame, name: str, mode: str) -> None:
     """`overwrite` replaces the rows and, where it differs, the schema. `append` adds rows: columns that the table lacks are added to it
     and NULL in the rows it has, columns that `df` lacks are NULL in the new rows."""

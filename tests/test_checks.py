@@ -22,6 +22,7 @@ from sluice.operators.checks import (
 )
 from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys, with_duplicate_flags
 from sluice.sources.files import read_file, with_provenance
+from sluice.sources.tables import stored_row_id
 
 
 @pytest.fixture
@@ -207,3 +208,26 @@ def test_random_tables(spark, way, limit):
     assert rejected == Counter({k: n for k, n in expected.items() if k[1]})
     found = Counter((r.t, str(r.k1), str(r.k2), r.v, r.d and str(r.d)) for r in clean.collect())
     assert found == Counter({k[0]: n for k, n in expected.items() if not k[1]})
+
+
+def test_stored_row_ids_are_the_same_in_every_read(spark, database):
+    name = f"{database}.raw"
+    spark.range(0, 20_000, 1, 7).selectExpr("cast(id as string) as stall", "uuid() as label", "'x' as zone", "'y' as since").write.option(
+        "maxRecordsPerFile", 1500
+    ).saveAsTable(name)
+
+    def read():
+        table = spark.table(name)
+        rows = with_row_id(table, shop_spec("x.csv"), stored_row_id(table))
+        return rows.rdd.getNumPartitions(), {(r.stall, r.label): r["_sk"] for r in rows.collect()}
+
+    parts, before = read()
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+        parts_now, now = read()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert parts != parts_now and before == now and len(set(before.values())) == 20_000
+    spark.range(3).selectExpr("'a' as stall", "'b' as label", "'x' as zone", "'y' as since").write.mode("append").saveAsTable(name)
+    assert stored_row_id(spark.table(name)) is None  # two jobs
