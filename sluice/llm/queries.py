@@ -81,11 +81,12 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = repeats.spans(table(spark, sf_dir, "documents"))
+    found = repeats.kept_texts(table(spark, sf_dir, "documents"))
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
-        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256"
-    )
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),  # U+FFFD where a cut is within a letter
+    )
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

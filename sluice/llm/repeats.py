@@ -17,7 +17,7 @@ earlier (`later`: the first copy stays). Documents are ordered by id, then by ha
 
 Bytes decide in step 3; in steps 2 and 4 two hashes of 64 bits do. Texts are taken as UTF-8, null as empty. Texts shorter
 than `LENGTH` have no span. Rows that repeat are documents of their own, with the same spans; a null id stays null.
-An empty table gives an empty result.
+An empty table gives an empty result. A very long text is held as a whole in one task; it is hashed 1 MB at a time.
 """
 
 from __future__ import annotations
@@ -104,9 +104,24 @@ def anchors(data: bytes, length: int = LENGTH, stretch: int = STRETCH) -> tuple[
 # ---------------------------------------------------------------- spans for each document
 
 
+def kept_texts(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_first: bool = False) -> DataFrame:
+    """`spans`, but with the bytes that stay of every row as kept, whether or not any go."""
+    rows, found, _ = _found(docs, text, doc_id, keep_first)
+    whole = F.col("text")
+    everything = rows.select("doc_id", "doc", "hash", F.length(whole).cast("long").alias("n_bytes"), "text")
+    return _result(everything.join(found, ["doc", "hash"], "left"), F.coalesce("kept", whole), F.coalesce("sha256", F.sha2(whole, 256)))
+
+
 def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_first: bool = False) -> DataFrame:
     """One row per row of `docs`: doc_id, n_bytes, spans (array of start and end), kept (the other bytes; null if all stay),
     kept_sha256."""
+    _, found, marked = _found(docs, text, doc_id, keep_first)
+    everything = marked.select("doc_id", "doc", "hash", "n_bytes", F.col("sha256").alias("whole_sha256"))
+    return _result(everything.join(found, ["doc", "hash"], "left"), F.col("kept"), F.coalesce("sha256", "whole_sha256"))
+
+
+def _found(docs: DataFrame, text: str, doc_id: str, keep_first: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their keys, spans and what stays of those that lose any, and the rows with their blocks."""
     bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     key = [F.coalesce("doc_id", F.lit(-(1 << 63))).alias("doc"), F.xxhash64("text").alias("hash")]
@@ -115,13 +130,12 @@ def spans(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep_firs
     starts = stored(_starts(rows, marked, keep_first))
     per_doc = starts.groupBy("doc", "hash").agg(F.collect_set(F.struct("start", "count")).alias("starts"))
     found = _with_text(rows, per_doc).mapInPandas(_cut, _CUT)
-    found = found.groupBy("doc", "hash").agg(*[F.first(c).alias(c) for c in ("spans", "kept", "sha256")])
-    everything = marked.select("doc_id", "doc", "hash", "n_bytes", F.col("sha256").alias("whole_sha256"))
-    return everything.join(found, ["doc", "hash"], "left").select(
-        "doc_id", "n_bytes",
-        F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>")).alias("spans"),
-        "kept", F.coalesce("sha256", "whole_sha256").alias("kept_sha256"),
-    )
+    return rows, found.groupBy("doc", "hash").agg(*[F.first(c).alias(c) for c in ("spans", "kept", "sha256")]), marked
+
+
+def _result(rows: DataFrame, kept: Column, sha256: Column) -> DataFrame:
+    spans = F.coalesce("spans", F.array().cast("array<struct<start:long,end:long>>"))
+    return rows.select("doc_id", "n_bytes", spans.alias("spans"), kept.alias("kept"), sha256.alias("kept_sha256"))
 
 
 def _starts(rows: DataFrame, marked: DataFrame, keep_first: bool) -> DataFrame:
