@@ -17,7 +17,7 @@ from test_tokens import PIECES, ids_of
 import corpus_pipeline
 from sluice.llm import mixing, queries, toxicity
 
-SF_DIR = "/root/testdata/sf0.001"
+SF_DIR, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.1"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 
 
@@ -187,5 +187,17 @@ def test_toxicity_query(spark):
     assert np.mean([got[i] == bool(t) for i, t in label.items()]) > 0.9
 
 
+@pytest.mark.skipif(not os.path.isdir(LARGER), reason="no test data")
+def test_toxicity_of_rows_not_learnt_from(spark):
+    docs, labels = spark.read.parquet(f"{LARGER}/documents.parquet"), spark.read.parquet(f"{LARGER}/labels.parquet")
+    labels = labels.withColumn("low_quality", 1 - F.col("quality"))
+    held = queries.held_out(F.col("doc_id"))
+    chain = toxicity.fit(docs, labels.filter(~held), ["low_quality", "toxic"])
+    rows = docs.join(labels.filter(held), "doc_id").select("text", "toxic").collect()
+    found = np.concatenate([chain.probabilities([r.text for r in rows[k : k + 250]])[:, 1] >= toxicity.THRESHOLD for k in range(0, len(rows), 250)])
+    toxic = np.array([r.toxic for r in rows], bool)
+    assert found[toxic].mean() >= 0.9 and found[~toxic].mean() < 0.01
+
+
 def test_blank_means_the_same_everywhere():
     assert BLANK.sub("", "a\x1c b\x0b c") == "a\x1cb c"
