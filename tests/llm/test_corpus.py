@@ -41,6 +41,38 @@ def pieces_of(rows):
     return sorted(out)
 
 
+def bounded(held, weight, goal):
+    """min(1, f * weight) of each, with the f that brings what is held to the goal, by halving."""
+    low, high = 0.0, 1e12
+    for _ in range(200):
+        f = (low + high) / 2
+        low, high = (f, high) if (held * np.minimum(1, f * weight)).sum() < goal else (low, f)
+    return np.minimum(1, high * weight)
+
+
+def brute_mix(tokens, values, targets, keep):
+    """Bounded fitting to the shares of `queries.MIX`, written anew."""
+    total, goals = tokens.sum(), []
+    for of, target in zip(values, targets):
+        held = {v: tokens[[x == v for x in of]].sum() for v in set(of)}
+        if isinstance(target, float):
+            share = {v: (h / total) ** target if h else 0.0 for v, h in held.items()}
+        else:
+            listed = sum(target[v] for v, h in held.items() if v in target and h)
+            free = sum(h for v, h in held.items() if v in target)
+            share = {v: target[v] * free / listed if v in target else h for v, h in held.items()}
+        order = [v for v in held if held[v]]
+        at = np.array([held[v] for v in order])
+        goals.append(dict(zip(order, at * bounded(at, np.array([share[v] for v in order]) / at, keep * total))))
+    p = np.full(len(tokens), keep)
+    for _ in range(400):
+        for of, goal in zip(values, goals):
+            for v, g in goal.items():
+                here = np.array([x == v for x in of])
+                p[here] = bounded(tokens[here], p[here], g)
+    return np.where(tokens > 0, p, 1.0)
+
+
 def test_stages_against_brute_force(spark, docs):
     chain = queries.toxicity_chain(spark, docs, SF_DIR)
     all_rows = docs.collect()
@@ -48,6 +80,8 @@ def test_stages_against_brute_force(spark, docs):
     ids = {r.doc_id for r in left}
     stage = corpus_pipeline.STAGES[0][1](spark, docs, SF_DIR)
     assert stage.columns == docs.columns and {r.doc_id for r in stage.collect()} == ids
+    toxic = {r.doc_id: bool(r.toxic) for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    assert np.mean([i not in ids for i, t in toxic.items() if t]) >= 0.9 and np.mean([i in ids for i, t in toxic.items() if not t]) > 0.98
     by_id = {r.doc_id: r for r in left}
     ids = {i for i, _ in best([(r.doc_id, r.text) for r in left]).values()}
     parts = brute_components([brute_print(by_id[i].text) for i in ids])
@@ -62,7 +96,7 @@ def test_stages_against_brute_force(spark, docs):
     ).collect()
     keys = sorted({(c.source, c.lang, c.topic) for c in cells})
     tokens = np.array([float(sum(c.n for c in cells if (c.source, c.lang, c.topic) == k)) for k in keys])
-    p = dict(zip(keys, mixing.rake(tokens, [list(v) for v in zip(*keys)], [queries.MIX[d] for d in ("source", "lang", "topic")], queries.MIX_KEEP)))
+    p = dict(zip(keys, brute_mix(tokens, [list(v) for v in zip(*keys)], [queries.MIX[d] for d in ("source", "lang", "topic")], queries.MIX_KEEP)))
     ids = {c.doc_id for c in cells if c.draw < p[c.source, c.lang, c.topic]}
     got = sorted(tuple(r) for r in corpus_pipeline.run(spark, SF_DIR).collect())
     assert got == pieces_of([(i, by_id[i].text) for i in ids])
@@ -74,9 +108,16 @@ def test_stages_take_rows_of_any_kind(spark, docs):
     odd += [(7 + k, f"a clean text of some words, number {k} of many others", "en", "src1", 9) for k in range(30)]
     for some in (spark.createDataFrame(odd, docs.schema), docs.filter("false")):
         count = some.count()
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             out = stage(spark, some, SF_DIR)
-            assert out.count() <= count
+            left = out.count()
+            assert left <= count
+            if name == "toxicity":
+                assert left == count  # none of these is toxic
+            elif name == "exact dedup":
+                assert left == some.select("text").na.fill("").distinct().count()
+            elif name == "encoding":
+                assert left == count and out.agg(F.min("n_tokens")).first()[0] in (1, None)
 
 
 def test_queries_with_sql(spark):
