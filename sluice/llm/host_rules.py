@@ -7,7 +7,8 @@ its documents; the verdicts are joined back to the documents.
 
 A document is dropped if it fails a base rule or its host is rejected. A null host is no host and is never rejected. Null and
 empty texts have no words, fail the rule on short texts and count for their host. Words are runs of `[^\\x20\\x09-\\x0D]`.
-Repeated rows count each time, an empty table gives an empty result, extra columns stay.
+Repeated rows count each time, an empty table gives an empty result, extra columns stay. A very long text is held as a whole in one
+task, with a number of 8 bytes for each word a few times over.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Mapping
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,15 +48,19 @@ def measured(text: str | None) -> tuple[int, ...]:
 
 def _repeated(words: list[bytes]) -> int:
     """Words that are in a window of `WINDOW` words that the text has more than once."""
-    windows = list(zip(*(words[k:] for k in range(WINDOW))))
-    if len(set(windows)) == len(windows):
+    n = len(words) - WINDOW + 1
+    if n < 2:
         return 0
-    counts, repeated, end = Counter(windows), 0, 0
-    for at, window in enumerate(windows):
-        if counts[window] > 1:
-            repeated += at + WINDOW - max(at, end)
-            end = at + WINDOW
-    return repeated
+    number: dict[bytes, int] = {}
+    codes = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, len(words))
+    kind = codes[:n]  # of the window so far: equal windows are of one kind
+    for k in range(1, WINDOW):
+        kind = np.unique(kind * len(number) + codes[k : k + n], return_inverse=True)[1]
+    twice = (np.bincount(kind)[kind] > 1).astype(np.int64)
+    steps = np.zeros(len(words) + 1, np.int64)
+    steps[:n] += twice
+    steps[WINDOW : WINDOW + n] -= twice
+    return int((np.cumsum(steps) > 0).sum())
 
 
 def measures(text: Column) -> Column:

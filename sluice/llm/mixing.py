@@ -11,9 +11,9 @@ ones are raked among themselves for the rest; if the table lists `OTHER`, they g
 Every value of a dimension has a marginal of its own; null counts as the value `OTHER`.
 
 Cells are stored and measured. If they are small enough to be broadcast, they are raked on the driver, else on Spark: in each round
-the tokens of each dimension's values are summed, combined before the shuffle, and the factors joined back to the cells. Both ways
-take the same steps, so p does not depend on the way but for the rounding of sums. Nothing of the size of the cells then passes the
-driver or a broadcast.
+the tokens of each dimension's values are summed, combined before the shuffle, and the factors joined back to the cells; the factors of
+dimensions that are measured as small are kept on the driver meanwhile. All ways take the same steps, so p does not depend on the way but
+for the rounding of sums. Nothing of the size of the cells then passes the driver or a broadcast.
 
 Rounds go on until the worst value is within `CLOSE` of all tokens of its goal. Goals that contradict each other can't all be met:
 rounds end when `PATIENCE` of them have not brought the worst value nearer by a tenth; the goals of the last dimension are then met as
@@ -39,7 +39,7 @@ from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.sources.tables import drop_table, write_scratch_table
 
 OTHER = "(other)"
-ROUNDS, CLOSE, PATIENCE = 1_000_000, 1e-6, 50
+ROUNDS, CLOSE, PATIENCE, REPLAYED = 1_000_000, 1e-6, 50, 10
 Target = float | Mapping[str, float]
 
 
@@ -178,6 +178,9 @@ def raked(cells: DataFrame, names: list[str], targets: Mapping[str, Target], kee
     total = float(held.agg(F.sum("n_tokens")).first()[0] or 0)
     goals = [(n, stored(_goals(held, n, targets[n], keep * total, total))) for n in names] if total else []
     few = {n: fits_broadcast(goal, limit) for n, goal in goals}
+    none = cells.filter("not coalesce(n_tokens > 0, false)").select(*names, F.lit(1.0).alias("p"))
+    if goals and all(few.values()):
+        return stored(_raked_by_factors(held, dict(goals), keep, total).select(*names, "p").unionByName(none))
     at, made, progress = held.withColumn("p", F.lit(float(keep))), [], _Progress(total)
     for _ in range(ROUNDS if goals else 0):
         worst, before = 0.0, made
@@ -192,13 +195,77 @@ def raked(cells: DataFrame, names: list[str], targets: Mapping[str, Target], kee
             drop_table(spark, name)
         if progress.ends(worst):
             break
-    none = cells.filter("not coalesce(n_tokens > 0, false)").select(*names, F.lit(1.0).alias("p"))
     out = stored(at.select(*names, "p").unionByName(none))
     for name in made:
         drop_table(spark, name)
     return out
 
 
+def _raked_by_factors(held: DataFrame, goals: Mapping[str, DataFrame], keep: float, total: float) -> DataFrame:
+    """For dimensions whose values are measured as few: their factors are on the driver, and cells are not written in each round. A cell's p
+    is what its values' factors of all rounds make of `keep`, one after the other; every `REPLAYED` rounds it is written instead."""
+    spark, names = held.sparkSession, list(goals)
+    goal = {n: {r[n]: r["goal"] for r in g.collect()} for n, g in goals.items()}
+    at, progress = held.withColumn("p", F.lit(float(keep))), _Progress(total)
+    past: dict[str, list[dict[str, float]]] = {n: [] for n in names}
+
+    def joined(rows: DataFrame, n: str, values: Mapping[str, object], name: str, kind: str) -> DataFrame:
+        return rows.join(F.broadcast(spark.createDataFrame(list(values.items()), f"`{n}` string, {name} {kind}")), n)
+
+    def replayed() -> DataFrame:
+        """The cells with p as it is now: the current round may have been done for some dimensions only."""
+        rows, rounds = at, min(map(len, past.values()))
+        for k, n in enumerate(names):
+            if past[n]:
+                rows = joined(rows, n, {v: [f[v] for f in past[n]] for v in goal[n]}, f"f{k}", "array<double>")
+        p = F.col("p")
+        if rounds:
+
+            def one_round(p: Column, r: Column) -> Column:
+                for k in range(len(names)):
+                    p = _times_factor(p, F.get(f"f{k}", r))
+                return p
+
+            p = F.aggregate(F.sequence(F.lit(0), F.lit(rounds - 1)), p, one_round)
+        for k, n in enumerate(names):
+            if len(past[n]) > rounds:
+                p = _times_factor(p, F.get(f"f{k}", F.lit(rounds)))
+        return rows.select(*names, "n_tokens", p.alias("p"))
+
+    for _ in range(ROUNDS):
+        worst = 0.0
+        for n in names:
+            f, cells = dict.fromkeys(goal[n], 0.0), replayed()
+            first = True
+            while True:
+                whole = F.lit(False) if first else (F.col("p") > 0) & (F.col("f") * F.col("p") > 1)
+                sums = (cells if first else joined(cells, n, f, "f", "double")).groupBy(n).agg(
+                    F.sum(F.when(whole, F.col("n_tokens")).otherwise(0)).alias("full"),
+                    F.sum(F.when(whole, 0.0).otherwise(F.col("n_tokens") * F.col("p"))).alias("rest"),
+                    F.coalesce(F.max(F.when(~whole, F.col("p"))), F.lit(0.0)).alias("top"),
+                ).collect()  # a row for each value
+                more = False
+                for r in sums:
+                    v, rest = r[n], r["rest"]
+                    if first:
+                        worst = max(worst, abs(rest - goal[n][v]))
+                    f[v] = max(f[v], (goal[n][v] - r["full"]) / rest if rest > 0 else float("inf"))
+                    more |= r["top"] > 0 and f[v] * r["top"] > 1
+                first = False
+                if not more:
+                    break
+            past[n].append(f)
+        if progress.ends(worst):
+            break
+        if len(past[names[0]]) >= REPLAYED:
+            at, past = stored(replayed()), {n: [] for n in names}
+    return replayed()
+
+
+def _times_factor(p: Column, f: Column) -> Column:
+    return F.when(p > 0, F.least(F.lit(1.0), f * p)).otherwise(0.0)
+
+
 def _goals(cells: DataFrame, n: str, target: Target, kept: float, total: float) -> DataFrame:
     """The tokens that are to stay of each value: `_shared_out` with the shares of `rake`."""
     held = stored(cells.groupBy(n).agg(F.sum("n_tokens").cast("double").alias("held")))

@@ -85,7 +85,7 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return found.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "kept_sha256",
-        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),  # U+FFFD where a cut is within a letter
+        F.try_validate_utf8(F.col("kept").cast("string")).alias("kept_text"),  # null where a cut is within a letter
     )
 
 
@@ -199,6 +199,28 @@ g as (
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from g"""
 
 
+OP6_SQL = """
+with t as (
+  select doc_id, hex(encode(coalesce(text, ''))) as h, octet_length(encode(coalesce(text, '')))::bigint as n_bytes from documents),
+starts as (
+  select doc_id, i, md5(substr(h, 2 * i + 1, 800)) as w from t, unnest(range(0, greatest(n_bytes - 399, 0))) as u(i)),
+again as (select doc_id, i from (select *, count(*) over (partition by w) as c from starts) where c > 1),
+heads as (
+  select doc_id, i, (i - lag(i) over (partition by doc_id order by i) <= 400) is not true as head from again),
+parts as (select doc_id, i, count_if(head) over (partition by doc_id order by i) as part from heads),
+spans as (select doc_id, min(i) as a, max(i) + 400 as b from parts group by doc_id, part),
+gaps as (select *, coalesce(lag(b) over (partition by doc_id order by a), 0) as z from spans),
+cut as (
+  select doc_id, sum(b - a)::bigint as n_removed, count(*) as n_spans, max(b) as last,
+         string_agg(substr(h, 2 * z + 1, 2 * (a - z)), '' order by a) as head
+  from gaps join t using (doc_id) group by doc_id),
+kept as (
+  select doc_id, n_bytes, coalesce(n_removed, 0) as n_removed, coalesce(n_spans, 0) as n_spans,
+         unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1)) as bytes
+  from t left join cut using (doc_id))
+select doc_id, n_bytes, n_removed, n_spans, sha256(bytes) as kept_sha256, try(decode(bytes)) as kept_text from kept"""
+
+
 def _op8_sql() -> str:
     rules, limit = host_rules.HOST_RULES, host_rules.HOST_LIMIT
     few, most = host_rules.LEAST_PRIOR, host_rules.MOST_PRIOR
@@ -237,4 +259,4 @@ from m left join verdicts using (source)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": OP2_SQL, "op8_host_rules": _op8_sql()}
+    return {"op2_exact_dedup": OP2_SQL, "op6_repeats": OP6_SQL, "op8_host_rules": _op8_sql()}

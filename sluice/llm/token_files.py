@@ -14,7 +14,8 @@ where the pre-tokeniser always cuts, and each worker keeps the stretches it met
 long text is held as a whole, with its ids, in one task.
 
 Repeated ids: all rows are in the shards, the index knows the first of them, which answers for all. A null id has no key: a
-look-up gives null. `checked_rows` reads the payload of each row, whatever its id. No rows: no shards, an empty index. Extra columns are not read. Tasks that run again write the same files.
+look-up gives null. `checked_rows` reads the payload of each row, whatever its id. No rows: no shards, an empty index. Extra
+columns are not read. Tasks that run again write the same files.
 """
 
 from __future__ import annotations

@@ -386,3 +386,17 @@ def test_a_field_that_saw_names_also_knows_pages_without():
             words = block.text.count(" ") + 1
             right, total = right + words * (got == label), total + words
     assert right / total > 0.9
+
+
+def test_raking_on_spark_to_its_end(spark, monkeypatch):
+    """Many cells of few values: the same p as on the driver, bounded cells and cells without tokens among them."""
+    monkeypatch.setattr(mixing, "REPLAYED", 3)
+    monkeypatch.setattr(mixing, "CLOSE", 1e-3)
+    rng = np.random.default_rng(5)
+    rows = [(f"s{a}", f"l{b}", int(rng.integers(1, 900)) if (a + b) % 7 else 0) for a in range(9) for b in range(4)]
+    cells = spark.createDataFrame(rows, "source string, lang string, n_tokens long")
+    targets = {"source": 0.3, "lang": {"l0": 0.4, "l1": 0.3, "l2": 0.2, "l3": 0.1}}
+    found = {(r.source, r.lang): r.p for r in mixing.raked(cells, ["source", "lang"], targets, 0.6).collect()}
+    expected = mixing.rake(np.array([float(n) for *_, n in rows]), [[r[0] for r in rows], [r[1] for r in rows]], list(targets.values()), 0.6)
+    assert len(found) == len(rows) and (expected == 1).any() and expected.min() < 0.9
+    assert np.allclose([found[r[:2]] for r in rows], expected, atol=1e-6)

@@ -107,6 +107,16 @@ def periodic(doc_id, words):
     return [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
 
 
+def test_periods_of_texts_of_any_size(spark):
+    texts = ["", " \n", "one", "a b", "a b c d e", None]
+    rows = [(i, t) for i in [*range(150), None] for t in texts]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = docs.select("doc_id", "text", queries.with_periods(F.col("doc_id"), F.col("text")).alias("t")).collect()
+    for g in got:
+        words = words_of(g.text)
+        assert words_of(g.t) == (words if g.doc_id is None else periodic(g.doc_id, words)) and (g.t is None) == (g.text is None)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test data")
 def test_query(spark):
     expected = []
