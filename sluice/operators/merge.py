@@ -30,7 +30,9 @@ def merge(
     """Every target row, replaced by the source row of its key if there is one, and the source rows no key matched.
 
     The result has the target's columns and types. A null key matches nothing. A target row that matches several source rows
-    is an error: `shared_keys` finds it before the join; where the source is broadcast, see `ambiguous_keys`. `small_source` says that the source has been found small enough to
+    is an error: `shared_keys` finds it before the join; where the source is broadcast, see `ambiguous_keys`.
+
+    `small_source` says that the source has been found small enough to
     broadcast: then the target is not shuffled. Otherwise one full outer join by key gives updates and inserts. Around it go
     rows with a null key; rows of keys that are hot in the target, which meet their one source row by key and slot;
     and source rows of keys that are hot in the source, which no target row can have. `shared` saves the look at the keys of

@@ -233,7 +233,8 @@ def upsert_table(source: DataFrame, table: str, keys: Sequence[str], broadcast_b
 
     The source is first put in the table's types, so that keys and partitions are compared as they will be written. If the
     keys include the columns the table is partitioned by, only the partitions the source has rows for are read and
-    replaced. A table in buckets by the keys is never shuffled: the source is, to its buckets, and the new files keep them. See `replace_rows` for what an interruption leaves; the next upsert of the table finishes it first.
+    replaced. A table in buckets by the keys is never shuffled: the source is, to its buckets, and the new files keep them.
+    See `replace_rows` for what an interruption leaves; the next upsert of the table finishes it first.
     """
     spark = source.sparkSession
     finish_replacement(spark, table)

@@ -31,8 +31,9 @@ def read_file(
     """Every CSV column is read as a string, with no pass over the file to guess types; Parquet keeps its own types.
 
     CSV rows with fewer fields than the first line end in NULLs, those with more lose the rest. `mark_malformed` adds a column,
-    `MALFORMED`, that has the whole text of such a row and is NULL in all others; Spark wants it read with some other column. A delimiter or line end in quotes is part
-    of its field; a row over several lines is read as one only up to the first line end, and so is malformed.
+    `MALFORMED`, that has the whole text of such a row and is NULL in all others; Spark wants it read with some other column.
+    A delimiter in quotes is part of its field; a row over several lines is read as one only up to the first line end, and
+    so is malformed.
     """
     reader = spark.read.format(file_format(path))
     if header is not None:

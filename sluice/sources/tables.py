@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from urllib.parse import quote, unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -170,8 +172,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/") if folder else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_sluice"
 
 
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
 def scratch_path(spark: SparkSession, suffix: str = "") -> str:
-    return f"{shared_folder(spark)}/{SCRATCH_DATABASE}_files/{uuid.uuid4().hex}{suffix}"
+    path = f"{shared_folder(spark)}/{SCRATCH_DATABASE}_files/{uuid.uuid4().hex}{suffix}"
+    if (made := _scope.get()) is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """The scratch paths that are given out within, so that who writes a result can `drop_paths` what it was made from."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield made
+    finally:
+        _scope.reset(token)
+
+
+def drop_paths(spark: SparkSession, paths: Iterable[str]) -> None:
+    for path in paths:
+        _delete(spark, path)
 
 
 def write_scratch_table(df: DataFrame) -> str:

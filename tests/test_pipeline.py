@@ -10,9 +10,12 @@ from sluice.plans.pipeline import load_daily_sales
 from sluice.sources.files import file_format, read_file, with_provenance
 from sluice.sources.tables import (
     create_or_replace_table,
+    drop_paths,
     drop_scratch,
     read_table,
     scratch_database,
+    scratch_path,
+    scratch_scope,
     shared_folder,
     write_table,
 )
@@ -164,3 +167,18 @@ def test_scratch_is_removed_when_asked(spark):
     spark.range(2).write.parquet(f"{folder}/x")
     drop_scratch(spark)
     assert not spark.catalog.databaseExists(database) and not os.path.exists(folder)
+
+
+def test_scratch_paths_of_a_scope(spark):
+    outside = scratch_path(spark)
+    with scratch_scope() as made:
+        first = scratch_path(spark)
+        with scratch_scope() as inner:
+            second = scratch_path(spark, ".csv")
+        third = scratch_path(spark)
+    assert (made, inner) == ([first, third], [second]) and outside not in made
+    for path in (first, outside):
+        spark.range(2).write.parquet(path)
+    drop_paths(spark, made)  # one of them was never written
+    assert not os.path.exists(first) and os.path.exists(outside)
+    drop_scratch(spark)
