@@ -33,6 +33,7 @@ from sluice.operators.duplicates import (  # noqa: E402
     ROW_DUPLICATE,
     flag_repeated,
     flag_unrepeated,
+    repeated_bits,
     repeated_keys,
     with_duplicate_flags,
 )
@@ -72,6 +73,16 @@ LINES = TableSpec(
     delimiter="|",
 )
 
+SHIPMENTS = TableSpec(
+    name="shipments",
+    file_path="shipments.parquet",
+    table_name="shipments",
+    columns={"supplier": "int", "day": "date", "f": "string", "g": "string"},
+    keys=["supplier", "day"],
+)
+# No list of keys is short enough to broadcast, a bitmap of up to 32 MB is.
+SHORT_LIST, SHORT_BITS = 0, 64 << 20
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_file(spark, f"{sf_dir}/{name}.parquet")
@@ -115,6 +126,16 @@ flags as (
   from x)
 """
 
+SHIPMENTS_SQL = """
+with w as (
+  select cast(l_suppkey as varchar) as supplier, strftime(l_shipdate, '%Y-%m-%d') as day, l_returnflag as f, l_linestatus as g,
+         row_number() over (partition by l_suppkey, strftime(l_shipdate, '%Y-%m-%d'), l_returnflag, l_linestatus) as rn
+  from lineitem),
+x as (select *, sum(case when rn = 1 then 1 else 0 end) over (partition by supplier, day) as kc from w)
+select supplier, day, f, g, case when rn > 1 then '_row_duplicate' else '_key_duplicate' end as reason
+from x where rn > 1 or kc > 1
+"""
+
 INVALID = ["_is_d_invalid", "_is_k1_invalid", "_is_k2_invalid"]
 NULL_KEY = ["_is_k1_null", "_is_k2_null"]
 DUPLICATE = ["_key_duplicate", "_row_duplicate"]
@@ -272,6 +293,23 @@ def bad_few_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _records(reject(flagged, LINES))
 
 
+def bad_many_repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fifth of the rows share their key. The list of these keys is taken as too long to broadcast, its bitmap is not: rows
+    whose bit is not set are not shuffled."""
+    lines = _table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("supplier"),
+        F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"),
+        F.col("l_returnflag").alias("f"),
+        F.col("l_linestatus").alias("g"),
+    )
+    rows = with_row_id(lines, SHIPMENTS)
+    repeated = repeated_keys(rows, SHIPMENTS, SHORT_LIST)
+    bits = repeated_bits(repeated, SHORT_BITS)
+    flagged = flag_unrepeated(rows, repeated, bits=bits)
+    flagged = flagged.unionByName(flag_repeated(rows, SHIPMENTS, repeated, limit=SHORT_BITS, bits=bits))
+    return _records(reject(flagged, SHIPMENTS))
+
+
 def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dates_as_text(clean_records(_rows(spark, sf_dir), LINES))
 
@@ -673,6 +711,7 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bad_records": bad,
         "bad_records_all_keys_hot": bad_all_keys_hot,
         "bad_records_few_repeated": bad_few_repeated,
+        "bad_records_many_repeated": bad_many_repeated,
         "clean_records": clean,
         "daily_sales": daily_sales_by_ship_date,
         "daily_sales_fanout": daily_sales_fanout,
@@ -766,6 +805,7 @@ def table_sql() -> dict[str, str]:
         "bad_records": BAD_SQL,
         "bad_records_all_keys_hot": BAD_SQL,
         "bad_records_few_repeated": BAD_SQL,
+        "bad_records_many_repeated": SHIPMENTS_SQL,
         "clean_records": f"{lines} select cast(k1 as int) as k1, cast(k2 as int) as k2, f, g, "
         "cast(cast(d as date) as varchar) as d from flags "
         f"where not ({' or '.join(INVALID + NULL_KEY + DUPLICATE)})",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.flags import none_null
 from sluice.functions.names import OWN, named, quoted
+from sluice.operators.bitmaps import KeyBits, key_bits, rows_maybe_with, rows_surely_without
 from sluice.operators.skew import (
     HOT_ROWS,
     SLOT,
@@ -23,6 +24,7 @@ from sluice.operators.skew import (
     dealt,
     in_all_slots,
     listed_keys,
+    own_key,
     rows_with,
     rows_without,
     same_key,
@@ -74,19 +76,36 @@ def with_duplicate_flags(
     return flagged
 
 
-def flag_unrepeated(rows: DataFrame, repeated: Listed, spec: TableSpec | None = None) -> DataFrame:
+def repeated_bits(repeated: Listed, limit: int = BROADCAST_BYTES) -> KeyBits | None:
+    """For repeated keys that are too many to broadcast: a bitmap of them that is not, if there can be one."""
+    if repeated.few:
+        return None
+    return key_bits(repeated.rows, repeated.keys, [own_key(k) for k in repeated.keys], repeated.count, limit)
+
+
+def flag_unrepeated(
+    rows: DataFrame, repeated: Listed, spec: TableSpec | None = None, bits: KeyBits | None = None
+) -> DataFrame:
     """The rows whose key is not in `repeated`, and those that take no part: they have no duplicates and, if the list is small,
-    need no shuffle. The spec is needed if it rejects malformed rows."""
+    need no shuffle. The spec is needed if it rejects malformed rows. With `bits` of the list, however long it is: the rows whose
+    bit is not set, without a shuffle."""
     part = takes_part(spec) if spec and spec.reject_malformed else None
-    return _unflagged(rows_without(rows, repeated, part))
+    return _unflagged(rows_surely_without(rows, bits, part) if bits else rows_without(rows, repeated, part))
 
 
 def flag_repeated(
-    rows: DataFrame, spec: TableSpec, repeated: Listed, hot_rows: int = HOT_ROWS, limit: int = BROADCAST_BYTES
+    rows: DataFrame,
+    spec: TableSpec,
+    repeated: Listed,
+    hot_rows: int = HOT_ROWS,
+    limit: int = BROADCAST_BYTES,
+    bits: KeyBits | None = None,
 ) -> DataFrame:
-    """The rows whose key is in `repeated`, with both flags."""
+    """The rows whose key is in `repeated`, with both flags. With `bits` of the list: all that `flag_unrepeated` leaves; those
+    that only share a bit are found to have no duplicates."""
     hot = repeated.above(hot_rows, limit)
-    some = rows_with(rows, repeated, takes_part(spec) if spec.reject_malformed else None)
+    part = takes_part(spec) if spec.reject_malformed else None
+    some = rows_maybe_with(rows, bits, part) if bits else rows_with(rows, repeated, part)
     flagged = _flag_by_key(rows_without(some, hot), spec, False)
     return flagged.unionByName(_flag_spread(rows_with(some, hot), spec, hot, False)) if hot.count else flagged
 

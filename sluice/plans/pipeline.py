@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from sluice.functions.flags import none_null
 from sluice.functions.names import OWN, named
 from sluice.operators.checks import accept, all_flags, reject, with_load_time, with_row_id
-from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys, with_duplicate_flags
+from sluice.operators.duplicates import (
+    flag_repeated,
+    flag_unrepeated,
+    repeated_bits,
+    repeated_keys,
+    with_duplicate_flags,
+)
 from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
 from sluice.operators.merge import ambiguous_keys, as_target, merge, shared_keys
 from sluice.operators.skew import HOT_ROWS, ROWS
@@ -64,21 +70,23 @@ def load_checked(
 
     The repeated keys are counted and stored first. If they are few, only their rows are checked for
     duplicates, once, and kept for both outputs; all other rows go from the raw table to the outputs with no
-    shuffle: the raw table is read once for the keys, once for these rows and once for each output. If they are many, all
-    rows are checked, once, and both outputs are read from there.
+    shuffle: the raw table is read once for the keys, once for these rows and once for each output. If they are too many to
+    broadcast, a bitmap of their hashes tells rows that surely have a key of their own, which go the same way; the others are
+    checked. If they are too many for that as well, all rows are checked, once, and both outputs are read from there.
     """
     raw = read_table(spark, spec.raw_table)
     rows = with_row_id(raw, spec, stored_row_id(raw))
     repeated = repeated_keys(rows, spec, broadcast_bytes)
-    if repeated.few:
-        checked = flag_repeated(rows, spec, repeated, hot_rows, broadcast_bytes)
+    bits = repeated_bits(repeated, broadcast_bytes)
+    if repeated.few or bits:
+        checked = flag_repeated(rows, spec, repeated, hot_rows, broadcast_bytes, bits)
     else:
         checked = with_duplicate_flags(rows, spec, hot_rows, repeated, broadcast_bytes)
     scratch = write_scratch_table(checked)
     try:
         flagged = spark.table(scratch)
-        if repeated.few:
-            flagged = flag_unrepeated(rows, repeated, spec).unionByName(flagged)
+        if repeated.few or bits:
+            flagged = flag_unrepeated(rows, repeated, spec, bits).unionByName(flagged)
         # Few rows from many tasks: gather them into files of a useful size.
         bad = reject(flagged, spec).hint("rebalance")
         clean = with_load_time(accept(flagged, spec))
