@@ -120,6 +120,13 @@ def shared_keys(
     return SharedKeys(hot, many, found[4])
 
 
+def small_and_repeated(source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES) -> tuple[bool, bool]:
+    """Whether the source, hashed in memory, stays within `limit`, and whether a key, none null, has several of its rows. One look."""
+    of_key = source.groupBy(*quoted(keys)).agg(F.count("*").alias(ROWS), F.sum(row_bytes(source.columns)).alias(f"{OWN}bytes"))
+    total, most = of_key.agg(F.sum(f"{OWN}bytes"), F.max(F.when(none_null(keys), F.col(ROWS)))).first()
+    return (total or 0) <= limit, (most or 0) > 1
+
+
 def ambiguous_keys(
     target: DataFrame, source: DataFrame, keys: Sequence[str], limit: int = BROADCAST_BYTES
 ) -> DataFrame:

@@ -22,7 +22,7 @@ from sluice.operators.duplicates import (
     with_duplicate_flags,
 )
 from sluice.operators.marts import repeated_shops, sales_per_day, with_compute_date
-from sluice.operators.merge import ambiguous_keys, as_target, merge, shared_keys
+from sluice.operators.merge import ambiguous_keys, as_target, merge, shared_keys, small_and_repeated
 from sluice.operators.skew import HOT_ROWS, ROWS
 from sluice.plans.sizes import BROADCAST_BYTES, fits_broadcast
 from sluice.plans.spec import TableSpec
@@ -253,10 +253,17 @@ def upsert_table(source: DataFrame, table: str, keys: Sequence[str], broadcast_b
         stored = spark.table(scratch)
         if by_partition:
             target = _touched(target, stored, partitions, broadcast_bytes)
-        small = fits_broadcast(stored, broadcast_bytes, scratch_bytes(spark, scratch))
-        in_buckets = set(bucket_columns(spark, table)) == set(keys)
-        shared = None if small else shared_keys(target, stored, keys, limit=broadcast_bytes, in_buckets=in_buckets)
-        if shared.ambiguous if shared else not ambiguous_keys(target, stored, keys, broadcast_bytes).isEmpty():
+        small = repeated = False
+        if scratch_bytes(spark, scratch) <= broadcast_bytes:
+            small, repeated = small_and_repeated(stored, keys, broadcast_bytes)
+        if small:
+            shared = None
+            ambiguous = repeated and not ambiguous_keys(target, stored, keys, broadcast_bytes).isEmpty()
+        else:
+            in_buckets = set(bucket_columns(spark, table)) == set(keys)
+            shared = shared_keys(target, stored, keys, limit=broadcast_bytes, in_buckets=in_buckets)
+            ambiguous = shared.ambiguous > 0
+        if ambiguous:
             raise ValueError(f"several source rows have the key of one row of {table}")
         replace_rows(merge(target, stored, keys, small, limit=broadcast_bytes, shared=shared), table, by_partition)
     finally:
