@@ -2,8 +2,9 @@
 
 Keys are counted on the key columns alone, combined before the shuffle, and the list of those above a bound is stored once and
 measured. Rows of listed keys are told from the others by broadcasting the list if it is small; otherwise list and
-rows meet by key and slot: rows are dealt over `SLOTS` slots and the list is repeated in each. Rows of a hot key
-are never shuffled by that key alone.
+rows meet by key and slot: rows are dealt over `SLOTS` slots and the list is repeated in each. Of a list of over `SLOTTED_KEYS` keys
+only those with more than `HOT_ROWS` rows are repeated, and only their rows are dealt; the others have one slot, so that a long list
+is shuffled once. Rows of a hot key are never shuffled by that key alone.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from sluice.sources.tables import written_once
 
 HOT_ROWS = 1_000_000
 SLOTS = 64
-ROWS, SLOT = f"{OWN}rows", f"{OWN}slot"
+SLOTTED_KEYS = 1 << 14
+ROWS, SLOT, HOT = f"{OWN}rows", f"{OWN}slot", f"{OWN}hot"
 
 
 @dataclass(frozen=True)
@@ -33,6 +35,8 @@ class Listed:
     rows: DataFrame
     count: int
     few: bool  # small enough to broadcast
+    most: int | None = None  # the greatest number of rows, where it has been looked up
+    limit: int = BROADCAST_BYTES  # what `few` was measured by
 
     def above(self, rows: int, limit: int = BROADCAST_BYTES) -> Listed:
         """The keys with more rows than this."""
@@ -53,7 +57,7 @@ def listed_keys(rows: DataFrame, keys: Sequence[str], above: int, limit: int = B
 
 
 def _measured(rows: DataFrame, keys: Sequence[str], limit: int) -> Listed:
-    return Listed(tuple(keys), rows, *measured(rows, limit))
+    return Listed(tuple(keys), rows, *measured(rows, limit, ROWS), limit)
 
 
 def own_key(key: str) -> str:
@@ -78,13 +82,35 @@ def rows_without(rows: DataFrame, listed: Listed, where: Column | None = None) -
 def _split(rows: DataFrame, listed: Listed, how: str, where: Column | None) -> DataFrame:
     if not listed.count:
         return rows if how == "left_anti" else rows.filter(F.lit(False))
-    keys, match = listed.rows.select(*quoted(map(own_key, listed.keys))), same_key(listed.keys)
+    match = same_key(listed.keys)
     if where is not None:
         match = match & where
     if listed.few:
-        return rows.join(F.broadcast(keys), match, how)
-    in_slots = in_all_slots(keys).withColumnRenamed(SLOT, f"{SLOT}s")
-    return dealt(rows).join(in_slots, match & (F.col(SLOT) == F.col(f"{SLOT}s")), how).drop(SLOT)
+        return rows.join(F.broadcast(listed.rows.select(*quoted(map(own_key, listed.keys)))), match, how)
+    left, right = slotted(rows, listed.rows, listed)
+    return left.join(right.drop(ROWS), match & (F.col(SLOT) == F.col(f"{SLOT}s")), how).drop(SLOT)
+
+
+def slotted(rows: DataFrame, facts: DataFrame, listed: Listed) -> tuple[DataFrame, DataFrame]:
+    """Rows with a slot (`SLOT`), and facts, which name some of the listed keys as the list does, in each slot (`SLOT` and an s) that
+    their rows may have. A row without a listed key meets no fact, in whichever slot."""
+    hot = None
+    if listed.count > SLOTTED_KEYS and listed.most is not None:
+        hot = listed.above(HOT_ROWS, listed.limit) if listed.most > HOT_ROWS else listed
+    if hot is None or hot is not listed and not hot.few:
+        return dealt(rows), in_all_slots(facts).withColumnRenamed(SLOT, f"{SLOT}s")
+    spread, one, own = ~none_null(listed.keys), F.lit(0), list(map(own_key, listed.keys))
+    if hot is listed:
+        # Not a literal 0: the planner would leave the slot out of the shuffle, and rows with a null key would gather.
+        facts = facts.withColumn(f"{SLOT}s", F.pmod(F.xxhash64(*quoted(own)), F.lit(1)).cast("int"))
+    else:
+        of_hot = hot.rows.select(*quoted(own), F.lit(True).alias(HOT))
+        facts = facts.join(F.broadcast(of_hot), own, "left")
+        facts = facts.withColumn(f"{SLOT}s", F.explode(F.when(F.col(HOT), F.array([F.lit(k) for k in range(SLOTS)])).otherwise(F.array(one))))
+        facts = facts.drop(HOT)
+        rows = rows.join(F.broadcast(of_hot), same_key(listed.keys), "left").drop(*own)
+        spread = spread | F.col(HOT).isNotNull()
+    return dealt(rows).withColumn(SLOT, F.when(spread, F.col(SLOT)).otherwise(one)).drop(HOT), facts
 
 
 def dealt(rows: DataFrame) -> DataFrame:

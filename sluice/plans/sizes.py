@@ -13,12 +13,14 @@ BROADCAST_BYTES = 64 << 20
 ROW_BYTES, CELL_BYTES = 48, 16
 
 
-def measured(df: DataFrame, limit: int = BROADCAST_BYTES) -> tuple[int, bool]:
-    """The number of rows, and whether they, hashed in memory, stay within `limit`. One aggregate; one row comes back."""
+def measured(df: DataFrame, limit: int = BROADCAST_BYTES, most: str | None = None) -> tuple[int, bool] | tuple[int, bool, int]:
+    """The number of rows, whether they, hashed in memory, stay within `limit`, and the greatest value of the column `most`, if one is
+    given, or 0. One aggregate; one row comes back."""
     if limit < 0:
         raise ValueError(f"the limit must not be negative, got {limit}")
-    rows, total = df.agg(F.count("*"), F.coalesce(F.sum(row_bytes(df.columns)), F.lit(0))).first()
-    return rows, total <= limit
+    wanted = [F.coalesce(F.max(named(most)), F.lit(0))] if most else []
+    rows, total, *greatest = df.agg(F.count("*"), F.coalesce(F.sum(row_bytes(df.columns)), F.lit(0)), *wanted).first()
+    return rows, total <= limit, *greatest
 
 
 def row_bytes(columns: Sequence[str]) -> Column:

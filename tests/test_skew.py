@@ -1,12 +1,14 @@
 """A third of the rows in one key, a third copies of one row: no task may get much more than its share."""
 
+from collections import Counter
 from contextlib import contextmanager
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice import TableSpec
-from sluice.operators import duplicates
+from sluice.operators import duplicates, skew
 from sluice.operators.checks import bad_records, with_row_id
 from sluice.operators.duplicates import with_duplicate_flags
 from sluice.operators.merge import merge
@@ -163,3 +165,28 @@ def test_upsert_reads_and_shuffles_each_side_once(spark, tmp_path):
     for name in ("target", "source"):
         assert text.count(f"{tmp_path}/{name}") <= 2
     assert text.count("Exchange hashpartitioning") == 2 and text.count("SortMergeJoin") == 1
+
+
+def pairs(spark):
+    """A third of the rows in one key; the others have some to a key, or one, or a null key."""
+    return spark.range(0, ROWS, 1, 8).selectExpr(
+        "cast(case when id % 97 = 0 then null when id % 3 = 0 then -7 when id % 5 = 0 then id else id div 6 end as string) as k",
+        "concat('v', id % 4) as v",
+    )
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_a_long_list_of_keys_is_not_repeated_but_for_hot_ones(spark, monkeypatch, hot):
+    monkeypatch.setattr(skew, "SLOTTED_KEYS", 1000)
+    monkeypatch.setattr(skew, "HOT_ROWS", 1000)
+    rows = pairs(spark) if hot else pairs(spark).filter("k is null or k != '-7'")
+    listed = replace(listed_keys(rows, ["k"], 1), few=False)
+    assert listed.count > 5000 and (listed.most > 1000) == hot
+    with sixteen_tasks(spark, **NO_BROADCAST):
+        some, others = rows_with(rows, listed), rows_without(rows, listed)
+        assert ("Generate" in plan(some)) == ("Generate" in plan(others)) == hot
+        assert largest_task(some) < some.count() / 16 * 1.6 and largest_task(others) < others.count() / 16 * 2
+        keys = {r[0] for r in listed.rows.select("_sluice_key_k").collect()}
+        everything = Counter(tuple(r) for r in rows.collect())
+        assert Counter(tuple(r) for r in some.collect()) == Counter({r: n for r, n in everything.items() if r[0] in keys})
+        assert Counter(tuple(r) for r in others.collect()) == Counter({r: n for r, n in everything.items() if r[0] not in keys})
