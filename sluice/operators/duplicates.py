@@ -21,13 +21,12 @@ from sluice.operators.skew import (
     HOT_ROWS,
     SLOT,
     Listed,
-    dealt,
-    in_all_slots,
     listed_keys,
     own_key,
     rows_with,
     rows_without,
     same_key,
+    slotted,
 )
 from sluice.plans.sizes import BROADCAST_BYTES
 from sluice.plans.spec import TableSpec
@@ -144,8 +143,8 @@ def _flag_spread(rows: DataFrame, spec: TableSpec, hot: Listed, copies_only: boo
     if hot.few:  # these keys are some of the hot ones, whose list has been measured
         flagged = flagged.join(F.broadcast(conflicts), same_key(spec.keys), "left")
     else:
-        slots = in_all_slots(conflicts).withColumnRenamed(SLOT, f"{SLOT}s")
-        flagged = dealt(flagged).join(slots, same_key(spec.keys) & (F.col(SLOT) == F.col(f"{SLOT}s")), "left")
+        flagged, slots = slotted(flagged, conflicts, hot)
+        flagged = flagged.join(slots, same_key(spec.keys) & (F.col(SLOT) == F.col(f"{SLOT}s")), "left")
     return flagged.select(
         *columns, ROW_DUPLICATE, (F.col(CONFLICT).isNotNull() & ~F.col(ROW_DUPLICATE)).alias(KEY_DUPLICATE)
     )

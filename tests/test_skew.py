@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice import TableSpec
 from sluice.operators import duplicates, skew
-from sluice.operators.checks import bad_records, with_row_id
+from sluice.operators.checks import bad_records, reject, with_row_id
 from sluice.operators.duplicates import with_duplicate_flags
 from sluice.operators.merge import merge
 from sluice.operators.skew import join_facts, key_counts, listed_keys, rows_with, rows_without
@@ -190,3 +190,20 @@ def test_a_long_list_of_keys_is_not_repeated_but_for_hot_ones(spark, monkeypatch
         everything = Counter(tuple(r) for r in rows.collect())
         assert Counter(tuple(r) for r in some.collect()) == Counter({r: n for r, n in everything.items() if r[0] in keys})
         assert Counter(tuple(r) for r in others.collect()) == Counter({r: n for r, n in everything.items() if r[0] not in keys})
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_conflicts_of_many_keys_are_not_repeated_but_for_hot_ones(spark, monkeypatch, hot):
+    """All repeated keys take the way of the hot ones."""
+    monkeypatch.setattr(skew, "SLOTTED_KEYS", 1000)
+    monkeypatch.setattr(skew, "HOT_ROWS", 1000)
+    monkeypatch.setattr(duplicates, "COPY_SLOTS", 64)
+    rows = with_row_id(pairs(spark) if hot else pairs(spark).filter("k is null or k != '-7'"), SPEC)
+    listed = replace(listed_keys(rows, ["k"], 1), few=False, limit=1 << 20)
+    with sixteen_tasks(spark, **NO_BROADCAST):
+        monkeypatch.setattr(type(listed), "above", lambda self, n, limit=0, f=type(listed).above: self if n == 1 else f(self, n, 1 << 20))
+        flagged = with_duplicate_flags(rows, SPEC, 1, listed)
+        assert ("Generate" in plan(flagged)) == hot
+        assert largest_task(flagged) < ROWS / 16 * 1.6
+        counts = {tuple(r.reason): r["count"] for r in bad_records(rows, SPEC).groupBy("reason").count().collect()}
+        assert {tuple(r.reason): r["count"] for r in reject(flagged, SPEC).groupBy("reason").count().collect()} == counts
