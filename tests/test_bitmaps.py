@@ -124,3 +124,15 @@ def test_the_job_writes_the_same_tables(spark, database, tmp_path, limit):
     expected = bad_records(with_row_id(spark.table(spec.raw_table), spec), spec)
     assert reasons(spark.table(spec.bad_table)) == reasons(expected)
     assert spark.table(spec.clean_table).count() == ROWS - expected.count()
+
+
+def test_a_look_up_reads_one_number_of_a_bitmap(spark):
+    """Not a copy of the whole part, as a binary value would be. Every bit of Spark's bitmap is found in its place."""
+    listed = spark.range(BUCKET_BITS).selectExpr("id as k")
+    bits = key_bits(listed.filter("k % 3 = 0"), ["k"], ["k"], BUCKET_BITS // 3, ONE_BUCKET)
+    assert bits.rows.dtypes[1][1] == "array<bigint>" and bits.rows.first()[1].__len__() == BUCKET_BITS // 64
+    places = {(r[0]) for r in listed.filter("k % 3 = 0").selectExpr(f"pmod(xxhash64(k), {BUCKET_BITS})").collect()}
+    found = {64 * n + 8 * (7 - j // 8) + j % 8 for n, word in enumerate(bits.rows.first()[1]) for j in range(64) if word >> j & 1}
+    assert found == places
+    maybe = {r.k for r in rows_maybe_with(listed, bits).collect()}
+    assert maybe == {r.k for r in listed.selectExpr("k", f"pmod(xxhash64(k), {BUCKET_BITS}) as p").collect() if r.p in places}
