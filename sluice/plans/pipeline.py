@@ -85,10 +85,14 @@ def load_checked(
     scratch = write_scratch_table(checked)
     try:
         flagged = spark.table(scratch)
+        # Few rows from many tasks: gather them into files of a useful size. Those checked for duplicates are mostly bad, and in such
+        # files already.
         if repeated.few or bits:
-            flagged = flag_unrepeated(rows, repeated, spec, bits).unionByName(flagged)
-        # Few rows from many tasks: gather them into files of a useful size.
-        bad = reject(flagged, spec).hint("rebalance")
+            alone = flag_unrepeated(rows, repeated, spec, bits)
+            bad = reject(alone, spec).hint("rebalance").unionByName(reject(flagged, spec))
+            flagged = alone.unionByName(flagged)
+        else:
+            bad = reject(flagged, spec).hint("rebalance")
         clean = with_load_time(accept(flagged, spec))
         if run_id is None:
             write_table(bad, spec.bad_table, "append")

@@ -9,6 +9,7 @@ from sluice import TableSpec
 from sluice.operators.bitmaps import BUCKET_BITS, bits_within, key_bits, rows_maybe_with, rows_surely_without
 from sluice.operators.checks import bad_records, reject, with_row_id
 from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_bits, repeated_keys
+from sluice.plans import pipeline
 from sluice.plans.pipeline import load_checked, load_raw
 from sluice.plans.sizes import CELL_BYTES, ROW_BYTES, measured
 
@@ -136,3 +137,20 @@ def test_a_look_up_reads_one_number_of_a_bitmap(spark):
     assert found == places
     maybe = {r.k for r in rows_maybe_with(listed, bits).collect()}
     assert maybe == {r.k for r in listed.selectExpr("k", f"pmod(xxhash64(k), {BUCKET_BITS}) as p").collect() if r.p in places}
+
+
+@pytest.mark.parametrize("limit", [2 * ONE_BUCKET, 1 << 26])
+def test_rows_that_were_checked_for_duplicates_are_not_shuffled_again(spark, database, tmp_path, monkeypatch, limit):
+    """Only the bad ones of the others, few of many tasks, are gathered."""
+    some_repeated(spark).write.parquet(str(tmp_path / "rows.parquet"))
+    spec = TableSpec("t", str(tmp_path / "rows.parquet"), f"{database}.t", dict(SPEC.columns), list(SPEC.keys))
+    tops = {}
+
+    def noted(df, name, mode, write=pipeline.write_table):
+        tops[name] = df._jdf.queryExecution().optimizedPlan()
+        write(df, name, mode)
+
+    monkeypatch.setattr(pipeline, "write_table", noted)
+    load_raw(spark, spec)
+    load_checked(spark, spec, broadcast_bytes=limit)
+    assert tops[spec.bad_table].nodeName() == "Union" and tops[spec.bad_table].toString().count("RebalancePartitions") == 1
