@@ -523,11 +523,18 @@ def append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec, _ = _bad_lines(spark, sf_dir, "append")
     run(spark, [spec])
     run(spark, [spec])
-    clean = _dates_as_text(read_table(spark, spec.clean_table)).select(
-        *[F.col(c).cast("string") for c in LINES.column_names], F.lit("").alias("reason")
+    return _times(read_table(spark, spec.clean_table), read_table(spark, spec.bad_table))
+
+
+def _times(clean: DataFrame, bad: DataFrame, *of_run: str) -> DataFrame:
+    """How often each row is in the clean and in the bad-record table, as text, by the columns `of_run` too. No row is the same in both,
+    as only bad ones have a reason, so each table is counted alone, the clean rows in their types, which take less room than text."""
+    bad = _records(bad).select(*LINES.column_names, "reason", *of_run)
+    counted = clean.groupBy(*LINES.column_names, *of_run).agg(F.count("*").alias("times"))
+    texts = [F.col(c).cast("string").alias(c) for c in LINES.column_names]
+    return counted.select(*texts, F.lit("").alias("reason"), *of_run, "times").union(
+        bad.groupBy(*bad.columns).agg(F.count("*").alias("times"))
     )
-    everything = clean.union(_records(read_table(spark, spec.bad_table)))
-    return everything.groupBy(*everything.columns).agg(F.count("*").alias("times"))
 
 
 def _lines_of_any_length(spark: SparkSession, sf_dir: str) -> tuple[TableSpec, str]:
@@ -566,12 +573,8 @@ def rerun_after_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
         drop_table(spark, spec.clean_table)
     for run_id in ("first", "second", "second"):
         run(spark, [spec], run_id)
-    clean = _dates_as_text(read_table(spark, spec.clean_table)).select(
-        *[F.col(c).cast("string") for c in LINES.column_names], F.lit("").alias("reason"), F.col(RUN).alias("run")
-    )
-    bad = _records(read_table(spark, spec.bad_table).withColumnRenamed(RUN, "run"))
-    everything = clean.unionByName(bad)
-    return everything.groupBy(*everything.columns).agg(F.count("*").alias("times"))
+    clean, bad = (read_table(spark, t).withColumnRenamed(RUN, "run") for t in (spec.clean_table, spec.bad_table))
+    return _times(clean, bad, "run")
 
 
 def run_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

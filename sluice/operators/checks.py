@@ -44,8 +44,9 @@ def duplicate_flags() -> dict[str, Column]:
 
 
 def all_flags(spec: TableSpec) -> dict[str, Column]:
-    """Every check, for rows that carry the duplicate flags."""
-    return {**format_flags(spec), **null_key_flags(spec), **malformed_flags(spec), **duplicate_flags()}
+    """Every check, for rows that carry the duplicate flags. Those that match no text come first: a row that fails one of them is bad
+    without a look at its texts."""
+    return {**duplicate_flags(), **null_key_flags(spec), **malformed_flags(spec), **format_flags(spec)}
 
 
 def invalid_records(rows: DataFrame, spec: TableSpec) -> DataFrame:

@@ -3,17 +3,20 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 from shops import shop_spec
 
 from sluice.operators.checks import (
+    accept,
     bad_records,
     clean_records,
     duplicate_records,
     invalid_records,
     null_key_records,
+    reject,
     with_row_id,
 )
-from sluice.operators.duplicates import flag_repeated, flag_unrepeated, repeated_keys
+from sluice.operators.duplicates import KEY_DUPLICATE, ROW_DUPLICATE, flag_repeated, flag_unrepeated, repeated_keys
 from sluice.operators.marts import daily_sales
 from sluice.operators.merge import merge
 from sluice.operators.skew import key_counts
@@ -125,3 +128,11 @@ def test_a_merge_looks_at_the_keys_of_both_sides_once(spark, shops, monkeypatch)
     plan = final(merge(target, source, ["stall"]))
     assert len(looks) == 1 and shuffles(looks[0]) == 1 and read_columns(looks[0]) == [["stall"], ["stall"]]
     assert shuffles(plan) == 2
+
+
+def test_checks_that_match_no_text_come_first(shops):
+    """A row that is bad by its duplicates or a null key is not matched with patterns to tell that it is."""
+    flagged = with_row_id(shops, SPEC, F.col("_sk")).withColumns({n: F.col("_sk") % 2 == 0 for n in (ROW_DUPLICATE, KEY_DUPLICATE)})
+    for df in (reject(flagged, SPEC), accept(flagged, SPEC)):
+        kept = next(line for line in df._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Filter" in line)
+        assert "RLIKE" in kept and kept.index("% 2") < kept.index("RLIKE")
